@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from millrace.plans import features
+from millrace.plans import cleaning, features, tables
 from millrace.plans.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "features"]
+__all__ = ["ORACLE", "QUERIES", "cleaning", "features", "tables"]
