@@ -123,22 +123,28 @@ def fit_preprocess(
 
 
 def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """One row per expected column: is it there, and does its type fit?"""
+    """One row per expected column: is it there, does its type fit, and how many values would not cast?"""
     actual = {f.name: f.dataType for f in df.schema.fields}
-    rows = []
-    for f in expected.fields:
+    aggs, rows = [F.count("*").alias("_rows")], []
+    for i, f in enumerate(expected.fields):
         have = actual.get(f.name)
+        bad = F.lit(None).cast("long")
+        if have is not None:
+            lost = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+            aggs.append(F.count(F.when(lost, 1)).alias(f"_bad{i}"))
+            bad = F.col(f"_bad{i}")
         rows.append(
-            (
-                f.name,
-                f.dataType.simpleString(),
-                have.simpleString() if have else None,
-                have is not None,
-                have == f.dataType,
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("expected_type"),
+                F.lit(have.simpleString() if have else None).cast("string").alias("actual_type"),
+                F.lit(have is not None).alias("present"),
+                F.lit(have == f.dataType).alias("type_ok"),
+                F.col("_rows").alias("n_rows"),
+                bad.alias("n_bad"),
             )
         )
-    shape = "column_name string, expected_type string, actual_type string, present boolean, type_ok boolean"
-    return df.sparkSession.createDataFrame(rows, shape)
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def select_signature(df: DataFrame, expected: T.StructType) -> DataFrame:

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from millrace.plans import cleaning, features, tables
+from millrace.plans import cleaning, features, monitoring, tables
 from millrace.plans.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "cleaning", "features", "tables"]
+__all__ = ["ORACLE", "QUERIES", "cleaning", "features", "monitoring", "tables"]

@@ -199,6 +199,7 @@ SIGNATURE = T.StructType(
         T.StructField("o_orderkey", T.LongType()),
         T.StructField("o_totalprice", T.DoubleType()),
         T.StructField("o_custkey", T.IntegerType()),
+        T.StructField("o_orderpriority", T.IntegerType()),
         T.StructField("o_discount", T.DoubleType()),
     ]
 )
@@ -206,12 +207,17 @@ SIGNATURE = T.StructType(
 
 @query(
     "schema_check",
-    """SELECT * FROM (VALUES ('o_orderkey', 'bigint', 'bigint', true, true), ('o_totalprice', 'double', 'double', true, true),
-       ('o_custkey', 'int', 'bigint', true, false), ('o_discount', 'double', NULL, false, false))
-       t(column_name, expected_type, actual_type, present, type_ok)""",
+    """WITH n AS (SELECT count(*) AS n_rows, count(*) FILTER (TRY_CAST(o_custkey AS INTEGER) IS NULL) AS bad,
+                 count(*) FILTER (TRY_CAST(o_orderpriority AS INTEGER) IS NULL) AS bad_text FROM orders)
+       SELECT 'o_orderkey' AS column_name, 'bigint' AS expected_type, 'bigint' AS actual_type, true AS present,
+              true AS type_ok, n_rows, 0 AS n_bad FROM n
+       UNION ALL SELECT 'o_totalprice', 'double', 'double', true, true, n_rows, 0 FROM n
+       UNION ALL SELECT 'o_custkey', 'int', 'bigint', true, false, n_rows, bad FROM n
+       UNION ALL SELECT 'o_orderpriority', 'int', 'string', true, false, n_rows, bad_text FROM n
+       UNION ALL SELECT 'o_discount', 'double', NULL, false, false, n_rows, NULL FROM n""",
 )
 def schema_check(spark, sf):
-    """Do the orders offer what a model expects? Two of the four inputs do not fit."""
+    """Do the orders offer what a model expects? Three of the five inputs do not fit."""
     return check_schema(load(spark, sf, "orders"), SIGNATURE)
 
 
