@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from millrace.plans import cleaning, evaluation, features, monitoring, tables
+from millrace.plans import cleaning, corpus, evaluation, features, monitoring, tables
 from millrace.plans.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "cleaning", "evaluation", "features", "monitoring", "tables"]
+__all__ = ["ORACLE", "QUERIES", "cleaning", "corpus", "evaluation", "features", "monitoring", "tables"]
