@@ -16,6 +16,8 @@ from millrace.operators.corpus import build_prompts
 QUERY_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 50_000
 HITS = "query_id long, vec_id long, score double"
+HIT_TYPES = {"query_id": "int64", "vec_id": "int64", "score": "float64"}
+QUERY_SLICE = 512
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -32,22 +34,40 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def _hits(q_ids, q, ids, x, k, exclude_self, mask=None) -> pd.DataFrame:
-    """Best corpus rows of one batch for every query."""
-    found = []
-    scores = np.round(q @ x.T, 9)
-    for i, qid in enumerate(q_ids):
-        allowed = np.ones(len(ids), dtype=bool) if mask is None else mask[i]
-        if exclude_self:
-            allowed = allowed & (ids != qid)
-        at = np.flatnonzero(allowed)
-        if len(at) == 0:
-            continue
-        at = at[_best(scores[i, at], ids[at], k)]
-        found.append(pd.DataFrame({"query_id": qid, "vec_id": ids[at], "score": scores[i, at]}))
-    if not found:
-        return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-    return pd.concat(found, ignore_index=True)
+def _hits(q_ids, q, ids, x, k, exclude_self, same_bucket=None) -> pd.DataFrame:
+    """Best corpus rows of one batch for every query, queries taken a few hundred at a time."""
+    found = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(HIT_TYPES)]
+    for at in range(0, len(q_ids), QUERY_SLICE):
+        part = slice(at, at + QUERY_SLICE)
+        scores = np.round(q[part] @ x.T, 9)
+        mask = same_bucket(part) if same_bucket else None
+        for i, qid in enumerate(q_ids[part]):
+            allowed = np.ones(len(ids), dtype=bool) if mask is None else mask[i]
+            if exclude_self:
+                allowed = allowed & (ids != qid)
+            rows = np.flatnonzero(allowed)
+            if len(rows):
+                rows = rows[_best(scores[i, rows], ids[rows], k)]
+                found.append(pd.DataFrame({"query_id": qid, "vec_id": ids[rows], "score": scores[i, rows]}))
+    return pd.concat(found, ignore_index=True).astype(HIT_TYPES)
+
+
+def _merge_best(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    """The k best of several result sets per query."""
+    every = pd.concat(parts, ignore_index=True)
+    every = every.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True], kind="stable")
+    return every.groupby("query_id", sort=False).head(k)
+
+
+def _scan(batches, one_batch, k) -> Iterator[pd.DataFrame]:
+    """Run a task's batches and hand on its k best per query, once."""
+    best = None
+    for pdf in batches:
+        if len(pdf):
+            hits = one_batch(pdf)
+            best = hits if best is None else _merge_best([best, hits], k)
+    if best is not None:
+        yield best
 
 
 def _top(hits: DataFrame, k: int) -> DataFrame:
@@ -92,9 +112,12 @@ def _knn_broadcast(queries, corpus, k, exclude_self):
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids_q, mat = shared.value
-        for pdf in batches:
-            if len(pdf) and len(ids_q):
-                yield _hits(ids_q, mat, pdf["vec_id"].to_numpy(), _matrix(pdf["vector"]), k, exclude_self)
+        if len(ids_q):
+            yield from _scan(
+                batches,
+                lambda pdf: _hits(ids_q, mat, pdf["vec_id"].to_numpy(), _matrix(pdf["vector"]), k, exclude_self),
+                k,
+            )
 
     return corpus.select("vec_id", "vector").mapInPandas(scan, HITS)
 
@@ -111,17 +134,11 @@ def _knn_blocks(queries, corpus, k, exclude_self, block_rows: int = BLOCK_ROWS):
 
     def meet(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
         if len(qs) == 0 or len(cs) == 0:
-            return _hits([], np.zeros((0, 1)), np.array([], dtype=np.int64), np.zeros((0, 1)), k, exclude_self)
-        parts = []
-        for at in range(0, len(qs), 512):
-            part = qs.iloc[at : at + 512]
-            parts.append(
-                _hits(
-                    part["query_id"].to_numpy(), _matrix(part["vector"]), cs["vec_id"].to_numpy(),
-                    _matrix(cs["vector"]), k, exclude_self,
-                )
-            )
-        return pd.concat(parts, ignore_index=True)
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(HIT_TYPES)
+        return _hits(
+            qs["query_id"].to_numpy(), _matrix(qs["vector"]), cs["vec_id"].to_numpy(), _matrix(cs["vector"]),
+            k, exclude_self,
+        )
 
     return left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(meet, HITS)
 
@@ -156,11 +173,20 @@ def knn_lsh(
         if not len(ids_q):
             return
         sig_q = signatures(mat, p)
-        for pdf in batches:
-            if len(pdf):
-                x = _matrix(pdf["vector"])
-                mask = (sig_q[:, None, :] == signatures(x, p)[None, :, :]).any(axis=2)
-                yield _hits(ids_q, mat, pdf["vec_id"].to_numpy(), x, k, exclude_self, mask)
+
+        def one_batch(pdf: pd.DataFrame) -> pd.DataFrame:
+            x = _matrix(pdf["vector"])
+            sig = signatures(x, p)
+
+            def same_bucket(part: slice) -> np.ndarray:
+                shared_bucket = np.zeros((len(sig_q[part]), len(x)), dtype=bool)
+                for band in range(bands):
+                    shared_bucket |= sig_q[part, band][:, None] == sig[:, band][None, :]
+                return shared_bucket
+
+            return _hits(ids_q, mat, pdf["vec_id"].to_numpy(), x, k, exclude_self, same_bucket)
+
+        yield from _scan(batches, one_batch, k)
 
     return _top(corpus.select("vec_id", "vector").mapInPandas(scan, HITS), k)
 
