@@ -131,7 +131,7 @@ SELECT {lead}column_name, count(*) AS count,
        CASE WHEN column_name <> ':table' THEN count(DISTINCT num) + count(DISTINCT txt) END AS distinct_count,
        CASE WHEN column_name <> ':table' THEN round((count(DISTINCT num) + count(DISTINCT txt)) * 100.0 / count(*), 6)
          END AS percent_distinct,
-       min(num) AS min, max(num) AS max, round(avg(num), 6) AS avg, round(quantile_cont(num, 0.5), 6) AS median,
+       min(num) AS min, max(num) AS max, round(avg(num), 8) AS avg, round(quantile_cont(num, 0.5), 6) AS median,
        min(txt) AS min_text, max(txt) AS max_text
 FROM ({long}) GROUP BY {lead}column_name"""
 
@@ -140,7 +140,7 @@ STATS = ["count", "num_nulls", "distinct_count", "percent_distinct", "min", "max
 
 
 def _stats(df, *lead, extra=()):
-    out = df.withColumns({c: F.round(c, 6) for c in ("percent_distinct", "avg", "median")})
+    out = df.withColumns({c: F.round(c, 6) for c in ("percent_distinct", "median")}).withColumn("avg", F.round("avg", 8))
     return out.select(*lead, "column_name", *STATS, *extra)
 
 
