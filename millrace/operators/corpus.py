@@ -94,23 +94,43 @@ def build_prompts(
     return df.withColumn(name, F.concat(*parts))
 
 
-def trim_history(df: DataFrame, conv: str, turn: str, text: str, budget: int = 500) -> DataFrame:
+def _short(df: DataFrame, turn: str, turns: int) -> bool:
+    """Whether no conversation needs cutting; reads the turn column only."""
+    last = df.agg(F.max(turn).alias("t")).first()["t"]
+    return last is None or last < turns
+
+
+def trim_history(df: DataFrame, conv: str, turn: str, text: str, budget: int = 500, turns: int = TURNS) -> DataFrame:
     """The newest turns of each conversation that together hold at most ``budget`` words."""
-    rows = df.withColumn("tokens", word_count(F.col(text)).cast("long")).withColumn(
-        TILE, F.floor(F.col(turn) / TURNS)
-    )
+    rows = df.withColumn("tokens", word_count(F.col(text)).cast("long"))
+    if _short(df, turn, turns):
+        newest = Window.partitionBy(conv).orderBy(F.desc(turn)).rangeBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn("tokens_from_end", F.sum("tokens").over(newest)).filter(
+            F.col("tokens_from_end") <= budget
+        )
+    rows = rows.withColumn(TILE, F.floor(F.col(turn) / turns))
     totals = running_totals(rows, [conv], [F.desc(turn)], {"tokens_from_end": "tokens"}, tile_descending=True)
     return totals.filter(F.col("tokens_from_end") <= budget).drop(TILE, "tokens_from_end_total")
 
 
 def dialogue_context(
-    df: DataFrame, conv: str, turn: str, text: str, last: int = 3, separator: str = " \n", name: str = "context"
+    df: DataFrame,
+    conv: str,
+    turn: str,
+    text: str,
+    last: int = 3,
+    separator: str = " \n",
+    name: str = "context",
+    turns: int = TURNS,
 ) -> DataFrame:
     """Each turn's text joined with the ``last`` - 1 before it in the conversation.
 
-    Conversations are cut every ``TURNS`` turns; each cut starts with the few turns before it.
+    Conversations longer than ``turns`` are cut there; each cut starts with the few turns before it.
     """
-    rows = df.select(conv, turn, F.col(text).alias("_text")).withColumn(TILE, F.floor(F.col(turn) / TURNS))
+    recent = Window.partitionBy(conv).orderBy(turn).rowsBetween(-(last - 1), 0)
+    if _short(df, turn, turns):
+        return df.select(conv, turn, F.array_join(F.collect_list(text).over(recent), separator).alias(name))
+    rows = df.select(conv, turn, F.col(text).alias("_text")).withColumn(TILE, F.floor(F.col(turn) / turns))
     newest = Window.partitionBy(conv, TILE).orderBy(F.desc(turn))
     tails = (
         rows.withColumn("_n", F.row_number().over(newest))

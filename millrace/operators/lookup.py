@@ -61,9 +61,11 @@ def key_lookup(labels: DataFrame, features: DataFrame, keys: Mapping[str, str],
 def tile_width(*sides: tuple[DataFrame, Sequence[str], str], rows_per_task: int = ROWS_PER_TASK) -> int | None:
     """Time span that keeps one key's rows inside one task, or None if every key already fits.
 
-    ``sides`` are (frame, keys, time column). Counts combine before the shuffle; one row reaches
-    the driver.
+    ``sides`` are (frame, keys, time column). Small inputs are settled by their row counts alone;
+    otherwise rows per key are counted with map-side combine. One row reaches the driver.
     """
+    if sum(df.count() for df, _, _ in sides) <= rows_per_task:
+        return None
     parts = [
         df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], _micros(df, ts).alias("t"))
         for df, keys, ts in sides

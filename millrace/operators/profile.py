@@ -269,13 +269,20 @@ def touched_windows(rows: DataFrame, monitor: Monitor) -> DataFrame:
 def refresh(old: DataFrame, table: DataFrame, new_rows: DataFrame, monitor: Monitor) -> DataFrame:
     """Recompute only the windows that new rows touched; keep the other profile rows as they are.
 
-    ``table`` already holds the new rows. Each granularity reads the rows of its touched windows.
+    ``table`` already holds the new rows. Each granularity reads the rows of its touched windows;
+    the earliest of them is a plain filter on the time column, which reaches the files.
     """
     touched = touched_windows(new_rows, monitor)
+    starts = touched.groupBy("granularity").agg(F.min("window_start").cast("string").alias("lo")).collect()
+    earliest = {r["granularity"]: r["lo"] for r in starts}  # one row per granularity
+    if not earliest:
+        return old
     fresh = None
     for g in monitor.granularities:
         mine = touched.filter(F.col("granularity") == g).select(F.col("window_start").alias("_w"))
-        rows = table.withColumn("_w", window_start(F.col(monitor.timestamp_col), g)).join(mine, "_w", "left_semi")
+        ts = F.col(monitor.timestamp_col)
+        rows = table.filter(ts >= F.lit(earliest[g]).cast(table.schema[monitor.timestamp_col].dataType))
+        rows = rows.withColumn("_w", window_start(ts, g)).join(mine, "_w", "left_semi")
         part = profile(rows.drop("_w"), monitor.update(granularities=(g,)))
         fresh = part if fresh is None else fresh.unionByName(part)
     return old.join(touched, WINDOW, "left_anti").select(*old.columns).unionByName(fresh.select(*old.columns))

@@ -18,6 +18,7 @@ BLOCK_ROWS = 50_000
 HITS = "query_id long, vec_id long, score double"
 HIT_TYPES = {"query_id": "int64", "vec_id": "int64", "score": "float64"}
 QUERY_SLICE = 512
+HIT_BYTES = 64
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -227,7 +228,10 @@ def answer_batch(
     text is the answer. ``partitions`` sets how many tasks hold a model.
     """
     hits = knn(questions.select("query_id", "vector"), corpus, k)
-    with_text = hits.join(texts, "vec_id")
+    # There are k hits per question and no more: few enough hits go to the texts, not the other way.
+    if questions.count() * k * HIT_BYTES <= QUERY_BYTES:
+        hits = F.broadcast(hits)
+    with_text = texts.join(hits, "vec_id")
     found = with_text.groupBy("query_id").agg(  # at most k entries per question
         F.sort_array(F.collect_list(F.struct("rank", "vec_id", "text"))).alias("_found")
     )

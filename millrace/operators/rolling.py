@@ -8,10 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.lookup import ROWS_PER_TASK
 from millrace.operators.running import TILE, running_totals
 
 DAY = 86_400
 TILE_SECONDS = 30 * DAY
+FRAME_ROWS = 1_000
 
 
 @dataclass(frozen=True)
@@ -24,11 +26,12 @@ class Rolling:
 
 
 def frame_load(df: DataFrame, keys: Sequence[str], second: str, seconds: int) -> tuple[float, int]:
-    """Mean and largest number of rows in a frame, estimated on fixed tiles; one row to the driver."""
-    per_tile = df.groupBy(*keys, F.floor(F.col(second) / seconds).alias("_t")).agg(F.count("*").alias("n"))
-    got = per_tile.agg(
-        (F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n")).alias("mean"), F.max("n").alias("largest")
-    ).first()
+    """Mean rows in a frame, estimated on fixed tiles, and rows of the largest key; one row to the driver."""
+    tiles = df.groupBy(*keys, F.floor(F.col(second) / seconds).alias("_t")).agg(F.count("*").alias("n"))
+    per_key = tiles.groupBy(*keys).agg(
+        F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"), F.sum("n").alias("n")
+    )
+    got = per_key.agg((F.sum("squares") / F.sum("n")).alias("mean"), F.max("n").alias("largest")).first()
     return (got["mean"] or 0.0, got["largest"] or 0)
 
 
@@ -48,7 +51,7 @@ def rolling(
     """
     if strategy == "auto":
         mean, largest = frame_load(df, keys, second, max(s.seconds for s in specs))
-        strategy = "frames" if mean <= 1_000 and largest <= 1_000_000 else "totals"
+        strategy = "frames" if mean <= FRAME_ROWS and largest <= ROWS_PER_TASK else "totals"
     if strategy == "frames":
         return _by_frames(df, keys, second, specs, exclude_current)
     if strategy == "totals":
