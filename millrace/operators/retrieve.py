@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, Tokenizer
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -205,7 +205,7 @@ def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
 def embed_text(df: DataFrame, key: str, text: str, dim: int = 256) -> DataFrame:
     """Unit-length tf-idf vectors over hashed words."""
     rows = df.select(key, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    words = Tokenizer(inputCol="_text", outputCol="_words").transform(rows)
+    words = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\s+").transform(rows)
     counts = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dim).transform(words)
     weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counts).transform(counts)
     unit = Normalizer(inputCol="_idf", outputCol="_unit").transform(weighted)

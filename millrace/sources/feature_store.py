@@ -72,7 +72,8 @@ class FeatureStore:
         if missing:
             raise ValueError(f"key columns missing: {missing}")
         rows = df if df is not None else self.spark.createDataFrame([], shape)
-        self._publish(table, rows, 0)
+        dropped = self._newest().filter(F.col("name") == name).first()
+        self._publish(table, rows, dropped["version"] + 1 if dropped else 0)
         return table
 
     def get_table(self, name: str) -> FeatureTable:
@@ -126,15 +127,18 @@ class FeatureStore:
         row = self.spark.createDataFrame([(name, version, spec, folder)], REGISTER)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/_register")
 
-    def _live(self) -> DataFrame:
-        """Newest register row per table, dropped tables left out."""
+    def _newest(self) -> DataFrame:
+        """Newest register row per table; a dropped table has no spec."""
         try:
             rows = self.spark.read.schema(REGISTER).parquet(f"{self.root}/_register")
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             rows = self.spark.createDataFrame([], REGISTER)
-        return latest_per_key(rows, ["name"], ["version"]).filter("spec is not null")
+        return latest_per_key(rows, ["name"], ["version"])
+
+    def _live(self) -> DataFrame:
+        return self._newest().filter("spec is not null")
 
     def _current(self, name: str):
         return self._live().filter(F.col("name") == name).first()

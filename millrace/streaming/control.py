@@ -29,6 +29,6 @@ def wait_for_streams(spark: SparkSession, prefix: str = "", timeout: float = 600
 
 
 def drain_and_stop(query: StreamingQuery) -> None:
-    """Process what is there, then stop."""
+    """Process what is there, then stop; for sources that come to rest, such as folders and tables."""
     query.processAllAvailable()
     query.stop()

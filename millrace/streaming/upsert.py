@@ -36,7 +36,7 @@ class UpsertTable:
     def history(self, spark: SparkSession) -> DataFrame:
         """Every row still kept, with the batch it came in."""
         upto, base = self._base(spark)
-        shape = T.StructType(self.schema.fields).add("batch", "long")
+        shape = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
         try:
             log = spark.read.schema(shape).option("basePath", f"{self.path}/log").parquet(f"{self.path}/log")
         except Exception as e:
