@@ -93,3 +93,16 @@ def surrogate_id(*keys: Column) -> Column:
 def split_tags(text: str | None) -> list[str]:
     """Column names from a comma-separated tag."""
     return [t.strip() for t in (text or "").split(",") if t.strip()]
+
+
+def any_rule(rules: Sequence[Column], hit: float, miss: float, base: float = 0) -> Column:
+    """``base`` plus ``hit`` where at least one rule holds, else plus ``miss``; unknown rules do not hold."""
+    found = F.lit(False)
+    for rule in rules:
+        found = found | F.coalesce(rule, F.lit(False))
+    return F.lit(base) + F.when(found, hit).otherwise(miss)
+
+
+def drawn_label(percent: Column, key: Column, seed: int) -> Column:
+    """True for about ``percent`` of 100 rows, always for the same ones."""
+    return seeded_uniform(key, seed) * 100 < percent

@@ -127,7 +127,7 @@ def point_in_time(
     )
     history = (
         Window.partitionBy(*key_names, "_tile")
-        .orderBy("_t", "_side")
+        .orderBy("_t", "_side", "_found")  # equal times within the table: the larger row, on every run
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     matched = both.select(
@@ -142,7 +142,7 @@ def _carried(left: DataFrame, right: DataFrame, key_names: list[str]) -> DataFra
     Works on one row per key and tile, not on the rows themselves.
     """
     newest = right.groupBy(*key_names, "_tile").agg(
-        F.max_by(F.struct("_t", "_found"), "_t").alias("_best")
+        F.max(F.struct("_t", "_found")).alias("_best")
     )
     wanted = left.select(*key_names, "_tile").distinct().withColumn("_wanted", F.lit(True))
     tiles = newest.unionByName(wanted, allowMissingColumns=True).groupBy(*key_names, "_tile").agg(

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -85,6 +87,18 @@ def as_column(trained: Trained) -> Column:
     return logistic_column(weights, trained.model.intercept)
 
 
+def register_sql(spark: SparkSession, name: str, trained: Trained) -> None:
+    """Make the trained logistic model callable from SQL, features in the order of training."""
+    weights, intercept = trained.model.coefficients.toArray(), float(trained.model.intercept)
+
+    @F.pandas_udf("double")
+    def probability(*columns: pd.Series) -> pd.Series:
+        z = sum((c * w for c, w in zip(columns, weights, strict=True)), start=0.0) + intercept
+        return 1 / (1 + np.exp(-z))
+
+    spark.udf.register(name, probability)
+
+
 def score_table(df: DataFrame, probability: Column, threshold: float = 0.5) -> DataFrame:
     return df.withColumn("probability", probability).withColumn(
         "prediction", (F.col("probability") > threshold).cast("int")

@@ -19,6 +19,8 @@ WINDOW = ["granularity", "window_start"]
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800}
 MONDAY = 4 * 86_400
 
+COLUMNS_PER_PASS = 50
+
 
 @dataclass(frozen=True)
 class Metric:
@@ -112,6 +114,8 @@ def profile(df: DataFrame, monitor: Monitor) -> DataFrame:
     """
     skip = {monitor.timestamp_col}
     columns = list(monitor.columns or [c for c in df.columns if c not in skip])
+    if len(columns) > COLUMNS_PER_PASS:
+        return _profile_in_passes(df, monitor, columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     numeric = [c for c in columns if _is_numeric(types[c])]
     wide = df
@@ -176,6 +180,22 @@ def profile(df: DataFrame, monitor: Monitor) -> DataFrame:
     return add_metrics(out, tagged, monitor, by)
 
 
+def _profile_in_passes(df: DataFrame, monitor: Monitor, columns: list[str]) -> DataFrame:
+    """Wide tables a few dozen columns at a time: each pass reads its own columns and compiles to small code."""
+    out = None
+    for at in range(0, len(columns), COLUMNS_PER_PASS):
+        part = columns[at : at + COLUMNS_PER_PASS]
+        metrics = tuple(
+            replace(m, input_columns=tuple(c for c in m.input_columns if c in part)) for m in monitor.custom_metrics
+        )
+        rows = profile(df, monitor.update(columns=tuple(part), custom_metrics=metrics))
+        if out is None:
+            out = rows
+        else:
+            out = out.unionByName(rows.filter(F.col("column_name") != TABLE), allowMissingColumns=True)
+    return out
+
+
 def add_metrics(profiled: DataFrame, tagged: DataFrame, monitor: Monitor, by: Sequence[str]) -> DataFrame:
     """Custom aggregates by one wide aggregate per 50 expressions, then the derived metrics in order."""
     wanted = [(m, c) for m in monitor.custom_metrics if m.metric_type == "aggregate" for c in m.input_columns]
@@ -183,7 +203,7 @@ def add_metrics(profiled: DataFrame, tagged: DataFrame, monitor: Monitor, by: Se
     for batch in range(0, len(wanted), 50):
         out = _join_metrics(out, tagged, wanted[batch : batch + 50], by)
     for m in monitor.custom_metrics:
-        if m.metric_type == "derived":
+        if m.metric_type == "derived" and m.input_columns:
             value = F.expr(m.metric_definition).cast(m.output_type)
             out = out.withColumn(m.metric_name, F.when(F.col("column_name").isin(*m.input_columns), value))
     return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -83,7 +84,12 @@ def query_bytes(queries: DataFrame) -> int:
 
 
 def knn(
-    queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = False, strategy: str = "auto"
+    queries: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    exclude_self: bool = False,
+    strategy: str = "auto",
+    buckets: Buckets | None = None,
 ) -> DataFrame:
     """The k corpus vectors with the largest dot product for each query, ties by smaller id.
 
@@ -94,9 +100,9 @@ def knn(
     if strategy == "auto":
         strategy = "broadcast" if query_bytes(queries) <= QUERY_BYTES else "blocks"
     if strategy == "broadcast":
-        return _top(_knn_broadcast(queries, corpus, k, exclude_self), k)
+        return _top(_knn_broadcast(queries, corpus, k, exclude_self, buckets), k)
     if strategy == "blocks":
-        return _top(_knn_blocks(queries, corpus, k, exclude_self), k)
+        return _top(_knn_blocks(queries, corpus, k, exclude_self, buckets), k)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -107,23 +113,54 @@ def _collected(queries: DataFrame):
     return rows["query_id"].to_numpy(), _matrix(rows["vector"])
 
 
-def _knn_broadcast(queries, corpus, k, exclude_self):
+@dataclass(frozen=True)
+class Buckets:
+    """Random planes in bands: two vectors share a bucket if they lie on the same sides of a whole band."""
+
+    planes: np.ndarray
+    bands: int
+    bits: int
+
+    def signatures(self, x: np.ndarray) -> np.ndarray:
+        sides = ((x @ self.planes) > 0).reshape(len(x), self.bands, self.bits)
+        return sides @ (1 << np.arange(self.bits))
+
+
+def _kernel(k: int, exclude_self: bool, buckets: Buckets | None):
+    """Best corpus rows of one batch for given queries, as a function of both."""
+
+    def run(q_ids: np.ndarray, q: np.ndarray, pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, x = pdf["vec_id"].to_numpy(), _matrix(pdf["vector"])
+        if buckets is None:
+            return _hits(q_ids, q, ids, x, k, exclude_self)
+        sig_q, sig = buckets.signatures(q), buckets.signatures(x)
+
+        def same_bucket(part: slice) -> np.ndarray:
+            found = np.zeros((len(sig_q[part]), len(x)), dtype=bool)
+            for band in range(buckets.bands):
+                found |= sig_q[part, band][:, None] == sig[:, band][None, :]
+            return found
+
+        return _hits(q_ids, q, ids, x, k, exclude_self, same_bucket)
+
+    return run
+
+
+def _knn_broadcast(queries, corpus, k, exclude_self, buckets=None):
     q_ids, q = _collected(queries)
     shared = queries.sparkSession.sparkContext.broadcast((q_ids, q))
+    run = _kernel(k, exclude_self, buckets)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids_q, mat = shared.value
         if len(ids_q):
-            yield from _scan(
-                batches,
-                lambda pdf: _hits(ids_q, mat, pdf["vec_id"].to_numpy(), _matrix(pdf["vector"]), k, exclude_self),
-                k,
-            )
+            yield from _scan(batches, lambda pdf: run(ids_q, mat, pdf), k)
 
     return corpus.select("vec_id", "vector").mapInPandas(scan, HITS)
 
 
-def _knn_blocks(queries, corpus, k, exclude_self, block_rows: int = BLOCK_ROWS):
+def _knn_blocks(queries, corpus, k, exclude_self, buckets=None, block_rows: int | None = None):
+    block_rows = block_rows or BLOCK_ROWS
     n_q = max(1, -(-queries.count() // block_rows))
     n_c = max(1, -(-corpus.count() // block_rows))
     left = queries.withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(n_q))).withColumn(
@@ -132,14 +169,12 @@ def _knn_blocks(queries, corpus, k, exclude_self, block_rows: int = BLOCK_ROWS):
     right = corpus.withColumn("_cb", F.pmod(F.xxhash64("vec_id"), F.lit(n_c))).withColumn(
         "_qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)).cast("array<bigint>"))
     )
+    run = _kernel(k, exclude_self, buckets)
 
     def meet(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
         if len(qs) == 0 or len(cs) == 0:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(HIT_TYPES)
-        return _hits(
-            qs["query_id"].to_numpy(), _matrix(qs["vector"]), cs["vec_id"].to_numpy(), _matrix(cs["vector"]),
-            k, exclude_self,
-        )
+        return run(qs["query_id"].to_numpy(), _matrix(qs["vector"]), cs)
 
     return left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(meet, HITS)
 
@@ -153,43 +188,15 @@ def knn_lsh(
     bits: int = 6,
     seed: int = 42,
     exclude_self: bool = False,
+    strategy: str = "auto",
 ) -> DataFrame:
-    """Approximate variant: scores only vectors that share a bucket with the query in some band.
+    """Approximate variant: ranks only vectors that share a bucket with the query in some band.
 
-    A bucket is the side of ``bits`` random planes. The corpus is not shuffled and a full bucket
-    costs no more than the exact scan; what is approximate is the choice of buckets, not a cap.
+    Nothing is capped: a full bucket is looked at whole, at no more than the cost of the exact scan.
+    What is approximate is the choice of buckets.
     """
-    if query_bytes(queries) > QUERY_BYTES:
-        raise ValueError("too many query vectors for one pass: split the queries")
     planes = np.random.default_rng(seed).standard_normal((dim, bands * bits))
-    weights = 1 << np.arange(bits)
-    q_ids, q = _collected(queries)
-    shared = queries.sparkSession.sparkContext.broadcast((q_ids, q, planes))
-
-    def signatures(x: np.ndarray, p: np.ndarray) -> np.ndarray:
-        return ((x @ p) > 0).reshape(len(x), bands, bits) @ weights
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_q, mat, p = shared.value
-        if not len(ids_q):
-            return
-        sig_q = signatures(mat, p)
-
-        def one_batch(pdf: pd.DataFrame) -> pd.DataFrame:
-            x = _matrix(pdf["vector"])
-            sig = signatures(x, p)
-
-            def same_bucket(part: slice) -> np.ndarray:
-                shared_bucket = np.zeros((len(sig_q[part]), len(x)), dtype=bool)
-                for band in range(bands):
-                    shared_bucket |= sig_q[part, band][:, None] == sig[:, band][None, :]
-                return shared_bucket
-
-            return _hits(ids_q, mat, pdf["vec_id"].to_numpy(), x, k, exclude_self, same_bucket)
-
-        yield from _scan(batches, one_batch, k)
-
-    return _top(corpus.select("vec_id", "vector").mapInPandas(scan, HITS), k)
+    return knn(queries, corpus, k, exclude_self, strategy, Buckets(planes, bands, bits))
 
 
 def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import capitalise, map_values, parse_ts, rewrite_host
+from millrace.functions.columns import any_rule, capitalise, days_since, map_values, parse_ts, rewrite_host
 from millrace.operators.clean import (
     check_schema,
     drop_incomplete,
@@ -105,7 +105,8 @@ def map_labels(spark, sf):
 
 RULE_SQL = """
 WITH o AS (SELECT o_custkey AS user_id, count(*) AS orders,
-                  sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent
+                  sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent,
+                  max(o_orderdate) AS last_order
            FROM orders GROUP BY ALL),
 a AS (SELECT user_id, count(*) AS actions, arg_min(event_type, (ts, event_id)) AS first_type
       FROM events GROUP BY user_id)
@@ -113,6 +114,7 @@ SELECT c.c_custkey AS user_id, 5 + CASE WHEN
      (orders >= 5 AND first_type = 'click') OR (orders = 3 AND c_nationkey < 5)
   OR (orders = 2 AND c_nationkey >= 5 AND c_acctbal <= 3000) OR (urgent <= 1 AND first_type = 'view')
   OR (urgent >= 10 AND first_type = 'click') OR actions >= 80 OR c_mktsegment = 'BUILDING'
+  OR date_diff('day', CAST(last_order AS DATE), DATE '2001-09-01') >= 400
   OR (c_acctbal >= 7000 AND c_nationkey < 5) OR (c_acctbal <= 1000 AND c_nationkey >= 5)
   THEN 80 ELSE 20 END AS churn_score
 FROM o JOIN a USING (user_id) JOIN customer c ON o.user_id = c.c_custkey"""
@@ -122,7 +124,9 @@ FROM o JOIN a USING (user_id) JOIN customer c ON o.user_id = c.c_custkey"""
 def rule_score(spark, sf):
     """Churn score by rules over order and action counts; joins on differently named keys."""
     orders = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("user_id")).agg(
-        F.count("*").alias("orders"), F.sum((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("urgent")
+        F.count("*").alias("orders"),
+        F.sum((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("urgent"),
+        F.max("o_orderdate").alias("last_order"),
     )
     actions = load(spark, sf, "events").groupBy("user_id").agg(
         F.count("*").alias("actions"), F.min_by("event_type", F.struct("ts", "event_id")).alias("first_type")
@@ -131,18 +135,19 @@ def rule_score(spark, sf):
     rows = orders.join(actions, "user_id").join(customers, F.col("user_id") == F.col("c_custkey"))
     few, nation, balance = F.col("orders"), F.col("c_nationkey"), F.col("c_acctbal")
     first, urgent = F.col("first_type"), F.col("urgent")
-    likely = (
-        ((few >= 5) & (first == "click"))
-        | ((few == 3) & (nation < 5))
-        | ((few == 2) & (nation >= 5) & (balance <= 3000))
-        | ((urgent <= 1) & (first == "view"))
-        | ((urgent >= 10) & (first == "click"))
-        | (F.col("actions") >= 80)
-        | (F.col("c_mktsegment") == "BUILDING")
-        | ((balance >= 7000) & (nation < 5))
-        | ((balance <= 1000) & (nation >= 5))
-    )
-    return rows.select("user_id", (F.lit(5) + F.when(likely, 80).otherwise(20)).alias("churn_score"))
+    rules = [
+        (few >= 5) & (first == "click"),
+        (few == 3) & (nation < 5),
+        (few == 2) & (nation >= 5) & (balance <= 3000),
+        (urgent <= 1) & (first == "view"),
+        (urgent >= 10) & (first == "click"),
+        F.col("actions") >= 80,
+        F.col("c_mktsegment") == "BUILDING",
+        days_since(F.col("last_order"), "2001-09-01") >= 400,
+        (balance >= 7000) & (nation < 5),
+        (balance <= 1000) & (nation >= 5),
+    ]
+    return rows.select("user_id", any_rule(rules, 80, 20, 5).alias("churn_score"))
 
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]

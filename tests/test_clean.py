@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
-from millrace.functions.columns import capitalise, haversine_km, map_values, parse_ts
+from millrace.functions.columns import any_rule, capitalise, drawn_label, haversine_km, map_values, parse_ts
 from millrace.operators.clean import (
     categories,
     check_schema,
@@ -92,3 +92,12 @@ def test_splits_do_not_depend_on_layout(spark):
     assert rows(held) == rows(stratified_split(df.repartition(3), "y", "id", 0.1, 1))
     assert held.count() == 2000
     assert rows(sample_fixed(df, "id", 17, 3)) == rows(sample_fixed(df.repartition(5), "id", 17, 3))
+
+
+def test_rules_and_drawn_labels(spark):
+    df = spark.range(1000).withColumn("n", F.when(F.col("id") % 2 == 0, F.col("id")))
+    score = any_rule([F.col("n") > 500, F.col("id") == 1], 80, 20, 5)
+    got = {r["s"]: r["count"] for r in df.groupBy(score.alias("s")).count().collect()}
+    assert got == {85: 250, 25: 750}
+    share = df.agg(F.avg(drawn_label(F.lit(30), F.col("id"), 1).cast("int"))).first()[0]
+    assert 0.25 < share < 0.35

@@ -56,6 +56,23 @@ def test_shorten_with_hook(spark):
     assert sorted(r["text_short"] for r in out.collect()) == ["short", "sum:xx"]
 
 
+def test_hook_as_iterator_udf(spark):
+    """A model hook loads once per task and sees batches."""
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def model(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        prefix = "model:"
+        for texts in batches:
+            yield prefix + texts.str.slice(0, 2)
+
+    df = spark.createDataFrame([("x" * 20,), ("short",)], "t string")
+    out = corpus.shorten(df, "t", 10, hook=model)
+    assert sorted(r["text_short"] for r in out.collect()) == ["model:xx", "short"]
+
+
 def turns(spark, n=37):
     return spark.createDataFrame([(c, t, f"w{t} " * (t % 4)) for c in (1, 2) for t in range(n)], "conv long, turn long, text string")
 
@@ -127,7 +144,7 @@ def test_knn_blocks_many(spark):
     from millrace.operators.retrieve import _knn_blocks, _top
 
     x, df = vectors(spark)
-    out = _top(_knn_blocks(df.withColumnRenamed("vec_id", "query_id"), df, 4, False, 13), 4)
+    out = _top(_knn_blocks(df.withColumnRenamed("vec_id", "query_id"), df, 4, False, block_rows=13), 4)
     assert rows(out.select("query_id", "vec_id", "rank")) == brute(x, 4, False)
 
 
@@ -137,6 +154,8 @@ def test_lsh_finds_mostly_the_same(spark):
     exact = {tuple(r) for r in knn(queries, df, 1).select("query_id", "vec_id").collect()}
     near = {tuple(r) for r in knn_lsh(queries, df, 1, 16, bands=12, bits=4).select("query_id", "vec_id").collect()}
     assert len(exact & near) >= 190
+    blocks = knn_lsh(queries, df, 1, 16, bands=12, bits=4, strategy="blocks").select("query_id", "vec_id")
+    assert {tuple(r) for r in blocks.collect()} == near
     assert knn(queries.limit(0), df, 3).count() == 0
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import evaluate
 from millrace.operators.anomaly import diagonal_distance, fit_diagonal, fit_gaussian, mahalanobis
-from millrace.operators.model import as_column, score_table, train
+from millrace.operators.model import as_column, register_sql, score_table, train
 from millrace.operators.split import hash_split
 
 
@@ -120,3 +120,7 @@ def test_train(spark, kind):
         again = score_table(df.filter("split = 'test'"), as_column(best))
         left = {r["id"]: round(r["probability"], 9) for r in again.collect()}
         assert left == {r["id"]: round(r["probability"], 9) for r in scored.collect()}
+        register_sql(spark, "churn_model", best)
+        df.createOrReplaceTempView("millrace_model_rows")
+        by_sql = spark.sql("SELECT id, churn_model(x) AS p FROM millrace_model_rows WHERE split = 'test'")
+        assert {r["id"]: round(r["p"], 9) for r in by_sql.collect()} == left

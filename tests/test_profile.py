@@ -119,3 +119,12 @@ def test_drift_of_same_data_is_zero(spark):
     assert apart["ks_distance"] == 1.0
     new = categorical_drift(df.withColumn("c", F.lit("new")), df, ["c"]).first()
     assert new["new_share"] == 1.0 and new["total_variation"] == 1.0
+
+
+def test_wide_tables_in_passes(spark, monkeypatch):
+    monitor = Monitor("t", ("v", "c"), "ts", ("1 day",), ("c",), (LOG, TWICE))
+    want = profile(series(spark), monitor)
+    order = sorted(want.columns)
+    whole = rows(want, *order)
+    monkeypatch.setattr("millrace.operators.profile.COLUMNS_PER_PASS", 1)
+    assert rows(profile(series(spark), monitor).select(want.columns), *order) == whole
