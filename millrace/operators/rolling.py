@@ -69,61 +69,56 @@ def _by_frames(df, keys, second, specs, exclude_current):
     return df.withColumns(columns)
 
 
+EXACT = "decimal(38,10)"
+
+
 def _by_totals(df, keys, second, specs, exclude_current):
     """Every second adds its amount when it enters a frame and takes it back when it leaves.
 
     The rolling value is then one running total per key. Rows of a second are combined first, so a
-    key has at most ``TILE_SECONDS`` seconds in a tile however many rows it holds. Amounts are
-    exact decimals: what is added cancels without residue.
+    key has at most ``TILE_SECONDS`` seconds in a tile however many rows it holds. Fractional
+    amounts are exact decimals: what is added cancels without residue.
     """
-    keys = list(keys)
-    amounts, per_second = {}, []
+    keys, types = list(keys), dict(df.dtypes)
+    # Per output: the amount, and how many of its values are known (a frame of nulls sums to null).
+    amounts, kinds, spans = {}, {}, {}
     for i, s in enumerate(specs):
-        if s.column is None:
-            per_second.append(F.count("*").cast("decimal(38,10)").alias(f"_v{i}"))
-        else:
-            per_second.append(F.sum(s.column).cast("decimal(38,10)").alias(f"_v{i}"))
-        present = F.count("*") if s.column is None else F.count(s.column)
-        per_second.append(present.cast("decimal(38,10)").alias(f"_c{i}"))
-        amounts[f"_v{i}"] = f"_v{i}"
-        amounts[f"_c{i}"] = f"_c{i}"
-    seconds = df.groupBy(*keys, F.col(second).alias("_t")).agg(*per_second)
-    shift = 1 if exclude_current else 0
+        fractional = s.column is not None and types[s.column] in ("double", "float")
+        kinds[f"v{i}"] = EXACT if fractional else "bigint"
+        amounts[f"v{i}"] = F.count("*") if s.column is None else F.sum(s.column)
+        spans[f"v{i}"] = s.seconds
+        if s.column is not None:
+            kinds[f"c{i}"], spans[f"c{i}"] = "bigint", s.seconds
+            amounts[f"c{i}"] = F.count(s.column)
     names = list(amounts)
-    zero = F.lit(0).cast("decimal(38,10)")
-    moves = [
-        F.struct(
-            (F.col("_t") + shift).alias("t"),
-            F.lit(False).alias("probe"),
-            *[F.coalesce(F.col(n), zero).alias(n) for n in names],
-        ),
-    ]
-    for i, s in enumerate(specs):
-        moves.append(
-            F.struct(
-                (F.col("_t") + s.seconds + 1).alias("t"),
-                F.lit(False).alias("probe"),
-                *[(-F.coalesce(F.col(n), zero) if n[2:] == str(i) else zero).alias(n) for n in names],
-            )
-        )
-    moves.append(F.struct(F.col("_t").alias("t"), F.lit(True).alias("probe"), *[zero.alias(n) for n in names]))
-    steps = (
-        seconds.select(*keys, F.explode(F.array(*moves)).alias("m"))
-        .select(*keys, "m.*")
-        .withColumn(TILE, F.floor(F.col("t") / TILE_SECONDS))
+    seconds = df.groupBy(*keys, F.col(second).alias("_t")).agg(
+        *[F.coalesce(amounts[n].cast(kinds[n]), F.lit(0).cast(kinds[n])).alias(n) for n in names]
     )
-    totals = running_totals(steps, keys, ["t"], {f"_r{n}": n for n in names}).filter("probe")
+
+    def move(at, probe, sign):
+        cells = [(F.col(n) if sign(n) > 0 else -F.col(n) if sign(n) else F.lit(0)).cast(kinds[n]).alias(n) for n in names]
+        return F.struct(at.cast("long").alias("t"), F.lit(probe).alias("probe"), *cells)
+
+    t = F.col("_t")
+    if exclude_current:
+        moves = [move(t + 1, False, lambda n: 1), move(t, True, lambda n: 0)]
+    else:
+        moves = [move(t, True, lambda n: 1)]
+    for span in sorted(set(spans.values())):
+        moves.append(move(t + span + 1, False, lambda n, span=span: -1 if spans[n] == span else 0))
+    steps = seconds.select(*keys, F.inline(F.array(*moves))).withColumn(TILE, F.floor(F.col("t") / TILE_SECONDS))
+    totals = running_totals(steps, keys, ["t"], {f"r_{n}": n for n in names}).filter("probe")
     frames = totals.select(
-        *[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)], "t", *[f"_r{n}" for n in names]
+        *[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)], "t", *[f"r_{n}" for n in names]
     )
     same = [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)]
     out = {}
-    types = dict(df.dtypes)
     for i, s in enumerate(specs):
         if s.column is None:
-            out[s.name] = F.col(f"_r_v{i}").cast("long")
+            out[s.name] = F.col(f"r_v{i}")
         else:
-            kind = "double" if types[s.column] in ("double", "float") else "long"
-            out[s.name] = F.when(F.col(f"_r_c{i}") > 0, F.col(f"_r_v{i}").cast(kind))
+            total = F.col(f"r_v{i}")
+            value = total.cast("double") if kinds[f"v{i}"] == EXACT else total
+            out[s.name] = F.when(F.col(f"r_c{i}") > 0, value)
     joined = df.join(frames, [*same, F.col(second) == F.col("t")], "left")
     return joined.withColumns(out).select(*df.columns, *out)
