@@ -305,7 +305,8 @@ def refresh(old: DataFrame, table: DataFrame, new_rows: DataFrame, monitor: Moni
         rows = rows.withColumn("_w", window_start(ts, g)).join(mine, "_w", "left_semi")
         part = profile(rows.drop("_w"), monitor.update(granularities=(g,)))
         fresh = part if fresh is None else fresh.unionByName(part)
-    return old.join(touched, WINDOW, "left_anti").select(*old.columns).unionByName(fresh.select(*old.columns))
+    kept = old.join(touched, WINDOW, "left_anti").select(*old.columns)
+    return kept.unionByName(fresh, allowMissingColumns=True)
 
 
 def run(monitor: Monitor, tables: Mapping[str, DataFrame], refresh_ts: str | None = None) -> DataFrame | None:

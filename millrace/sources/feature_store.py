@@ -1,13 +1,12 @@
-"""Named feature tables: Parquet versions plus a small append-only register of specs.
+"""Named feature tables: Parquet versions plus a small register of specs.
 
-A write lands in a new folder and becomes visible by one appended register row, so readers never
-see half a table and a failed job leaves the old version in place.
+A write lands in a new folder and becomes visible by one register row, so a failed job leaves the
+old version in place.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -16,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.changes import latest_per_key, merge_upsert, pk_violations
-
-REGISTER = "name string, version long, spec string, folder string"
+from millrace.sources.register import Register
 
 
 @dataclass(frozen=True)
@@ -47,7 +45,7 @@ class FeatureStore:
     """Feature tables below one folder that all executors can reach."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.register = spark, Register(spark, root)
 
     def create_table(
         self,
@@ -62,7 +60,7 @@ class FeatureStore:
         """Register a table from rows or from a schema alone; rows are written at once."""
         if df is None and schema is None:
             raise ValueError("give df or schema")
-        if self._current(name) is not None:
+        if self.register.find(name) is not None:
             raise ValueError(f"feature table {name!r} exists")
         shape = schema or df.schema
         table = FeatureTable(
@@ -72,24 +70,23 @@ class FeatureStore:
         if missing:
             raise ValueError(f"key columns missing: {missing}")
         rows = df if df is not None else self.spark.createDataFrame([], shape)
-        dropped = self._newest().filter(F.col("name") == name).first()
-        self._publish(table, rows, dropped["version"] + 1 if dropped else 0)
+        self._publish(table, rows)
         return table
 
     def get_table(self, name: str) -> FeatureTable:
-        row = self._require(name)
+        row = self.register.require(name)
         spec = json.loads(row["spec"])
         spec["primary_keys"], spec["timestamp_keys"] = tuple(spec["primary_keys"]), tuple(spec["timestamp_keys"])
         return FeatureTable(**spec)
 
     def read_table(self, name: str) -> DataFrame:
-        row = self._require(name)
+        row = self.register.require(name)
         shape = T.StructType.fromJson(json.loads(json.loads(row["spec"])["schema"]))
         return self.spark.read.schema(shape).parquet(row["folder"])
 
     def write_table(self, name: str, df: DataFrame, mode: str = "merge") -> None:
         """``overwrite`` replaces all rows, ``merge`` replaces rows of equal keys and adds the rest."""
-        row, table = self._require(name), self.get_table(name)
+        table = self.get_table(name)
         shape = T.StructType.fromJson(json.loads(table.schema))
         absent = [f for f in shape.fieldNames() if f not in df.columns]
         if absent:
@@ -99,15 +96,13 @@ class FeatureStore:
             rows = merge_upsert(self.read_table(name), rows, table.row_keys)
         elif mode != "overwrite":
             raise ValueError(f"unknown mode {mode!r}")
-        self._publish(table, rows, row["version"] + 1)
+        self._publish(table, rows)
 
     def violations(self, name: str) -> DataFrame:
         return pk_violations(self.read_table(name), self.get_table(name).row_keys)
 
     def drop_table(self, name: str) -> None:
-        """Take the table out of the register; its folders stay for readers still at work."""
-        row = self._require(name)
-        self._register(name, row["version"] + 1, None, None)
+        self.register.drop(name)
 
     def publish_table(self, name: str, path: str) -> DataFrame:
         """Write the serving snapshot, the newest row of every key, and return it."""
@@ -116,38 +111,12 @@ class FeatureStore:
         return self.spark.read.schema(snapshot.schema).parquet(path)
 
     def list_tables(self) -> list[str]:
-        return sorted(r["name"] for r in self._live().select("name").collect())
+        return self.register.names()
 
-    def _publish(self, table: FeatureTable, rows: DataFrame, version: int) -> None:
-        folder = f"{self.root}/{table.name}/v{version:06d}-{uuid.uuid4().hex[:8]}"
+    def _publish(self, table: FeatureTable, rows: DataFrame) -> None:
+        folder = self.register.new_folder(table.name)
         rows.write.parquet(folder)
-        self._register(table.name, version, json.dumps(asdict(table)), folder)
-
-    def _register(self, name: str, version: int, spec: str | None, folder: str | None) -> None:
-        row = self.spark.createDataFrame([(name, version, spec, folder)], REGISTER)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_register")
-
-    def _newest(self) -> DataFrame:
-        """Newest register row per table; a dropped table has no spec."""
-        try:
-            rows = self.spark.read.schema(REGISTER).parquet(f"{self.root}/_register")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            rows = self.spark.createDataFrame([], REGISTER)
-        return latest_per_key(rows, ["name"], ["version"])
-
-    def _live(self) -> DataFrame:
-        return self._newest().filter("spec is not null")
-
-    def _current(self, name: str):
-        return self._live().filter(F.col("name") == name).first()
-
-    def _require(self, name: str):
-        row = self._current(name)
-        if row is None:
-            raise KeyError(f"no feature table {name!r}")
-        return row
+        self.register.put(table.name, json.dumps(asdict(table)), folder)
 
 
 def serving_snapshot(df: DataFrame, table: FeatureTable) -> DataFrame:
