@@ -78,7 +78,7 @@ def against_baseline(profiled: DataFrame, baseline: DataFrame, metrics: Sequence
 def numeric_drift(current: DataFrame, base: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """Mean shift, Kolmogorov-Smirnov distance and stability index over baseline quantile bins.
 
-    A value belongs to the bin given by the share of baseline rows below it, so ties never part.
+    All three are null where one side has no values. A value belongs to the bin given by the share of baseline rows below it, so ties never part.
     """
     both = current.select(*columns, F.lit(1).alias("_cur")).unionByName(base.select(*columns, F.lit(0).alias("_cur")))
     cuts = split_points(both, columns)
@@ -98,8 +98,8 @@ def numeric_drift(current: DataFrame, base: DataFrame, columns: Sequence[str], b
         .agg(F.sum("_cur").alias("_a"), F.sum(1 - F.col("_cur")).alias("_b"))
     )
     ranked = running_totals(counts, ["column_name"], ["num"], {"_ra": "_a", "_rb": "_b"})
-    gap = F.abs(F.col("_ra") / F.col("_ra_total") - F.col("_rb") / F.col("_rb_total"))
-    below = (F.col("_rb") - F.col("_b")) / F.col("_rb_total")
+    gap = F.abs(F.try_divide("_ra", "_ra_total") - F.try_divide("_rb", "_rb_total"))
+    below = F.coalesce(F.try_divide(F.col("_rb") - F.col("_b"), F.col("_rb_total")), F.lit(0.0))
     bin_of = F.least(F.floor(below * bins), F.lit(bins - 1))
     per_bin = ranked.withColumn("_bin", bin_of).groupBy("column_name", "_bin").agg(
         F.max(gap).alias("_ks"),
@@ -110,12 +110,13 @@ def numeric_drift(current: DataFrame, base: DataFrame, columns: Sequence[str], b
         F.max("_ra_total").alias("_na"),
         F.max("_rb_total").alias("_nb"),
     )
-    p = F.greatest(F.col("_a") / F.col("_na"), F.lit(TINY))
-    q = F.greatest(F.col("_b") / F.col("_nb"), F.lit(TINY))
+    p = F.greatest(F.try_divide("_a", "_na"), F.lit(TINY))
+    q = F.greatest(F.try_divide("_b", "_nb"), F.lit(TINY))
+    both_known = (F.col("_na") > 0) & (F.col("_nb") > 0)
     return per_bin.groupBy("column_name").agg(
-        (F.sum("_sa") / F.sum("_a") - F.sum("_sb") / F.sum("_b")).alias("mean_shift"),
+        (F.try_divide(F.sum("_sa"), F.sum("_a")) - F.try_divide(F.sum("_sb"), F.sum("_b"))).alias("mean_shift"),
         F.max("_ks").alias("ks_distance"),
-        F.sum((p - q) * F.log(p / q)).alias("psi"),
+        F.sum(F.when(both_known, (p - q) * F.log(p / q))).alias("psi"),
     )
 
 
@@ -135,7 +136,7 @@ def categorical_drift(current: DataFrame, base: DataFrame, columns: Sequence[str
     )
     totals = counts.groupBy("column_name").agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
     rows = counts.join(F.broadcast(totals), "column_name").withColumns(  # one row per column
-        {"_p": F.col("_a") / F.col("_na"), "_q": F.col("_b") / F.col("_nb")}
+        {"_p": F.try_divide("_a", "_na"), "_q": F.try_divide("_b", "_nb")}
     )
     p, q = F.col("_p"), F.col("_q")
     mid = (p + q) / 2

@@ -13,7 +13,7 @@ from millrace.operators.running import TILE, running_totals
 
 DAY = 86_400
 TILE_SECONDS = 30 * DAY
-FRAME_ROWS = 1_000
+FRAME_ROWS = 500
 
 
 @dataclass(frozen=True)

@@ -100,9 +100,9 @@ def event_stats(spark, sf):
     "churn_gold",
     f"""WITH {ORDER_STATS}, {EVENT_STATS}
     SELECT user_id, c_mktsegment, order_count, total_amount, total_item, platform, event_count, session_count,
-           date_diff('day', DATE '2024-01-01' + CAST(user_id % 28 AS INTEGER), DATE '2024-03-01') AS days_since_creation,
-           date_diff('day', CAST(last_transaction AS DATE), DATE '2024-03-01') AS days_since_last_activity,
-           date_diff('day', CAST(last_event AS DATE), DATE '2024-03-01') AS days_last_event
+           CAST(date_diff('day', DATE '2024-01-01' + CAST(user_id % 28 AS INTEGER), DATE '2024-03-01') AS INTEGER) AS days_since_creation,
+           CAST(date_diff('day', CAST(last_transaction AS DATE), DATE '2024-03-01') AS INTEGER) AS days_since_last_activity,
+           CAST(date_diff('day', CAST(last_event AS DATE), DATE '2024-03-01') AS INTEGER) AS days_last_event
     FROM customer JOIN order_stats ON c_custkey = user_id JOIN event_stats USING (user_id)""",
 )
 def churn_gold(spark, sf):
@@ -131,7 +131,7 @@ SELECT {lead}column_name, count(*) AS count,
        CASE WHEN column_name <> ':table' THEN count(DISTINCT num) + count(DISTINCT txt) END AS distinct_count,
        CASE WHEN column_name <> ':table' THEN round((count(DISTINCT num) + count(DISTINCT txt)) * 100.0 / count(*), 6)
          END AS percent_distinct,
-       min(num) AS min, max(num) AS max, round(avg(num), 8) AS avg, round(quantile_cont(num, 0.5), 6) AS median,
+       min(num) AS min, max(num) AS max, round(avg(num) + 1e-10, 8) AS avg, round(quantile_cont(num, 0.5), 6) AS median,
        min(txt) AS min_text, max(txt) AS max_text
 FROM ({long}) GROUP BY {lead}column_name"""
 
@@ -140,7 +140,9 @@ STATS = ["count", "num_nulls", "distinct_count", "percent_distinct", "min", "max
 
 
 def _stats(df, *lead, extra=()):
-    out = df.withColumns({c: F.round(c, 6) for c in ("percent_distinct", "median")}).withColumn("avg", F.round("avg", 8))
+    out = df.withColumns({c: F.round(c, 6) for c in ("percent_distinct", "median")}).withColumn(
+        "avg", F.round(F.col("avg") + 1e-10, 8)  # an exact half must round alike in both engines
+    )
     return out.select(*lead, "column_name", *STATS, *extra)
 
 

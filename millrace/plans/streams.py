@@ -42,7 +42,7 @@ def stream_files(spark, sf):
 @query(
     "stream_bronze",
     """SELECT user_id, count(*) AS n, round(sum(value), 3) AS total, count(*) FILTER (event_type = 'click') AS clicks,
-              0 AS rescued FROM events GROUP BY user_id""",
+              CAST(0 AS BIGINT) AS rescued FROM events GROUP BY user_id""",
 )
 def stream_bronze(spark, sf):
     """Events as CSV files into a bronze table, read as one batch."""

@@ -8,14 +8,16 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.changes import latest_per_key, merge_upsert, pk_violations
 from millrace.sources.register import Register
+from millrace.streaming.upsert import UpsertTable, upsert_stream
 
 
 @dataclass(frozen=True)
@@ -28,12 +30,17 @@ class FeatureTable:
     description: str = ""
     tags: Mapping[str, str] = field(default_factory=dict)
     schema: str = ""
+    stream: str = ""
 
     @property
     def row_keys(self) -> list[str]:
         """Columns that together name one row: the keys plus the time, if any."""
         return [*self.primary_keys, *self.timestamp_keys]
 
+    @property
+    def shape(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
+
 
 def _names(value: Sequence[str] | str | None) -> tuple[str, ...]:
     if value is None:
@@ -80,24 +87,39 @@ class FeatureStore:
         return FeatureTable(**spec)
 
     def read_table(self, name: str) -> DataFrame:
-        row = self.register.require(name)
-        shape = T.StructType.fromJson(json.loads(json.loads(row["spec"])["schema"]))
-        return self.spark.read.schema(shape).parquet(row["folder"])
+        """All rows; where a stream feeds the table, its newest version of each row."""
+        row, table = self.register.require(name), self.get_table(name)
+        base = self.spark.read.schema(table.shape).parquet(row["folder"])
+        if not table.stream:
+            return base
+        fed = self._stream_target(table).history(self.spark)
+        every = fed.unionByName(base.withColumn("batch", F.lit(-1).cast("long")))
+        return latest_per_key(every, table.row_keys, ["batch"]).drop("batch")
 
     def write_table(self, name: str, df: DataFrame, mode: str = "merge") -> None:
         """``overwrite`` replaces all rows, ``merge`` replaces rows of equal keys and adds the rest."""
         table = self.get_table(name)
-        shape = T.StructType.fromJson(json.loads(table.schema))
-        absent = [f for f in shape.fieldNames() if f not in df.columns]
-        if absent:
-            raise ValueError(f"columns missing for {name!r}: {absent}")
-        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in shape.fields])
+        if table.stream:
+            raise ValueError(f"{name!r} is fed by a stream")
+        rows = self._fit(table, df)
         if mode == "merge":
             rows = merge_upsert(self.read_table(name), rows, table.row_keys)
         elif mode != "overwrite":
             raise ValueError(f"unknown mode {mode!r}")
         self._publish(table, rows)
 
+    def write_stream(self, name: str, df: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+        """Merge a stream into the table; a batch writes its own rows only. Lookups see all times kept."""
+        row, table = self.register.require(name), self.get_table(name)
+        if not table.stream:
+            table = replace(table, stream=self.register.new_folder(name))
+            self.register.put(name, json.dumps(asdict(table)), row["folder"])
+        return upsert_stream(self._fit(table, df), self._stream_target(table), checkpoint, f"feed_{name}", trigger)
+
+    def compact(self, name: str) -> None:
+        """Fold what a stream has written so far."""
+        self._stream_target(self.get_table(name)).compact(self.spark)
+
     def violations(self, name: str) -> DataFrame:
         return pk_violations(self.read_table(name), self.get_table(name).row_keys)
 
@@ -113,6 +135,16 @@ class FeatureStore:
     def list_tables(self) -> list[str]:
         return self.register.names()
 
+    def _stream_target(self, table: FeatureTable) -> UpsertTable:
+        return UpsertTable(table.stream, table.shape, tuple(table.row_keys), ())
+
+    def _fit(self, table: FeatureTable, df: DataFrame) -> DataFrame:
+        """The table's columns in its order and types; missing ones are an error."""
+        absent = [f for f in table.shape.fieldNames() if f not in df.columns]
+        if absent:
+            raise ValueError(f"columns missing for {table.name!r}: {absent}")
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in table.shape.fields])
+
     def _publish(self, table: FeatureTable, rows: DataFrame) -> None:
         folder = self.register.new_folder(table.name)
         rows.write.parquet(folder)

@@ -14,14 +14,28 @@ from millrace.functions.columns import parse_ts
 RESCUED = "_rescued_data"
 
 
+def hinted_schema(spark: SparkSession, folder: str, fmt: str, hints: str, sample: float = 1.0) -> T.StructType:
+    """Columns as found in the files that are there, with the hinted types where given.
+
+    Run again before a restart, it lets new columns in: the bronze table is read with merged schemas.
+    """
+    reader = spark.read.format(fmt).option("samplingRatio", sample)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("inferSchema", True)
+    wanted = {f.name: f for f in T.StructType.fromDDL(hints).fields}
+    found = [f for f in reader.load(folder).schema.fields if f.name != "_corrupt_record"]
+    fields = [wanted.pop(f.name, f) for f in found]
+    return T.StructType([*fields, *wanted.values()])
+
+
 def read_folder(
-    spark: SparkSession, folder: str, fmt: str, schema: str, max_files: int | None = None
+    spark: SparkSession, folder: str, fmt: str, schema: str | T.StructType, max_files: int | None = None
 ) -> DataFrame:
     """A folder of files as a stream; lines that do not fit the schema land in ``_rescued_data``.
 
     ``max_files`` caps the files of one micro-batch. Columns not in the schema are ignored.
     """
-    shape = T.StructType.fromDDL(schema)
+    shape = T.StructType.fromDDL(schema) if isinstance(schema, str) else T.StructType(list(schema.fields))
     reader = spark.readStream.format(fmt)
     if fmt in ("json", "csv"):
         shape = shape.add(RESCUED, "string")
@@ -47,7 +61,7 @@ def ingest_folder(
     spark: SparkSession,
     folder: str,
     fmt: str,
-    schema: str,
+    schema: str | T.StructType,
     table: str,
     checkpoint: str,
     max_files: int | None = None,

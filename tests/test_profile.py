@@ -128,3 +128,11 @@ def test_wide_tables_in_passes(spark, monkeypatch):
     whole = rows(want, *order)
     monkeypatch.setattr("millrace.operators.profile.COLUMNS_PER_PASS", 1)
     assert rows(profile(series(spark), monitor).select(want.columns), *order) == whole
+
+
+def test_drift_without_baseline_rows(spark):
+    df = series(spark)
+    n = numeric_drift(df, df.limit(0), ["v"]).first()
+    assert (n["mean_shift"], n["ks_distance"], n["psi"]) == (None, None, None)
+    assert categorical_drift(df, df.limit(0), ["c"]).first()["total_variation"] is None
+    assert numeric_drift(df.limit(0), df.limit(0), ["v"]).count() == 0

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.operators.changes import latest_per_key
+from millrace.sources.feature_store import FeatureStore
 from millrace.streaming.control import active_streams, drain_and_stop, stop_streams, wait_for_streams
-from millrace.streaming.ingest import append_stream, ingest_folder, read_folder, silver_orders
+from millrace.streaming.ingest import append_stream, hinted_schema, ingest_folder, read_folder, silver_orders
 from millrace.streaming.profile import rows_too_late, windowed_profile
 from millrace.streaming.upsert import UpsertTable, feature_table_from_stream, upsert_stream
 
@@ -65,6 +66,38 @@ def test_upsert_equals_batch_after_restart_replay_and_compaction(spark, scratch,
     assert rows(UpsertTable(served, schema, ("k",), ("t",)).read(spark)) == [(2, 9, "B")]
 
 
+def test_new_columns_come_in_on_restart(spark, scratch, tmp_path):
+    landing, table, checkpoint = tmp_path / "in", scratch("bronze"), scratch("cp")
+    put(landing, "a.json", [{"k": 1, "day": "2024-01-01"}])
+    for step in (1, 2):
+        schema = hinted_schema(spark, str(landing), "json", "day date, k int")
+        finish(ingest_folder(spark, str(landing), "json", schema, table, checkpoint))
+        if step == 1:
+            put(landing, "b.json", [{"k": 2, "day": "2024-01-02", "extra": 5.5}])
+    out = spark.read.option("mergeSchema", True).parquet(table)
+    got = [(r["k"], str(r["day"]), r["extra"]) for r in out.orderBy("k").collect()]
+    assert got == [(1, "2024-01-01", None), (2, "2024-01-02", 5.5)]
+    assert dict(out.dtypes)["k"] == "int"
+
+
+def test_feature_table_fed_by_stream(spark, scratch, tmp_path):
+    store, landing, checkpoint = FeatureStore(spark, scratch("store")), tmp_path / "in", scratch("cp")
+    store.create_table("f", "k", "t", df=spark.createDataFrame([(1, 1, "base"), (9, 1, "base")], SCHEMA))
+    put(landing, "a.json", [{"k": 1, "t": 1, "v": "first"}, {"k": 1, "t": 2, "v": "x"}])
+    for name, record in (("b.json", {"k": 1, "t": 1, "v": "second"}), (None, None)):
+        df = read_folder(spark, str(landing), "json", SCHEMA).drop("_rescued_data")
+        finish(store.write_stream("f", df, checkpoint))
+        if name:
+            put(landing, name, [record])
+    want = [(1, 1, "second"), (1, 2, "x"), (9, 1, "base")]
+    assert rows(store.read_table("f")) == want
+    store.compact("f")
+    assert rows(store.read_table("f")) == want
+    assert rows(store.publish_table("f", scratch("snap"))) == [(1, 2, "x"), (9, 1, "base")]
+    with pytest.raises(ValueError, match="stream"):
+        store.write_table("f", spark.createDataFrame([], SCHEMA))
+
+
 def test_late_rows_are_dropped_and_counted(spark, scratch, tmp_path):
     landing = tmp_path / "in"
     t0 = datetime(2024, 1, 1)
