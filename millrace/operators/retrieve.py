@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +16,9 @@ from pyspark.sql import functions as F
 
 from millrace.operators.corpus import build_prompts
 
+# Executors get the functions below with the task, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUERY_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 50_000
 HITS = "query_id long, vec_id long, score double"
