@@ -175,7 +175,12 @@ def dedupe_recent_sources(df: DataFrame, conv: str, turn: str, retrieved: str, l
     conversations need one pass only.
     """
     pieces = (
-        df.select(conv, F.floor(F.col(turn) / turns).alias("_piece"), F.col(turn).cast("long").alias(turn), F.col(retrieved).cast("array<string>").alias("retrieved"))
+        df.select(
+            conv,
+            F.floor(F.col(turn) / turns).alias("_piece"),
+            F.col(turn).cast("long").alias(turn),
+            F.col(retrieved).cast("array<string>").alias("retrieved"),
+        )
         .groupBy(conv, "_piece")
         .agg(F.sort_array(F.collect_list(F.struct(turn, "retrieved"))).alias("_turns"))
     )

@@ -78,7 +78,8 @@ def against_baseline(profiled: DataFrame, baseline: DataFrame, metrics: Sequence
 def numeric_drift(current: DataFrame, base: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """Mean shift, Kolmogorov-Smirnov distance and stability index over baseline quantile bins.
 
-    All three are null where one side has no values. A value belongs to the bin given by the share of baseline rows below it, so ties never part.
+    All three are null where one side has no values. A value belongs to the bin given by the share
+    of baseline rows below it, so ties never part.
     """
     both = current.select(*columns, F.lit(1).alias("_cur")).unionByName(base.select(*columns, F.lit(0).alias("_cur")))
     cuts = split_points(both, columns)

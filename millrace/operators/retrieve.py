@@ -43,7 +43,7 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def _hits(q_ids, q, ids, x, k, exclude_self, same_bucket=None) -> pd.DataFrame:
     """Best corpus rows of one batch for every query, queries taken a few hundred at a time."""
-    found = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(HIT_TYPES)]
+    owners, found, values = [np.array([], dtype=np.int64)], [np.array([], dtype=np.int64)], [np.array([])]
     for at in range(0, len(q_ids), QUERY_SLICE):
         part = slice(at, at + QUERY_SLICE)
         scores = np.round(q[part] @ x.T, 9)
@@ -55,8 +55,11 @@ def _hits(q_ids, q, ids, x, k, exclude_self, same_bucket=None) -> pd.DataFrame:
             rows = np.flatnonzero(allowed)
             if len(rows):
                 rows = rows[_best(scores[i, rows], ids[rows], k)]
-                found.append(pd.DataFrame({"query_id": qid, "vec_id": ids[rows], "score": scores[i, rows]}))
-    return pd.concat(found, ignore_index=True).astype(HIT_TYPES)
+                owners.append(np.full(len(rows), qid))
+                found.append(ids[rows])
+                values.append(scores[i, rows])
+    parts = {"query_id": owners, "vec_id": found, "score": values}
+    return pd.DataFrame({name: np.concatenate(v) for name, v in parts.items()}).astype(HIT_TYPES)
 
 
 def _merge_best(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:

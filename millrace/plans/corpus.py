@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import html_to_text
 from millrace.operators import corpus
 from millrace.operators.retrieve import answer_batch, centroids, embed_text, knn, knn_lsh
-from millrace.plans.bindings import load, rounded
+from millrace.plans.bindings import load
 from millrace.plans.registry import query
 
 

@@ -3,7 +3,6 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.operators.changes import latest_per_key
