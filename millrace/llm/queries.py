@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import source
 from millrace.llm.quality_rules import quality_report
+from millrace.llm.simhash import near_duplicates
 from millrace.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query("op9_simhash_near_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(source(spark, sf_dir, "documents"))
+
+
 @query("op10_quality_rules")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality_report(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
