@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import source
 from millrace.llm.quality_rules import quality_report
 from millrace.llm.simhash import near_duplicates
+from millrace.llm.suffix_dedup import suffix_report
 from millrace.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query("op6_suffix_array_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_report(source(spark, sf_dir, "documents"))
+
+
 @query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(source(spark, sf_dir, "documents"))
