@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import source
+from millrace.llm import mixing
+from millrace.llm.common import n_words, source, whole
 from millrace.llm.quality_rules import quality_report
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.suffix_dedup import suffix_report
@@ -29,6 +30,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query("op1_mix_sources", mixing.SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = source(spark, sf_dir, "documents").select("doc_id", "source", n_words(whole("text")).alias("size"))
+    rows = mixing.copies(docs, size=F.col("size"))
+    return rows.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 @query("op6_suffix_array_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_report(source(spark, sf_dir, "documents"))
