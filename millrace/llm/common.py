@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, at - at[0]
 
 
+def kept_in_process(key: tuple, make: Callable):
+    """What ``make`` gives, kept for later tasks of the same worker process. Only for things of bounded size."""
+    kept = sys.modules.setdefault("_millrace_kept", ModuleType("_millrace_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """starts[0], starts[0]+1, ... (counts[0] numbers), then the same of the next entry."""
     counts = np.asarray(counts, np.int64)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import mixing
+from millrace.llm.bpe import encode_digest
 from millrace.llm.common import n_words, source, whole
 from millrace.llm.quality_rules import quality_report
 from millrace.llm.simhash import near_duplicates
@@ -37,6 +38,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encode_digest(source(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query("op6_suffix_array_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_report(source(spark, sf_dir, "documents"))
