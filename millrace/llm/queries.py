@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing
+from millrace.llm import mixing, topk
 from millrace.llm.bpe import encode_digest
 from millrace.llm.common import n_words, source, whole
 from millrace.llm.quality_rules import quality_report
@@ -51,6 +51,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_report(source(spark, sf_dir, "documents"))
 
 
+@query("op7_exact_topk", topk.SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = source(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    return topk.exact_topk(vectors, F.col("id") % 50 == 0, k=5)
+
+
 @query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(source(spark, sf_dir, "documents"))
