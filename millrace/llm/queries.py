@@ -13,6 +13,8 @@ from millrace.llm.common import n_words, source, whole
 from millrace.llm.quality_rules import quality_report
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.suffix_dedup import suffix_report
+from millrace.llm.suffix_tree import score_texts
+from millrace.llm.toxicity import held_out, toxicity
 from millrace.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +40,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op2_suffix_tree_lm")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(source(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 10))
+
+
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -57,6 +64,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, F.col("id") % 50 == 0, k=5)
 
 
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
+
+
 @query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(source(spark, sf_dir, "documents"))
