@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, topk
+from millrace.llm import chat, mixing, topk
 from millrace.llm.bpe import encode_digest
 from millrace.llm.common import n_words, source, whole
 from millrace.llm.quality_rules import quality_report
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.suffix_dedup import suffix_report
 from millrace.llm.suffix_tree import score_texts
+from millrace.llm.token_counts import section_tokens
 from millrace.llm.toxicity import held_out, toxicity
 from millrace.session import prepare
 
@@ -45,6 +46,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(source(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 10))
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return section_tokens(source(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query("op5_chat_format", chat.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(source(spark, sf_dir, "conversations"))
+
+
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
