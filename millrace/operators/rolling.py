@@ -9,10 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.lookup import ROWS_PER_TASK
-from millrace.operators.running import TILE, running_totals
 
 DAY = 86_400
-TILE_SECONDS = 30 * DAY
 FRAME_ROWS = 500
 
 
@@ -47,7 +45,8 @@ def rolling(
 
     A range window re-adds its whole frame for every row, which is cheapest while frames are
     short. ``auto`` measures the frames and turns to running totals where they are long or where
-    one key is too big for a task. ``exclude_current`` leaves the row's own second out.
+    one key is too big for a task; the answer is the same but for the order in which doubles are added.
+    ``exclude_current`` leaves the row's own second out. Rows without a time form a frame of their own.
     """
     if strategy == "auto":
         mean, largest = frame_load(df, keys, second, max(s.seconds for s in specs))
@@ -69,56 +68,53 @@ def _by_frames(df, keys, second, specs, exclude_current):
     return df.withColumns(columns)
 
 
-EXACT = "decimal(38,10)"
-
-
 def _by_totals(df, keys, second, specs, exclude_current):
-    """Every second adds its amount when it enters a frame and takes it back when it leaves.
+    """A frame is the end of one block of its own length and the beginning of the next.
 
-    The rolling value is then one running total per key. Rows of a second are combined first, so a
-    key has at most ``TILE_SECONDS`` seconds in a tile however many rows it holds. Fractional
-    amounts are exact decimals: what is added cancels without residue.
+    So its sum is a running total from the block's begin plus one from the last block's end: values are only ever added,
+    never taken back, and whatever ``sum`` does with decimals, NaN, infinities and tiny amounts holds here
+    too. Rows of a second are combined first, so a block has at most one row a second however many rows a key holds.
     """
-    keys, types = list(keys), dict(df.dtypes)
-    # Per output: the amount, and how many of its values are known (a frame of nulls sums to null).
-    amounts, kinds, spans = {}, {}, {}
-    for i, s in enumerate(specs):
-        fractional = s.column is not None and types[s.column] in ("double", "float")
-        kinds[f"v{i}"] = EXACT if fractional else "bigint"
-        amounts[f"v{i}"] = F.count("*") if s.column is None else F.sum(s.column)
-        spans[f"v{i}"] = s.seconds
-        if s.column is not None:
-            kinds[f"c{i}"], spans[f"c{i}"] = "bigint", s.seconds
-            amounts[f"c{i}"] = F.count(s.column)
-    names = list(amounts)
-    seconds = df.groupBy(*keys, F.col(second).alias("_t")).agg(
-        *[F.coalesce(amounts[n].cast(kinds[n]), F.lit(0).cast(kinds[n])).alias(n) for n in names]
-    )
-
-    def move(at, probe, sign):
-        cells = [(F.col(n) if sign(n) > 0 else -F.col(n) if sign(n) else F.lit(0)).cast(kinds[n]).alias(n) for n in names]
-        return F.struct(at.cast("long").alias("t"), F.lit(probe).alias("probe"), *cells)
-
-    t = F.col("_t")
-    if exclude_current:
-        moves = [move(t + 1, False, lambda n: 1), move(t, True, lambda n: 0)]
-    else:
-        moves = [move(t, True, lambda n: 1)]
-    for span in sorted(set(spans.values())):
-        moves.append(move(t + span + 1, False, lambda n, span=span: -1 if spans[n] == span else 0))
-    steps = seconds.select(*keys, F.inline(F.array(*moves))).withColumn(TILE, F.floor(F.col("t") / TILE_SECONDS))
-    totals = running_totals(steps, keys, ["t"], {f"r_{n}": n for n in names}).filter("probe")
-    frames = totals.select(
-        *[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)], "t", *[f"r_{n}" for n in names]
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)]
-    out = {}
-    for i, s in enumerate(specs):
-        if s.column is None:
-            out[s.name] = F.col(f"r_v{i}")
-        else:
-            total = F.col(f"r_v{i}")
-            value = total.cast("double") if kinds[f"v{i}"] == EXACT else total
-            out[s.name] = F.when(F.col(f"r_c{i}") > 0, value)
-    joined = df.join(frames, [*same, F.col(second) == F.col("t")], "left")
-    return joined.withColumns(out).select(*df.columns, *out)
+    keys, columns = list(keys), sorted({s.column for s in specs if s.column is not None})
+    kinds = dict(df.select(*[F.sum(c).alias(c) for c in columns]).dtypes) if columns else {}
+    totals = {"n": "bigint"} | {f"v{i}": kinds[c] for i, c in enumerate(columns)}
+    ends = F.col("_t") - 1 if exclude_current else F.col("_t")
+    sums = [F.sum(c).alias(f"v{i}") for i, c in enumerate(columns)]
+    seconds = df.groupBy(*keys, F.col(second).cast("long").alias("_t")).agg(F.count("*").alias("n"), *sums)
+
+    def row(at, kind, owner, filled):
+        cells = [(F.col(n) if filled else F.lit(None)).cast(t).alias(n) for n, t in totals.items()]
+        return F.struct(at.cast("long").alias("at"), F.lit(kind).alias("kind"), owner.cast("long").alias("owner"), *cells)
+
+    joined = df
+    for span in sorted({s.seconds for s in specs}):
+        width = span + (0 if exclude_current else 1)
+        if width < 1:
+            raise ValueError("a frame needs a second at least")
+        starts = ends - (width - 1)
+        block = F.floor(F.col("at") / F.lit(width))
+        # the last block's end only counts where the frame begins in it
+        crosses = F.floor(starts / F.lit(width)) < F.floor(ends / F.lit(width))
+        none = F.lit(None)
+        rows = F.array_compact(F.array(
+            row(F.col("_t"), "row", none, True), row(ends, "upto", F.col("_t"), False), F.when(crosses, row(starts, "from", F.col("_t"), False))
+        ))
+        steps = seconds.select(*keys, F.inline(rows)).withColumn("_block", block)
+        whole = Window.partitionBy(*keys, "_block")
+        upto = whole.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        since = whole.orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        found = steps.withColumns({f"a_{n}": F.sum(n).over(upto) for n in totals}).withColumns({f"b_{n}": F.sum(n).over(since) for n in totals})
+        found = found.filter("kind <> 'row'")
+        part = [F.when(F.col("kind") == "upto", F.col(f"a_{n}")).otherwise(F.col(f"b_{n}")).alias(n) for n in totals]
+        names = [F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)]
+        frames = found.select(*names, "owner", *part).groupBy(*[f"_k{j}" for j in range(len(keys))], "owner")
+        frames = frames.agg(*[F.sum(n).cast(t).alias(f"_{n}") for n, t in totals.items()])
+        same = [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)]
+        out = {}
+        for s in specs:
+            if s.seconds == span:
+                out[s.name] = F.coalesce("_n", F.lit(0).cast("long")) if s.column is None else F.col(f"_v{columns.index(s.column)}")
+        kept = [c for c in joined.columns if c not in out]
+        joined = joined.join(frames, [*same, F.col(second).cast("long").eqNullSafe(F.col("owner"))], "left").withColumns(out)
+        joined = joined.select(*kept, *out)
+    return joined.select(*df.columns, *[s.name for s in specs])

@@ -57,3 +57,36 @@ def test_frame_load(spark):
 def test_unknown_strategy(spark):
     with pytest.raises(ValueError):
         rolling(spark.range(1).selectExpr("id k", "id s"), ["k"], "s", [], "guess")
+
+
+@pytest.mark.parametrize("exclude", [False, True])
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("decimal(10,2)", [1.75, 2.5, None, -3.25, 99999999.99]),
+        ("double", [1e-12, 3e-12, 1e30, float("nan"), float("inf"), None, 0.1]),
+        ("float", [0.5, 1e-3, None]),
+        ("bigint", [1, None, -7, 2**40]),
+    ],
+)
+def test_strategies_agree(spark, kind, values, exclude):
+    """The answer and its type do not depend on the strategy: decimals, NaN, infinities, tiny and huge amounts, null times."""
+    from decimal import Decimal
+
+    rnd = random.Random(5)
+
+    def amount():
+        x = rnd.choice(values)
+        return Decimal(str(x)) if x is not None and kind.startswith("decimal") else x
+
+    rows = [(i, rnd.choice([1, 2, None]), rnd.choice([None, rnd.randrange(-40, 400)]), amount()) for i in range(400)]
+    df = spark.createDataFrame(rows, f"id long, k long, s long, price {kind}")
+    specs = [Rolling("total", "price", 50), Rolling("n", None, 50), Rolling("longer", "price", 173)]
+    by = {s: rolling(df, ["k"], "s", specs, s, exclude) for s in ("frames", "totals")}
+    assert by["frames"].dtypes == by["totals"].dtypes
+    plain = {s: {r["id"]: r for r in d.collect()} for s, d in by.items()}
+    for i, a in plain["frames"].items():
+        b = plain["totals"][i]
+        assert a["n"] == b["n"], (a, b)
+        for c in ("total", "longer"):
+            assert a[c] == b[c] or (a[c] is not None and b[c] is not None and b[c] == pytest.approx(a[c], rel=1e-9, nan_ok=True)), (a, b)
