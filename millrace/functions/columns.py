@@ -106,3 +106,12 @@ def any_rule(rules: Sequence[Column], hit: float, miss: float, base: float = 0)
 def drawn_label(percent: Column, key: Column, seed: int) -> Column:
     """True for about ``percent`` of 100 rows, always for the same ones."""
     return seeded_uniform(key, seed) * 100 < percent
+
+
+DRAW_BITS = 60
+
+
+def drawn(seed: int, *names: str) -> Column:
+    """A number below 2 ** DRAW_BITS drawn from the columns: the leading digits of an MD5 that other engines give as well."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(n).cast("string") for n in names])
+    return F.conv(F.substring(F.md5(text), 1, DRAW_BITS // 4), 16, 10).cast("long")

@@ -2,31 +2,34 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Markup removed with its content, markup removed alone, and the entities decoded.
+# Markup removed with its content, and markup removed alone; a quoted value may hold a >.
 DROPPED_BLOCKS = [r"(?is)<!--.*?-->", r"(?is)<script\b.*?</script>", r"(?is)<style\b.*?</style>"]
-ANY_TAG = r"(?s)<[^>]*>"
-ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&apos;": "'",
-    "&amp;": "&",
-}
+ANY_TAG = r"""(?s)<[A-Za-z/!?][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
+BROKEN_TAG = r"(?s)<[A-Za-z/!?][^>]*>"  # with a quote that never closes
+
+
+def _unescaper():
+    """The standard library knows all named and numeric references of HTML 5; SQL functions know none."""
+
+    @F.pandas_udf("string")
+    def unescape(texts: pd.Series) -> pd.Series:
+        return texts.map(html.unescape, na_action="ignore")
+
+    return unescape
 
 
 def html_to_text(col: Column) -> Column:
-    """Visible text of a page: blocks, comments and tags out, entities decoded, blanks squeezed."""
-    for pattern in DROPPED_BLOCKS:
+    """Visible text of a page: blocks, comments and tags out, references decoded, blanks squeezed."""
+    for pattern in (*DROPPED_BLOCKS, ANY_TAG, BROKEN_TAG):
         col = F.regexp_replace(col, pattern, " ")
-    col = F.regexp_replace(col, ANY_TAG, " ")
-    for entity, char in ENTITIES.items():
-        col = F.replace(col, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(col, r"[ \t\r\n]+", " "))
+    col = F.when(F.contains(col, F.lit("&")), _unescaper()(col)).otherwise(col)
+    return F.trim(F.regexp_replace(col, "[ \\t\\r\\n\u00a0]+", " "))
 
 
 def chunks(col: Column, size: int = 1000, overlap: int = 100) -> Column:
@@ -36,11 +39,15 @@ def chunks(col: Column, size: int = 1000, overlap: int = 100) -> Column:
     return F.transform(F.sequence(F.lit(0), last), lambda i: col.substr(i * step + 1, F.lit(size)))
 
 
-def lead_sentences(col: Column, limit: int) -> Column:
-    """Text up to the last sentence end within ``limit`` characters, or cut at ``limit``."""
-    head = col.substr(1, limit)
-    cut = F.regexp_extract(head, r"(?s)^(.*[.!?])", 1)
-    return F.when(F.length(cut) > 0, cut).otherwise(head)
+def spread_sentences(col: Column, limit: int) -> Column:
+    """Whole sentences of about ``limit`` characters in all, taken evenly from begin to end of the text.
+
+    The text is cut after sentence ends into n sentences; every m-th one is kept, m being the length of the text over
+    ``limit``, rounded up. The first sentence is always among them.
+    """
+    every = F.greatest(F.lit(1), F.ceil(F.length(col) / F.lit(float(limit))).cast("int"))
+    sentences = F.split(col, r"(?<=[.!?])\s+")
+    return F.array_join(F.filter(sentences, lambda s, i: i % every == 0), " ")
 
 
 def word_count(col: Column) -> Column:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import days_since
-from millrace.operators.clean import categories
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -17,8 +16,12 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def crosstab(df: DataFrame, row: str, col: str, values: Sequence | None = None) -> DataFrame:
-    """Rows per pair of values: one output row per ``row`` value, one column per ``col`` value."""
-    values = list(values) if values is not None else categories(df, [col])[col]
+    """Rows per pair of values: one row per pair, however many there are.
+
+    With ``values`` of ``col`` named by the caller, one row per ``row`` value and a column for each of them.
+    """
+    if values is None:
+        return df.groupBy(row, col).agg(F.count("*").alias("count"))
     counts = [F.count(F.when(F.col(col).cast("string") == F.lit(str(v)), 1)).alias(str(v)) for v in values]
     return df.groupBy(row).agg(*counts)
 

@@ -63,9 +63,13 @@ def one_hot(
     columns: Sequence[str],
     values: Mapping[str, Sequence] | None = None,
     drop_first: bool = False,
+    limit: int = 1000,
 ) -> DataFrame:
-    """One 0/1 column per value, in place of each column. Null and unseen values give all zeros."""
-    values = values or categories(df, columns)
+    """One 0/1 column per value, in place of each column. Null and unseen values give all zeros.
+
+    Values not named by the caller are looked up; more than ``limit`` of one column are an error.
+    """
+    values = values or categories(df, columns, limit)
     kept = [F.col(c) for c in df.columns if c not in columns]
     coded = []
     for c in columns:
@@ -116,9 +120,9 @@ class Preprocess:
 
 
 def fit_preprocess(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], drop_first: bool = False
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], drop_first: bool = False, limit: int = 1000
 ) -> Preprocess:
-    values = categories(df, categorical) if categorical else {}
+    values = categories(df, categorical, limit) if categorical else {}
     return Preprocess(fit_scaler(df, numeric), values, drop_first)
 
 

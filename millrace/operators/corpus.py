@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import chunks, html_to_text, lead_sentences, word_count
+from millrace.functions.text import chunks, html_to_text, spread_sentences, word_count
 from millrace.operators.running import TILE, running_totals
 from millrace.session import scratch_path
 
@@ -19,12 +19,10 @@ def quality_filter(df: DataFrame, score: str, body: str, min_score: int = 5, max
     return df.filter((F.col(score) >= min_score) & (F.length(body) <= max_len))
 
 
-def posts_to_text(posts: DataFrame, min_score: int = 5, max_len: int = 1000) -> DataFrame:
-    """Good, short posts as (id, body, parent_id) with the HTML taken out of the body."""
-    good = quality_filter(posts, "_Score", "_Body", min_score, max_len)
-    return good.withColumn("body", html_to_text(F.col("_Body"))).withColumnsRenamed(
-        {"_Id": "id", "_ParentId": "parent_id"}
-    ).select("id", "body", "parent_id")
+def posts_to_text(posts: DataFrame, key: str, parent: str, body: str, score: str, min_score: int = 5, max_len: int = 1000) -> DataFrame:
+    """Good, short posts as (id, parent_id, body), the markup taken out of the body; the columns are named by the caller."""
+    text = html_to_text(F.col(body)).alias("body")
+    return quality_filter(posts, score, body, min_score, max_len).select(F.col(key).alias("id"), F.col(parent).alias("parent_id"), text)
 
 
 def qa_pairs(posts: DataFrame, id_: str = "id", parent: str = "parent_id", body: str = "body") -> DataFrame:
@@ -56,10 +54,10 @@ def shorten(
     """A shorter version of texts above ``limit``; others as they are.
 
     ``hook`` is a model as a column function, such as an iterator pandas_udf that loads its model
-    once per task. Without it the leading sentences up to ``target`` characters are taken.
+    once per task. Without it, sentences spread over the whole text make up about ``target`` characters.
     """
     col = F.col(text)
-    summary = hook(col) if hook else lead_sentences(col, target)
+    summary = hook(col) if hook else spread_sentences(col, target)
     return df.withColumn(name, F.when(F.length(col) > limit, summary).otherwise(col))
 
 
@@ -94,23 +92,29 @@ def build_prompts(
     return df.withColumn(name, F.concat(*parts))
 
 
-def _short(df: DataFrame, turn: str, turns: int) -> bool:
-    """Whether no conversation needs cutting; reads the turn column only."""
-    last = df.agg(F.max(turn).alias("t")).first()["t"]
-    return last is None or last < turns
+def _turn_tile(df: DataFrame, turn: str, turns: int) -> Column:
+    """Tile of a turn: so many numbers, or an hour where turns are told by time. Rows without turn have one of their own."""
+    kind = dict(df.dtypes)[turn]
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        tile = F.floor(F.unix_micros(F.col(turn).cast("timestamp")) / F.lit(3_600_000_000))
+    else:
+        tile = F.floor(F.col(turn) / F.lit(turns))
+    return F.coalesce(tile.cast("long"), F.lit(-(2**62)).cast("long"))
 
 
 def trim_history(df: DataFrame, conv: str, turn: str, text: str, budget: int = 500, turns: int = TURNS) -> DataFrame:
-    """The newest turns of each conversation that together hold at most ``budget`` words."""
+    """The newest turns of each conversation that together hold at most ``budget`` words.
+
+    Words are summed by turn first, so a turn with many rows is one row of the running total; the total is taken by
+    tiles of ``turns`` turns, so a long conversation is no single task's.
+    """
     rows = df.withColumn("tokens", word_count(F.col(text)).cast("long"))
-    if _short(df, turn, turns):
-        newest = Window.partitionBy(conv).orderBy(F.desc(turn)).rangeBetween(Window.unboundedPreceding, 0)
-        return rows.withColumn("tokens_from_end", F.sum("tokens").over(newest)).filter(
-            F.col("tokens_from_end") <= budget
-        )
-    rows = rows.withColumn(TILE, F.floor(F.col(turn) / turns))
-    totals = running_totals(rows, [conv], [F.desc(turn)], {"tokens_from_end": "tokens"}, tile_descending=True)
-    return totals.filter(F.col("tokens_from_end") <= budget).drop(TILE, "tokens_from_end_total")
+    by_turn = rows.groupBy(F.col(conv).alias("_conv"), F.col(turn).alias("_turn")).agg(F.sum("tokens").alias("_tokens"))
+    by_turn = by_turn.withColumn(TILE, _turn_tile(by_turn, "_turn", turns))
+    totals = running_totals(by_turn, ["_conv"], [F.desc("_turn")], {"tokens_from_end": "_tokens"}, tile_descending=True)
+    kept = totals.filter(F.col("tokens_from_end") <= budget).select("_conv", "_turn", "tokens_from_end")
+    same = F.col(conv).eqNullSafe(F.col("_conv")) & F.col(turn).eqNullSafe(F.col("_turn"))
+    return rows.join(kept, same).select(*rows.columns, "tokens_from_end")
 
 
 def dialogue_context(
@@ -125,12 +129,10 @@ def dialogue_context(
 ) -> DataFrame:
     """Each turn's text joined with the ``last`` - 1 before it in the conversation.
 
-    Conversations longer than ``turns`` are cut there; each cut starts with the few turns before it.
+    Conversations are cut into tiles of ``turns`` turns; each tile starts with the few turns before it.
     """
-    recent = Window.partitionBy(conv).orderBy(turn).rowsBetween(-(last - 1), 0)
-    if _short(df, turn, turns):
-        return df.select(conv, turn, F.array_join(F.collect_list(text).over(recent), separator).alias(name))
-    rows = df.select(conv, turn, F.col(text).alias("_text")).withColumn(TILE, F.floor(F.col(turn) / turns))
+    rows = df.select(conv, turn, F.col(text).alias("_text"))
+    rows = rows.withColumn(TILE, _turn_tile(rows, turn, turns))
     newest = Window.partitionBy(conv, TILE).orderBy(F.desc(turn))
     tails = (
         rows.withColumn("_n", F.row_number().over(newest))

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import DRAW_BITS, drawn
 from millrace.operators.running import hash_rank, running_totals, split_points, with_tile
 
 
@@ -49,8 +50,10 @@ def classifier_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
 
 
 def log_loss(df: DataFrame, truth: str, probability: str, eps: float = 1e-15) -> DataFrame:
+    """Mean of -log of the probability given to the truth; rows with an unknown truth or probability are left out."""
     p = F.least(F.greatest(F.col(probability), F.lit(eps)), F.lit(1 - eps))
-    return df.agg((-F.avg(F.when(F.col(truth) == 1, F.log(p)).otherwise(F.log(1 - p)))).alias("log_loss"))
+    known = df.filter(F.col(truth).isNotNull() & F.col(probability).isNotNull())
+    return known.agg((-F.avg(F.when(F.col(truth) == 1, F.log(p)).otherwise(F.log(1 - p)))).alias("log_loss"))
 
 
 def score_counts(df: DataFrame, score: str, truth: str) -> DataFrame:
@@ -169,24 +172,20 @@ def permutation_importance(
     truth: str,
     predict: Callable[[Mapping[str, Column]], Column],
     seed: int = 42,
-    sample: int | None = None,
 ) -> DataFrame:
     """Accuracy lost when one feature's values are dealt out anew among the rows.
 
-    Rows are numbered twice, by two hashes; a row takes the value of the row that holds its first
-    number in the second order. ``sample`` rows, chosen by hash, may stand in for all.
+    Rows are numbered once, in the order of numbers drawn from their key; for each feature a row takes the value of
+    the row so many places on, the i-th of k features going i / (k + 1) of the way round.
     """
     rows = df.select(key, truth, *features)
-    first = hash_rank(rows, [], F.xxhash64(F.col(key), F.lit(seed)), F.col(key), "_at")
-    if sample is not None:
-        first = first.filter(F.col("_at") <= sample)
-        rows = first.select(key, truth, *features)
+    first = hash_rank(rows, [], drawn(seed, key), F.col(key), "_at", DRAW_BITS)
     hit = lambda values: F.avg((predict(values) == F.col(truth)).cast("int"))
     base = rows.agg(hit({f: F.col(f) for f in features}).alias("b"))
     out = []
     for i, f in enumerate(features):
-        order = F.xxhash64(F.col(key), F.lit(seed + 1 + i))
-        dealt = hash_rank(rows.select(key, f), [], order, F.col(key), "_at").select("_at", F.col(f).alias("_new"))
+        on = F.ceil(F.col("_at_total") * F.lit(i + 1) / F.lit(len(features) + 1))
+        dealt = first.select((F.pmod(F.col("_at") - 1 - on, F.col("_at_total")) + 1).alias("_at"), F.col(f).alias("_new"))
         mixed = first.join(dealt, "_at")
         values = {g: F.col("_new") if g == f else F.col(g) for g in features}
         out.append(mixed.agg(F.lit(f).alias("feature"), hit(values).alias("shuffled_accuracy")))

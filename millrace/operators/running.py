@@ -28,7 +28,7 @@ def split_points(
     results do not depend on where the cuts fall. The driver receives fewer than ``tiles`` numbers
     per column.
     """
-    tiles = tiles or max(2, min(4096, parallelism(df.sparkSession)))
+    tiles = tiles or max(2, parallelism(df.sparkSession))
     probs = [i / tiles for i in range(1, tiles)]
     rows = df.select(*columns) if sample >= 1 else df.select(*columns).sample(sample, seed=7)
     cuts = [F.percentile_approx(F.col(c).cast("double"), probs, 8 * tiles).alias(f"_{i}") for i, c in enumerate(columns)]
@@ -45,9 +45,9 @@ def with_tile(df: DataFrame, column: str, cuts: Sequence[float], tile: str = TIL
     return Bucketizer(splits=splits, inputCol=column, outputCol=tile, handleInvalid="keep").transform(df)
 
 
-def hash_tile(hashed: Column, bits: int = 12) -> Column:
-    """Tile of a 64-bit hash by its leading bits: even by construction, no pass over the data."""
-    return F.shiftright(hashed, 64 - bits)
+def hash_tile(hashed: Column, tiles: int, width: int = 64) -> Column:
+    """Tile of a hash of ``width`` bits by its leading bits, at least so many tiles: even by construction."""
+    return F.shiftright(hashed, width - min(30, max(12, (tiles - 1).bit_length())))
 
 
 def running_totals(
@@ -94,12 +94,13 @@ def running_totals(
     )
 
 
-def hash_rank(df: DataFrame, by: Sequence[str], hashed: Column, key: Column, name: str = "rank") -> DataFrame:
+def hash_rank(df: DataFrame, by: Sequence[str], hashed: Column, key: Column, name: str = "rank", width: int = 64) -> DataFrame:
     """Exact 1-based position of each row inside its group in hash order, and ``<name>_total``.
 
     ``key`` must be unique inside a group; it settles equal hashes.
     """
-    rows = df.select("*", hashed.alias("_hash"), key.alias("_key")).withColumn(TILE, hash_tile(F.col("_hash")))
+    tiles = 16 * parallelism(df.sparkSession)
+    rows = df.select("*", hashed.alias("_hash"), key.alias("_key")).withColumn(TILE, hash_tile(F.col("_hash"), tiles, width))
     ranked = running_totals(rows, by, ["_hash", "_key"], {name: F.lit(1)})
     return ranked.drop("_hash", "_key", TILE)
 

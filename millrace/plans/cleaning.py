@@ -61,7 +61,7 @@ def normalise_columns_query(spark, sf):
         F.col("c_nationkey").alias("StreamingTV"),
         F.col("c_acctbal").alias("Monthly-Charges"),
     )
-    return normalise_columns(rows, {"customer_i_d": "customer_id", "streaming_t_v": "streaming_tv"})
+    return normalise_columns(rows)
 
 
 @query(
@@ -104,50 +104,25 @@ def map_labels(spark, sf):
 
 
 RULE_SQL = """
-WITH o AS (SELECT o_custkey AS user_id, count(*) AS orders,
-                  sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent,
-                  max(o_orderdate) AS last_order
-           FROM orders GROUP BY ALL),
-a AS (SELECT user_id, count(*) AS actions, arg_min(event_type, (ts, event_id)) AS first_type
-      FROM events GROUP BY user_id)
-SELECT c.c_custkey AS user_id, 5 + CASE WHEN
-     (orders >= 5 AND first_type = 'click') OR (orders = 3 AND c_nationkey < 5)
-  OR (orders = 2 AND c_nationkey >= 5 AND c_acctbal <= 3000) OR (urgent <= 1 AND first_type = 'view')
-  OR (urgent >= 10 AND first_type = 'click') OR actions >= 80 OR c_mktsegment = 'BUILDING'
-  OR date_diff('day', CAST(last_order AS DATE), DATE '2001-09-01') >= 400
-  OR (c_acctbal >= 7000 AND c_nationkey < 5) OR (c_acctbal <= 1000 AND c_nationkey >= 5)
-  THEN 80 ELSE 20 END AS churn_score
-FROM o JOIN a USING (user_id) JOIN customer c ON o.user_id = c.c_custkey"""
+WITH o AS (SELECT o_custkey, count(*) AS n, avg(o_totalprice) AS mean,
+                  count(*) FILTER (o_orderstatus = 'O') AS open
+           FROM orders GROUP BY ALL)
+SELECT o_custkey, 100 + CASE WHEN (n > 12 AND mean < 150000) OR 2 * open > n OR c_acctbal < -500 OR c_mktsegment IS NULL
+       THEN 7 ELSE -3 END AS attention
+FROM o JOIN customer ON o_custkey = c_custkey"""
 
 
 @query("rule_score", RULE_SQL)
 def rule_score(spark, sf):
-    """Churn score by rules over order and action counts; joins on differently named keys."""
-    orders = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("user_id")).agg(
-        F.count("*").alias("orders"),
-        F.sum((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("urgent"),
-        F.max("o_orderdate").alias("last_order"),
+    """Which customers an account manager should look at; joins on differently named keys."""
+    orders = load(spark, sf, "orders").groupBy("o_custkey").agg(
+        F.count("*").alias("n"), F.avg("o_totalprice").alias("mean"), F.count(F.when(F.col("o_orderstatus") == "O", 1)).alias("open")
     )
-    actions = load(spark, sf, "events").groupBy("user_id").agg(
-        F.count("*").alias("actions"), F.min_by("event_type", F.struct("ts", "event_id")).alias("first_type")
-    )
-    customers = load(spark, sf, "customer")
-    rows = orders.join(actions, "user_id").join(customers, F.col("user_id") == F.col("c_custkey"))
-    few, nation, balance = F.col("orders"), F.col("c_nationkey"), F.col("c_acctbal")
-    first, urgent = F.col("first_type"), F.col("urgent")
-    rules = [
-        (few >= 5) & (first == "click"),
-        (few == 3) & (nation < 5),
-        (few == 2) & (nation >= 5) & (balance <= 3000),
-        (urgent <= 1) & (first == "view"),
-        (urgent >= 10) & (first == "click"),
-        F.col("actions") >= 80,
-        F.col("c_mktsegment") == "BUILDING",
-        days_since(F.col("last_order"), "2001-09-01") >= 400,
-        (balance >= 7000) & (nation < 5),
-        (balance <= 1000) & (nation >= 5),
-    ]
-    return rows.select("user_id", any_rule(rules, 80, 20, 5).alias("churn_score"))
+    rows = orders.join(load(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    small_and_often = (F.col("n") > 12) & (F.col("mean") < 150_000)
+    mostly_open = 2 * F.col("open") > F.col("n")
+    signs = [small_and_often, mostly_open, F.col("c_acctbal") < -500, F.col("c_mktsegment").isNull()]
+    return rows.select("o_custkey", any_rule(signs, 7, -3, 100).alias("attention"))
 
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -231,27 +206,40 @@ def signature_select(spark, sf):
     return select_signature(load(spark, sf, "orders"), T.StructType(SIGNATURE.fields[:3]))
 
 
-@query("hash_split")
+def drawn_sql(seed: int, key: str) -> str:
+    return f"('0x' || substr(md5('{seed}:' || {key}), 1, 15))::BIGINT"
+
+
+@query(
+    "hash_split",
+    f"""SELECT event_id, CASE WHEN {drawn_sql(42, 'event_id')} < 0.6::DOUBLE * pow(2, 60) THEN 'train'
+          WHEN {drawn_sql(42, 'event_id')} < 0.8::DOUBLE * pow(2, 60) THEN 'val' ELSE 'test' END AS split FROM events""",
+)
 def hash_split_query(spark, sf):
     return hash_split(load(spark, sf, "events"), ["event_id"], {"train": 0.6, "val": 0.2, "test": 0.2}, 42).select(
         "event_id", "split"
     )
 
 
-@query("stratified_split")
+@query(
+    "stratified_split",
+    f"""SELECT event_id, event_type, CASE WHEN row_number() OVER (
+            PARTITION BY event_type ORDER BY {drawn_sql(42, 'event_id')}, event_id)
+          <= ceil(0.1::DOUBLE * count(*) OVER (PARTITION BY event_type)) THEN 'test' ELSE 'train' END AS split FROM events""",
+)
 def stratified_split_query(spark, sf):
     rows = load(spark, sf, "events").select("event_id", "event_type")
     return stratified_split(rows, "event_type", "event_id", 0.1, 42)
 
 
-@query("sample_fixed")
+@query("sample_fixed", f"SELECT event_id, user_id FROM events ORDER BY {drawn_sql(42, 'event_id')}, event_id LIMIT 100")
 def sample_fixed_query(spark, sf):
     return sample_fixed(load(spark, sf, "events"), "event_id", 100, 42).select("event_id", "user_id")
 
 
-@query("sample_fraction")
+@query("sample_fraction", f"SELECT event_id FROM events WHERE {drawn_sql(42, 'event_id')} < 0.01::DOUBLE * pow(2, 60)")
 def sample_fraction_query(spark, sf):
-    return sample_fraction(load(spark, sf, "events"), 0.01, 42).select("event_id")
+    return sample_fraction(load(spark, sf, "events"), ["event_id"], 0.01, 42).select("event_id")
 
 
 @query(

@@ -12,19 +12,13 @@ from millrace.plans.registry import query
 
 
 def html_sql(col: str) -> str:
-    for pattern in (r"(?is)<!--.*?-->", r"(?is)<script\b.*?</script>", r"(?is)<style\b.*?</style>", r"(?s)<[^>]*>"):
+    """Tags out by a pattern of quoted and other parts, references by code point."""
+    for pattern in (r"(?is)<!--.*?-->", r"(?is)<script\b.*?</script>", r"(?is)<style\b.*?</style>", r"""(?s)<[A-Za-z/!?]("[^"]*"|''[^'']*''|[^>"''])*>"""):
         col = f"regexp_replace({col}, '{pattern}', ' ', 'g')"
-    for entity, char in (
-        ("&nbsp;", " "),
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&#39;", "''"),
-        ("&apos;", "''"),
-        ("&amp;", "&"),
-    ):
-        col = f"replace({col}, '{entity}', '{char}')"
-    return f"trim(regexp_replace({col}, '[ \\t\\r\\n]+', ' ', 'g'), ' ')"
+    # &amp; last, so that what it yields is not read again
+    for name, point in (("copy", 169), ("middot", 183), ("nbsp", 160), ("lt", 60), ("gt", 62), ("quot", 34), ("#39", 39), ("apos", 39), ("amp", 38)):
+        col = f"replace({col}, '&{name};', chr({point}))"
+    return f"trim(regexp_replace({col}, '[ \\t\\r\\n\\x{{00A0}}]+', ' ', 'g'), ' ')"
 
 
 @query("html_to_text", f"SELECT page_id, {html_sql('html')} AS text FROM pages")
@@ -79,10 +73,10 @@ def chunk_text(spark, sf):
 
 @query(
     "shorten_long_text",
-    """SELECT doc_id, CASE WHEN length(text) <= 5000 THEN text
-         WHEN regexp_extract(substr(text, 1, 1000), '(?s)^(.*[.!?])', 1) <> ''
-           THEN regexp_extract(substr(text, 1, 1000), '(?s)^(.*[.!?])', 1)
-         ELSE substr(text, 1, 1000) END AS text_short FROM documents""",
+    r"""WITH s AS (SELECT doc_id, text, greatest(1, ceil(length(text) / 1000.0::DOUBLE)::INT) AS m,
+                 string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS parts FROM documents)
+        SELECT doc_id, CASE WHEN length(text) <= 5000 THEN text
+          ELSE array_to_string(list_filter(parts, lambda x, i: (i - 1) % m = 0), ' ') END AS text_short FROM s""",
 )
 def shorten_long_text(spark, sf):
     return corpus.shorten(load(spark, sf, "documents"), "text").select("doc_id", "text_short")

@@ -136,14 +136,30 @@ def validation_gates(spark, sf):
     return out.withColumn("value", F.round("value", 8))
 
 
-@query("permutation_importance")
+@query(
+    "permutation_importance",
+    f"""WITH {SCORED}, r AS (
+      SELECT quality, score, CASE lang WHEN 'en' THEN 1 ELSE 0 END AS is_en, count(*) OVER () AS n,
+             row_number() OVER (ORDER BY ('0x' || substr(md5('42:' || doc_id), 1, 15))::BIGINT, doc_id) AS at FROM scored),
+    m AS (
+      SELECT r.quality, r.score, r.is_en, a.score AS new_score, b.is_en AS new_is_en
+      FROM r JOIN r a ON a.at = (r.at - 1 + ceil(r.n * 1 / 3.0::DOUBLE)::BIGINT) % r.n + 1
+             JOIN r b ON b.at = (r.at - 1 + ceil(r.n * 2 / 3.0::DOUBLE)::BIGINT) % r.n + 1),
+    s AS (
+      SELECT avg(CASE WHEN (score + is_en * 0.05::DOUBLE >= 0.4::DOUBLE)::INT = quality THEN 1 ELSE 0 END) AS base,
+             avg(CASE WHEN (new_score + is_en * 0.05::DOUBLE >= 0.4::DOUBLE)::INT = quality THEN 1 ELSE 0 END) AS one,
+             avg(CASE WHEN (score + new_is_en * 0.05::DOUBLE >= 0.4::DOUBLE)::INT = quality THEN 1 ELSE 0 END) AS two FROM m)
+    SELECT 'score' AS feature, round(base, 9) AS accuracy, round(one, 9) AS shuffled_accuracy, round(base - one, 9) AS importance FROM s
+    UNION ALL SELECT 'is_en', round(base, 9), round(two, 9), round(base - two, 9) FROM s""",
+)
 def permutation_importance(spark, sf):
     rows = scored(spark, sf).withColumn("is_en", (F.col("lang") == "en").cast("int"))
 
     def predict(x):
         return ((x["score"] + x["is_en"] * 0.05) >= 0.4).cast("int")
 
-    return evaluate.permutation_importance(rows, "doc_id", ["score", "is_en"], "quality", predict)
+    out = evaluate.permutation_importance(rows, "doc_id", ["score", "is_en"], "quality", predict)
+    return out.select("feature", *rounded("accuracy", "shuffled_accuracy", "importance", digits=9))
 
 
 @query("train_score_split")

@@ -48,7 +48,17 @@ def value_counts(spark, sf):
               count(*) FILTER (o_orderstatus = 'P') AS "P" FROM orders GROUP BY o_orderpriority""",
 )
 def crosstab(spark, sf):
-    return aggregates.crosstab(load(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
+    return aggregates.crosstab(load(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
+
+
+@query(
+    "crosstab_long",
+    """SELECT CAST(o_orderdate AS DATE)::VARCHAR AS day, o_custkey, count(*) AS "count" FROM orders GROUP BY ALL""",
+)
+def crosstab_long(spark, sf):
+    """Pairs of two columns with far more than a thousand values each."""
+    days = load(spark, sf, "orders").withColumn("day", F.col("o_orderdate").cast("date").cast("string"))
+    return aggregates.crosstab(days, "day", "o_custkey")
 
 
 @query(
@@ -320,45 +330,45 @@ def profile_refresh(spark, sf):
     return _stats(_window_text(out), "granularity", "window_start")
 
 
-LOG_AVG = Metric("aggregate", "log_avg", ("value",), "avg(log(abs(`{{column_name}}`)+1))")
-EXP_LOG = Metric("derived", "exp_log", ("value",), "exp(log_avg)")
-DELTA_EXP = Metric("drift", "delta_exp", ("value",), "{{current_df}}.exp_log - {{base_df}}.exp_log")
-SLICED_METRICS = SLICED_MONITOR.update(custom_metrics=(LOG_AVG, EXP_LOG))
+RMS = Metric("aggregate", "rms", ("value",), "sqrt(avg(`{{column_name}}` * `{{column_name}}`))")
+LEVEL = Metric("derived", "level", ("value",), "20 * log10(rms)")
+LEVEL_RISE = Metric("drift", "level_rise", ("value",), "{{current_df}}.level - {{base_df}}.level")
+SLICED_METRICS = SLICED_MONITOR.update(custom_metrics=(RMS, LEVEL))
 
 
 @query(
     "metric_aggregate",
-    f"{SLICED} SELECT slice_key, slice_value, round(avg(ln(abs(value) + 1)), 6) AS log_avg FROM s GROUP BY ALL",
+    f"{SLICED} SELECT slice_key, slice_value, round(sqrt(avg(value * value)), 6) AS rms FROM s GROUP BY ALL",
 )
 def metric_aggregate(spark, sf):
     out = profile(load(spark, sf, "events"), SLICED_METRICS)
-    return out.filter("column_name = 'value'").select("slice_key", "slice_value", *rounded("log_avg", digits=6))
+    return out.filter("column_name = 'value'").select("slice_key", "slice_value", *rounded("rms", digits=6))
 
 
 @query(
     "metric_derived",
-    f"{SLICED} SELECT slice_key, slice_value, round(exp(avg(ln(abs(value) + 1))), 6) AS exp_log FROM s GROUP BY ALL",
+    f"{SLICED} SELECT slice_key, slice_value, round(20 * log10(sqrt(avg(value * value))), 6) AS level FROM s GROUP BY ALL",
 )
 def metric_derived(spark, sf):
     out = profile(load(spark, sf, "events"), SLICED_METRICS)
-    return out.filter("column_name = 'value'").select("slice_key", "slice_value", *rounded("exp_log", digits=6))
+    return out.filter("column_name = 'value'").select("slice_key", "slice_value", *rounded("level", digits=6))
 
 
-DAILY = Monitor("events", ("value",), "ts", ("1 day",), ("event_type",), (LOG_AVG, EXP_LOG, DELTA_EXP))
+DAILY = Monitor("events", ("value",), "ts", ("1 day",), ("event_type",), (RMS, LEVEL, LEVEL_RISE))
 DAILY_SQL = f"""
 WITH s AS ({slices_sql("events", EVENT_SLICES[:1], "ts, value")}),
 p AS (SELECT slice_key, slice_value, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, avg(value) AS mean,
-             quantile_cont(value, 0.5) AS med, exp(avg(ln(abs(value) + 1))) AS exp_log
+             quantile_cont(value, 0.5) AS med, 20 * log10(sqrt(avg(value * value))) AS level
       FROM s GROUP BY ALL),
 b AS (SELECT slice_key, slice_value, count(*) AS n, avg(value) AS mean,
-             quantile_cont(value, 0.5) AS med, exp(avg(ln(abs(value) + 1))) AS exp_log
+             quantile_cont(value, 0.5) AS med, 20 * log10(sqrt(avg(value * value))) AS level
       FROM s WHERE ts < TIMESTAMP '2024-01-08' GROUP BY ALL)"""
 
 
 def _drift_out(df, *more):
     day = F.date_format("window_start", "yyyy-MM-dd").alias("day")
     return df.filter("column_name = 'value'").select(
-        "slice_key", "slice_value", day, *more, "count_delta", *rounded("avg_delta", "median_delta", "delta_exp", digits=8)
+        "slice_key", "slice_value", day, *more, "count_delta", *rounded("avg_delta", "median_delta", "level_rise", digits=8)
     )
 
 
@@ -367,7 +377,7 @@ def _drift_out(df, *more):
     f"""{DAILY_SQL}
     SELECT * FROM (SELECT slice_key, slice_value, day, lag(day) OVER w AS day_cmp, n - lag(n) OVER w AS count_delta,
            round(mean - lag(mean) OVER w, 8) AS avg_delta, round(med - lag(med) OVER w, 8) AS median_delta,
-           round(exp_log - lag(exp_log) OVER w, 8) AS delta_exp
+           round(level - lag(level) OVER w, 8) AS level_rise
     FROM p WINDOW w AS (PARTITION BY slice_key, slice_value ORDER BY day)) WHERE day_cmp IS NOT NULL""",
 )
 def drift_consecutive(spark, sf):
@@ -377,7 +387,7 @@ def drift_consecutive(spark, sf):
 
 BASELINE_SQL = f"""{DAILY_SQL}
     SELECT p.slice_key, p.slice_value, day, p.n - b.n AS count_delta, round(p.mean - b.mean, 8) AS avg_delta,
-           round(p.med - b.med, 8) AS median_delta, round(p.exp_log - b.exp_log, 8) AS delta_exp
+           round(p.med - b.med, 8) AS median_delta, round(p.level - b.level, 8) AS level_rise
     FROM p JOIN b ON p.slice_key IS NOT DISTINCT FROM b.slice_key
       AND p.slice_value IS NOT DISTINCT FROM b.slice_value"""
 
@@ -396,11 +406,11 @@ def drift_baseline(spark, sf):
 
 @query(
     "metric_drift",
-    f"SELECT slice_key, slice_value, day, delta_exp FROM ({BASELINE_SQL}) WHERE slice_key IS NOT NULL",
+    f"SELECT slice_key, slice_value, day, level_rise FROM ({BASELINE_SQL}) WHERE slice_key IS NOT NULL",
 )
 def metric_drift(spark, sf):
     out = _drift_out(_baseline_drift(spark, sf)).filter("slice_key IS NOT NULL")
-    return out.select("slice_key", "slice_value", "day", "delta_exp")
+    return out.select("slice_key", "slice_value", "day", "level_rise")
 
 
 @query(

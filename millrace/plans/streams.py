@@ -9,7 +9,7 @@ from millrace.plans.bindings import TRAVEL, load, rounded, travel
 from millrace.plans.registry import query
 from millrace.session import scratch_path
 from millrace.sources.files import write_files
-from millrace.streaming.ingest import append_stream, ingest_folder, read_folder, refine_table, silver_users
+from millrace.streaming.ingest import Refinement, append_stream, ingest_folder, read_folder, refine_table
 from millrace.streaming.profile import windowed_profile
 from millrace.streaming.upsert import UpsertTable, upsert_stream
 
@@ -57,12 +57,34 @@ def stream_bronze(spark, sf):
     )
 
 
+@query(
+    "stream_rescued",
+    """SELECT event_id, user_id, '{"event_type":"' || event_type || '"}' AS rescued FROM events""",
+)
+def stream_rescued(spark, sf):
+    """Events as JSON files with a field that the schema does not name."""
+    folder = _land(spark, load(spark, sf, "events").select("event_id", "user_id", "event_type"), "json")
+    out = scratch_path(spark, "streamed")
+    _finish(append_stream(read_folder(spark, folder, "json", "event_id long, user_id long"), out, scratch_path(spark, "checkpoint")))
+    return spark.read.parquet(out).select("event_id", "user_id", F.col("_rescued_data").alias("rescued"))
+
+
 USER_FILE = (
     "id string, firstname string, lastname string, email string, creation_date string, last_activity_date string, "
     "gender double, age_group double, churn boolean"
 )
 
 
+CLOCK = ["MM-dd-yyyy HH:mm:ss"]
+SILVER_USERS = Refinement(
+    hashed=["email"],
+    capitalised=["firstname", "lastname"],
+    times={"creation_date": CLOCK, "last_activity_date": CLOCK},
+    casts={"age_group": "int", "gender": "int", "churn": "int"},
+    renamed={"id": "user_id"},
+)
+
+
 @query(
     "stream_silver",
     """SELECT CAST(c_custkey AS VARCHAR) AS user_id, upper(c_name[1:1]) || lower(c_name[2:]) AS firstname,
@@ -91,7 +113,7 @@ def stream_silver(spark, sf):
     bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
     _finish(ingest_folder(spark, _land(spark, users, "json"), "json", USER_FILE, bronze, scratch_path(spark, "checkpoint")))
     schema = T.StructType.fromDDL(USER_FILE + ", _rescued_data string")
-    _finish(refine_table(spark, bronze, schema, silver_users, silver, scratch_path(spark, "checkpoint")))
+    _finish(refine_table(spark, bronze, schema, SILVER_USERS, silver, scratch_path(spark, "checkpoint")))
     return spark.read.parquet(silver).select(
         "user_id",
         "firstname",

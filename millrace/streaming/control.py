@@ -1,31 +1,41 @@
-"""Finding, stopping and waiting for streams, always with a deadline."""
+"""Streams under a common name, handled together and always with a deadline."""
 
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
-def active_streams(spark: SparkSession, prefix: str = "") -> list[StreamingQuery]:
-    return [q for q in spark.streams.active if not prefix or (q.name or "").startswith(prefix)]
-
-
-def stop_streams(spark: SparkSession, prefix: str = "") -> int:
-    streams = active_streams(spark, prefix)
-    for q in streams:
-        q.stop()
-    return len(streams)
-
-
-def wait_for_streams(spark: SparkSession, prefix: str = "", timeout: float = 600) -> None:
-    """Wait until every stream has ended; a failed stream raises, so does the deadline."""
-    deadline = time.monotonic() + timeout
-    for q in active_streams(spark, prefix):
-        left = deadline - time.monotonic()
-        if left <= 0 or not q.awaitTermination(max(1, int(left))):
-            raise TimeoutError(f"stream {q.name or q.id} still active")
+@dataclass(frozen=True)
+class StreamGroup:
+    """The running streams whose names begin with ``prefix``; all running streams if it is empty."""
+
+    spark: SparkSession
+    prefix: str = ""
+
+    def running(self) -> dict[str, StreamingQuery]:
+        """By name, or by id where a stream has none."""
+        named = {q.name or str(q.id): q for q in self.spark.streams.active}
+        return {name: q for name, q in named.items() if name.startswith(self.prefix)}
+
+    def wait(self, timeout: float = 600) -> None:
+        """Wait until every stream has ended; a failed stream raises, so does the deadline."""
+        deadline = time.monotonic() + timeout
+        for name, q in self.running().items():
+            left = deadline - time.monotonic()
+            if left <= 0 or not q.awaitTermination(max(1, int(left))):
+                raise TimeoutError(f"stream {name} still active")
+
+    def end(self, timeout: float = 600) -> int:
+        """Stop the streams between two micro-batches and wait until they are gone; says how many there were."""
+        ending = self.running()
+        for q in ending.values():
+            q.stop()
+        self.wait(timeout)
+        return len(ending)
 
 
 def drain_and_stop(query: StreamingQuery) -> None:

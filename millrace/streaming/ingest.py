@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -31,20 +32,32 @@ def hinted_schema(spark: SparkSession, folder: str, fmt: str, hints: str, sample
 def read_folder(
     spark: SparkSession, folder: str, fmt: str, schema: str | T.StructType, max_files: int | None = None
 ) -> DataFrame:
-    """A folder of files as a stream; lines that do not fit the schema land in ``_rescued_data``.
+    """A folder of files as a stream; what does not fit the schema lands in ``_rescued_data``.
 
-    ``max_files`` caps the files of one micro-batch. Columns not in the schema are ignored.
+    That is the whole line if it cannot be read by the schema, and, for JSON lines, an object of the fields that the
+    schema does not name. CSV lines with more or fewer cells than the schema are kept whole. ``max_files`` caps the
+    files of one micro-batch.
     """
     shape = T.StructType.fromDDL(schema) if isinstance(schema, str) else T.StructType(list(schema.fields))
-    reader = spark.readStream.format(fmt)
-    if fmt in ("json", "csv"):
-        shape = shape.add(RESCUED, "string")
-        reader = reader.option("columnNameOfCorruptRecord", RESCUED).option("mode", "PERMISSIVE")
-    if fmt == "csv":
-        reader = reader.option("header", True)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.schema(shape).load(folder)
+    if fmt == "json":
+        return _json_lines(reader.format("text").load(folder), shape)
+    if fmt == "csv":
+        shape = shape.add(RESCUED, "string")
+        reader = reader.option("columnNameOfCorruptRecord", RESCUED).option("mode", "PERMISSIVE").option("header", True)
+    return reader.format(fmt).schema(shape).load(folder)
+
+
+def _json_lines(lines: DataFrame, shape: T.StructType) -> DataFrame:
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED}
+    known = F.array(*[F.lit(n) for n in shape.fieldNames()]).cast("array<string>")
+    row = F.from_json("value", T.StructType([*shape.fields, T.StructField(RESCUED, T.StringType())]), options)
+    others = F.map_filter(F.from_json("value", "map<string,string>"), lambda k, _: ~F.array_contains(known, k))
+    read = lines.filter(F.trim("value") != "").select(row.alias("r"), others.alias("others"))
+    rescued = F.coalesce(F.col(f"r.{RESCUED}"), F.when(F.size("others") > 0, F.to_json("others")))
+    return read.select(*[F.col("r")[n].alias(n) for n in shape.fieldNames()], rescued.alias(RESCUED))
 
 
 def append_stream(
@@ -88,33 +101,28 @@ def refine_table(
     return append_stream(change(read_table_stream(spark, bronze, schema)), table, checkpoint, name)
 
 
-# How the landing files write their times.
-USER_TIMES = ["MM-dd-yyyy H:mm:ss"]
-
-
-def silver_users(df: DataFrame) -> DataFrame:
-    """Rename, hash the email, parse times, capitalise names, cast codes, drop the rescued column."""
-    out = df.withColumnRenamed("id", "user_id").withColumns(
-        {
-            "email": F.sha1("email"),
-            "creation_date": parse_ts(F.col("creation_date"), USER_TIMES),
-            "last_activity_date": parse_ts(F.col("last_activity_date"), USER_TIMES),
-            "firstname": F.initcap("firstname"),
-            "lastname": F.initcap("lastname"),
-            "age_group": F.col("age_group").cast("int"),
-            "gender": F.col("gender").cast("int"),
-            "churn": F.col("churn").cast("int"),
-        }
-    )
-    return out.drop(RESCUED)
-
-
-def silver_orders(df: DataFrame) -> DataFrame:
-    out = df.withColumnRenamed("id", "order_id").withColumns(
-        {
-            "amount": F.col("amount").cast("int"),
-            "item_count": F.col("item_count").cast("int"),
-            "creation_date": parse_ts(F.col("transaction_date"), USER_TIMES),
-        }
-    )
-    return out.drop(RESCUED)
+@dataclass(frozen=True)
+class Refinement:
+    """What is done to the columns of a bronze table; names are those in it."""
+
+    hashed: Sequence[str] = ()
+    capitalised: Sequence[str] = ()
+    times: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    casts: Mapping[str, str] = field(default_factory=dict)
+    renamed: Mapping[str, str] = field(default_factory=dict)
+    dropped: Sequence[str] = (RESCUED,)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.select(*[self._column(c) for c in df.columns if c not in self.dropped])
+
+    def _column(self, name: str) -> Column:
+        out = F.col(name)
+        if name in self.hashed:
+            out = F.sha1(out)
+        if name in self.capitalised:
+            out = F.initcap(out)
+        if name in self.times:
+            out = parse_ts(out, self.times[name])
+        if name in self.casts:
+            out = out.cast(self.casts[name])
+        return out.alias(self.renamed.get(name, name))

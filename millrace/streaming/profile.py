@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def windowed_profile(df: DataFrame, ts: str, width: str, delay: str, value: str, slices: Sequence[str]) -> DataFrame:
@@ -25,10 +27,33 @@ def windowed_profile(df: DataFrame, ts: str, width: str, delay: str, value: str,
     return out.select(F.col("window.start").alias("window_start"), *slices, "count", "sum", "min", "max", "avg")
 
 
-def rows_too_late(query: StreamingQuery) -> int:
-    """Rows the watermark turned away so far, by the query's own progress reports."""
-    late = 0
-    for progress in query.recentProgress:
-        for op in progress["stateOperators"]:
-            late += op["numRowsDroppedByWatermark"]
-    return late
+class LateRows(StreamingQueryListener):
+    """Counts, from every progress report, the rows that watermarks turn away; add it before the streams start.
+
+    A query itself keeps its newest reports only.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: Counter = Counter()
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.dropped[str(event.progress.id)] += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.id))
+
+    def of(self, query: StreamingQuery, timeout: float = 30) -> int:
+        """Rows turned away so far; of a query that has ended all of them, its last report being waited for."""
+        until = time.monotonic() + timeout
+        while not query.isActive and str(query.id) not in self.ended:
+            if time.monotonic() > until:
+                raise TimeoutError("no report of the end of the stream")
+            time.sleep(0.05)
+        return self.dropped[str(query.id)]

@@ -30,7 +30,11 @@ class UpsertTable:
     order: tuple[str, ...]
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        rows = df.select(*self.schema.fieldNames()).dropDuplicates([*self.keys, *self.order])
+        named = [*self.keys, *self.order]
+        rest = [c for c in self.schema.fieldNames() if c not in named]
+        # of rows equal in key and order the largest, on every run
+        rows = df.groupBy(*named).agg(F.max(F.struct(*rest)).alias("_rest")) if rest else df.select(*named).distinct()
+        rows = rows.select(*[F.col(f"_rest.{c}").alias(c) if c in rest else c for c in self.schema.fieldNames()])
         rows.write.mode("overwrite").parquet(f"{self.path}/log/batch={batch_id}")
 
     def history(self, spark: SparkSession) -> DataFrame:
@@ -92,10 +96,16 @@ def upsert_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(batch, batch_id)
-        if publish:
+        if not publish:
+            table.write_batch(batch, batch_id)
+            return
+        batch.persist()  # two tables are written from it
+        try:
+            table.write_batch(batch, batch_id)
             serving = UpsertTable(publish, table.schema, table.keys, table.order)
             serving.write_batch(latest_per_key(batch, table.keys, table.order), batch_id)
+        finally:
+            batch.unpersist()
 
     writer = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     if name:

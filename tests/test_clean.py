@@ -14,7 +14,7 @@ from millrace.operators.clean import (
     one_hot,
     snake_name,
 )
-from millrace.operators.split import hash_split, sample_fixed, stratified_split
+from millrace.operators.split import hash_split, sample_fixed, sample_fraction, stratified_split
 
 
 def test_names(spark):
@@ -87,6 +87,10 @@ def test_splits_do_not_depend_on_layout(spark):
     assert rows(one) == rows(hash_split(df.repartition(9), ["id"], weights, 42))
     shares = {r["split"]: r["count"] / 2000 for r in one.groupBy("split").count().collect()}
     assert set(shares) == set(weights) and all(abs(shares[k] - weights[k]) < 0.05 for k in weights)
+    tiny = hash_split(spark.range(300_000), ["id"], {"most": 1 - 0.00004, "few": 0.00004}, 42)
+    assert 2 <= tiny.filter("split = 'few'").count() <= 40
+    part = sample_fraction(df, ["id"], 0.1, 3)
+    assert rows(part) == rows(sample_fraction(df.repartition(7), ["id"], 0.1, 3)) and 140 < part.count() < 260
     held = stratified_split(df, "y", "id", 0.1, 1)
     assert rows(held.filter("split = 'test'").groupBy("y").count()) == [("common", 180), ("rare", 20)]
     assert rows(held) == rows(stratified_split(df.repartition(3), "y", "id", 0.1, 1))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from millrace.functions.text import chunks, html_to_text, lead_sentences
+from millrace.functions.text import chunks, html_to_text, spread_sentences
 from millrace.operators import corpus
 from millrace.operators.retrieve import answer_batch, embed_text, knn, knn_lsh
 from millrace.sources.files import read_xml
@@ -23,7 +23,7 @@ def test_posts_to_documents(spark, scratch, tmp_path):
     path = tmp_path / "posts.xml"
     path.write_text(POSTS)
     posts = read_xml(spark, str(path), "row", "_Id long, _ParentId long, _Score long, _Body string")
-    text = corpus.posts_to_text(posts)
+    text = corpus.posts_to_text(posts, "_Id", "_ParentId", "_Body", "_Score").select("id", "body", "parent_id")
     assert rows(text, "id") == [(1, "How to prune ?", None), (2, "Cut & wait", 1), (4, "orphan", 99), (5, "Second?", None)]
     docs = corpus.qa_documents(corpus.qa_pairs(text))
     assert rows(docs) == [(2, "How to prune ?\n\nCut & wait")]
@@ -40,8 +40,22 @@ def test_text_functions(spark):
     parts = one(spark, chunks(F.lit(text), 100, 10))
     assert parts[0] + "".join(p[10:] for p in parts[1:]) == text and max(map(len, parts)) == 100
     assert one(spark, chunks(F.lit("short"), 100, 10)) == ["short"]
-    assert one(spark, lead_sentences(F.lit("One. Two. Three"), 12)) == "One. Two."
-    assert one(spark, lead_sentences(F.lit("no end here"), 5)) == "no en"
+    assert one(spark, spread_sentences(F.lit("One. Two. Three. Four"), 12)) == "One. Three."
+    assert one(spark, spread_sentences(F.lit("One. Two."), 12)) == "One. Two."
+    assert one(spark, spread_sentences(F.lit("no end here"), 5)) == "no end here"
+
+
+def test_html_references_and_quotes(spark):
+    page = """<p title="a > b" data-x='c > d'>caf&eacute; &#8217;&#x27;&mdash;&copy;2 &lt 3 &amp;amp; x<a href="unclosed>y</a> 1 < 2</p>"""
+    assert one(spark, html_to_text(F.lit(page))) == "caf\u00e9 \u2019'\u2014\u00a92 < 3 &amp; x y 1 < 2"
+    assert one(spark, html_to_text(F.lit(None).cast("string"))) is None
+
+
+def test_pages_keep_no_references(spark):
+    from conftest import SF
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select(html_to_text(F.col("html")).alias("t"))
+    assert pages.filter(F.col("t").rlike("&[A-Za-z]+;|&#")).count() == 0
 
 
 def test_prompts_keep_braces_of_texts(spark):

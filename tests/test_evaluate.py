@@ -88,8 +88,12 @@ def test_permutation_importance(spark):
     got = {r["feature"]: r for r in out.collect()}
     assert got["noise"]["importance"] == 0.0
     assert 0.35 < got["x"]["importance"] < 0.65
-    few = evaluate.permutation_importance(df, "id", ["x"], "y", lambda v: v["x"], sample=100).first()
-    assert few["accuracy"] == 1.0
+    assert got["x"]["accuracy"] == 1.0
+
+
+def test_log_loss_leaves_unknown_truth_out(spark):
+    df = spark.createDataFrame([(1, 0.9), (None, 0.9), (0, None)], "y int, p double")
+    assert evaluate.log_loss(df, "y", "p").first()["log_loss"] == pytest.approx(0.105360516)
 
 
 def test_gaussian_scores(spark):

@@ -29,4 +29,4 @@ def test_runs_without_sql(spark, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() == 1000
-    assert "mean_price_7d" in df.columns
+    assert "week_mean_price" in df.columns

@@ -7,9 +7,9 @@ import pytest
 from conftest import rows
 from millrace.operators.changes import latest_per_key
 from millrace.sources.feature_store import FeatureStore
-from millrace.streaming.control import active_streams, drain_and_stop, stop_streams, wait_for_streams
-from millrace.streaming.ingest import append_stream, hinted_schema, ingest_folder, read_folder, silver_orders
-from millrace.streaming.profile import rows_too_late, windowed_profile
+from millrace.streaming.control import StreamGroup, drain_and_stop
+from millrace.streaming.ingest import append_stream, hinted_schema, ingest_folder, read_folder, Refinement
+from millrace.streaming.profile import LateRows, windowed_profile
 from millrace.streaming.upsert import UpsertTable, feature_table_from_stream, upsert_stream
 
 SCHEMA = "k long, t long, v string"
@@ -35,8 +35,8 @@ def test_bronze_rescues_bad_lines_and_restarts(spark, scratch, tmp_path):
     finish(ingest_folder(spark, str(landing), "json", SCHEMA, table, checkpoint))
     finish(ingest_folder(spark, str(landing), "json", SCHEMA, table, checkpoint))
     out = spark.read.parquet(table)
-    assert rows(out.filter("_rescued_data is null").select("k", "t", "v")) == [(1, 1, "x"), (2, 2, "y"), (3, 3, "z")]
-    assert [r["_rescued_data"] for r in out.filter("_rescued_data is not null").collect()] == ["{broken"]
+    want = [(1, 1, "x", None), (2, 2, "y", '{"more":"1"}'), (3, 3, "z", None), (None, None, None, "{broken")]
+    assert rows(out.select("k", "t", "v", "_rescued_data")) == want
 
 
 def test_upsert_equals_batch_after_restart_replay_and_compaction(spark, scratch, tmp_path):
@@ -112,22 +112,36 @@ def test_late_rows_are_dropped_and_counted(spark, scratch, tmp_path):
     put(landing, "e.json", [record(500, 0.0)])
     df = read_folder(spark, str(landing), "json", "ts timestamp, v double, c string", max_files=1)
     out = windowed_profile(df, "ts", "10 minutes", "20 minutes", "v", ["c"])
-    table = scratch("windows")
+    table, late = scratch("windows"), LateRows()
+    spark.streams.addListener(late)
     query = append_stream(out, table, scratch("cp"))
     finish(query)
     got = spark.read.parquet(table).orderBy("window_start").collect()
     assert [(r["count"], r["sum"]) for r in got] == [(2, 3.0), (3, 6.0)]
-    assert rows_too_late(query) == 1
+    assert late.of(query) == 1
+    spark.streams.removeListener(late)
     batch = windowed_profile(
         spark.read.schema("ts timestamp, v double, c string").json(str(landing)), "ts", "10 minutes", "20 minutes", "v", ["c"]
     )
     assert batch.count() == 3
 
 
-def test_silver_orders(spark):
+def test_refinement(spark):
     df = spark.createDataFrame([("o", "u", "01-31-2024 10:00:00", 2.0, 30.0, None)], "id string, user_id string, transaction_date string, item_count double, amount double, _rescued_data string")
-    row = silver_orders(df).first()
-    assert (row["order_id"], row["amount"], row["item_count"], str(row["creation_date"])) == ("o", 30, 2, "2024-01-31 10:00:00")
+    clock = {"transaction_date": ["MM-dd-yyyy HH:mm:ss"]}
+    tidy = Refinement(times=clock, casts={"amount": "int", "item_count": "int"}, renamed={"id": "order_id", "transaction_date": "at"})
+    out = tidy(df)
+    assert out.columns == ["order_id", "user_id", "at", "item_count", "amount"]
+    row = out.first()
+    assert (row["order_id"], row["amount"], row["item_count"], str(row["at"])) == ("o", 30, 2, "2024-01-31 10:00:00")
+
+
+def test_equal_keys_in_a_batch_have_one_answer(spark, scratch):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for order in ([(1, 1, "a"), (1, 1, "b")], [(1, 1, "b"), (1, 1, "a")]):
+        table = UpsertTable(scratch("ties"), schema, ("k",), ("t",))
+        table.write_batch(spark.createDataFrame(order, SCHEMA), 0)
+        assert rows(table.read(spark)) == [(1, 1, "b")]
 
 
 def test_control(spark, scratch, tmp_path):
@@ -138,10 +152,11 @@ def test_control(spark, scratch, tmp_path):
         return append_stream(df, scratch("out"), scratch("cp"), name, {"processingTime": "1 second"})
 
     one, two = start("ctl_one"), start("ctl_two")
-    assert {q.name for q in active_streams(spark, "ctl_")} == {"ctl_one", "ctl_two"}
+    group = StreamGroup(spark, "ctl_")
+    assert set(group.running()) == {"ctl_one", "ctl_two"}
     with pytest.raises(TimeoutError):
-        wait_for_streams(spark, "ctl_", timeout=1)
+        group.wait(timeout=1)
     drain_and_stop(one)
-    assert stop_streams(spark, "ctl_") == 1
-    wait_for_streams(spark, "ctl_", timeout=5)
+    assert group.end(timeout=30) == 1
+    assert not group.running()
     assert not two.isActive
