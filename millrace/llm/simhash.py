@@ -179,13 +179,24 @@ def _probes(parts: list[tuple[list[int], int]]):
     """Every fingerprint's bucket keys: its own value of each part, and the values within the threshold."""
     out = []
     for i, (bits, t) in enumerate(parts):
+        free = F.lit(_mask(b for b in range(BITS) if b not in bits))
         for d in range(t + 1):
             for flipped in combinations(bits, d):
                 value = F.col("fp").bitwiseAND(_mask(bits)).bitwiseXOR(_mask(flipped)) if flipped else F.col("fp").bitwiseAND(_mask(bits))
-                out.append(F.struct(F.xxhash64(F.lit(i), value).alias("key"), F.lit(d == 0).alias("own"), F.lit(i).alias("part")))
+                out.append(F.struct(F.xxhash64(F.lit(i), value).alias("key"), F.lit(d == 0).alias("own"), free.alias("free")))
     return F.explode(F.array(*out))
 
 
+#: Times that crowded buckets are split; what is crowded still is compared as it is.
+ROUNDS = 6
+
+
+def _shares(round_: int, n: int) -> list[int]:
+    """The 64 bits dealt into n masks, otherwise in each round."""
+    order = np.random.default_rng(round_).permutation(BITS)
+    return [_mask(int(b) for b in order[j::n]) for j in range(n)]
+
+
 def linked(values: np.ndarray, own: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Star edges that join the same fingerprints as all links among the entries of a bucket."""
     n = len(values)
@@ -209,35 +220,25 @@ def linked(values: np.ndarray, own: np.ndarray, distance: int) -> list[tuple[int
 def links(distinct: DataFrame, distance: int = 2, hot: int = HOT) -> DataFrame:
     """Edges (a, b) that connect exactly the fingerprints connected by pairs at ``distance`` bits or fewer.
 
-    Buckets of more than ``hot`` entries are split by the bits outside their part: entries within ``distance`` agree
-    on one of ``distance + 1`` shares of those bits, so each entry goes to that many smaller buckets; again until
-    buckets are small or no bits are left. No pair is dropped.
+    Buckets of more than ``hot`` entries are split by the bits that may still differ: entries within ``distance`` agree
+    on one of ``distance + 1`` shares of those, so each entry goes to that many smaller buckets. No pair is dropped.
     """
     parts = plan_parts(distinct, distance)
     level = distinct.select("fp", _probes(parts).alias("k")).select("fp", "k.*")
     done = []
-    # what is still free to differ, by part; each round fixes one share of it
-    free = [[b for b in range(BITS) if b not in bits] for bits, _ in parts]
-    trail = [(F.col("part") == i, rest) for i, rest in enumerate(free)]
-    while True:
-        sizes = level.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("any"))
-        small = sizes.filter((F.col("n") > 1) & (F.col("n") <= hot) & F.col("any")).select("key")
-        if not any(len(rest) > distance for _, rest in trail):
-            small = sizes.filter((F.col("n") > 1) & F.col("any")).select("key")
-        done.append(level.join(small, "key").groupBy("key").agg(F.collect_list(F.struct("fp", "own")).alias("e")).select("e"))
-        if not any(len(rest) > distance for _, rest in trail) or not sizes.filter(F.col("n") > hot).limit(1).count():
+    for round_ in range(ROUNDS + 1):
+        sizes = level.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("any")).filter((F.col("n") > 1) & F.col("any"))
+        last = round_ == ROUNDS or not sizes.filter(F.col("n") > hot).limit(1).count()
+        small = sizes if last else sizes.filter(F.col("n") <= hot)
+        done.append(level.join(small.select("key"), "key").groupBy("key").agg(F.collect_list(F.struct("fp", "own")).alias("e")).select("e"))
+        if last:
             break
-        crowded = level.join(sizes.filter((F.col("n") > hot) & F.col("any")).select("key"), "key")
-        following, splits = [], []
-        for code, (is_part, rest) in enumerate(trail):
-            for j in range(distance + 1):
-                share = rest[j :: distance + 1]
-                key = F.xxhash64("key", F.lit(j), F.col("fp").bitwiseAND(_mask(share)))
-                number = len(following)
-                splits.append(F.when(is_part, F.struct(key.alias("key"), F.col("own").alias("own"), F.lit(number).alias("part"))))
-                following.append([b for b in rest if b not in share])
-        level = written(crowded.select("fp", F.explode(F.array_compact(F.array(*splits))).alias("k")).select("fp", "k.*"), "simhash-crowded")
-        trail = [(F.col("part") == i, rest) for i, rest in enumerate(following)]
+        crowded = level.join(sizes.filter(F.col("n") > hot).select("key"), "key")
+        splits = []
+        for j, share in enumerate(_shares(round_, distance + 1)):
+            key = F.xxhash64("key", F.lit(j), F.col("fp").bitwiseAND(F.col("free")).bitwiseAND(share))
+            splits.append(F.struct(key.alias("key"), F.col("own").alias("own"), F.col("free").bitwiseAND(~share).alias("free")))
+        level = written(crowded.select("fp", F.explode(F.array(*splits)).alias("k")).select("fp", "k.*"), "simhash-crowded")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
