@@ -26,13 +26,13 @@ from millrace.session import parallelism
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-DEPTH = 5
+DEPTH = 6
 #: Least share of all symbols that a context must precede; at most 1 / LEAST_SHARE contexts of a length exist.
-LEAST_SHARE = 1e-5
+LEAST_SHARE = 2e-6
 #: A context must gain this many nats a distinct next symbol, times the logarithm of its count, by being kept.
 GAIN = 0.5
 #: Weight of the shorter context in a longer one's distribution.
-SMOOTH = 2.0
+SMOOTH = 4.0
 CLASS_BITS, CLASSES = 6, 64
 SPACE, END = 26, 27
 
@@ -97,7 +97,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
             first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
             seen.append((part[first], np.diff(np.append(first, len(part)))))
             held += len(first)
-            if held > 4_000_000:
+            if held > 2_500_000:
                 seen = [summed()]
                 held = len(seen[0][0])
         if seen:
