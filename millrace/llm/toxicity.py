@@ -49,8 +49,10 @@ LOOK, DROP_SYMBOL, DROP_REPEAT, DROP_MARK = -1.0, -6.0, -0.7, -0.3
 
 WORDS = re.compile(r"[^\W\d_]+")
 _LOOK = "".join(map(re.escape, LOOKS))
-#: A look-alike next to a letter on its right, within a run of non-space.
-DISGUISED = re.compile(rf"[^\s]*[{_LOOK}]+[a-z][^\s]*|[^\s]*([a-z])\1\1[^\s]*")
+#: A look-alike next to a letter on its right, or a letter three times: the run of non-space around it is suspicious.
+HINT = re.compile(rf"[{_LOOK}][a-z]|([a-z])\1\1")
+RUN = re.compile(r"\S*")
+THRICE = re.compile(r"(.)\1\1")
 #: Three or more single characters set apart by one mark each.
 SPACED = re.compile(rf"(?<![^\s])(?:[a-z{_LOOK}][ .\-_*]){{2,}}[a-z{_LOOK}](?![^\s])")
 
@@ -116,8 +118,13 @@ class Restorer:
         """Distinct words of the restored text, with those of the plain text."""
         text = (text or "").lower()
         out = set(WORDS.findall(text))
-        for found in DISGUISED.finditer(text):
-            out.add(self.meant(found[0]))
+        at = 0
+        while found := HINT.search(text, at):
+            head = found.start()
+            while head > at and not text[head - 1].isspace():
+                head -= 1
+            at = RUN.match(text, found.start()).end()
+            out.add(self.meant(text[head:at]))
         for found in SPACED.finditer(text):
             out.add(self.meant(found[0]))
         out.discard("")
@@ -144,6 +151,8 @@ def character_counts(docs: DataFrame) -> np.ndarray:
             words: Counter = Counter()
             for text in batch.column(0):
                 words.update(WORDS.findall((text.as_py() or "").lower()))
+            for word in [w for w in words if THRICE.search(w)]:
+                del words[word]  # drawn out, not as spelled
             if words:
                 times = np.fromiter(words.values(), np.int64, len(words))
                 size = np.fromiter(map(len, words), np.int64, len(words))
@@ -183,12 +192,12 @@ class Signs:
 
     def __init__(self, precision: dict[str, float], rest: float):
         self.precision, self.rest = precision, rest
+        self.heads = {sign[: min(BEGINNINGS)] for sign in precision}
 
     def score(self, words: set[str]) -> float:
-        precision, wrong = self.precision, 1.0
-        for sign in signs_of(words):
-            if sign in precision:
-                wrong *= 1 - precision[sign]
+        heads, least, wrong = self.heads, min(BEGINNINGS), 1.0
+        for sign in signs_of({w for w in words if w[:least] in heads}) & self.precision.keys():
+            wrong *= 1 - self.precision[sign]
         return 1 - wrong * (1 - self.rest)
 
 
