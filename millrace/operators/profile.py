@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.running import TILE, pick_quantiles, running_totals, split_points, with_tile
+from millrace.session import parallelism
 
 TABLE = ":table"
 SLICE = ["slice_key", "slice_value"]
@@ -39,7 +41,11 @@ class Metric:
 
 @dataclass(frozen=True)
 class Monitor:
-    """What to profile, how to cut it, and what to compare it with."""
+    """What to profile, how to cut it, and what to compare it with.
+
+    Exact medians and distinct counts move every value once per window and slice. Without ``exact`` both come from
+    sketches, and no value moves.
+    """
 
     table_name: str
     columns: tuple[str, ...] | None = None
@@ -49,6 +55,7 @@ class Monitor:
     custom_metrics: tuple[Metric, ...] = ()
     baseline_table: str | None = None
     skip_analysis: bool = False
+    exact: bool = True
 
     def update(self, **changes) -> Monitor:
         """The same monitor with the named settings changed."""
@@ -106,12 +113,33 @@ def _is_numeric(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.NumericType)
 
 
+#: Wide enough for longs and for decimals of 28 digits and 10 places.
+FINE = T.DecimalType(38, 10)
+
+
+def _is_fine(dtype: T.DataType) -> bool:
+    """Whether doubles may not tell two values apart."""
+    if isinstance(dtype, T.DecimalType):
+        return dtype.scale <= FINE.scale and dtype.precision - dtype.scale <= FINE.precision - FINE.scale
+    return isinstance(dtype, T.LongType)
+
+
+def _digits(value: Column) -> Column:
+    """A decimal as text without trailing zeros."""
+    return F.regexp_replace(value.cast("string"), r"\.0*$|(\.\d*[1-9])0+$", "$1")
+
+
 def profile(df: DataFrame, monitor: Monitor) -> DataFrame:
     """One row per window, slice and column, plus the row count under ``:table``.
 
     Equal values are counted first, with map-side combine; counts, distinct counts, extremes, mean
     and exact median then all come from the counted values, so no slice has to fit in one task.
+
+    Values are told apart as they are; ``min``, ``max``, ``avg`` and ``median`` are doubles. For long and decimal columns
+    ``min_digits`` and ``max_digits`` hold the extremes in full.
     """
+    if not monitor.exact:
+        return profile_approx(df, monitor)
     skip = {monitor.timestamp_col}
     columns = list(monitor.columns or [c for c in df.columns if c not in skip])
     if len(columns) > COLUMNS_PER_PASS:
@@ -123,31 +151,31 @@ def profile(df: DataFrame, monitor: Monitor) -> DataFrame:
     for c in numeric:
         wide = with_tile(wide.withColumn(f"_num_{c}", F.col(c).cast("double")), f"_num_{c}", cuts[c], f"_tile_{c}")
     tagged, by = _tagged(wide, monitor)
-    entry = T.StructType().add("column_name", "string").add("num", "double").add("txt", "string").add(TILE, "double")
+    entry = T.StructType().add("column_name", "string").add("num", "double").add("fine", FINE).add("txt", "string").add(TILE, "double")
 
-    def cell(name, num, txt, tile):
+    def cell(name, num, fine, txt, tile):
         return F.struct(
-            F.lit(name).alias("column_name"), num.cast("double").alias("num"), txt.cast("string").alias("txt"),
-            tile.cast("double").alias(TILE),
+            F.lit(name).alias("column_name"), num.cast("double").alias("num"), fine.cast(FINE).alias("fine"),
+            txt.cast("string").alias("txt"), tile.cast("double").alias(TILE),
         ).cast(entry)
 
     none = F.lit(None)
-    cells = [cell(TABLE, none, none, F.lit(-1.0))]
+    cells = [cell(TABLE, none, none, none, F.lit(-1.0))]
     for c in columns:
         if c in numeric:
-            cells.append(cell(c, F.col(f"_num_{c}"), none, F.col(f"_tile_{c}")))
+            cells.append(cell(c, F.col(f"_num_{c}"), F.col(c) if _is_fine(types[c]) else none, none, F.col(f"_tile_{c}")))
         else:
             text = F.col(c).cast("string")
-            spread = -1.0 - F.pmod(F.xxhash64(text), F.lit(1024))
-            cells.append(cell(c, none, text, spread))
+            spread = -1.0 - F.pmod(F.xxhash64(text), F.lit(16 * parallelism(df.sparkSession)))
+            cells.append(cell(c, none, none, text, spread))
     keys = [*by, "column_name"]
     counts = (
         tagged.select(*by, F.inline(F.array(*cells)))
-        .groupBy(*keys, "num", "txt", TILE)
+        .groupBy(*keys, "num", "fine", "txt", TILE)
         .agg(F.count("*").alias("_n"))
         .withColumn("_w", F.when(F.col("num").isNotNull(), F.col("_n")).otherwise(F.lit(0).cast("long")))
     )
-    ranked = running_totals(counts, keys, ["num", "txt"], {"_upto": "_w"})
+    ranked = running_totals(counts, keys, ["num", "fine", "txt"], {"_upto": "_w"})
     present = F.col("num").isNotNull() | F.col("txt").isNotNull()
     at = (F.col("_upto_total") - 1) * F.lit(0.5)
 
@@ -165,6 +193,8 @@ def profile(df: DataFrame, monitor: Monitor) -> DataFrame:
         ((at_rank(F.floor(at)) + at_rank(F.ceil(at))) / 2).alias("median"),
         F.min("txt").alias("min_text"),
         F.max("txt").alias("max_text"),
+        _digits(F.min("fine")).alias("min_digits"),
+        _digits(F.max("fine")).alias("max_digits"),
     )
     names = F.create_map(
         *[x for c in columns for x in (F.lit(c), F.lit(types[c].simpleString()))], F.lit(TABLE), F.lit("table")
@@ -241,32 +271,43 @@ def _join_metrics(profiled, tagged, wanted, by):
 
 
 def profile_approx(df: DataFrame, monitor: Monitor) -> DataFrame:
-    """Sketch-based profile in one aggregate that moves no values, for tables too wide or unique to count."""
+    """The columns of ``profile`` in one aggregate that moves no values: distinct counts and medians are sketched."""
     columns = list(monitor.columns or [c for c in df.columns if c != monitor.timestamp_col])
     types = {f.name: f.dataType for f in df.schema.fields}
     tagged, by = _tagged(df, monitor)
-    aggs, rows = [F.count("*").alias("_rows")], []
+    aggs, none = [F.count("*").alias("_rows")], F.lit(None)
+
+    def row(name, kind, nulls, distinct, lo, hi, mean, median, first, last, least, most):
+        rows = F.col("_rows")
+        return F.struct(
+            F.lit(name).alias("column_name"), rows.alias("count"), nulls.cast("long").alias("num_nulls"), distinct.cast("long").alias("distinct_count"),
+            lo.cast("double").alias("min"), hi.cast("double").alias("max"), mean.cast("double").alias("avg"), median.cast("double").alias("median"),
+            first.cast("string").alias("min_text"), last.cast("string").alias("max_text"),
+            least.cast("string").alias("min_digits"), most.cast("string").alias("max_digits"), F.lit(kind).alias("data_type"),
+            (distinct * 100.0 / rows).cast("double").alias("percent_distinct"),
+        )
+
+    rows = [row(TABLE, "table", *[none] * 10)]
     for i, c in enumerate(columns):
-        number = F.col(c).cast("double") if _is_numeric(types[c]) else F.lit(None).cast("double")
+        numeric, fine = _is_numeric(types[c]), _is_fine(types[c])
+        number = F.col(c).cast("double") if numeric else none.cast("double")
+        text = F.col(c).cast(FINE) if fine else none.cast("string") if numeric else F.col(c).cast("string")
         aggs += [
             F.count(c).alias(f"_c{i}"),
             F.approx_count_distinct(c).alias(f"_d{i}"),
             F.min(number).alias(f"_lo{i}"),
             F.max(number).alias(f"_hi{i}"),
+            F.avg(number).alias(f"_av{i}"),
             F.percentile_approx(number, 0.5).alias(f"_md{i}"),
+            F.min(text).alias(f"_mi{i}"),
+            F.max(text).alias(f"_ma{i}"),
         ]
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col("_rows").alias("count"),
-                (F.col("_rows") - F.col(f"_c{i}")).alias("num_nulls"),
-                F.col(f"_d{i}").alias("distinct_count"),
-                F.col(f"_lo{i}").alias("min"),
-                F.col(f"_hi{i}").alias("max"),
-                F.col(f"_md{i}").alias("median"),
-            )
-        )
-    return tagged.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*rows)))
+        found = [F.col(f"_{n}{i}") for n in ("mi", "ma")]
+        ends = [none, none, *map(_digits, found)] if fine else [*found, none, none]
+        got = [F.col(f"_{n}{i}") for n in ("d", "lo", "hi", "av", "md")]
+        rows.append(row(c, types[c].simpleString(), F.col("_rows") - F.col(f"_c{i}"), *got, *ends))
+    out = tagged.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*rows)))
+    return add_metrics(out, tagged, monitor, by)
 
 
 def snapshot(df: DataFrame, monitor: Monitor, refresh_ts: str, log_type: str = "INPUT") -> DataFrame:
@@ -286,29 +327,62 @@ def touched_windows(rows: DataFrame, monitor: Monitor) -> DataFrame:
     return rows.select(F.inline(window_tags(monitor.timestamp_col, monitor.granularities))).distinct()
 
 
+#: Stretches of time that a refresh filters files by, at most; closer ones are read as one.
+STRETCHES = 200
+
+
+def _stretches(starts: Sequence, until: Sequence, most: int = STRETCHES) -> list[tuple]:
+    """Windows, in order, joined where they touch, and then across the smallest gaps until few are left."""
+    out: list[list] = []
+    for lo, hi in sorted(zip(starts, until)):
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(hi, out[-1][1])
+        else:
+            out.append([lo, hi])
+    while len(out) > most:
+        i = min(range(1, len(out)), key=lambda j: out[j][0] - out[j - 1][1])
+        out[i - 1 : i + 1] = [[out[i - 1][0], out[i][1]]]
+    return [tuple(x) for x in out]
+
+
 def refresh(old: DataFrame, table: DataFrame, new_rows: DataFrame, monitor: Monitor) -> DataFrame:
     """Recompute only the windows that new rows touched; keep the other profile rows as they are.
 
-    ``table`` already holds the new rows. Each granularity reads the rows of its touched windows;
-    the earliest of them is a plain filter on the time column, which reaches the files.
+    ``table`` already holds the new rows. Each granularity reads the rows of its touched windows: their stretches of
+    time are a plain filter on the time column, which reaches the files. The driver receives the touched windows, of
+    which there are as many as the time span holds, whatever the rows.
     """
     touched = touched_windows(new_rows, monitor)
-    starts = touched.groupBy("granularity").agg(F.min("window_start").cast("string").alias("lo")).collect()
-    earliest = {r["granularity"]: r["lo"] for r in starts}  # one row per granularity
-    if not earliest:
+    ts, kind = F.col(monitor.timestamp_col), table.schema[monitor.timestamp_col].dataType
+    found: dict[str, list] = {}
+    for r in touched.filter(F.col("window_start").isNotNull()).collect():
+        found.setdefault(r["granularity"], []).append(r["window_start"])
+    if not found:
         return old
     fresh = None
     for g in monitor.granularities:
         mine = touched.filter(F.col("granularity") == g).select(F.col("window_start").alias("_w"))
-        ts = F.col(monitor.timestamp_col)
-        rows = table.filter(ts >= F.lit(earliest[g]).cast(table.schema[monitor.timestamp_col].dataType))
-        rows = rows.withColumn("_w", window_start(ts, g)).join(mine, "_w", "left_semi")
+        starts = found.get(g, [])
+        near = F.lit(False)
+        for lo, hi in _stretches(starts, [_window_end(s, g) for s in starts]):
+            near = near | ((ts >= F.lit(lo).cast(kind)) & (ts < F.lit(hi).cast(kind)))
+        rows = table.filter(near).withColumn("_w", window_start(ts, g)).join(mine, "_w", "left_semi")
         part = profile(rows.drop("_w"), monitor.update(granularities=(g,)))
         fresh = part if fresh is None else fresh.unionByName(part)
     kept = old.join(touched, WINDOW, "left_anti").select(*old.columns)
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
+def _window_end(start, granularity: str):
+    """The first moment after the window that begins at ``start``."""
+    number, unit = granularity.split()
+    n, unit = int(number), unit.rstrip("s")
+    if unit in ("month", "year"):
+        months = start.year * 12 + start.month - 1 + n * (12 if unit == "year" else 1)
+        return start.replace(year=months // 12, month=months % 12 + 1)
+    return start + timedelta(seconds=n * UNIT_SECONDS[unit])
+
+
 def run(monitor: Monitor, tables: Mapping[str, DataFrame], refresh_ts: str | None = None) -> DataFrame | None:
     """Profile the monitored table and, if set, its baseline, told apart by ``log_type``."""
     if monitor.skip_analysis:

@@ -14,7 +14,6 @@ from millrace.operators.profile import (
     baseline_profile,
     describe,
     profile,
-    profile_approx,
     refresh,
     run,
     snapshot,
@@ -243,9 +242,42 @@ def profile_by_window(spark, sf):
     return _stats(_window_text(out), "granularity", "window_start")
 
 
-@query("profile_approx")
+@query(
+    "profile_approx",
+    f"""{SLICED}, v AS (
+      SELECT slice_key, slice_value, 'value' AS column_name, count(*) AS "count", count(*) - count(value) AS num_nulls,
+             min(value) AS min, max(value) AS max, round(avg(value), 6) AS avg FROM s GROUP BY ALL
+      UNION ALL SELECT slice_key, slice_value, ':table', count(*), NULL, NULL, NULL, NULL FROM s GROUP BY ALL)
+    SELECT *, true AS near FROM v""",
+)
 def profile_approx_query(spark, sf):
-    return profile_approx(load(spark, sf, "events"), SLICED_MONITOR)
+    """The exact parts of a sketched profile, and whether the sketched ones are within a tenth of the exact profile's."""
+    monitor = SLICED_MONITOR.update(columns=("value",), exact=False)
+    rows = load(spark, sf, "events")
+    keys = ["slice_key", "slice_value", "column_name"]
+    exact = profile(rows, monitor.update(exact=True)).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("median").alias("m"), F.col("distinct_count").alias("d"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+
+    def near(sketched, true):
+        return F.coalesce(F.abs(F.col(sketched) - F.col(true)) <= 0.1 * F.col(true) + 1, F.col(true).isNull())
+
+    out = profile(rows, monitor).join(exact, same).withColumn("near", near("median", "m") & near("distinct_count", "d"))
+    return out.select(*keys, "count", "num_nulls", "min", "max", *rounded("avg", digits=6), "near")
+
+
+LONG_KEY = "1152921504606846976 + l_orderkey * 8 + l_linenumber"
+
+
+@query(
+    "profile_long_keys",
+    f"""SELECT count(*) AS "count", count(DISTINCT {LONG_KEY}) AS distinct_count, min({LONG_KEY})::VARCHAR AS min_digits,
+               max({LONG_KEY})::VARCHAR AS max_digits FROM lineitem""",
+)
+def profile_long_keys(spark, sf):
+    """Keys that doubles cannot tell apart."""
+    rows = load(spark, sf, "lineitem").select(F.expr(LONG_KEY).alias("key"))
+    out = profile(rows, Monitor("lineitem", ("key",))).filter("column_name = 'key'")
+    return out.select("count", "distinct_count", "min_digits", "max_digits")
 
 
 ORDERS_PLAIN = Monitor("orders", ("o_totalprice", "o_orderstatus"))
@@ -423,8 +455,12 @@ def metric_percentile(spark, sf):
     return out.select("event_type", *rounded("percentile_90", "percentile_10", digits=6))
 
 
-@query("metric_percentile_approx")
+@query(
+    "metric_percentile_approx",
+    f"{SLICED} SELECT slice_key, slice_value, count(*) AS n, true AS near FROM s GROUP BY ALL",
+)
 def metric_percentile_approx(spark, sf):
+    """Whether sketched quartiles lie within a hundredth of the rows of the exact ones."""
     approx = Metric(
         "aggregate",
         "quartiles",
@@ -432,8 +468,18 @@ def metric_percentile_approx(spark, sf):
         "percentile_approx(`{{column_name}}`, array(0.25, 0.5, 0.75))",
         T.ArrayType(T.DoubleType()),
     )
-    out = profile(load(spark, sf, "events"), SLICED_MONITOR.update(custom_metrics=(approx,)))
-    return out.filter("column_name = 'value'").select("slice_key", "slice_value", "quartiles")
+    ranks = Metric(
+        "aggregate",
+        "bounds",
+        ("value",),
+        "percentile(`{{column_name}}`, array(0.24, 0.26, 0.49, 0.51, 0.74, 0.76))",
+        T.ArrayType(T.DoubleType()),
+    )
+    out = profile(load(spark, sf, "events"), SLICED_MONITOR.update(custom_metrics=(approx, ranks)))
+    inside = F.lit(True)
+    for i in range(3):
+        inside = inside & F.col("quartiles")[i].between(F.col("bounds")[2 * i], F.col("bounds")[2 * i + 1])
+    return out.filter("column_name = 'value'").select("slice_key", "slice_value", F.col("count").alias("n"), inside.alias("near"))
 
 
 DESCRIBED = {"l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "l_discount": "l_discount"}

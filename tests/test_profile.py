@@ -136,3 +136,41 @@ def test_drift_without_baseline_rows(spark):
     assert (n["mean_shift"], n["ks_distance"], n["psi"]) == (None, None, None)
     assert categorical_drift(df, df.limit(0), ["c"]).first()["total_variation"] is None
     assert numeric_drift(df.limit(0), df.limit(0), ["v"]).count() == 0
+
+
+def test_longs_and_decimals_are_told_apart(spark):
+    rows = spark.range(100).selectExpr("id + 1152921504606846976 AS k", "cast(id as decimal(28,10)) / 10000000 AS d")
+    got = {r["column_name"]: r for r in profile(rows.withColumn("d", F.col("d").cast("decimal(28,10)")), Monitor("t")).collect()}
+    assert got["k"]["distinct_count"] == 100 and got["k"]["percent_distinct"] == 100.0
+    assert (got["k"]["min_digits"], got["k"]["max_digits"]) == ("1152921504606846976", "1152921504606847075")
+    assert got["d"]["distinct_count"] == 100 and got["d"]["max_digits"] == "0.0000099"
+
+
+def test_sketched_profile_has_the_same_columns(spark):
+    monitor = Monitor("t", custom_metrics=(Metric("aggregate", "total", ("x",), "sum(`{{column_name}}`)"),))
+    exact, sketched = (profile(small(spark), monitor.update(exact=e)) for e in (True, False))
+    assert set(exact.columns) == set(sketched.columns)
+    one, two = ({(r["column_name"]): (r["count"], r["num_nulls"], r["min"], r["max"], r["min_text"], r["total"]) for r in d.collect()} for d in (exact, sketched))
+    assert one == two
+
+
+def test_refresh_reads_touched_stretches_only(spark):
+    from datetime import datetime
+
+    from millrace.operators.profile import _stretches
+
+    days = [datetime(2000, 1, 1), datetime(2024, 5, 1), datetime(2024, 5, 2)]
+    ends = [datetime(2000, 1, 2), datetime(2024, 5, 2), datetime(2024, 5, 3)]
+    assert _stretches(days, ends) == [(days[0], ends[0]), (days[1], ends[2])]
+    assert _stretches(days, ends, 1) == [(days[0], ends[2])]
+    rows = spark.range(3000).selectExpr("timestamp_ntz'2000-01-01' + make_interval(0, 0, 0, cast(id as int)) AS ts", "id AS x")
+    monitor = Monitor("t", ("x",), "ts", ("1 day", "1 month"))
+    late = rows.filter("id in (3, 2900)")
+    before = profile(rows.filter("id not in (3, 2900)"), monitor)
+    out = refresh(before, rows, late, monitor)
+    again = profile(rows, monitor)
+    key = ["granularity", "window_start", "column_name", "count", "distinct_count", "max"]
+    assert sorted(map(str, out.select(key).collect())) == sorted(map(str, again.select(key).collect()))
+    # nothing between the two late days is read for the daily windows
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "2000-01-05" in plan and "2007-12-10" in plan
