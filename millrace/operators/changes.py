@@ -38,6 +38,17 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return kept.unionByName(fresh).unionByName(source.filter(~known).select(*target.columns))
 
 
+def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows; two of one key stop the job that reads them."""
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    row = F.first(F.struct(*[F.col(c) for c in rest])) if rest else F.count("*")
+    single = df.groupBy(*keys).agg(F.count("*").alias("_n"), row.alias("_row"))
+    message = F.concat(F.lit("several rows for key "), F.to_json(F.struct(*keys)))
+    checked = single.filter(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return checked.select(*[F.col("_row").getField(c).alias(c) if c in rest else F.col(c) for c in df.columns])
+
+
 def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with the number of rows."""
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") > 1)

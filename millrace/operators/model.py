@@ -73,30 +73,51 @@ def train(
         rows.unpersist()
 
 
+def logistic_sql(coefficients: Mapping[str, float], intercept: float) -> str:
+    """A fitted logistic model as an SQL expression over its feature columns."""
+    terms = [repr(float(intercept)) + "D", *[f"{float(w)!r}D * `{name}`" for name, w in coefficients.items()]]
+    return f"1 / (1 + exp(-({' + '.join(terms)})))"
+
+
 def logistic_column(coefficients: Mapping[str, float], intercept: float) -> Column:
-    """A fitted logistic model as a plain expression over its feature columns."""
-    z = F.lit(float(intercept))
-    for name, weight in coefficients.items():
-        z = z + F.lit(float(weight)) * F.col(name)
-    return 1 / (1 + F.exp(-z))
+    return F.expr(logistic_sql(coefficients, intercept))
 
 
-def as_column(trained: Trained) -> Column:
-    """The trained logistic model as an expression, usable in batch, streams and SQL."""
-    weights = dict(zip(trained.features, trained.model.coefficients.toArray(), strict=True))
-    return logistic_column(weights, trained.model.intercept)
+def tree_sql(trained: Trained) -> str:
+    """A fitted boosted-tree model as an SQL expression: the weighted trees, each a nest of conditions, then the link."""
+    trees = [f"{float(w)!r}D * ({_branch(t._java_obj.rootNode(), trained.features)})" for t, w in zip(trained.model.trees, trained.model.treeWeights)]
+    return f"1 / (1 + exp(-2 * ({' + '.join(trees)})))"
 
 
-def register_sql(spark: SparkSession, name: str, trained: Trained) -> None:
-    """Make the trained logistic model callable from SQL, features in the order of training."""
-    weights, intercept = trained.model.coefficients.toArray(), float(trained.model.intercept)
+def _branch(node, features: Sequence[str]) -> str:
+    if node.getClass().getSimpleName() == "LeafNode":
+        return f"{float(node.prediction())!r}D"
+    split = node.split()
+    if split.getClass().getSimpleName() != "ContinuousSplit":
+        raise ValueError("only splits of numbers can be written as SQL")
+    test = f"`{features[split.featureIndex()]}` <= {float(split.threshold())!r}D"
+    return f"CASE WHEN {test} THEN {_branch(node.leftChild(), features)} ELSE {_branch(node.rightChild(), features)} END"
+
 
-    @F.pandas_udf("double")
-    def probability(*columns: pd.Series) -> pd.Series:
-        z = sum((c * w for c, w in zip(columns, weights, strict=True)), start=0.0) + intercept
-        return 1 / (1 + np.exp(-z))
+def as_sql(trained: Trained) -> str:
+    """The trained model's probability as SQL over its feature columns, for batch, streams and the feature store."""
+    if hasattr(trained.model, "coefficients"):
+        return logistic_sql(dict(zip(trained.features, trained.model.coefficients.toArray(), strict=True)), trained.model.intercept)
+    return tree_sql(trained)
 
-    spark.udf.register(name, probability)
+
+def as_column(trained: Trained) -> Column:
+    """The trained model's probability as a column expression."""
+    return F.expr(as_sql(trained))
+
+
+def register_sql(spark: SparkSession, name: str, trained: Trained) -> None:
+    """Make the trained model callable from SQL, features in the order of training: a function that is an expression."""
+    body, names = as_sql(trained), [f"x{i}" for i in range(len(trained.features))]
+    for feature, argument in zip(trained.features, names):
+        body = body.replace(f"`{feature}`", argument)
+    arguments = ", ".join(f"{n} DOUBLE" for n in names)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS DOUBLE RETURN {body}")
 
 
 def score_table(df: DataFrame, probability: Column, threshold: float = 0.5) -> DataFrame:

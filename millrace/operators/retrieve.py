@@ -27,39 +27,30 @@ QUERY_SLICE = 512
 HIT_BYTES = 64
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best scores, smaller id first among equals."""
-    if len(scores) > 4 * k:
-        floor = np.partition(scores, len(scores) - k)[len(scores) - k]
-        at = np.flatnonzero(scores >= floor)
-    else:
-        at = np.arange(len(scores))
-    return at[np.lexsort((ids[at], -scores[at]))[:k]]
-
-
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def _hits(q_ids, q, ids, x, k, exclude_self, same_bucket=None) -> pd.DataFrame:
-    """Best corpus rows of one batch for every query, queries taken a few hundred at a time."""
-    owners, found, values = [np.array([], dtype=np.int64)], [np.array([], dtype=np.int64)], [np.array([])]
+def _hits(q_ids, q, ids, x, k, exclude_self) -> pd.DataFrame:
+    """Best corpus rows of one batch for every query, ties by smaller id, queries taken a few hundred at a time."""
+    found = []
     for at in range(0, len(q_ids), QUERY_SLICE):
         part = slice(at, at + QUERY_SLICE)
         scores = np.round(q[part] @ x.T, 9)
-        mask = same_bucket(part) if same_bucket else None
-        for i, qid in enumerate(q_ids[part]):
-            allowed = np.ones(len(ids), dtype=bool) if mask is None else mask[i]
-            if exclude_self:
-                allowed = allowed & (ids != qid)
-            rows = np.flatnonzero(allowed)
-            if len(rows):
-                rows = rows[_best(scores[i, rows], ids[rows], k)]
-                owners.append(np.full(len(rows), qid))
-                found.append(ids[rows])
-                values.append(scores[i, rows])
-    parts = {"query_id": owners, "vec_id": found, "score": values}
-    return pd.DataFrame({name: np.concatenate(v) for name, v in parts.items()}).astype(HIT_TYPES)
+        allowed = np.isfinite(scores)
+        if exclude_self:
+            allowed &= q_ids[part, None] != ids[None, :]
+        if len(ids) > k:
+            floor = np.partition(np.where(allowed, scores, -np.inf), len(ids) - k, axis=1)[:, len(ids) - k]
+            allowed &= scores >= floor[:, None]
+        row, col = np.nonzero(allowed)
+        order = np.lexsort((ids[col], -scores[row, col], row))
+        row, col = row[order], col[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        row, col = row[place < k], col[place < k]
+        found.append((q_ids[part][row], ids[col], scores[row, col]))
+    parts = [np.concatenate([f[i] for f in found]) if found else np.array([]) for i in range(3)]
+    return pd.DataFrame(dict(zip(HIT_TYPES, parts, strict=True))).astype(HIT_TYPES)
 
 
 def _merge_best(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
@@ -97,20 +88,21 @@ def knn(
     k: int,
     exclude_self: bool = False,
     strategy: str = "auto",
-    buckets: Buckets | None = None,
 ) -> DataFrame:
     """The k corpus vectors with the largest dot product for each query, ties by smaller id.
 
     ``queries`` has (query_id, vector), ``corpus`` (vec_id, vector). Every pair is looked at, but
     none is written: a task keeps its k best per query. Queries go to all tasks while they are
-    smaller than ``QUERY_BYTES``; beyond that both sides are cut into blocks that meet pairwise.
+    smaller than ``QUERY_BYTES``; beyond that both sides are cut into blocks that meet pairwise. Null vectors take no
+    part.
     """
+    queries, corpus = queries.filter(F.col("vector").isNotNull()), corpus.filter(F.col("vector").isNotNull())
     if strategy == "auto":
         strategy = "broadcast" if query_bytes(queries) <= QUERY_BYTES else "blocks"
     if strategy == "broadcast":
-        return _top(_knn_broadcast(queries, corpus, k, exclude_self, buckets), k)
+        return _top(_knn_broadcast(queries, corpus, k, exclude_self), k)
     if strategy == "blocks":
-        return _top(_knn_blocks(queries, corpus, k, exclude_self, buckets), k)
+        return _top(_knn_blocks(queries, corpus, k, exclude_self), k)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -134,30 +126,19 @@ class Buckets:
         return sides @ (1 << np.arange(self.bits))
 
 
-def _kernel(k: int, exclude_self: bool, buckets: Buckets | None):
+def _kernel(k: int, exclude_self: bool):
     """Best corpus rows of one batch for given queries, as a function of both."""
 
     def run(q_ids: np.ndarray, q: np.ndarray, pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, x = pdf["vec_id"].to_numpy(), _matrix(pdf["vector"])
-        if buckets is None:
-            return _hits(q_ids, q, ids, x, k, exclude_self)
-        sig_q, sig = buckets.signatures(q), buckets.signatures(x)
-
-        def same_bucket(part: slice) -> np.ndarray:
-            found = np.zeros((len(sig_q[part]), len(x)), dtype=bool)
-            for band in range(buckets.bands):
-                found |= sig_q[part, band][:, None] == sig[:, band][None, :]
-            return found
-
-        return _hits(q_ids, q, ids, x, k, exclude_self, same_bucket)
+        return _hits(q_ids, q, pdf["vec_id"].to_numpy(), _matrix(pdf["vector"]), k, exclude_self)
 
     return run
 
 
-def _knn_broadcast(queries, corpus, k, exclude_self, buckets=None):
+def _knn_broadcast(queries, corpus, k, exclude_self):
     q_ids, q = _collected(queries)
     shared = queries.sparkSession.sparkContext.broadcast((q_ids, q))
-    run = _kernel(k, exclude_self, buckets)
+    run = _kernel(k, exclude_self)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids_q, mat = shared.value
@@ -167,7 +148,7 @@ def _knn_broadcast(queries, corpus, k, exclude_self, buckets=None):
     return corpus.select("vec_id", "vector").mapInPandas(scan, HITS)
 
 
-def _knn_blocks(queries, corpus, k, exclude_self, buckets=None, block_rows: int | None = None):
+def _knn_blocks(queries, corpus, k, exclude_self, block_rows: int | None = None):
     block_rows = block_rows or BLOCK_ROWS
     n_q = max(1, -(-queries.count() // block_rows))
     n_c = max(1, -(-corpus.count() // block_rows))
@@ -177,14 +158,19 @@ def _knn_blocks(queries, corpus, k, exclude_self, buckets=None, block_rows: int
     right = corpus.withColumn("_cb", F.pmod(F.xxhash64("vec_id"), F.lit(n_c))).withColumn(
         "_qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)).cast("array<bigint>"))
     )
-    run = _kernel(k, exclude_self, buckets)
+    return left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(_meeting(k, exclude_self), HITS)
+
+
+def _meeting(k: int, exclude_self: bool):
+    """Best corpus rows for the queries of a group, as a function of both sides."""
+    run = _kernel(k, exclude_self)
 
     def meet(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
         if len(qs) == 0 or len(cs) == 0:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(HIT_TYPES)
         return run(qs["query_id"].to_numpy(), _matrix(qs["vector"]), cs)
 
-    return left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(meet, HITS)
+    return meet
 
 
 def knn_lsh(
@@ -196,15 +182,39 @@ def knn_lsh(
     bits: int = 6,
     seed: int = 42,
     exclude_self: bool = False,
-    strategy: str = "auto",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Approximate variant: ranks only vectors that share a bucket with the query in some band.
 
-    Nothing is capped: a full bucket is looked at whole, at no more than the cost of the exact scan.
+    Both sides are joined by band and signature, so no pair outside a bucket is formed. A bucket with more than
+    ``block_rows`` rows on a side is split, the parts of each side meeting those of the other; nothing is capped.
     What is approximate is the choice of buckets.
     """
-    planes = np.random.default_rng(seed).standard_normal((dim, bands * bits))
-    return knn(queries, corpus, k, exclude_self, strategy, Buckets(planes, bands, bits))
+    buckets = Buckets(np.random.default_rng(seed).standard_normal((dim, bands * bits)), bands, bits)
+
+    @F.pandas_udf("array<long>")
+    def signatures(vectors: pd.Series) -> pd.Series:
+        return pd.Series(list(buckets.signatures(_matrix(vectors)))) if len(vectors) else pd.Series([], dtype=object)
+
+    def dealt(df: DataFrame, key: str) -> DataFrame:
+        known = df.filter(F.col("vector").isNotNull()).withColumn("_sigs", signatures("vector"))
+        # columns of its own, as both sides may come from one table
+        return known.select(F.col(key).alias(key), F.col("vector").alias("vector"), F.posexplode("_sigs").alias("_band", "_sig"))
+
+    at = ["_band", "_sig"]
+    left, right = dealt(queries, "query_id"), dealt(corpus, "vec_id")
+    parts = lambda side, name: side.groupBy(*at).agg(F.ceil(F.count("*") / F.lit(block_rows)).alias(name))
+    sizes = parts(left, "_nq").join(parts(right, "_nc"), at)
+
+    def split(side: DataFrame, key: str, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(n_other) - 1))
+        return side.join(sizes, at).withColumn(own, F.pmod(F.xxhash64(key), F.col(n_own))).withColumn(other, every).drop("_nq", "_nc")
+
+    left = split(left, "query_id", "_qb", "_nq", "_cb", "_nc")
+    right = split(right, "vec_id", "_cb", "_nc", "_qb", "_nq")
+    group = [*at, "_qb", "_cb"]
+    hits = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(_meeting(k, exclude_self), HITS)
+    return _top(hits.dropDuplicates(["query_id", "vec_id"]), k)
 
 
 def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
@@ -246,14 +256,15 @@ def answer_batch(
     # There are k hits per question and no more: few enough hits go to the texts, not the other way.
     if questions.count() * k * HIT_BYTES <= QUERY_BYTES:
         hits = F.broadcast(hits)
-    with_text = texts.join(hits, "vec_id")
-    found = with_text.groupBy("query_id").agg(  # at most k entries per question
+    texts = texts.join(hits, "vec_id").select("query_id", "vec_id", "text")
+    # a hit without text is still a source
+    found = hits.join(texts, ["query_id", "vec_id"], "left").groupBy("query_id").agg(  # at most k entries per question
         F.sort_array(F.collect_list(F.struct("rank", "vec_id", "text"))).alias("_found")
     )
     rows = questions.select("query_id", "question").join(found, "query_id", "left")
     rows = rows.withColumns(
         {
-            "_context": F.transform("_found", lambda x: x["text"]),
+            "_context": F.array_compact(F.transform("_found", lambda x: x["text"])),
             "sources": F.transform("_found", lambda x: x["vec_id"].cast("string")),
         }
     )

@@ -190,15 +190,39 @@ def knn_lsh_query(spark, sf):
     return knn_lsh(queries, vectors, 5, 64)
 
 
-@query("tfidf_vectors")
+@query(
+    "knn_lsh_recall",
+    "SELECT count(*) AS queries, true AS found_most, true AS all_true_scores FROM embeddings WHERE vec_id % 50 = 0",
+)
+def knn_lsh_recall(spark, sf):
+    """Every 50th vector against all: do buckets find nine in ten of the true nearest five, and never a wrong score?"""
+    vectors = load(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    queries = vectors.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    exact = knn(queries, vectors, 5, exclude_self=True)
+    near = knn_lsh(queries, vectors, 5, 64, bands=32, bits=4, exclude_self=True)
+    both = exact.join(near.select("query_id", "vec_id", F.col("score").alias("s")), ["query_id", "vec_id"], "left")
+    return both.agg(
+        F.countDistinct("query_id").alias("queries"),
+        (F.count("s") >= 0.9 * F.count("*")).alias("found_most"),
+        (F.count(F.when(F.abs(F.col("s") - F.col("score")) > 1e-6, 1)) == 0).alias("all_true_scores"),
+    )
+
+
+@query(
+    "tfidf_vectors",
+    """SELECT doc_id, 256 AS dim, CASE WHEN regexp_matches(text, '\\S') THEN 1.0 ELSE 0.0 END::DOUBLE AS norm FROM documents""",
+)
 def tfidf_vectors(spark, sf):
-    return embed_text(load(spark, sf, "documents"), "doc_id", "text")
+    """Length and norm of each text's vector."""
+    rows = embed_text(load(spark, sf, "documents"), "doc_id", "text")
+    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
+    return rows.select("doc_id", F.size("vector").alias("dim"), F.round(F.sqrt(square), 6).alias("norm"))
 
 
 QA_TEMPLATE = "Use these paragraphs.\n{context}\nQuestion: {question}\nResponse:"
 ANSWERS = f"""
 WITH {CENTROIDS},
-hits AS (SELECT t.query_id, t.rank, t.vec_id, d.text FROM top t JOIN documents d ON d.doc_id = t.vec_id
+hits AS (SELECT t.query_id, t.rank, t.vec_id, d.text FROM top t LEFT JOIN documents d ON d.doc_id = t.vec_id
          WHERE t.rank <= 2)
 SELECT q.query_id, 'What is typical of label ' || q.query_id || '?' AS question,
        'Use these paragraphs.' || chr(10) || coalesce(string_agg(h.text, chr(10) || chr(10) ORDER BY h.rank), '') || chr(10)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from millrace.plans.bindings import TRAVEL, load, rounded, travel
 from millrace.plans.registry import query
 from millrace.session import scratch_path
+from millrace.sources.feature_store import FeatureStore
 from millrace.sources.files import write_files
 from millrace.streaming.ingest import Refinement, append_stream, ingest_folder, read_folder, refine_table
 from millrace.streaming.profile import windowed_profile
@@ -149,6 +150,22 @@ def stream_upsert(spark, sf):
     return out.select("destination_id", F.col("booking_date").cast("string").alias("booking_date"), "id", *rounded("price"))
 
 
+@query(
+    "store_publish_stream",
+    """SELECT user_id, event_id, round(value, 4) AS value FROM
+       (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+)
+def store_publish_stream(spark, sf):
+    """Events stream into a feature table, and each batch publishes its newest row per user."""
+    rows = load(spark, sf, "events").select("user_id", "ts", "event_id", "value")
+    store = FeatureStore(spark, scratch_path(spark, "features"))
+    store.create_table("latest", "user_id", ["ts", "event_id"], schema=rows.schema)
+    df = read_folder(spark, _land(spark, rows, "json"), "json", rows.schema, max_files=2)
+    served = scratch_path(spark, "served")
+    _finish(store.write_stream("latest", df, scratch_path(spark, "checkpoint"), publish=served))
+    return store.read_published("latest", served).select("user_id", "event_id", *rounded("value"))
+
+
 @query(
     "stream_profile",
     """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS "count", round(sum(value), 3) AS sum,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.changes import delete_where, insert, latest_per_key, merge_upsert, pk_violations
 from millrace.operators.clean import stamp
+from millrace.operators.lookup import FeatureLookup
 from millrace.plans.bindings import TRAVEL, load, rounded, travel
 from millrace.plans.registry import query
 from millrace.session import scratch_path
@@ -15,7 +16,9 @@ from millrace.sources.files import (
     read_csv,
     read_json,
     read_xml,
-    save_table,
+    append_table,
+    replace_table,
+    table,
     union_all,
     write_files,
     write_table,
@@ -76,14 +79,20 @@ def scan_xml(spark, sf):
     )
 
 
-@query("scan_table", "SELECT c_custkey, c_mktsegment, c_nationkey FROM customer")
+@query(
+    "scan_table",
+    """SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 2 = 1 THEN c_nationkey END AS c_nationkey FROM customer""",
+)
 def scan_table(spark, sf):
+    """A catalog table, replaced with other columns, appended to with a new one, replaced from itself, and read by name."""
     path = scratch_path(spark, "table")
     rows = load(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     name = "millrace_" + path[-32:]
-    out = save_table(rows, name, path)
-    spark.sql(f"DROP TABLE {name}")  # the files outside the warehouse stay
-    return spark.read.schema(out.schema).parquet(path)
+    replace_table(rows.limit(5), name, path)
+    replace_table(rows.drop("c_nationkey").filter("c_custkey % 2 = 0"), name, path)
+    append_table(rows.filter("c_custkey % 2 = 1"), name)  # brings a column
+    create_table_as(spark, name, path, f"SELECT c_custkey, c_mktsegment, c_nationkey FROM {name}")
+    return table(spark, name)
 
 
 @query(
@@ -186,6 +195,43 @@ def feature_upsert(spark, sf):
     )
 
 
+STORE_LABELS = """
+labels AS (SELECT event_id AS id, user_id, ts, event_type = 'purchase' AS bought FROM events WHERE event_id % 5 = 0),
+features AS (SELECT user_id, CAST(ts AS DATE)::TIMESTAMP AS day, count(*) AS visits, max(value) AS top FROM events GROUP BY ALL),
+found AS (
+  SELECT l.id, l.user_id, l.bought, f.visits, f.top FROM labels l ASOF LEFT JOIN features f ON l.user_id = f.user_id AND l.ts >= f.day)"""
+
+
+def _store(spark, sf):
+    """A store with a daily table per user, and every fifth event as a label row."""
+    events = load(spark, sf, "events")
+    day = F.col("ts").cast("date").cast("timestamp_ntz").alias("day")
+    daily = events.groupBy("user_id", day).agg(F.count("*").alias("visits"), F.max("value").alias("top"))
+    store = FeatureStore(spark, scratch_path(spark, "features"))
+    store.create_table("daily", "user_id", "day", df=daily)
+    labels = events.filter("event_id % 5 = 0").select(F.col("event_id").alias("id"), "user_id", "ts", (F.col("event_type") == "purchase").alias("bought"))
+    return store, labels, [FeatureLookup("daily", "user_id", ["visits", "top"], "ts")]
+
+
+@query("store_training_set", f"WITH {STORE_LABELS} SELECT id, bought, visits, round(top, 4) AS top FROM found")
+def store_training_set(spark, sf):
+    """A training set on a table of the store, by its name."""
+    store, labels, lookups = _store(spark, sf)
+    return store.create_training_set(labels, lookups, "bought", ["user_id", "ts"]).load_df().withColumn("top", F.round("top", 4))
+
+
+@query(
+    "store_score_batch",
+    f"WITH {STORE_LABELS} SELECT id, user_id, visits, round(1 / (1 + exp(-(0.25 * visits - 2))), 9) AS prediction FROM found",
+)
+def store_score_batch(spark, sf):
+    """A model kept with its lookups scores rows of keys."""
+    store, labels, lookups = _store(spark, sf)
+    store.log_model("visits", store.create_training_set(labels, lookups, "bought", ["ts"]), "1 / (1 + exp(-(0.25D * visits - 2)))")
+    out = store.score_batch("visits", labels.drop("bought"))
+    return out.select("id", "user_id", "visits", F.round("prediction", 9).alias("prediction"))
+
+
 @query(
     "pk_violations",
     """SELECT o_custkey, CAST(o_orderdate AS DATE)::VARCHAR AS day, count(*) AS n_rows FROM orders

@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on. Partition counts stay with the cluster's own settings."""
+    """Pin what results depend on, for as long as the session lives: frames run after this returns. Partition counts stay
+    with the cluster's own settings."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -17,9 +18,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set, as in tests."""
+    """The cluster's shared folder. Where none is set, a temporary one in a single process only: elsewhere it is an error,
+    as executors would each write to a disk of their own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -30,11 +35,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point DataFrame.checkpoint at the shared folder unless the cluster already did."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.changes import latest_per_key, merge_upsert, pk_violations
+from millrace.operators.changes import latest_per_key, merge_upsert, pk_violations, unique_rows
+from millrace.operators.lookup import FeatureLookup, TrainingSet
 from millrace.sources.register import Register
 from millrace.streaming.upsert import UpsertTable, upsert_stream
 
+#: Models share the register of the tables under names of their own.
+MODELS = "model:"
+
 
 @dataclass(frozen=True)
 class FeatureTable:
@@ -77,7 +81,7 @@ class FeatureStore:
         if missing:
             raise ValueError(f"key columns missing: {missing}")
         rows = df if df is not None else self.spark.createDataFrame([], shape)
-        self._publish(table, rows)
+        self._publish(table, unique_rows(rows, table.row_keys))
         return table
 
     def get_table(self, name: str) -> FeatureTable:
@@ -104,17 +108,30 @@ class FeatureStore:
         rows = self._fit(table, df)
         if mode == "merge":
             rows = merge_upsert(self.read_table(name), rows, table.row_keys)
-        elif mode != "overwrite":
+        elif mode == "overwrite":
+            rows = unique_rows(rows, table.row_keys)
+        else:
             raise ValueError(f"unknown mode {mode!r}")
         self._publish(table, rows)
 
-    def write_stream(self, name: str, df: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-        """Merge a stream into the table; a batch writes its own rows only. Lookups see all times kept."""
+    def write_stream(
+        self, name: str, df: DataFrame, checkpoint: str, trigger: dict | None = None, publish: str | None = None
+    ) -> StreamingQuery:
+        """Merge a stream into the table; a batch writes its own rows only. Lookups see all times kept.
+
+        With ``publish`` each batch also sends its newest row of every primary key to a serving table there.
+        """
         row, table = self.register.require(name), self.get_table(name)
         if not table.stream:
             table = replace(table, stream=self.register.new_folder(name))
             self.register.put(name, json.dumps(asdict(table)), row["folder"])
-        return upsert_stream(self._fit(table, df), self._stream_target(table), checkpoint, f"feed_{name}", trigger)
+        serving = UpsertTable(publish, table.shape, table.primary_keys, table.timestamp_keys) if publish else None
+        return upsert_stream(self._fit(table, df), self._stream_target(table), checkpoint, f"feed_{name}", trigger, publish=serving)
+
+    def read_published(self, name: str, path: str) -> DataFrame:
+        """The newest row of every primary key that a stream has published."""
+        table = self.get_table(name)
+        return UpsertTable(path, table.shape, table.primary_keys, table.timestamp_keys).read(self.spark)
 
     def compact(self, name: str) -> None:
         """Fold what a stream has written so far."""
@@ -133,7 +150,34 @@ class FeatureStore:
         return self.spark.read.schema(snapshot.schema).parquet(path)
 
     def list_tables(self) -> list[str]:
-        return self.register.names()
+        return [n for n in self.register.names() if not n.startswith(MODELS)]
+
+    def create_training_set(
+        self,
+        labels: DataFrame,
+        lookups: Sequence[FeatureLookup],
+        label: str | None = None,
+        exclude_columns: Sequence[str] = (),
+    ) -> TrainingSet:
+        """Training set on tables of the store by name; their registered keys and times are used."""
+        return TrainingSet(labels, tuple(lookups), label, tuple(exclude_columns), self._lookup)
+
+    def log_model(self, name: str, training_set: TrainingSet, expression: str, result_type: str = "double") -> None:
+        """Keep a model with the lookups that feed it: ``expression`` is SQL over the columns of the training set."""
+        lookups = [asdict(spec) for spec in training_set.lookups]
+        kept = {"lookups": lookups, "exclude": list(training_set.exclude_columns), "expression": expression, "type": result_type}
+        self.register.put(MODELS + name, json.dumps(kept), None)
+
+    def score_batch(self, name: str, keys: DataFrame) -> DataFrame:
+        """Repeat a model's lookups for rows of keys and add its prediction; features stay in the output."""
+        kept = json.loads(self.register.require(MODELS + name)["spec"])
+        lookups = [FeatureLookup(**spec) for spec in kept["lookups"]]
+        rows = self.create_training_set(keys, lookups, None, kept["exclude"]).load_df()
+        return rows.withColumn("prediction", F.expr(kept["expression"]).cast(kept["type"]))
+
+    def _lookup(self, spec: FeatureLookup) -> tuple[DataFrame, list[str], str | None]:
+        table = self.get_table(spec.table_name)
+        return self.read_table(spec.table_name), list(table.primary_keys), next(iter(table.timestamp_keys), None)
 
     def _stream_target(self, table: FeatureTable) -> UpsertTable:
         return UpsertTable(table.stream, table.shape, tuple(table.row_keys), ())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -70,16 +71,36 @@ def write_table(
     return df.sparkSession.read.option("mergeSchema", mode == "append").parquet(path)
 
 
-def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> DataFrame:
-    """Catalog table over Parquet files at ``path``."""
-    df.write.mode(mode).option("path", path).format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+def replace_table(df: DataFrame, name: str, base: str) -> DataFrame:
+    """Create or replace a Parquet catalog table: rows go to a new folder below ``base``, then the name moves there.
+
+    A job that fails leaves the old table as it was; readers of the old folder can finish.
+    """
+    spark, folder = df.sparkSession, f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files of a table with a location stay
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{folder}'")
+    return spark.table(name)
+
+
+def create_table_as(spark: SparkSession, name: str, base: str, query: str) -> DataFrame:
+    """CREATE OR REPLACE TABLE ... AS SELECT for a Parquet catalog table; the query may read the table it replaces."""
+    return replace_table(spark.sql(query), name, base)
 
 
-def create_table_as(spark: SparkSession, name: str, path: str, query: str) -> DataFrame:
-    """CREATE OR REPLACE TABLE ... AS SELECT for a Parquet catalog table."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}' AS {query}")
+def append_table(df: DataFrame, name: str) -> DataFrame:
+    """Append rows by column name; columns new to the table are added to it, and null in older rows."""
+    spark = df.sparkSession
+    known = {f.name.lower() for f in spark.table(name).schema.fields}
+    added = [f for f in df.schema.fields if f.name.lower() not in known]
+    if added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    have = {c.lower(): c for c in df.columns}
+    shape = spark.table(name).schema.fields
+    cells = [(F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape]
+    df.select(*cells).write.insertInto(name)
     return spark.table(name)
 
 

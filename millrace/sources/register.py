@@ -26,7 +26,10 @@ class Register:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             rows = self.spark.createDataFrame([], COLUMNS)
-        return latest_per_key(rows, ["name"], ["version"])
+        same = rows.groupBy("name", "version").agg(F.count("*").alias("n"), F.first("spec").alias("spec"), F.first("folder").alias("folder"))
+        message = F.concat(F.lit("two writers registered one version of "), F.col("name"))
+        checked = same.filter(F.when(F.col("n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        return latest_per_key(checked.drop("n"), ["name"], ["version"])
 
     def find(self, name: str) -> Row | None:
         row = self.newest().filter(F.col("name") == name).first()

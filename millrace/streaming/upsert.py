@@ -87,23 +87,24 @@ def upsert_stream(
     name: str | None = None,
     trigger: dict | None = None,
     output_mode: str = "append",
-    publish: str | None = None,
+    publish: str | UpsertTable | None = None,
 ) -> StreamingQuery:
     """Keep a keyed table fresh from a stream, by default until it has caught up.
 
     With ``publish`` the keys changed by a batch are also written, newest row each, below that
-    folder: the serving side takes the newest of those it has seen.
+    folder or to that table: the serving side takes the newest of those it has seen.
     """
+    serving = UpsertTable(publish, table.schema, table.keys, table.order) if isinstance(publish, str) else publish
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not publish:
+        if serving is None:
             table.write_batch(batch, batch_id)
             return
         batch.persist()  # two tables are written from it
         try:
             table.write_batch(batch, batch_id)
-            serving = UpsertTable(publish, table.schema, table.keys, table.order)
-            serving.write_batch(latest_per_key(batch, table.keys, table.order), batch_id)
+            newest = latest_per_key(batch, serving.keys, serving.order) if serving.order else batch
+            serving.write_batch(newest, batch_id)
         finally:
             batch.unpersist()
 

@@ -168,7 +168,7 @@ def test_lsh_finds_mostly_the_same(spark):
     exact = {tuple(r) for r in knn(queries, df, 1).select("query_id", "vec_id").collect()}
     near = {tuple(r) for r in knn_lsh(queries, df, 1, 16, bands=12, bits=4).select("query_id", "vec_id").collect()}
     assert len(exact & near) >= 190
-    blocks = knn_lsh(queries, df, 1, 16, bands=12, bits=4, strategy="blocks").select("query_id", "vec_id")
+    blocks = knn_lsh(queries, df, 1, 16, bands=12, bits=4, block_rows=7).select("query_id", "vec_id")
     assert {tuple(r) for r in blocks.collect()} == near
     assert knn(queries.limit(0), df, 3).count() == 0
 
@@ -184,3 +184,29 @@ def test_text_vectors_and_answers(spark):
     assert out["prompt"] == "ferns like shade|shade?"
     hooked = answer_batch(asked, embedded, texts, "{question}", 1, hook=F.upper, partitions=1).first()
     assert hooked["response"]["answer"] == "SHADE?"
+
+
+def test_null_vectors_take_no_part(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.5, 0.0])], "vec_id long, vector array<double>")
+    queries = df.withColumnRenamed("vec_id", "query_id")
+    assert rows(knn(queries, df, 1, exclude_self=True).select("query_id", "vec_id")) == [(1, 3), (3, 1)]
+    assert rows(knn_lsh(queries, df, 1, 2, bands=8, bits=1, exclude_self=True).select("query_id", "vec_id")) == [(1, 3), (3, 1)]
+
+
+def test_a_hit_without_text_is_still_a_source(spark):
+    vectors = spark.createDataFrame([(1, [1.0]), (2, [0.5])], "vec_id long, vector array<double>")
+    texts = spark.createDataFrame([(2, "second")], "vec_id long, text string")
+    asked = spark.createDataFrame([(9, "q?", [1.0])], "query_id long, question string, vector array<double>")
+    row = answer_batch(asked, vectors, texts, "{context}|{question}", 2).first()
+    assert row["response"]["sources"] == ["1", "2"] and row["response"]["answer"] == "second" and row["prompt"] == "second|q?"
+
+
+def test_turns_told_by_time_and_turns_with_many_rows(spark):
+    from datetime import datetime, timedelta
+
+    t0 = datetime(2024, 1, 1)
+    data = [(1, t0 + timedelta(minutes=i // 3), f"w{i} x") for i in range(600)]
+    df = spark.createDataFrame(data, "c long, t timestamp, text string")
+    kept = corpus.trim_history(df, "c", "t", "text", 60, turns=5)
+    assert kept.count() == 30 and kept.agg(F.min("t")).first()[0] == t0 + timedelta(minutes=190)
+    assert corpus.dialogue_context(df, "c", "t", "text").count() == 600

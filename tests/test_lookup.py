@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import rows
-from millrace.operators.lookup import FeatureLookup, create_training_set, key_lookup, point_in_time, score_batch, tile_width
+from millrace.operators.lookup import FeatureLookup, create_training_set, key_lookup, point_in_time, score_batch, tile_edges, tile_width
 
 T0 = datetime(2024, 1, 1)
 
@@ -88,3 +88,33 @@ def test_training_set_and_scoring(spark):
     assert sorted((r["id"], r["prediction"]) for r in scored.collect()) == [(1, 6), (2, 0)]
     with pytest.raises(ValueError, match="label column"):
         create_training_set(labels, [], {}, "nope").load_df()
+
+
+def test_a_table_key_twice_is_an_error(spark):
+    labels = spark.createDataFrame([(1, 5)], "id long, k long")
+    table = spark.createDataFrame([(5, "a"), (5, "b")], "key long, name string")
+    with pytest.raises(Exception, match="several rows for key"):
+        key_lookup(labels, table, {"k": "key"}, ["name"]).collect()
+    with pytest.raises(Exception, match="several rows for one time"):
+        found(spark, [(1, 7, 5)], [(7, 1, 1.0), (7, 1, 2.0)])
+
+
+def test_edges_follow_bursts(spark):
+    """One row early, the rest within a thousand ticks, and a second large key: no tile holds much more than its share."""
+    burst = [(1, 0)] + [(1, 10**12 + i) for i in range(999)] + [(2, 7 * i) for i in range(500)] + [(3, 1)]
+    side = spark.createDataFrame(burst, "k long, t long")
+    edges = tile_edges((side, ["k"], "t"), rows_per_task=100)
+    cuts = {r["k0"]: r["edges"] for r in edges.collect()}
+    assert set(cuts) == {1, 2}
+    for key in cuts:
+        tiles = {}
+        for k, t in burst:
+            if k == key:
+                at = sum(c <= t for c in cuts[key])
+                tiles[at] = tiles.get(at, 0) + 1
+        assert max(tiles.values()) <= 130
+    labels = spark.createDataFrame([(i, k, t + 1) for i, (k, t) in enumerate(burst)], "id long, k long, ts long")
+    features = side.withColumnRenamed("t", "ts").selectExpr("k", "ts", "ts * 2 AS v")
+    plain = point_in_time(labels, features, {"k": "k"}, "ts", "ts", ["v"])
+    cut = point_in_time(labels, features, {"k": "k"}, "ts", "ts", ["v"], edges=edges)
+    assert rows(plain) == rows(cut)

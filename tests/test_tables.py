@@ -96,3 +96,43 @@ def test_stamp_and_catalog(spark):
     assert wait_for_rows(lambda: spark.table("millrace_probe_x"), 5).count() == 2
     with pytest.raises(TimeoutError):
         wait_for_rows(lambda: spark.table("millrace_no_such_table"), 0.1, 0.05)
+
+
+def test_keys_are_checked(spark, scratch):
+    from millrace.sources.feature_store import FeatureStore
+
+    store = FeatureStore(spark, scratch("store"))
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
+    with pytest.raises(Exception, match="several rows"):
+        store.create_table("t", "k", df=twice)
+    assert store.list_tables() == []
+    store.create_table("t", "k", df=twice.limit(1))
+    with pytest.raises(Exception, match="several rows"):
+        store.write_table("t", twice, mode="overwrite")
+    assert store.read_table("t").count() == 1
+
+
+def test_two_writers_of_one_version_are_noticed(spark, scratch):
+    from millrace.sources.register import COLUMNS, Register
+
+    register = Register(spark, scratch("register"))
+    register.put("a", "{}", "x")
+    spark.createDataFrame([("a", 0, "{}", "y")], COLUMNS).write.mode("append").parquet(f"{register.root}/_register")
+    with pytest.raises(Exception, match="two writers"):
+        register.find("a")
+
+
+def test_a_failed_replacement_keeps_the_table(spark, scratch):
+    from millrace.sources.files import append_table, create_table_as, replace_table
+
+    name, base = "millrace_replaced", scratch("replaced")
+    for n in (3, 2):
+        assert create_table_as(spark, name, base, f"SELECT id FROM range({n})").count() == n
+    with pytest.raises(Exception):
+        create_table_as(spark, name, base, "SELECT raise_error('no') AS id")
+    assert spark.table(name).count() == 2
+    out = append_table(spark.createDataFrame([("x", 9)], "more string, id long"), name)
+    assert sorted(map(str, out.collect())) == ["Row(id=0, more=None)", "Row(id=1, more=None)", "Row(id=9, more='x')"]
+    replace_table(spark.createDataFrame([(1.5,)], "other double"), name, base)
+    assert spark.table(name).columns == ["other"]
+    spark.sql(f"DROP TABLE {name}")
