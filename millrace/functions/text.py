@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import html
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,22 +14,47 @@ ANY_TAG = r"""(?s)<[A-Za-z/!?][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>""
 BROKEN_TAG = r"(?s)<[A-Za-z/!?][^>]*>"  # with a quote that never closes
 
 
-def _unescaper():
-    """The standard library knows all named and numeric references of HTML 5; SQL functions know none."""
+#: A reference at the start of what follows an ampersand: a number, or a name.
+REFERENCE = r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]{0,31})(;?)"
 
-    @F.pandas_udf("string")
-    def unescape(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
 
-    return unescape
+def _names(closed: bool) -> Column:
+    """The standard's named references, from the standard library: those that need a semicolon, or the old ones that do not."""
+    names = {n.rstrip(";"): c for n, c in html5.items() if n.endswith(";") == closed}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+
+def _character(point: Column) -> Column:
+    """A code point as text; numbers that are none become U+FFFD, 128 to 159 what Windows-1252 has there."""
+    old = {i: bytes([i]).decode("cp1252", "replace") for i in range(128, 160)}
+    legacy = F.element_at(F.from_json(F.lit(json.dumps(old)), "map<string,string>"), point.cast("string"))
+    wide = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+    valid = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+    return F.when(point.between(128, 159), legacy).when(valid, wide).otherwise(F.lit("\ufffd"))
+
+
+def _decoded(piece: Column) -> Column:
+    """What an ampersand and the text after it stand for; unknown references stay."""
+    name, end = F.regexp_extract(piece, REFERENCE, 1), F.regexp_extract(piece, REFERENCE, 2)
+    rest = piece.substr(F.length(name) + F.length(end) + 1, F.length(piece))
+    number = F.when(name.rlike("^#[xX]"), F.conv(F.regexp_replace(name, "^#[xX]", ""), 16, 10)).otherwise(F.regexp_replace(name, "^#", ""))
+    known = F.when(end == ";", F.element_at(_names(True), name)).otherwise(F.element_at(_names(False), name))
+    char = F.when(name.startswith("#"), _character(number.cast("long"))).otherwise(known)
+    return F.coalesce(F.concat(F.when(name != "", char), rest), F.concat(F.lit("&"), piece))
+
+
+def unescaped(col: Column) -> Column:
+    """Character references of HTML decoded, once: what they yield is not read again. Old names are read as whole words only."""
+    pieces = F.split(col, "&")
+    after = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _decoded)
+    return F.when(F.contains(col, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(after, ""))).otherwise(col)
 
 
 def html_to_text(col: Column) -> Column:
     """Visible text of a page: blocks, comments and tags out, references decoded, blanks squeezed."""
     for pattern in (*DROPPED_BLOCKS, ANY_TAG, BROKEN_TAG):
         col = F.regexp_replace(col, pattern, " ")
-    col = F.when(F.contains(col, F.lit("&")), _unescaper()(col)).otherwise(col)
-    return F.trim(F.regexp_replace(col, "[ \\t\\r\\n\u00a0]+", " "))
+    return F.trim(F.regexp_replace(unescaped(col), "[ \\t\\r\\n\u00a0]+", " "))
 
 
 def chunks(col: Column, size: int = 1000, overlap: int = 100) -> Column:

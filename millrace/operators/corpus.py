@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -171,40 +172,34 @@ def _fold(turns: Column, state: Column, turn: str, last: int) -> Column:
 def dedupe_recent_sources(df: DataFrame, conv: str, turn: str, retrieved: str, last: int = 3, turns: int = 200):
     """Per turn, the retrieved sources that are not among the ``last`` sources used so far.
 
-    What counts as used depends on all earlier turns. Conversations are cut every ``turns`` turns:
-    each piece first runs from an empty start; pieces whose true start, the end of the piece before,
-    turns out different run again, until nothing changes. The result is exact, and short
-    conversations need one pass only.
+    What counts as used depends on all earlier turns. Conversations are cut into pieces of ``turns`` rows: each piece
+    first runs from an empty start; pieces whose true start, the end of the piece before, turns out different run
+    again, until nothing changes. A conversation leaves as soon as it is settled, so short ones need one pass only.
     """
+    rows = df.select(conv, F.col(turn).cast("long").alias(turn), F.col(retrieved).cast("array<string>").alias("retrieved"))
+    tiled = rows.withColumn(TILE, _turn_tile(rows, turn, turns))
+    placed = running_totals(tiled, [conv], [turn, "retrieved"], {"_at": F.lit(1)})
     pieces = (
-        df.select(
-            conv,
-            F.floor(F.col(turn) / turns).alias("_piece"),
-            F.col(turn).cast("long").alias(turn),
-            F.col(retrieved).cast("array<string>").alias("retrieved"),
-        )
+        placed.withColumn("_piece", F.floor((F.col("_at") - 1) / turns))
         .groupBy(conv, "_piece")
         .agg(F.sort_array(F.collect_list(F.struct(turn, "retrieved"))).alias("_turns"))
     )
     empty = F.array().cast("array<string>")
     order = Window.partitionBy(conv).orderBy("_piece")
-    run = pieces.withColumn("_start", empty).withColumn("_done", _fold(F.col("_turns"), F.col("_start"), turn, last))
-    spark = df.sparkSession
-    if not pieces.filter(F.col("_piece") > 0).isEmpty():
-        while True:
-            path = scratch_path(spark, "sources")
-            run.write.parquet(path)
-            done = spark.read.parquet(path)
-            want = F.coalesce(F.lag("_done.state").over(order), empty)
-            moved = done.withColumn("_want", want)
-            if moved.filter(F.col("_want") != F.col("_start")).isEmpty():
-                run = done
-                break
-            again = _fold(F.col("_turns"), F.col("_want"), turn, last)
-            run = moved.withColumn(
-                "_done", F.when(F.col("_want") != F.col("_start"), again).otherwise(F.col("_done"))
-            ).withColumn("_start", F.col("_want")).drop("_want")
-    return run.select(conv, F.inline("_done.out"))
+    left = pieces.withColumn("_start", empty).withColumn("_done", _fold(F.col("_turns"), F.col("_start"), turn, last))
+    spark, out = df.sparkSession, []
+    while True:
+        path = scratch_path(spark, "sources")
+        want = F.coalesce(F.lag("_done.state").over(order), empty)
+        left.withColumn("_want", want).withColumn("_moved", F.max(F.col("_want") != F.col("_start")).over(Window.partitionBy(conv))).write.parquet(path)
+        done = spark.read.parquet(path)
+        out.append(done.filter(~F.col("_moved")).select(conv, F.inline("_done.out")))
+        moved = done.filter("_moved")
+        if moved.isEmpty():
+            return reduce(lambda x, y: x.unionByName(y), out)
+        again = _fold(F.col("_turns"), F.col("_want"), turn, last)
+        fresh = F.when(F.col("_want") != F.col("_start"), again).otherwise(F.col("_done"))
+        left = moved.select(conv, "_piece", "_turns", F.col("_want").alias("_start"), fresh.alias("_done"))
 
 
 def flatten(df: DataFrame, column: str, keep: Sequence[str]) -> DataFrame:

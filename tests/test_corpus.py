@@ -210,3 +210,13 @@ def test_turns_told_by_time_and_turns_with_many_rows(spark):
     kept = corpus.trim_history(df, "c", "t", "text", 60, turns=5)
     assert kept.count() == 30 and kept.agg(F.min("t")).first()[0] == t0 + timedelta(minutes=190)
     assert corpus.dialogue_context(df, "c", "t", "text").count() == 600
+
+
+def test_references_equal_the_standard_library(spark):
+    import html
+
+    from millrace.functions.text import unescaped
+
+    texts = ["&amp;lt;", "&unknownthing; &", "&#65;&#x41;&#X41", "&#150;&#0;&#xD800;&#99999999;", "a&b&&c;", "&Eacute;&eacute &AMP;", "&lt 3", "", "&hearts;&NotEqualTilde;"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", unescaped(F.col("t")).alias("u")).collect()
+    assert {r["t"]: r["u"] for r in got} == {t: html.unescape(t) for t in texts}
