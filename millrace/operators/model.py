@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -45,6 +44,7 @@ def train(
     split: str,
     grid: Sequence[Mapping[str, object]],
     kind: str = "logistic",
+    parallel: int = 4,
 ) -> Trained:
     """Fit every setting on ``train`` rows and keep the one with the best F1 on ``val`` rows.
 
@@ -53,20 +53,21 @@ def train(
     rows = _assemble(df.select(*features, label, split), features).withColumn("_y", F.col(label).cast("double"))
     rows = rows.withColumn("_val", F.col(split) == "val").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted, runs = [], []
-        for params in grid:
+        def fit(params: Mapping[str, object]) -> tuple[Model, float]:
             if kind == "logistic":
-                fit = LogisticRegression(featuresCol="_features", labelCol="_y", **params)
-                model = fit.fit(rows.filter(F.col(split) == "train"))
+                model = LogisticRegression(featuresCol="_features", labelCol="_y", **params).fit(rows.filter(F.col(split) == "train"))
             elif kind == "gbt":
-                fit = GBTClassifier(featuresCol="_features", labelCol="_y", validationIndicatorCol="_val", **params)
-                model = fit.fit(rows.filter(F.col(split).isin("train", "val")))
+                trees = GBTClassifier(featuresCol="_features", labelCol="_y", validationIndicatorCol="_val", **params)
+                model = trees.fit(rows.filter(F.col(split).isin("train", "val")))
             else:
                 raise ValueError(f"unknown kind {kind!r}")
-            scored = model.transform(rows.filter("_val"))
-            f1 = classifier_metrics(scored, "_y", "prediction").first()["f1"]
-            fitted.append(model)
-            runs.append((dict(params), f1 if f1 is not None else 0.0))
+            f1 = classifier_metrics(model.transform(rows.filter("_val")), "_y", "prediction").first()["f1"]
+            return model, f1 if f1 is not None else 0.0
+
+        # settings are fitted side by side: their Spark jobs share the cluster
+        with ThreadPoolExecutor(max_workers=min(parallel, len(grid))) as pool:
+            found = list(pool.map(fit, grid))
+        fitted, runs = [m for m, _ in found], [(dict(p), f1) for p, (_, f1) in zip(grid, found)]
         best = max(range(len(runs)), key=lambda i: runs[i][1])
         return Trained(fitted[best], tuple(features), runs[best][0], tuple(runs))
     finally:

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from millrace.plans import cleaning, corpus, evaluation, features, monitoring, streams, tables
+from millrace.plans import checks, cleaning, corpus, evaluation, features, monitoring, streams, tables
 from millrace.plans.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "cleaning", "corpus", "evaluation", "features", "monitoring", "streams", "tables"]
+__all__ = ["ORACLE", "QUERIES", "checks", "cleaning", "corpus", "evaluation", "features", "monitoring", "streams", "tables"]
