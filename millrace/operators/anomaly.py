@@ -7,10 +7,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Sums that meet in one task, at most, on the way to the driver.
+WIDTH = 32
+
+
 @dataclass(frozen=True)
 class Gaussian:
     """Mean and inverse covariance of normal vectors."""
@@ -21,9 +26,10 @@ class Gaussian:
 
 
 def fit_gaussian(df: DataFrame, vec: str, shrinkage: float = 0.01) -> Gaussian:
-    """One pass: every task adds up x and x'x of its rows; only d x d sums are shuffled and collected.
+    """One pass: every task adds up x and x'x of its rows and sends one row; rows are added up in a tree.
 
-    ``shrinkage`` is added to the diagonal, which keeps few vectors in many dimensions invertible.
+    The driver gets at most ``WIDTH`` sums of 1 + d + d x d numbers, whatever the rows. ``shrinkage`` is added to the
+    diagonal, which keeps few vectors in many dimensions invertible.
     """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -36,15 +42,19 @@ def fit_gaussian(df: DataFrame, vec: str, shrinkage: float = 0.01) -> Gaussian:
                 s, ss = np.zeros(x.shape[1]), np.zeros((x.shape[1], x.shape[1]))
             n, s, ss = n + len(x), s + x.sum(axis=0), ss + x.T @ x
         if n:
-            d = len(s)
-            flat = np.concatenate([[float(n)], s, ss.ravel()])
-            yield pd.DataFrame({"at": np.arange(1 + d + d * d), "v": flat})
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "sums": [np.concatenate([[float(n)], s, ss.ravel()]).tobytes()]})
+
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": pdf["part"].head(1), "sums": [sum(np.frombuffer(b) for b in pdf["sums"]).tobytes()]})
 
-    sums = df.select(vec).filter(F.col(vec).isNotNull()).mapInPandas(partial, "at long, v double")
-    rows = sums.groupBy("at").agg(F.sum("v").alias("v")).orderBy("at").collect()
-    if not rows:
+    schema = "part long, sums binary"
+    rows = df.select(vec).filter(F.col(vec).isNotNull()).mapInPandas(partial, schema)
+    for width in (WIDTH * WIDTH, WIDTH):
+        rows = rows.withColumn("part", F.pmod("part", F.lit(width))).groupBy("part").applyInPandas(added, schema)
+    found = [np.frombuffer(r["sums"]) for r in rows.collect()]
+    if not found:
         raise ValueError("no vectors to fit")
-    flat = np.array([r["v"] for r in rows])
+    flat = sum(found)
     n = int(flat[0])
     d = int((-1 + (1 + 4 * (len(flat) - 1)) ** 0.5) / 2 + 0.5)
     mean = flat[1 : 1 + d] / n
