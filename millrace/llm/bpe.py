@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import marshal
 import sys
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -30,7 +31,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: States kept; beyond, the tables start anew. Bounds the memory of a task at about 1 KB a state.
 MAX_STATES = 200_000
 #: Pieces whose tokens are kept for later batches.
-MAX_PIECES = 400_000
+MAX_PIECES = 150_000
+LISTS = 24  # bits of a move for the number of the emitted tokens
+NO_LIST = (1 << LISTS) - 1
 NEVER = 1 << 60
 
 
@@ -61,10 +64,14 @@ class Transducer:
         self._empty()
 
     def _empty(self) -> None:
-        self.numbers: dict[tuple, int] = {}
-        self.states: list[tuple] = []
-        self.moves: dict[int, tuple[int, tuple]] = {}  # state and byte: next state, tokens emitted
-        self._state((b"", ((0, (-1,)),)))
+        self.numbers: dict[bytes, int] = {}
+        self.states: list[bytes] = []  # packed, as there are many
+        self.ends: list[tuple] = []  # tokens emitted if the piece ends in a state
+        self.moves: dict[int, int] = {}  # state and byte: next state and number of the tokens emitted
+        self.emitted: dict[tuple, int] = {}
+        self.lists: list[tuple] = []
+        self._list(())
+        self._state(b"", ((0, (-1,)),))
 
     # which tokens may follow each other
 
@@ -110,6 +117,8 @@ class Transducer:
             return -1
         found = self.alike.get((token, byte))
         if found is None:
+            if len(self.alike) > MAX_PIECES:
+                self.alike.clear()
             relevant = tuple((piece, upto) for piece, upto in self._spine(token, True) if self.joins.get((piece, byte), NEVER) < upto)
             found = self.alike[token, byte] = self.same.setdefault((byte, relevant), token) if relevant else -1
         return found
@@ -127,14 +136,23 @@ class Transducer:
     # A state is (open text, ((length of an open suffix, path to it), ...)). A path holds the tokens not yet emitted, after
     # the last one emitted or any of its class, -1 if that does not matter.
 
-    def _state(self, key: tuple) -> int:
+    def _state(self, text: bytes, readings: tuple) -> int:
+        key = marshal.dumps((text, readings), 2)
         number = self.numbers.setdefault(key, len(self.states))
         if number == len(self.states):
             self.states.append(key)
+            # at the end the reading counts in which a token has just ended
+            self.ends.append(self.lists[self._list(readings[0][1][1:])])
         return number
 
-    def _step(self, number: int, byte: int) -> tuple[int, tuple]:
-        text, readings = self.states[number]
+    def _list(self, tokens: tuple) -> int:
+        number = self.emitted.setdefault(tokens, len(self.lists))
+        if number == len(self.lists):
+            self.lists.append(tokens)
+        return number
+
+    def _step(self, number: int, byte: int) -> int:
+        text, readings = marshal.loads(self.states[number])
         text += bytes((byte,))
         size = len(text)
         # the token that ends here: the longest that may follow what ends where it begins
@@ -159,7 +177,7 @@ class Transducer:
             if len(path) == share:  # a token may begin right after what is emitted
                 marker = self._class(path[-1], text[-k]) if k else path[-1]
         kept = tuple((k, (marker, *path[share:])) for k, path in still)
-        move = self.moves[number << 8 | byte] = (self._state((text, kept)), first[1:share])
+        move = self.moves[number << 8 | byte] = self._state(text, kept) << LISTS | self._list(first[1:share])
         return move
 
     def encode(self, piece: bytes) -> list[int]:
@@ -167,14 +185,14 @@ class Transducer:
         if len(self.states) > MAX_STATES:
             self._empty()
         out: list[int] = []
-        state, known = 0, self.moves.get
+        state, known, lists = 0, self.moves.get, self.lists
         for byte in piece:
             move = known(state << 8 | byte) or self._step(state, byte)
-            state, tokens = move
-            if tokens:
-                out += tokens
-        # at the end the reading counts in which a token has just ended
-        return out + list(self.states[state][1][0][1][1:])
+            state = move >> LISTS
+            if move & NO_LIST:
+                out += lists[move & NO_LIST]
+        out += self.ends[state]
+        return out
 
 
 class Encoder:
@@ -283,7 +301,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, decode: bool = Fa
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _encoder(path, pattern), _decoder(path)
-        for batch in in_batches(batches, 4, 1):
+        for batch in in_batches(batches, 1, 1):
             ids, at = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
             columns, names = [batch.column(0), lists], ["doc_id", "ids"]
@@ -317,7 +335,7 @@ def encode_digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _encoder(path, pattern), _decoder(path)
-        for batch in in_batches(batches, 4, 1):
+        for batch in in_batches(batches, 1, 1):
             ids, at = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
             ids = ids.astype("<u4")
             spans = list(zip(at.tolist(), at[1:].tolist()))

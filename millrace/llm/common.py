@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import scratch_path
+from millrace.session import prepare, scratch_path
 
 # Workers need no copy of the package: functions travel with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -22,6 +22,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def text_session(spark: SparkSession) -> SparkSession:
+    """The session with what these operators need: long texts go to workers in batches of a few MB, not of 64."""
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return spark
+
+
 def whole(column: str | Column) -> Column:
     """The text, empty where null."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

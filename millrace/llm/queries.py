@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 
 from millrace.llm import chat, mixing, topk
 from millrace.llm.bpe import encode_digest
-from millrace.llm.common import n_words, source, whole
+from millrace.llm.common import n_words, source, text_session, whole
 from millrace.llm.quality_rules import quality_report
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.suffix_dedup import suffix_report
 from millrace.llm.suffix_tree import score_texts
 from millrace.llm.token_counts import section_tokens
 from millrace.llm.toxicity import held_out, toxicity
-from millrace.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,7 +25,7 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: fn(text_session(spark), sf_dir)
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -9,7 +9,7 @@ number of starts).
    all bytes, all but the first repeat whole. A record that is first of its bytes only matters if other records share
    its anchor's code; at the edges of a bucket, where the neighbour is in another one, it stays.
 2. The bytes of the remaining records join them. A string holds its anchor's token and what follows it, or what goes
-   before it, up to ``REACH`` bytes; so each record is split in two halves with the longer code of that. They are
+   before it, for ``reach`` bytes; so each record is split in two halves with the longer code of that. They are
    range-partitioned by it; within a bucket all suffixes (string starts) of a code are sorted by multikey quicksort on
    their tokens, and all but the first of equal strings are marked.
 3. A code that filled a whole bucket in step 1, or holds over ``PIECE`` bytes, is sorted in pieces. What is first in its
@@ -37,7 +37,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOKEN = 25
 #: Text positions coded at once in a task.
-BLOCK = 2_000_000
+BLOCK = 200_000
 #: A place packs the first start, the anchor's distance from it, and the number of starts.
 STEP = 7
 START, LOW = 2 * STEP, (1 << STEP) - 1
@@ -296,8 +296,9 @@ def _shared(sorted_records: DataFrame) -> DataFrame:
     return sorted_records.mapInArrow(run, "whole boolean, code long, doc long, tag long, place long")
 
 
-#: Bytes beyond its token that a half's code takes in, on one side.
-REACH = 37
+def reach(length: int) -> int:
+    """Bytes beyond its token that a half's code takes in, on one side: every string holds so many on one of them."""
+    return (length - TOKEN) // 2
 
 
 def _with_bytes(joined: DataFrame, length: int, full: dict[int, int]) -> DataFrame:
@@ -305,6 +306,7 @@ def _with_bytes(joined: DataFrame, length: int, full: dict[int, int]) -> DataFra
 
     ``full`` has the codes that are to be dealt to so many pieces; their rows are open.
     """
+    far = reach(length)
     some = np.array(sorted(full), np.int64)
     pieces = np.array([full[c] for c in sorted(full)], np.uint64)
 
@@ -320,13 +322,13 @@ def _with_bytes(joined: DataFrame, length: int, full: dict[int, int]) -> DataFra
             mine = ~whole & (place >= 0)
             row, code, place = row[mine], code[mine], place[mine]
             start, off, n = place >> START, place >> STEP & LOW, place & LOW
-            left = np.clip(off - REACH, 0, n)  # so many starts lie further than REACH before the anchor
+            left = np.clip(off - far, 0, n)  # so many starts lie further than that before the anchor
             begin = [np.zeros_like(n), left]
             size = [left, n - left]
             for half in (0, 1):
                 has = np.flatnonzero(size[half] > 0)
-                for x in range(0, len(has), 50_000):
-                    i = has[x : x + 50_000]
+                for x in range(0, len(has), 10_000):
+                    i = has[x : x + 10_000]
                     first, count = start[i] + begin[half][i], size[half][i]
                     span = count + length - 1
                     data = body[ragged(at[row[i]] + first, span)]
@@ -334,7 +336,7 @@ def _with_bytes(joined: DataFrame, length: int, full: dict[int, int]) -> DataFra
                     grams = token_codes(data)
                     anchor = offsets[:-1] + off[i] - begin[half][i]
                     with np.errstate(over="ignore"):
-                        longer = grams[anchor] * _power(3) + grams[anchor + (REACH if half else -REACH - 1)] * _power(5) + np.uint64(half)
+                        longer = grams[anchor] * _power(3) + grams[anchor + (far if half else -far - 1)] * _power(5) + np.uint64(half)
                         if len(some):
                             known = np.minimum(np.searchsorted(some, code[i]), len(some) - 1)
                             is_open = some[known] == code[i]
@@ -351,7 +353,7 @@ def _with_bytes(joined: DataFrame, length: int, full: dict[int, int]) -> DataFra
     return joined.select("doc", "tag", "body", "places").mapInArrow(run, schema)
 
 
-CHUNK = 1_500_000  # bytes of records gathered before they are sorted
+CHUNK = 500_000  # bytes of records gathered before they are sorted
 
 
 def _marked(sorted_suffixes: DataFrame, length: int) -> DataFrame:
@@ -445,6 +447,8 @@ def _marked(sorted_suffixes: DataFrame, length: int) -> DataFrame:
 def repeated_places(bodies: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Of the documents (doc, tag, body): (doc, tag, places) with the records that repeat whole, and (doc, tag, spans)
     with the stretches (start, stop) found repeated in others; they may overlap."""
+    if not 2 * TOKEN <= length <= TOKEN + LOW - 1:
+        raise ValueError(f"length must be from {2 * TOKEN} to {TOKEN + LOW - 1}")
     n = parallelism(bodies.sparkSession)
     key = ["code", "every", "doc", "tag", "place"]
     records = _records(bodies, length).repartitionByRange(n, *key).sortWithinPartitions(*key)

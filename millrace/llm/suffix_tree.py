@@ -6,8 +6,7 @@ distribution diverges from that of the context one symbol shorter, or if a longe
 smoothed towards the shorter context's. A symbol's probability comes from the longest context in the tree.
 
 Next to it stands the word-frequency base: counts of all training words, looked up for every word of every text.
-Texts are dealt to buckets by hash; a bucket sends its distinct words with its own counts, and gets back only counts
-that differ from its own.
+Texts are dealt to buckets by hash; a bucket sends its distinct words with its own counts and gets back the totals.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -208,20 +208,14 @@ def grow_tree(texts: DataFrame) -> Tree:
         return F.aggregate(follow, F.lit(0.0), add)
 
     gain = divergence(F.col("total"), F.col("next"))
+    kept = child.join(parents, ["p_length", "p_context"]).filter(gain >= GAIN * F.size("next") * F.log("total")).select("length", "context")
+    # with each context all its suffixes, and the empty one
+    own = F.expr(f"transform(sequence(0, length), l -> struct(l AS length, context & (shiftleft(1L, cast(l * {CLASS_BITS} AS INT)) - 1L) AS context))")
+    wanted = kept.select(F.inline(own)).union(every.filter("length = 0").select("length", "context")).distinct()
     key = F.shiftleft(F.col("length").cast("long"), KEY_BITS).bitwiseOR(F.col("context"))
-    kept = child.join(parents, ["p_length", "p_context"]).filter(gain >= GAIN * F.size("next") * F.log("total")).select(key.alias("key"))
-    wanted = np.append(kept.toArrow().column("key").to_numpy(), 0)
-    # with each context all its suffixes
-    shorter = wanted
-    for _ in range(DEPTH):
-        length = shorter >> KEY_BITS
-        shorter, length = shorter[length > 0], length[length > 0] - 1
-        shorter = length << KEY_BITS | shorter & ((1 << CLASS_BITS * length) - 1)
-        wanted = np.append(wanted, shorter)
-    counts = every.select(key.alias("key"), F.explode("next").alias("s")).select("key", "s.symbol", "s.n").toArrow()
+    counts = every.join(wanted, ["length", "context"]).select(key.alias("key"), F.explode("next").alias("s")).select("key", "s.symbol", "s.n").toArrow()
     keys, symbols, n = (counts.column(c).to_numpy() for c in ("key", "symbol", "n"))
-    stays = np.isin(keys, wanted)
-    return Tree(keys[stays], symbols[stays], n[stays], by_byte)
+    return Tree(keys, symbols, n, by_byte)
 
 
 # Words
@@ -277,7 +271,7 @@ def bucket_words(bucketed: DataFrame) -> DataFrame:
 
 
 def shared_counts(sorted_words: DataFrame) -> DataFrame:
-    """From (word, bucket, n) sorted by word: (bucket, word, total) where other buckets add to the count.
+    """From (word, bucket, n) sorted by word: (bucket, word, total), the word's count over all buckets.
 
     One row a task with bucket -1 has the number of distinct words that training texts hold, and of all their words.
     """
@@ -289,8 +283,7 @@ def shared_counts(sorted_words: DataFrame) -> DataFrame:
             first = np.flatnonzero(np.append(True, rows[0, 1:] != rows[0, :-1]))
             totals = np.add.reduceat(rows[2], first)
             total = np.repeat(totals, np.diff(np.append(first, rows.shape[1])))
-            back = total != rows[2]
-            columns = [pa.array(rows[1, back]), pa.array(rows[0, back]), pa.array(total[back])]
+            columns = [pa.array(rows[1]), pa.array(rows[0]), pa.array(total)]
             return pa.RecordBatch.from_arrays(columns, ["bucket", "word", "total"]), int((totals > 0).sum()), int(totals.sum())
 
         for batch in batches:
@@ -322,35 +315,51 @@ def score_texts(docs: DataFrame, held_out: Column, tree: Tree | None = None) ->
     tree = tree or grow_tree(rows.filter(~F.col("held_out")))
     model = docs.sparkSession.sparkContext.broadcast(tree)
     n = parallelism(docs.sparkSession)
-    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))).repartition(n, "bucket")
-    words = bucket_words(bucketed.sortWithinPartitions("bucket"))
+    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)))
+    words = bucket_words(bucketed.repartitionById(n, F.col("bucket").cast("int")).sortWithinPartitions("bucket"))
     shared = written(shared_counts(words.repartition(n, "word").sortWithinPartitions("word")), "suffix-tree-words")
     found = shared.filter("bucket < 0").agg(F.sum("word").alias("distinct"), F.sum("total").alias("words")).first()
     taught = rows.filter(~F.col("held_out")).count()
 
-    def score(docs_: pa.Table, back: pa.Table) -> pa.Table:
-        ids, held, texts = (docs_.column(c) for c in ("doc_id", "held_out", "text"))
-        texts, held = texts.to_pylist(), held.to_numpy()
-        parts = [_word_codes(texts[x : x + 2000]) for x in range(0, len(texts), 2000)]
-        codes, sizes = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-        distinct, at = np.unique(codes, return_inverse=True)
-        total = np.bincount(at, weights=np.repeat(~held, sizes), minlength=len(distinct)).astype(np.int64)
-        total[np.searchsorted(distinct, back.column("word").to_numpy())] = back.column("total").to_numpy()
-        known, logs = total[at] > 0, np.log10(total + 0.1)[at]
-        doc = np.repeat(np.arange(len(texts)), sizes)
-        out = {
-            "doc_id": ids,
-            "held_out": pa.array(held),
-            "n_tokens": pa.array(sizes + 1),
-            "known_words": pa.array(np.bincount(doc, weights=known, minlength=len(texts)).astype(np.int64)),
-            "log_counts": pa.array(np.bincount(doc, weights=logs, minlength=len(texts))),
-            "score": pa.array(np.concatenate([model.value.score(texts[x : x + 2000]) for x in range(0, len(texts), 2000)])),
-        }
-        return pa.table(out)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, parts, table = None, [], None
+        for batch in in_batches(batches, 4, 4):
+            buckets = batch.column(0).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])).tolist() + [len(buckets)]
+            for x, y in zip(cuts, cuts[1:]):
+                if buckets[x] != bucket:
+                    bucket, parts, table = buckets[x], [], None
+                piece = batch.slice(x, y - x)
+                counts = piece.filter(pc.is_valid(piece.column(1)))  # they come first
+                if counts.num_rows:
+                    parts.append(np.stack([counts.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2)]))
+                texts = piece.filter(pc.is_null(piece.column(1)))
+                if not texts.num_rows:
+                    continue
+                if table is None:
+                    table = np.concatenate([*parts, np.zeros((2, 0), np.int64)], axis=1)
+                    table = table[:, np.argsort(table[0])]
+                    parts = []
+                strings = texts.column(4).to_pylist()
+                codes, sizes = _word_codes(strings)
+                total = table[1][np.searchsorted(table[0], codes)] if len(codes) else codes
+                doc = np.repeat(np.arange(len(strings)), sizes)
+                columns = [
+                    texts.column(3), texts.column(5), pa.array(sizes + 1),
+                    pa.array(np.bincount(doc, weights=total > 0, minlength=len(strings)).astype(np.int64)),
+                    pa.array(np.bincount(doc, weights=np.log10(total + 0.1), minlength=len(strings))),
+                    pa.array(model.value.score(strings)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known_words", "log_counts", "score"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, known_words long, log_counts double, score double"
-    back = shared.filter("bucket >= 0")
-    scored = bucketed.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(score, schema)
+    none = F.lit(None)
+    back = shared.filter("bucket >= 0").select(
+        "bucket", "word", "total", none.cast("long").alias("doc_id"), none.cast("string").alias("text"), none.cast("boolean").alias("held_out")
+    )
+    texts = bucketed.select("bucket", none.cast("long").alias("word"), none.cast("long").alias("total"), "doc_id", "text", "held_out")
+    both = back.union(texts).repartitionById(n, F.col("bucket").cast("int")).sortWithinPartitions("bucket", F.isnull("word"))
+    scored = both.mapInArrow(run, schema)
     distinct = (found["distinct"] or 0) + (1 if taught else 0)
     total = (found["words"] or 0) + taught
     # an end token closes every text; it is known once a training text has closed
