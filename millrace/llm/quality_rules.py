@@ -278,8 +278,11 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns. Rows are judged one by one, so repeated rows stay repeated."""
-    rules = learn_from(count_all(docs.join(labels_of(labels), "doc_id", "left_semi")), labels)
+    """The documents that pass, with their own columns. Rows are judged one by one, so repeated rows stay repeated.
+
+    Texts are counted twice, to learn and to judge, and never shuffled.
+    """
+    rules = learn_from(written(count_all(docs), "quality-counts"), labels)
     name, inner = fresh(docs, "_stats", "_rows")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(inner)
     stats = docs.select(row, statistics(F.col("text")).alias(name))

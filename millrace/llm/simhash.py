@@ -302,7 +302,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -
     named = fps.join(found, "fp").filter(F.col("doc_id") == F.col("component_id"))
     winners = written(named.groupBy(F.col("doc_id").alias(mine)).agg(F.count("*").alias(times)), "simhash-winners")
     key = docs["doc_id"].cast("long")
-    kept = docs.join(winners.filter(F.col(times) == 1), key == F.col(mine), "left_semi")
+    # the winners grow with the documents: never sent to all tasks, at any size
+    kept = docs.join(winners.filter(F.col(times) == 1).hint("merge"), key == F.col(mine), "left_semi")
     # rows that share their doc_id or have none: rarely any
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole_row)
     first = F.min_by(whole_row, F.to_json(F.struct(whole_row))).alias(whole_row)
