@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import in_batches, whole, written
+from millrace.llm.suffix_dedup import BASE, BYTE
 from millrace.session import parallelism
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -74,17 +75,17 @@ def gram_counts(texts: DataFrame) -> DataFrame:
         held, by_byte = 0, np.zeros(256, np.int64)
 
         def summed() -> tuple[np.ndarray, np.ndarray]:
-            grams, at = np.unique(np.concatenate([s[0] for s in seen]), return_inverse=True)
-            return grams, np.bincount(at, weights=np.concatenate([s[1] for s in seen])).astype(np.int64)
+            return _summed(*(np.concatenate([s[i] for s in seen]) for i in (0, 1)))
 
         for batch in in_batches(batches, 4, 0):
             body = np.frombuffer(b"".join([stream(t) for t in batch.column(0).to_pylist()]), np.uint8)
             by_byte += np.bincount(body, minlength=256)
             by_byte[10] -= DEPTH * batch.num_rows
             symbols = CLASS[body].astype(np.int64)
-            gram = np.zeros(len(symbols) - DEPTH, np.int64)
-            for j in range(DEPTH + 1):
-                gram = gram << CLASS_BITS | symbols[j : j + len(gram)]
+            gram = symbols[: len(symbols) - DEPTH].copy()
+            for j in range(1, DEPTH + 1):
+                gram <<= CLASS_BITS
+                gram |= symbols[j : j + len(gram)]
             # positions that predict a symbol: all but the line ends in front
             target = np.ones(len(body), bool)
             ends = np.flatnonzero(body == 10)
@@ -93,7 +94,8 @@ def gram_counts(texts: DataFrame) -> DataFrame:
             closing = ends[DEPTH :: DEPTH + 1]
             target[closing] = True
             gram = gram[target[DEPTH:]]
-            part = np.sort(gram)
+            part = gram
+            part.sort()
             first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
             seen.append((part[first], np.diff(np.append(first, len(part)))))
             held += len(first)
@@ -140,17 +142,18 @@ class Tree:
         self.byte = np.log10(within / np.bincount(CLASS, weights=within, minlength=CLASSES)[CLASS])
 
     def positions(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Node of the longest context before each position."""
-        node = np.zeros(len(at), np.int32)
-        live = np.arange(len(at))
+        """Node of the longest context before each position, ``symbols`` being of 64 bits."""
         flat = self.child.reshape(-1)
-        for back in range(1, DEPTH + 1):
-            following = flat[node[live].astype(np.int64) * CLASSES + symbols[at[live] - back]]
-            more = following > 0
-            live = live[more]
-            node[live] = following[more]
-            if not len(live):
+        node = flat[symbols[at - 1]]
+        live = np.flatnonzero(node)
+        inner, spot = node[live], at[live]
+        for back in range(2, DEPTH + 1):
+            following = flat[(inner.astype(np.int64) << CLASS_BITS) + symbols[spot - back]]
+            more = np.flatnonzero(following)
+            if not len(more):
                 break
+            live, inner, spot = live[more], following[more], spot[more]
+            node[live] = inner
         return node
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -158,7 +161,7 @@ class Tree:
         streams = [stream(t) for t in texts]
         size = np.fromiter(map(len, streams), np.int64, len(streams))
         body = np.frombuffer(b"".join(streams), np.uint8)
-        symbols = CLASS[body]
+        symbols = CLASS[body].astype(np.int64)
         at = np.arange(len(body))
         starts = np.cumsum(size) - size
         target = np.ones(len(body), bool)
@@ -166,10 +169,11 @@ class Tree:
             target[starts + j] = False
         at = at[target]
         out = np.empty(len(at))
-        for x in range(0, len(at), 1_000_000):
-            part = at[x : x + 1_000_000]
-            node = self.positions(symbols, part)
-            out[x : x + 1_000_000] = self.log[node, symbols[part]] + self.byte[body[part]]
+        log = self.log.reshape(-1)
+        for x in range(0, len(at), 100_000):
+            part = at[x : x + 100_000]
+            node = self.positions(symbols, part).astype(np.int64)
+            out[x : x + 100_000] = log[(node << CLASS_BITS) + symbols[part]] + self.byte[body[part]]
         counts = size - DEPTH
         return np.add.reduceat(out, np.cumsum(counts) - counts) if len(counts) else out
 
@@ -222,23 +226,37 @@ def grow_tree(texts: DataFrame) -> Tree:
 
 
 def _word_codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit code of every lower-cased word, and how many words each text has."""
-    import xxhash
-
-    digest = xxhash.xxh64_intdigest
-    lists = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    n = np.fromiter(map(len, lists), np.int64, len(lists))
-    known: dict[bytes, int] = {}
-    out = np.empty(int(n.sum()), np.uint64)
-    x = 0
-    for words in lists:
-        for w in words:
-            code = known.get(w)
-            if code is None:
-                code = known[w] = digest(w)
-            out[x] = code
-            x += 1
-    return out.view(np.int64), n
+    """64-bit code of every lower-cased word, and how many words each text has.
+
+    A polynomial over byte codes, from one running sum over all bytes: the difference at a word's ends, times a power
+    that takes its place out.
+    """
+    streams = [stream(t) for t in texts]
+    body = np.frombuffer(b"".join(streams), np.uint8)
+    size = np.fromiter(map(len, streams), np.int64, len(streams))
+    spaces = np.flatnonzero(body == 32)  # one closes each word
+    n = np.bincount(np.searchsorted(np.cumsum(size), spaces, side="right"), minlength=len(streams))
+    # a word begins after the last one, or after the line ends in front
+    starts = np.empty_like(spaces)
+    starts[1:] = spaces[:-1] + 1
+    first = np.cumsum(n) - n
+    starts[first[n > 0]] = (np.cumsum(size) - size)[n > 0] + DEPTH
+    with np.errstate(over="ignore"):
+        back = np.cumprod(np.append(np.uint64(1), np.full(len(body), np.uint64(pow(BASE, -1, 1 << 64)))))
+        sums = np.append(np.uint64(0), np.cumsum(BYTE[body] * back[:-1]))
+        forth = np.cumprod(np.append(np.uint64(1), np.full(len(body), np.uint64(BASE))))
+        codes = (sums[spaces] - sums[starts]) * forth[starts]
+        codes ^= codes >> np.uint64(32)
+        codes *= np.uint64(0xD6E8FEB86659FD93)
+    return codes.view(np.int64), n
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, in order, with the sums of their counts."""
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def bucket_words(bucketed: DataFrame) -> DataFrame:
@@ -249,12 +267,11 @@ def bucket_words(bucketed: DataFrame) -> DataFrame:
 
         def out() -> Iterator[pa.RecordBatch]:
             if seen:
-                words, at = np.unique(np.concatenate([s[0] for s in seen]), return_inverse=True)
-                n = np.bincount(at, weights=np.concatenate([s[1] for s in seen])).astype(np.int64)
+                words, n = _summed(*(np.concatenate([s[i] for s in seen]) for i in (0, 1)))
                 columns = [pa.array(words), pa.array(np.full(len(words), bucket, np.int64)), pa.array(n)]
                 yield pa.RecordBatch.from_arrays(columns, ["word", "bucket", "n"])
 
-        for batch in in_batches(batches, 4, 2):
+        for batch in in_batches(batches, 1, 2):
             buckets = batch.column(0).to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])).tolist() + [len(buckets)]
             for x, y in zip(cuts, cuts[1:]):
@@ -263,8 +280,7 @@ def bucket_words(bucketed: DataFrame) -> DataFrame:
                     bucket, seen = buckets[x], []
                 words, n = _word_codes(batch.column(2).slice(x, y - x).to_pylist())
                 teaches = np.repeat(~batch.column(1).slice(x, y - x).to_numpy(zero_copy_only=False), n)
-                part, at = np.unique(words, return_inverse=True)
-                seen.append((part, np.bincount(at, weights=teaches, minlength=len(part))))
+                seen.append(_summed(words, teaches.astype(np.int64)))
         yield from out()
 
     return bucketed.select("bucket", "held_out", "text").mapInArrow(run, "word long, bucket long, n long")
@@ -323,7 +339,7 @@ def score_texts(docs: DataFrame, held_out: Column, tree: Tree | None = None) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts, table = None, [], None
-        for batch in in_batches(batches, 4, 4):
+        for batch in in_batches(batches, 1, 4):
             buckets = batch.column(0).to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])).tolist() + [len(buckets)]
             for x, y in zip(cuts, cuts[1:]):
@@ -342,12 +358,17 @@ def score_texts(docs: DataFrame, held_out: Column, tree: Tree | None = None) ->
                     parts = []
                 strings = texts.column(4).to_pylist()
                 codes, sizes = _word_codes(strings)
-                total = table[1][np.searchsorted(table[0], codes)] if len(codes) else codes
-                doc = np.repeat(np.arange(len(strings)), sizes)
+                order = np.argsort(codes)
+                codes = codes[order]
+                begin = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, np.int64)
+                total = table[1][np.searchsorted(table[0], codes[begin])] if len(codes) else begin
+                times = np.diff(np.append(begin, len(codes)))
+                known, logs = np.repeat(total > 0, times), np.repeat(np.log10(total + 0.1), times)
+                doc = np.repeat(np.arange(len(strings)), sizes)[order]
                 columns = [
                     texts.column(3), texts.column(5), pa.array(sizes + 1),
-                    pa.array(np.bincount(doc, weights=total > 0, minlength=len(strings)).astype(np.int64)),
-                    pa.array(np.bincount(doc, weights=np.log10(total + 0.1), minlength=len(strings))),
+                    pa.array(np.bincount(doc, weights=known, minlength=len(strings)).astype(np.int64)),
+                    pa.array(np.bincount(doc, weights=logs, minlength=len(strings))),
                     pa.array(model.value.score(strings)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known_words", "log_counts", "score"])
