@@ -16,7 +16,7 @@ import hashlib
 import marshal
 import sys
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -195,6 +195,14 @@ class Transducer:
         return out
 
 
+class Numbers(dict):
+    """Numbers pieces as they first come."""
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        return number
+
+
 class Encoder:
     """Splits texts by a pattern and encodes the pieces; remembers the tokens of pieces met before."""
 
@@ -206,7 +214,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbers()
         self.ids = np.zeros(0, np.uint32)
         self.counts = np.zeros(0, np.int64)
 
@@ -214,25 +222,19 @@ class Encoder:
         """Ids of all texts after one another, and where each text's begin (one more entry than texts)."""
         if len(self.known) > MAX_PIECES:
             self._forget()
-        known, pieces, bounds, new = self.known, [], [0], []
-        for text in texts:
-            found = self.find(text)
-            for piece in found:
-                if piece not in known:
-                    known[piece] = len(known)
-                    new.append(piece)
-            pieces += map(known.__getitem__, found)
-            bounds.append(len(pieces))
-        if new:
-            coded = [self.transducer.encode(p.encode("utf-8", "surrogatepass")) for p in new]
+        known, found = self.known, [self.find(text) for text in texts]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        before = len(known)
+        which = np.fromiter(map(known.__getitem__, chain.from_iterable(found)), np.int64, int(sizes.sum()))
+        if len(known) > before:
+            coded = [self.transducer.encode(p.encode("utf-8", "surrogatepass")) for p in islice(known, before, None)]
             counts = np.fromiter(map(len, coded), np.int64, len(coded))
             ids = np.fromiter(chain.from_iterable(coded), np.uint32, int(counts.sum()))
             self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
         starts = np.cumsum(self.counts) - self.counts
-        which = np.array(pieces, np.int64)
         ids = self.ids[ragged(starts[which], self.counts[which])]
         upto = np.concatenate([[0], np.cumsum(self.counts[which])])
-        return ids, upto[np.array(bounds)]
+        return ids, upto[np.append(0, np.cumsum(sizes))]
 
 
 class Decoder:
