@@ -1,12 +1,16 @@
 """Language-model scores from a probabilistic suffix tree over the bytes of the words.
 
 A text is the bytes of its lower-cased words with a space after each, and a line end. The tree's nodes are contexts of
-up to ``DEPTH`` symbols (classes of bytes). A context stays if it is frequent enough and its next-symbol
-distribution diverges from that of the context one symbol shorter, or if a longer one needs it. Distributions are
-smoothed towards the shorter context's. A symbol's probability comes from the longest context in the tree.
+up to ``DEPTH`` symbols (classes of bytes). Contexts of up to ``SHORT`` symbols stay. A longer one stays if it occurs
+``LEAST`` times and its next-symbol distribution diverges from that of the context one symbol shorter, or if a longer
+one needs it. Distributions are smoothed towards the shorter context's. A symbol's probability comes from the longest
+context in the tree.
 
 Next to it stands the word-frequency base: counts of all training words, looked up for every word of every text.
-Texts are dealt to buckets by hash; a bucket sends its distinct words with its own counts and gets back the totals.
+Texts are dealt to buckets by hash; a bucket sends its distinct words and its distinct grams (``DEPTH`` symbols and the
+next one) with its own counts, and gets back the words' totals and the grams' probabilities. Grams meet by the newest
+symbols of their contexts, so that all longer contexts of a branch are weighed by one task and no task or driver holds
+the tree; only the counts after the short contexts, a table of fixed size, go to all.
 """
 
 from __future__ import annotations
@@ -15,9 +19,10 @@ import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +33,10 @@ from millrace.session import parallelism
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEPTH = 6
-#: Least share of all symbols that a context must precede; at most 1 / LEAST_SHARE contexts of a length exist.
-LEAST_SHARE = 2e-6
+#: Contexts of so many symbols always stay: CLASSES ** SHORT of the longest.
+SHORT = 2
+#: How often a longer context must occur.
+LEAST = 2
 #: A context must gain this many nats a distinct next symbol, times the logarithm of its count, by being kept.
 GAIN = 0.5
 #: Weight of the shorter context in a longer one's distribution.
@@ -64,59 +71,107 @@ def stream(text: str | None) -> bytes:
 # Training
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """(gram, n) over texts: DEPTH symbols and the one that follows, six bits each, the last one lowest.
-
-    Also (-1 - byte, n): how often each byte occurs.
-    """
+def _coded(texts: list[str | None], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each symbol that is predicted: the ``depth`` symbols before it, the newest highest, and itself, six bits each; its byte. And how many each text has."""
+    streams = [stream(t) for t in texts]
+    size = np.fromiter(map(len, streams), np.int64, len(streams))
+    body = np.frombuffer(b"".join(streams), np.uint8)
+    symbols = CLASS[body].astype(np.int64)
+    code = np.zeros(max(0, len(body) - DEPTH), np.int64)
+    for back in [*range(1, depth + 1), 0]:
+        code <<= CLASS_BITS
+        code |= symbols[DEPTH - back : len(body) - back]
+    # all but the line ends in front
+    target = np.ones(len(code), bool)
+    starts = np.cumsum(size)[:-1]
+    for j in range(DEPTH):
+        target[starts + j - DEPTH] = False
+    return code[target], body[DEPTH:][target], size - DEPTH
+
+
+class Short:
+    """Counts and smoothed distributions after the contexts of SHORT symbols, and how the bytes of a class share it."""
+
+    def __init__(self, counts: np.ndarray, by_byte: np.ndarray):
+        self.counts = counts.reshape(-1, CLASSES)
+        self.totals = self.counts.sum(1)
+        share = np.full(CLASSES, 1 / CLASSES)
+        for length in range(SHORT + 1):
+            follow = counts.reshape(CLASSES**length, -1, CLASSES).sum(1)
+            # the context one symbol shorter lacks the oldest one, which stands lowest
+            base = np.repeat(share.reshape(-1, CLASSES), CLASSES if length else 1, axis=0)
+            share = (follow + SMOOTH * base) / (follow.sum(1, keepdims=True) + SMOOTH)
+        self.share = share
+        self.byte, self.texts = byte_logs(by_byte), int(by_byte[10])
+
+
+def byte_logs(by_byte: np.ndarray) -> np.ndarray:
+    """log10 share of each byte in its class: a class's probability goes to its bytes by their counts."""
+    within = by_byte + 0.5
+    return np.log10(within / np.bincount(CLASS, weights=within, minlength=CLASSES)[CLASS])
+
+
+def short_contexts(texts: DataFrame) -> Short:
+    """Counted over texts. The driver gets at most CLASSES ** (SHORT + 1) + 256 rows."""
+    size = CLASSES ** (SHORT + 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: list[tuple[np.ndarray, np.ndarray]] = []
-        held, by_byte = 0, np.zeros(256, np.int64)
+        total = np.zeros(size + 256, np.int64)
+        for batch in in_batches(batches, 4, 0):
+            code, byte, _ = _coded(batch.column(0).to_pylist(), SHORT)
+            total[:size] += np.bincount(code, minlength=size)
+            total[size:] += np.bincount(byte, minlength=256)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["code", "n"])
 
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            return _summed(*(np.concatenate([s[i] for s in seen]) for i in (0, 1)))
+    counts = texts.select(F.col("text").cast("string")).mapInArrow(run, "code long, n long")
+    found = counts.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(size + 256)
+    total[found.column("code").to_numpy()] = found.column("n").to_numpy()
+    return Short(total[:size], total[size:])
 
-        for batch in in_batches(batches, 4, 0):
-            body = np.frombuffer(b"".join([stream(t) for t in batch.column(0).to_pylist()]), np.uint8)
-            by_byte += np.bincount(body, minlength=256)
-            by_byte[10] -= DEPTH * batch.num_rows
-            symbols = CLASS[body].astype(np.int64)
-            gram = symbols[: len(symbols) - DEPTH].copy()
-            for j in range(1, DEPTH + 1):
-                gram <<= CLASS_BITS
-                gram |= symbols[j : j + len(gram)]
-            # positions that predict a symbol: all but the line ends in front
-            target = np.ones(len(body), bool)
-            ends = np.flatnonzero(body == 10)
-            target[ends] = False
-            # of each text's line ends only the closing one counts: the last of a run, not the run in front
-            closing = ends[DEPTH :: DEPTH + 1]
-            target[closing] = True
-            gram = gram[target[DEPTH:]]
-            part = gram
-            part.sort()
-            first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
-            seen.append((part[first], np.diff(np.append(first, len(part)))))
-            held += len(first)
-            if held > 2_500_000:
-                seen = [summed()]
-                held = len(seen[0][0])
-        if seen:
-            grams, n = summed()
-            bytes_at = np.flatnonzero(by_byte)
-            columns = [pa.array(np.append(grams, -1 - bytes_at)), pa.array(np.append(n, by_byte[bytes_at]))]
-            yield pa.RecordBatch.from_arrays(columns, ["gram", "n"])
 
-    counts = texts.select(F.col("text").cast("string")).mapInArrow(run, "gram long, n long")
-    return counts.groupBy("gram").agg(F.sum("n").alias("n"))
+def gram_logs(grams: np.ndarray, n: np.ndarray, short: Short) -> np.ndarray:
+    """log10 probability of each gram's last symbol after the longest context in the tree.
+
+    ``grams`` are in order and distinct, with every gram of each context of SHORT + 1 symbols among them; ``n`` says how
+    often training texts have them.
+    """
+    symbols = grams & (CLASSES - 1)
+    # counts and probabilities of each gram's symbol after the context of the length at hand; which gram has which pair
+    start = grams >> CLASS_BITS * (DEPTH + 1 - SHORT)
+    parent_n, parent_total, share = short.counts[start, symbols], short.totals[start], short.share[start, symbols]
+    nodes, keep, shares = [], [], []
+    for length in range(SHORT + 1, DEPTH + 1):
+        context = grams >> CLASS_BITS * (DEPTH + 1 - length)
+        first = np.append(True, context[1:] != context[:-1])
+        node = np.cumsum(first) - 1
+        total = np.bincount(node, weights=n)
+        _, one, pair = np.unique(node << CLASS_BITS | symbols, return_index=True, return_inverse=True)
+        count = np.bincount(pair, weights=n)
+        seen = count > 0
+        at, follow = node[one][seen], count[seen]
+        gain = np.bincount(at, weights=follow * np.log(follow / total[at] * (parent_total / np.maximum(parent_n, 1))[one][seen]), minlength=len(total))
+        sort = np.bincount(at, minlength=len(total))
+        nodes.append(node)
+        keep.append((total >= LEAST) & (gain >= GAIN * sort * np.log(np.maximum(total, 1))))
+        parent_n, parent_total = count[pair], total[node]
+        share = (parent_n + SMOOTH * share) / (parent_total + SMOOTH)
+        shares.append(share)
+    out = short.share[start, symbols]
+    # with each context all its suffixes
+    for i in range(len(nodes) - 1, 0, -1):
+        keep[i - 1][nodes[i - 1][keep[i][nodes[i]]]] = True
+    for node, stays, share in zip(nodes, keep, shares):
+        out = np.where(stays[node], share, out)
+    return np.log10(out).astype(np.float32)
 
 
 KEY_BITS = CLASS_BITS * DEPTH  # a context's key is its length, then its symbols
 
 
 class Tree:
-    """Contexts as a trie that is read backwards, with a distribution at each node."""
+    """Contexts as a trie that is read backwards, with a distribution at each node: the whole tree of a small corpus."""
 
     def __init__(self, keys: np.ndarray, symbols: np.ndarray, counts: np.ndarray, by_byte: np.ndarray):
         """Counts of the symbols after each context. ``keys`` are lengths and symbols of contexts, with every suffix of each among them."""
@@ -137,9 +192,7 @@ class Tree:
                 base = share[parent]
             share[own] = (follow[own] + SMOOTH * base) / (follow[own].sum(1, keepdims=True) + SMOOTH)
         self.log = np.log10(share).astype(np.float32)
-        # a class's probability goes to its bytes by their counts
-        within = by_byte + 0.5
-        self.byte = np.log10(within / np.bincount(CLASS, weights=within, minlength=CLASSES)[CLASS])
+        self.byte = byte_logs(by_byte)
 
     def positions(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Node of the longest context before each position, ``symbols`` being of 64 bits."""
@@ -178,15 +231,61 @@ class Tree:
         return np.add.reduceat(out, np.cumsum(counts) - counts) if len(counts) else out
 
 
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(gram, n) over texts: DEPTH symbols and the one that follows, six bits each, the last one lowest.
+
+    Also (-1 - byte, n): how often each byte occurs.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[tuple[np.ndarray, np.ndarray]] = []
+        held, by_byte = 0, np.zeros(256, np.int64)
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            return _summed(*(np.concatenate([s[i] for s in seen]) for i in (0, 1)))
+
+        for batch in in_batches(batches, 4, 0):
+            body = np.frombuffer(b"".join([stream(t) for t in batch.column(0).to_pylist()]), np.uint8)
+            by_byte += np.bincount(body, minlength=256)
+            by_byte[10] -= DEPTH * batch.num_rows
+            symbols = CLASS[body].astype(np.int64)
+            gram = symbols[: len(symbols) - DEPTH].copy()
+            for j in range(1, DEPTH + 1):
+                gram <<= CLASS_BITS
+                gram |= symbols[j : j + len(gram)]
+            # positions that predict a symbol: all but the line ends in front
+            target = np.ones(len(body), bool)
+            ends = np.flatnonzero(body == 10)
+            target[ends] = False
+            # of each text's line ends only the closing one counts: the last of a run, not the run in front
+            closing = ends[DEPTH :: DEPTH + 1]
+            target[closing] = True
+            gram = gram[target[DEPTH:]]
+            part = gram
+            part.sort()
+            first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+            seen.append((part[first], np.diff(np.append(first, len(part)))))
+            held += len(first)
+            if held > 2_500_000:
+                seen = [summed()]
+                held = len(seen[0][0])
+        if seen:
+            grams, n = summed()
+            bytes_at = np.flatnonzero(by_byte)
+            columns = [pa.array(np.append(grams, -1 - bytes_at)), pa.array(np.append(n, by_byte[bytes_at]))]
+            yield pa.RecordBatch.from_arrays(columns, ["gram", "n"])
+
+    counts = texts.select(F.col("text").cast("string")).mapInArrow(run, "gram long, n long")
+    return counts.groupBy("gram").agg(F.sum("n").alias("n"))
+
+
 def grow_tree(texts: DataFrame) -> Tree:
-    """The tree of the texts. Its contexts are bounded by DEPTH / LEAST_SHARE, whatever the corpus; so is what the driver gets."""
+    """The tree of the texts, gathered on the driver: to look at the contexts of a small corpus. ``score_texts`` never gathers them."""
     grams = written(gram_counts(texts), "suffix-tree-grams")
     by_byte = np.zeros(256)
     for r in grams.filter("gram < 0").collect():
         by_byte[-1 - r["gram"]] = r["n"]
     level = grams.filter("gram >= 0")
-    total = by_byte.sum()
-    least = max(2.0, LEAST_SHARE * total)
     low = (1 << CLASS_BITS) - 1
     tables = []
     for length in range(DEPTH, -1, -1):
@@ -194,7 +293,7 @@ def grow_tree(texts: DataFrame) -> Tree:
         level = level.groupBy(F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n"))
         rows = level.select(F.shiftright("gram", CLASS_BITS).alias("context"), F.col("gram").bitwiseAND(low).cast("int").alias("symbol"), "n")
         follow = rows.groupBy("context").agg(F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("next"))
-        tables.append(follow.filter((F.col("total") >= least) | F.lit(length == 0)).withColumn("length", F.lit(length)))
+        tables.append(follow.filter((F.col("total") >= LEAST) | F.lit(length <= SHORT)).withColumn("length", F.lit(length)))
     every = tables[0]
     for t in tables[1:]:
         every = every.union(t)
@@ -213,9 +312,9 @@ def grow_tree(texts: DataFrame) -> Tree:
 
     gain = divergence(F.col("total"), F.col("next"))
     kept = child.join(parents, ["p_length", "p_context"]).filter(gain >= GAIN * F.size("next") * F.log("total")).select("length", "context")
-    # with each context all its suffixes, and the empty one
+    # with each context all its suffixes, and the short ones
     own = F.expr(f"transform(sequence(0, length), l -> struct(l AS length, context & (shiftleft(1L, cast(l * {CLASS_BITS} AS INT)) - 1L) AS context))")
-    wanted = kept.select(F.inline(own)).union(every.filter("length = 0").select("length", "context")).distinct()
+    wanted = kept.select(F.inline(own)).union(every.filter(F.col("length") <= SHORT).select("length", "context")).distinct()
     key = F.shiftleft(F.col("length").cast("long"), KEY_BITS).bitwiseOR(F.col("context"))
     counts = every.join(wanted, ["length", "context"]).select(key.alias("key"), F.explode("next").alias("s")).select("key", "s.symbol", "s.n").toArrow()
     keys, symbols, n = (counts.column(c).to_numpy() for c in ("key", "symbol", "n"))
@@ -259,104 +358,138 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def bucket_words(bucketed: DataFrame) -> DataFrame:
-    """(word, bucket, n): the distinct words of each bucket and how often training texts of the bucket have them."""
+def bucket_keys(bucketed: DataFrame) -> DataFrame:
+    """(gram, key, bucket, n): the distinct words and grams of each bucket and how often training texts of the bucket have them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, seen = None, []
+        bucket = None
+        seen: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
 
         def out() -> Iterator[pa.RecordBatch]:
-            if seen:
-                words, n = _summed(*(np.concatenate([s[i] for s in seen]) for i in (0, 1)))
-                columns = [pa.array(words), pa.array(np.full(len(words), bucket, np.int64)), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, ["word", "bucket", "n"])
+            for gram, parts in enumerate(seen):
+                if parts:
+                    keys, n = _merged(parts)
+                    columns = [pa.array(np.full(len(keys), bool(gram))), pa.array(keys), pa.array(np.full(len(keys), bucket, np.int64)), pa.array(n)]
+                    yield pa.RecordBatch.from_arrays(columns, ["gram", "key", "bucket", "n"])
 
-        for batch in in_batches(batches, 1, 2):
+        for batch in in_batches(batches, 4, 2):
             buckets = batch.column(0).to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])).tolist() + [len(buckets)]
             for x, y in zip(cuts, cuts[1:]):
                 if buckets[x] != bucket:
                     yield from out()
-                    bucket, seen = buckets[x], []
-                words, n = _word_codes(batch.column(2).slice(x, y - x).to_pylist())
-                teaches = np.repeat(~batch.column(1).slice(x, y - x).to_numpy(zero_copy_only=False), n)
-                seen.append(_summed(words, teaches.astype(np.int64)))
+                    bucket, seen = buckets[x], [[], []]
+                texts, held = batch.column(2).slice(x, y - x), batch.column(1).slice(x, y - x)
+                for teaches, part in ((1, texts.filter(pc.invert(held))), (0, texts.filter(held))):
+                    if len(part):
+                        strings = part.to_pylist()
+                        for parts, keys in zip(seen, (_word_codes(strings)[0], _coded(strings, DEPTH)[0])):
+                            keys.sort()
+                            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+                            parts.append((keys[first], teaches * np.diff(np.append(first, len(keys)))))
+                            if sum(len(k) for k, _ in parts[1:]) > 2_500_000:
+                                parts[:] = [_merged(parts)]
         yield from out()
 
-    return bucketed.select("bucket", "held_out", "text").mapInArrow(run, "word long, bucket long, n long")
+    return bucketed.select("bucket", "held_out", "text").mapInArrow(run, "gram boolean, key long, bucket long, n long")
+
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return _summed(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))
 
-def shared_counts(sorted_words: DataFrame) -> DataFrame:
-    """From (word, bucket, n) sorted by word: (bucket, word, total), the word's count over all buckets.
 
-    One row a task with bucket -1 has the number of distinct words that training texts hold, and of all their words.
+def shared_counts(keys: DataFrame, short: Broadcast) -> DataFrame:
+    """(bucket, key, total, log) of words and grams: a word's count over all buckets, or a gram's log10 probability.
+
+    ``keys`` are (gram, key, bucket, n) sorted by key, words and grams in partitions of their own, and all grams of a
+    context of SHORT + 1 symbols in one. One row a task with bucket -1 has the number of distinct words that training
+    texts hold, and of all their words.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, distinct, every = np.zeros((3, 0), np.int64), 0, 0
+        distinct, every = 0, 0
 
-        def closed(rows: np.ndarray) -> tuple[pa.RecordBatch, int, int]:
+        def closed(rows: np.ndarray, gram: bool) -> pa.RecordBatch:
+            nonlocal distinct, every
             first = np.flatnonzero(np.append(True, rows[0, 1:] != rows[0, :-1]))
-            totals = np.add.reduceat(rows[2], first)
-            total = np.repeat(totals, np.diff(np.append(first, rows.shape[1])))
-            columns = [pa.array(rows[1]), pa.array(rows[0]), pa.array(total)]
-            return pa.RecordBatch.from_arrays(columns, ["bucket", "word", "total"]), int((totals > 0).sum()), int(totals.sum())
-
+            totals, times = np.add.reduceat(rows[2], first), np.diff(np.append(first, rows.shape[1]))
+            none = [None] * rows.shape[1]
+            if gram:
+                total, log = pa.array(none, pa.int64()), pa.array(np.repeat(gram_logs(rows[0, first], totals, short.value), times))
+            else:
+                distinct, every = distinct + int((totals > 0).sum()), every + int(totals.sum())
+                total, log = pa.array(np.repeat(totals, times)), pa.array(none, pa.float32())
+            return pa.RecordBatch.from_arrays([pa.array(rows[1]), pa.array(rows[0]), total, log], ["bucket", "key", "total", "log"])
+
+        held, size, gram, last = [], 0, False, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])], axis=1)
-            last = int(np.searchsorted(rows[0], rows[0, -1]))
-            if last:
-                out, a, b = closed(rows[:, :last])
-                distinct, every = distinct + a, every + b
-                yield out
-            held = rows[:, last:]
-        if held.shape[1]:
-            out, a, b = closed(held)
-            distinct, every = distinct + a, every + b
-            yield out
-        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([distinct]), pa.array([every])], ["bucket", "word", "total"])
-
-    return sorted_words.select("word", "bucket", "n").mapInArrow(run, "bucket long, word long, total long")
-
-
-def score_texts(docs: DataFrame, held_out: Column, tree: Tree | None = None) -> DataFrame:
+            gram = batch.column(0)[0].as_py()
+            held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]))
+            size += batch.num_rows
+            if size < max(200_000, 2 * last):  # a large group is not gone through again for every batch
+                continue
+            rows = np.concatenate(held, axis=1)
+            group = rows[0] >> CLASS_BITS * (DEPTH - SHORT) if gram else rows[0]
+            cut = int(np.searchsorted(group, group[-1]))
+            if cut:
+                yield closed(rows[:, :cut], gram)
+            held, size = [rows[:, cut:]], rows.shape[1] - cut
+            last = size
+        if size:
+            yield closed(np.concatenate(held, axis=1), gram)
+        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([distinct]), pa.array([every]), pa.array([None], pa.float32())], ["bucket", "key", "total", "log"])
+
+    return keys.select("gram", "key", "bucket", "n").mapInArrow(run, "bucket long, key long, total long, log float")
+
+
+def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Learns from rows that are not held out; a null text is empty: one end token. Words are told apart by 64-bit codes.
     Without training rows nothing is known and the tree is uniform; equal rows count, and are scored, as often as given.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), whole(F.col("text").cast("string")).alias("text"))
-    tree = tree or grow_tree(rows.filter(~F.col("held_out")))
-    model = docs.sparkSession.sparkContext.broadcast(tree)
+    taught_rows = rows.filter(~F.col("held_out"))
+    short = docs.sparkSession.sparkContext.broadcast(short_contexts(taught_rows))
+    taught = short.value.texts
     n = parallelism(docs.sparkSession)
     bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)))
-    words = bucket_words(bucketed.repartitionById(n, F.col("bucket").cast("int")).sortWithinPartitions("bucket"))
-    shared = written(shared_counts(words.repartition(n, "word").sortWithinPartitions("word")), "suffix-tree-words")
-    found = shared.filter("bucket < 0").agg(F.sum("word").alias("distinct"), F.sum("total").alias("words")).first()
-    taught = rows.filter(~F.col("held_out")).count()
+    keys = bucket_keys(bucketed.repartitionById(n, F.col("bucket").cast("int")).sortWithinPartitions("bucket"))
+    # words to the first n partitions, grams to the others, by the newest symbols of their contexts
+    branch = F.shiftright("key", CLASS_BITS * (DEPTH - SHORT))
+    part = F.when(F.col("gram"), n + F.pmod(F.xxhash64(branch), F.lit(n))).otherwise(F.pmod(F.xxhash64("key"), F.lit(n)))
+    met = keys.withColumn("part", part.cast("int")).repartitionById(2 * n, "part").sortWithinPartitions("key")
+    shared = written(shared_counts(met, short), "suffix-tree-shared")
+    found = shared.filter("bucket < 0").agg(F.sum("key").alias("distinct"), F.sum("total").alias("words")).first()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, parts, table = None, [], None
-        for batch in in_batches(batches, 1, 4):
+        bucket, parts, table = None, ([], []), None
+        for batch in in_batches(batches, 1, 5):
             buckets = batch.column(0).to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])).tolist() + [len(buckets)]
             for x, y in zip(cuts, cuts[1:]):
                 if buckets[x] != bucket:
-                    bucket, parts, table = buckets[x], [], None
+                    bucket, parts, table = buckets[x], ([], []), None
                 piece = batch.slice(x, y - x)
-                counts = piece.filter(pc.is_valid(piece.column(1)))  # they come first
-                if counts.num_rows:
-                    parts.append(np.stack([counts.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2)]))
+                sent = piece.filter(pc.is_valid(piece.column(1)))  # they come first
+                for i, of in ((2, parts[0]), (3, parts[1])):
+                    own = sent.filter(pc.is_valid(sent.column(i)))
+                    if own.num_rows:
+                        of.append((own.column(1).to_numpy(zero_copy_only=False), own.column(i).to_numpy(zero_copy_only=False)))
                 texts = piece.filter(pc.is_null(piece.column(1)))
                 if not texts.num_rows:
                     continue
                 if table is None:
-                    table = np.concatenate([*parts, np.zeros((2, 0), np.int64)], axis=1)
-                    table = table[:, np.argsort(table[0])]
-                    parts = []
-                strings = texts.column(4).to_pylist()
+                    none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+                    words, totals = (np.concatenate([p[i] for p in [*parts[0], none]]) for i in (0, 1))
+                    order = np.argsort(words)
+                    table = words[order], totals[order]
+                    grams, logs_of = (np.concatenate([p[i] for p in parts[1]]) for i in (0, 1))
+                    place = pd.Index(grams)  # a hash table
+                    parts = [], []
+                strings = texts.column(5).to_pylist()
                 codes, sizes = _word_codes(strings)
                 order = np.argsort(codes)
                 codes = codes[order]
@@ -365,21 +498,23 @@ def score_texts(docs: DataFrame, held_out: Column, tree: Tree | None = None) ->
                 times = np.diff(np.append(begin, len(codes)))
                 known, logs = np.repeat(total > 0, times), np.repeat(np.log10(total + 0.1), times)
                 doc = np.repeat(np.arange(len(strings)), sizes)[order]
+                coded, byte, counts = _coded(strings, DEPTH)
+                score = np.add.reduceat(logs_of[place.get_indexer(coded)] + short.value.byte[byte], np.cumsum(counts) - counts)
                 columns = [
-                    texts.column(3), texts.column(5), pa.array(sizes + 1),
+                    texts.column(4), texts.column(6), pa.array(sizes + 1),
                     pa.array(np.bincount(doc, weights=known, minlength=len(strings)).astype(np.int64)),
                     pa.array(np.bincount(doc, weights=logs, minlength=len(strings))),
-                    pa.array(model.value.score(strings)),
+                    pa.array(score),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known_words", "log_counts", "score"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, known_words long, log_counts double, score double"
     none = F.lit(None)
     back = shared.filter("bucket >= 0").select(
-        "bucket", "word", "total", none.cast("long").alias("doc_id"), none.cast("string").alias("text"), none.cast("boolean").alias("held_out")
+        "bucket", "key", "total", "log", none.cast("long").alias("doc_id"), none.cast("string").alias("text"), none.cast("boolean").alias("held_out")
     )
-    texts = bucketed.select("bucket", none.cast("long").alias("word"), none.cast("long").alias("total"), "doc_id", "text", "held_out")
-    both = back.union(texts).repartitionById(n, F.col("bucket").cast("int")).sortWithinPartitions("bucket", F.isnull("word"))
+    texts = bucketed.select("bucket", none.cast("long").alias("key"), none.cast("long").alias("total"), none.cast("float").alias("log"), "doc_id", "text", "held_out")
+    both = back.union(texts).repartitionById(n, F.col("bucket").cast("int")).sortWithinPartitions("bucket", F.isnull("key"))
     scored = both.mapInArrow(run, schema)
     distinct = (found["distinct"] or 0) + (1 if taught else 0)
     total = (found["words"] or 0) + taught

@@ -85,3 +85,21 @@ def test_empty_and_all_held_out(spark):
     assert S.score_texts(table.limit(0), F.lit(False)).count() == 0
     out = S.score_texts(table, F.lit(True)).collect()
     assert {r["n_known"] for r in out} == {0} and {r["train_tokens"] for r in out} == {0} and all(r["score"] < 0 for r in out)
+
+
+def test_scores_equal_the_gathered_tree(spark):
+    rows, table = docs(spark)
+    held = held_out(F.col("doc_id"), 10)
+    tree = S.grow_tree(table.filter(~held))
+    got = sorted((str(r["doc_id"]), round(r["score"], 4)) for r in S.score_texts(table, held).collect())
+    want = sorted((str(i), round(float(s), 4)) for (i, _), s in zip(rows, tree.score([t for _, t in rows])))
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert all(a == pytest.approx(b, rel=1e-4, abs=1e-3) for (_, a), (_, b) in zip(got, want))
+
+
+def test_rare_contexts_stay_however_large_the_corpus(spark):
+    rnd = random.Random(4)
+    rows = [(i, " ".join(rnd.choices(["stone", "river", "house", "under", "a"], k=10_000)), 0.0) for i in range(1, 45)]
+    rows += [(i, "jqxvzk", 0.0) for i in (-1, -2, -3)] + [(0, "jqxvzk", 0.0)]  # three times in over two million symbols
+    out = S.score_texts(spark.createDataFrame(rows, SCHEMA).repartition(4), F.col("doc_id") == 0).filter("doc_id = 0").first()
+    assert out["score"] > -12
