@@ -2,7 +2,8 @@
 
 Words may hide behind look-alike symbols, single letters set apart, or repeated letters. Each suspicious stretch
 becomes a lattice of characters (a symbol may stand for a letter or for nothing, a repeated letter for one letter), and
-the Viterbi path under a character trigram model of the corpus is taken as what was meant. Plain words stay.
+the Viterbi path under a character trigram model of the corpus is taken as what was meant. A stretch with marks is read
+once more with marks that may also end a word. Plain words stay.
 
 What is toxic is learned from labels: words and word beginnings that occur (almost) only in toxic documents, chosen
 greedily so that each accounts for enough documents with few signs so far. A document's score is the chance that at least
@@ -12,6 +13,7 @@ one of its learned signs tells the truth.
 from __future__ import annotations
 
 import re
+import string
 import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -49,12 +51,18 @@ LOOK, DROP_SYMBOL, DROP_REPEAT, DROP_MARK = -1.0, -6.0, -0.7, -0.3
 
 WORDS = re.compile(r"[^\W\d_]+")
 _LOOK = "".join(map(re.escape, LOOKS))
-#: A look-alike next to a letter on its right, or a letter three times: the run of non-space around it is suspicious.
-HINT = re.compile(rf"[{_LOOK}][a-z]|([a-z])\1\1")
+_LETTER = r"[^\W\d_]"
+#: A look-alike next to a letter, or a letter twice: the run of non-space around it is suspicious.
+HINT = re.compile(rf"[{_LOOK}]{_LETTER}|{_LETTER}[{_LOOK}]|([a-z])\1")
 RUN = re.compile(r"\S*")
 THRICE = re.compile(r"(.)\1\1")
-#: Three or more single characters set apart by one mark each.
-SPACED = re.compile(rf"(?<![^\s])(?:[a-z{_LOOK}][ .\-_*]){{2,}}[a-z{_LOOK}](?![^\s])")
+#: Three or more single characters set apart by marks or white space.
+SPACED = re.compile(rf"(?<!{_LETTER})(?:[a-z{_LOOK}](?:[^\w{_LOOK}]|_)++){{2,}}[a-z{_LOOK}](?!{_LETTER})")
+_MARK_LOOK = "".join(re.escape(c) for c in LOOKS if not c.isalnum())
+#: Three or more single letters set apart by one mark that could pass for a letter itself.
+CHAINED = re.compile(rf"(?<!{_LETTER})[a-z]([{_MARK_LOOK}])\1*(?:[a-z]\1+)+[a-z](?!{_LETTER})")
+#: Marks that change nothing at the ends of a run.
+EDGE = "".join(c for c in string.punctuation if c not in LOOKS)
 
 
 class CharModel:
@@ -69,36 +77,40 @@ class CharModel:
         self.table = np.log(three).tolist()
 
 
-def _readings(text: str, at: int) -> list[tuple[str, float]]:
-    """What the character may stand for, with its cost."""
+def _readings(text: str, at: int, breaks: bool) -> list[tuple[str, float]]:
+    """What the character may stand for, with its cost; a blank ends a word."""
     c = text[at]
     if c in SYMBOLS and c != "^":
         out = [(c, 0.0)]
         if at and text[at - 1] == c:
             out.append(("", DROP_REPEAT))
         return out
+    ends = [(" ", DROP_MARK)] if breaks and not c.isalnum() else []
     if c in LOOKS:
-        return [(x, LOOK) for x in LOOKS[c]] + [("", DROP_SYMBOL)]
+        return [(x, LOOK) for x in LOOKS[c]] + [("", DROP_SYMBOL)] + ends
     if c.isalpha():
         return [(c, 0.0)]
-    return [("", DROP_MARK)]
+    return [("", DROP_MARK)] + ends
 
 
-def restore(text: str, model: CharModel) -> str:
-    """The likeliest word behind a stretch of lower-case text: Viterbi over its lattice."""
+def restore(text: str, model: CharModel, breaks: bool = False) -> str:
+    """The likeliest word behind a stretch of lower-case text: Viterbi over its lattice. With ``breaks`` the likeliest words, as marks may end one."""
     table = model.table
     paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for at in range(len(text)):
         following: dict[tuple[int, int], tuple[float, str]] = {}
-        for c, cost in _readings(text, at):
+        for c, cost in _readings(text, at, breaks):
             code = SYMBOLS.get(c, OTHER)
             for (a, b), (value, word) in paths.items():
-                key = (b, code) if c else (a, b)
-                new = value + cost + (table[a][b][code] if c else 0.0)
+                if c == " ":
+                    key, step = (0, 0), table[a][b][0] if b else 0.0
+                else:
+                    key, step = ((b, code), table[a][b][code]) if c else ((a, b), 0.0)
+                new = value + cost + step
                 if key not in following or new > following[key][0]:
                     following[key] = (new, word + c)
         paths = following
-    return max((value + table[a][b][0], word) for (a, b), (value, word) in paths.items())[1]
+    return max((value if not b and word.strip() else value + table[a][b][0], word) for (a, b), (value, word) in paths.items())[1]
 
 
 class Restorer:
@@ -107,11 +119,14 @@ class Restorer:
     def __init__(self, model: CharModel):
         self.model, self.known = model, {}
 
-    def meant(self, stretch: str) -> str:
+    def meant(self, stretch: str) -> list[str]:
         if len(self.known) > 200_000:
             self.known.clear()
         if stretch not in self.known:
-            self.known[stretch] = restore(stretch, self.model)
+            found = [restore(stretch, self.model)]
+            if not stretch.isalnum():
+                found += restore(stretch, self.model, breaks=True).split()
+            self.known[stretch] = found
         return self.known[stretch]
 
     def words(self, text: str | None) -> set[str]:
@@ -124,9 +139,11 @@ class Restorer:
             while head > at and not text[head - 1].isspace():
                 head -= 1
             at = RUN.match(text, found.start()).end()
-            out.add(self.meant(text[head:at]))
+            out.update(self.meant(text[head:at].strip(EDGE)))
         for found in SPACED.finditer(text):
-            out.add(self.meant(found[0]))
+            out.update(self.meant(found[0]))
+        for found in CHAINED.finditer(text):
+            out.update(self.meant(found[0].replace(found[1], "")))
         out.discard("")
         return out
 

@@ -66,3 +66,21 @@ def test_odd_rows(spark):
     assert len(out) == 105 and all(0 <= r["score"] <= 1 for r in out)
     assert T.toxicity(docs.limit(0), labels.limit(0)).count() == 0
     assert T.toxicity(docs, labels.limit(0)).agg(F.countDistinct("score")).first()[0] == 1
+
+
+@pytest.mark.parametrize(
+    "text, word",
+    [
+        ("hous3", "house"), ("do17", "dolt"), ("halfw17", "halfwit"), ("sw1m", "swim"), ("und3r", "under"), ("vermmin", "vermin"), ("haalfwit", "halfwit"),
+        ("v e r m i n,", "vermin"), ("v e r m i n!", "vermin"), ("(v e r m i n)", "vermin"), ("v-e-r-m-i-n,", "vermin"), ("v/e/r/m/i/n", "vermin"),
+        ("v  e  r  m  i  n", "vermin"), ("v - e - r - m - i - n", "vermin"), ("v+e+r+m+i+n", "vermin"), ("'d.o.l.t'", "dolt"), ("a v e r m i n", "vermin"),
+        ("v3rm1n/house", "vermin"), ("summer,d0lt", "dolt"), ("summer-d0lt", "summer"), ("v3rmin!", "vermin"),
+    ],
+)
+def test_restores_every_disguise(spark, model, text, word):
+    assert word in T.Restorer(model).words(f"this {text} here")
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return T.CharModel(T.character_counts(table(spark, 300)))
