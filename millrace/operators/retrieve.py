@@ -178,8 +178,8 @@ def knn_lsh(
     corpus: DataFrame,
     k: int,
     dim: int,
-    bands: int = 8,
-    bits: int = 6,
+    bands: int = 32,
+    bits: int = 4,
     seed: int = 42,
     exclude_self: bool = False,
     block_rows: int = BLOCK_ROWS,

@@ -220,3 +220,23 @@ def test_references_equal_the_standard_library(spark):
     texts = ["&amp;lt;", "&unknownthing; &", "&#65;&#x41;&#X41", "&#150;&#0;&#xD800;&#99999999;", "a&b&&c;", "&Eacute;&eacute &AMP;", "&lt 3", "", "&hearts;&NotEqualTilde;"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", unescaped(F.col("t")).alias("u")).collect()
     assert {r["t"]: r["u"] for r in got} == {t: html.unescape(t) for t in texts}
+
+
+def test_registered_lsh_finds_nine_in_ten(spark):
+    from conftest import SF
+    from millrace.plans import QUERIES
+
+    near, exact = ({(r["query_id"], r["vec_id"]) for r in QUERIES[name](spark, SF).collect()} for name in ("knn_lsh", "knn_topk"))
+    assert len(near & exact) >= 0.9 * len(exact)
+
+
+def test_lsh_defaults_find_nine_in_ten(spark):
+    from conftest import SF
+
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", F.col("embedding").alias("vector"))
+    queries = vectors.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    exact, near = (
+        {(r["query_id"], r["vec_id"]) for r in found.collect()}
+        for found in (knn(queries, vectors, 5, exclude_self=True), knn_lsh(queries, vectors, 5, 64, exclude_self=True))
+    )
+    assert len(near & exact) >= 0.9 * len(exact)
