@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, mixing, topk
+from millrace.llm import chat, mixing, repair, topk
 from millrace.llm.bpe import encode_digest
 from millrace.llm.common import n_words, source, text_session, whole
 from millrace.llm.quality_rules import quality_report
@@ -93,3 +93,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("rule").cast("int").alias("rule")
     )
+
+
+@query("op13_structure_repair", repair.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.structure_report(source(spark, sf_dir, "conversations"))
