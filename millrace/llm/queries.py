@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, mixing, repair, topk
+from millrace.llm import chat, hard_negatives, mixing, repair, topk
 from millrace.llm.bpe import encode_digest
 from millrace.llm.common import n_words, source, text_session, whole
 from millrace.llm.quality_rules import quality_report
@@ -95,6 +95,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_hard_negatives", hard_negatives.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.shifted_labels(source(spark, sf_dir, "embeddings"))
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 @query("op13_structure_repair", repair.SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.structure_report(source(spark, sf_dir, "conversations"))

@@ -171,7 +171,7 @@ def test_turns_come_out_in_their_places(spark):
     rows = [(1, 0, "user", "Hi.", "", 0), (1, 1, "user", "Well?", "", 0), (1, 2, "system", "Oh.", "", 0)]
     _, fixed = P.repair(table(spark, rows))
     out = sorted(map(tuple, fixed.select("conv_id", "place", "edit", "role", "text").collect()))
-    assert out == [(1, 0, "K", "user", "Hi."), (1, 1, "R", "assistant", "Well?")]
+    assert out == [(1, 0, "K", "user", "Hi."), (1, 1, "I", "assistant", ""), (1, 2, "K", "user", "Well?"), (1, 3, "R", "assistant", "Oh.")]
     letters = backwards([(1, 0, "user", "Hi."), (1, 1, "user", "Well?"), (1, 2, "system", "Oh.")])[1]
     assert "".join(r["edit"] for r in fixed.orderBy("place").collect()) == letters.replace("D", "")
 
