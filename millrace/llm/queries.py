@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm import chat, hard_negatives, mixing, repair, topk
 from millrace.llm.bpe import encode_digest
 from millrace.llm.common import n_words, source, text_session, whole
+from millrace.llm.packing import packed
 from millrace.llm.quality_rules import quality_report
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.suffix_dedup import suffix_report
@@ -95,6 +96,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_best_fit_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packed(source(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op12_hard_negatives", hard_negatives.SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hard_negatives.shifted_labels(source(spark, sf_dir, "embeddings"))
