@@ -8,9 +8,9 @@ context in the tree.
 
 Next to it stands the word-frequency base: counts of all training words, looked up for every word of every text.
 Texts are dealt to buckets by hash; a bucket sends its distinct words and its distinct grams (``DEPTH`` symbols and the
-next one) with its own counts, and gets back the words' totals and the grams' probabilities. Grams meet by the newest
-symbols of their contexts, so that all longer contexts of a branch are weighed by one task and no task or driver holds
-the tree; only the counts after the short contexts, a table of fixed size, go to all.
+next one) with its own counts, packed by stretches of keys, and gets back the words' totals and the grams'
+probabilities. Grams meet by the newest symbols of their contexts, so that all longer contexts of a branch are weighed
+by one task and no task or driver holds the tree; stretches are cut by how often branches occur; only the counts after the short contexts, a table of fixed size, go to all.
 """
 
 from __future__ import annotations
@@ -19,15 +19,14 @@ import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import in_batches, whole, written
-from millrace.llm.suffix_dedup import BASE, BYTE
 from millrace.session import parallelism
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -39,6 +38,8 @@ SHORT = 2
 LEAST = 2
 #: A context must gain this many nats a distinct next symbol, times the logarithm of its count, by being kept.
 GAIN = 0.5
+#: Text of a bucket, about: its distinct words and grams are held by one task.
+BUCKET_BYTES = 32_000_000
 #: Weight of the shorter context in a longer one's distribution.
 SMOOTH = 4.0
 CLASS_BITS, CLASSES = 6, 64
@@ -102,7 +103,7 @@ class Short:
             base = np.repeat(share.reshape(-1, CLASSES), CLASSES if length else 1, axis=0)
             share = (follow + SMOOTH * base) / (follow.sum(1, keepdims=True) + SMOOTH)
         self.share = share
-        self.byte, self.texts = byte_logs(by_byte), int(by_byte[10])
+        self.byte, self.texts, self.bytes = byte_logs(by_byte), int(by_byte[10]), int(by_byte.sum())
 
 
 def byte_logs(by_byte: np.ndarray) -> np.ndarray:
@@ -131,16 +132,16 @@ def short_contexts(texts: DataFrame) -> Short:
     return Short(total[:size], total[size:])
 
 
-def gram_logs(grams: np.ndarray, n: np.ndarray, short: Short) -> np.ndarray:
+def gram_logs(grams: np.ndarray, n: np.ndarray, counts: np.ndarray, totals: np.ndarray, short: np.ndarray) -> np.ndarray:
     """log10 probability of each gram's last symbol after the longest context in the tree.
 
     ``grams`` are in order and distinct, with every gram of each context of SHORT + 1 symbols among them; ``n`` says how
-    often training texts have them.
+    often training texts have them. The others are counts, their totals and shares after the contexts of SHORT symbols.
     """
     symbols = grams & (CLASSES - 1)
     # counts and probabilities of each gram's symbol after the context of the length at hand; which gram has which pair
     start = grams >> CLASS_BITS * (DEPTH + 1 - SHORT)
-    parent_n, parent_total, share = short.counts[start, symbols], short.totals[start], short.share[start, symbols]
+    parent_n, parent_total, share = counts[start, symbols], totals[start], short[start, symbols]
     nodes, keep, shares = [], [], []
     for length in range(SHORT + 1, DEPTH + 1):
         context = grams >> CLASS_BITS * (DEPTH + 1 - length)
@@ -158,7 +159,7 @@ def gram_logs(grams: np.ndarray, n: np.ndarray, short: Short) -> np.ndarray:
         parent_n, parent_total = count[pair], total[node]
         share = (parent_n + SMOOTH * share) / (parent_total + SMOOTH)
         shares.append(share)
-    out = short.share[start, symbols]
+    out = short[start, symbols]
     # with each context all its suffixes
     for i in range(len(nodes) - 1, 0, -1):
         keep[i - 1][nodes[i - 1][keep[i][nodes[i]]]] = True
@@ -167,210 +168,89 @@ def gram_logs(grams: np.ndarray, n: np.ndarray, short: Short) -> np.ndarray:
     return np.log10(out).astype(np.float32)
 
 
-KEY_BITS = CLASS_BITS * DEPTH  # a context's key is its length, then its symbols
-
-
-class Tree:
-    """Contexts as a trie that is read backwards, with a distribution at each node: the whole tree of a small corpus."""
-
-    def __init__(self, keys: np.ndarray, symbols: np.ndarray, counts: np.ndarray, by_byte: np.ndarray):
-        """Counts of the symbols after each context. ``keys`` are lengths and symbols of contexts, with every suffix of each among them."""
-        contexts, at = np.unique(np.append(keys, 0), return_inverse=True)
-        n = len(contexts)  # shorter ones first, the empty context at 0
-        follow = np.zeros((n, CLASSES))
-        np.add.at(follow, (at[:-1], symbols), counts)
-        self.child = np.zeros((n, CLASSES), np.int32)  # 0: none, as the root is nobody's child
-        share = np.empty((n, CLASSES))
-        length, code = contexts >> KEY_BITS, contexts & ((1 << KEY_BITS) - 1)
-        for k in range(int(length.max(initial=0)) + 1):
-            own = np.flatnonzero(length == k)
-            base = 1 / CLASSES
-            if k:
-                oldest = CLASS_BITS * (k - 1)
-                parent = np.searchsorted(contexts, (k - 1) << KEY_BITS | code[own] & ((1 << oldest) - 1))
-                self.child[parent, code[own] >> oldest] = own
-                base = share[parent]
-            share[own] = (follow[own] + SMOOTH * base) / (follow[own].sum(1, keepdims=True) + SMOOTH)
-        self.log = np.log10(share).astype(np.float32)
-        self.byte = byte_logs(by_byte)
-
-    def positions(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Node of the longest context before each position, ``symbols`` being of 64 bits."""
-        flat = self.child.reshape(-1)
-        node = flat[symbols[at - 1]]
-        live = np.flatnonzero(node)
-        inner, spot = node[live], at[live]
-        for back in range(2, DEPTH + 1):
-            following = flat[(inner.astype(np.int64) << CLASS_BITS) + symbols[spot - back]]
-            more = np.flatnonzero(following)
-            if not len(more):
-                break
-            live, inner, spot = live[more], following[more], spot[more]
-            node[live] = inner
-        return node
-
-    def score(self, texts: list[str | None]) -> np.ndarray:
-        """log10 probability of each text."""
-        streams = [stream(t) for t in texts]
-        size = np.fromiter(map(len, streams), np.int64, len(streams))
-        body = np.frombuffer(b"".join(streams), np.uint8)
-        symbols = CLASS[body].astype(np.int64)
-        at = np.arange(len(body))
-        starts = np.cumsum(size) - size
-        target = np.ones(len(body), bool)
-        for j in range(DEPTH):
-            target[starts + j] = False
-        at = at[target]
-        out = np.empty(len(at))
-        log = self.log.reshape(-1)
-        for x in range(0, len(at), 100_000):
-            part = at[x : x + 100_000]
-            node = self.positions(symbols, part).astype(np.int64)
-            out[x : x + 100_000] = log[(node << CLASS_BITS) + symbols[part]] + self.byte[body[part]]
-        counts = size - DEPTH
-        return np.add.reduceat(out, np.cumsum(counts) - counts) if len(counts) else out
-
-
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """(gram, n) over texts: DEPTH symbols and the one that follows, six bits each, the last one lowest.
-
-    Also (-1 - byte, n): how often each byte occurs.
-    """
+# Words
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: list[tuple[np.ndarray, np.ndarray]] = []
-        held, by_byte = 0, np.zeros(256, np.int64)
 
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            return _summed(*(np.concatenate([s[i] for s in seen]) for i in (0, 1)))
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Two halves of a 128-bit XXH3 code for each distinct lower-cased word, which of them each word is, and words a text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("").cast(pa.large_string())))
+    coded = lists.flatten().dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    codes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(w.encode()) for w in distinct]), np.uint64).reshape(-1, 2)
+    at = coded.indices.to_numpy().astype(np.int64)
+    word = np.array([bool(w) for w in distinct], bool)[at]  # white space at an end leaves an empty one
+    offsets = lists.offsets.to_numpy()
+    edges = np.concatenate([[0], np.cumsum(word)])[offsets - offsets[0]]
+    return codes[:, 0], codes[:, 1], at[word], np.diff(edges)
 
-        for batch in in_batches(batches, 4, 0):
-            body = np.frombuffer(b"".join([stream(t) for t in batch.column(0).to_pylist()]), np.uint8)
-            by_byte += np.bincount(body, minlength=256)
-            by_byte[10] -= DEPTH * batch.num_rows
-            symbols = CLASS[body].astype(np.int64)
-            gram = symbols[: len(symbols) - DEPTH].copy()
-            for j in range(1, DEPTH + 1):
-                gram <<= CLASS_BITS
-                gram |= symbols[j : j + len(gram)]
-            # positions that predict a symbol: all but the line ends in front
-            target = np.ones(len(body), bool)
-            ends = np.flatnonzero(body == 10)
-            target[ends] = False
-            # of each text's line ends only the closing one counts: the last of a run, not the run in front
-            closing = ends[DEPTH :: DEPTH + 1]
-            target[closing] = True
-            gram = gram[target[DEPTH:]]
-            part = gram
-            part.sort()
-            first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
-            seen.append((part[first], np.diff(np.append(first, len(part)))))
-            held += len(first)
-            if held > 2_500_000:
-                seen = [summed()]
-                held = len(seen[0][0])
-        if seen:
-            grams, n = summed()
-            bytes_at = np.flatnonzero(by_byte)
-            columns = [pa.array(np.append(grams, -1 - bytes_at)), pa.array(np.append(n, by_byte[bytes_at]))]
-            yield pa.RecordBatch.from_arrays(columns, ["gram", "n"])
-
-    counts = texts.select(F.col("text").cast("string")).mapInArrow(run, "gram long, n long")
-    return counts.groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def grow_tree(texts: DataFrame) -> Tree:
-    """The tree of the texts, gathered on the driver: to look at the contexts of a small corpus. ``score_texts`` never gathers them."""
-    grams = written(gram_counts(texts), "suffix-tree-grams")
-    by_byte = np.zeros(256)
-    for r in grams.filter("gram < 0").collect():
-        by_byte[-1 - r["gram"]] = r["n"]
-    level = grams.filter("gram >= 0")
-    low = (1 << CLASS_BITS) - 1
-    tables = []
-    for length in range(DEPTH, -1, -1):
-        mask = (1 << CLASS_BITS * (length + 1)) - 1
-        level = level.groupBy(F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n"))
-        rows = level.select(F.shiftright("gram", CLASS_BITS).alias("context"), F.col("gram").bitwiseAND(low).cast("int").alias("symbol"), "n")
-        follow = rows.groupBy("context").agg(F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("next"))
-        tables.append(follow.filter((F.col("total") >= LEAST) | F.lit(length <= SHORT)).withColumn("length", F.lit(length)))
-    every = tables[0]
-    for t in tables[1:]:
-        every = every.union(t)
-    every = written(every, "suffix-tree-contexts")
-    parents = every.select(F.col("length").alias("p_length"), F.col("context").alias("p_context"), F.col("total").alias("p_total"), F.map_from_entries("next").alias("p_next"))
-    suffix = F.col("context").bitwiseAND(F.expr(f"shiftleft(1L, cast((length - 1) * {CLASS_BITS} AS INT)) - 1L"))
-    child = every.filter("length > 0").withColumn("p_length", F.col("length") - 1).withColumn("p_context", suffix)
-
-    def divergence(total: Column, follow: Column) -> Column:
-        def add(done: Column, s: Column) -> Column:
-            share = s["n"] / total
-            shorter = F.element_at(F.col("p_next"), s["symbol"]) / F.col("p_total")
-            return done + s["n"] * F.log(share / shorter)
-
-        return F.aggregate(follow, F.lit(0.0), add)
-
-    gain = divergence(F.col("total"), F.col("next"))
-    kept = child.join(parents, ["p_length", "p_context"]).filter(gain >= GAIN * F.size("next") * F.log("total")).select("length", "context")
-    # with each context all its suffixes, and the short ones
-    own = F.expr(f"transform(sequence(0, length), l -> struct(l AS length, context & (shiftleft(1L, cast(l * {CLASS_BITS} AS INT)) - 1L) AS context))")
-    wanted = kept.select(F.inline(own)).union(every.filter(F.col("length") <= SHORT).select("length", "context")).distinct()
-    key = F.shiftleft(F.col("length").cast("long"), KEY_BITS).bitwiseOR(F.col("context"))
-    counts = every.join(wanted, ["length", "context"]).select(key.alias("key"), F.explode("next").alias("s")).select("key", "s.symbol", "s.n").toArrow()
-    keys, symbols, n = (counts.column(c).to_numpy() for c in ("key", "symbol", "n"))
-    return Tree(keys, symbols, n, by_byte)
 
+def _order(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """By both halves of a code; the second one is looked at only where first halves meet."""
+    order = np.argsort(high, kind="stable")
+    same = high[order[1:]] == high[order[:-1]]
+    if (low[order[1:]] != low[order[:-1]])[same].any():
+        order = np.lexsort((low, high))
+    return order
+
+
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, with the sums of their counts, which come last. A key is one number or two."""
+    *keys, n = (np.concatenate(p) for p in zip(*parts))
+    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else _order(*keys)
+    keys, n = [k[order] for k in keys], n[order]
+    new = np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)) if len(n) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    return *(k[first] for k in keys), np.add.reduceat(n, first) if len(first) else n
 
-# Words
 
+# Keys travel packed: one row for a bucket and a slot, a stretch of keys, with all of the bucket's keys there in order.
 
-def _word_codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit code of every lower-cased word, and how many words each text has.
+PACKED = "gram boolean, slot int, bucket long, key binary, low binary, value binary"
 
-    A polynomial over byte codes, from one running sum over all bytes: the difference at a word's ends, times a power
-    that takes its place out.
+
+def slot_edges(counts: np.ndarray, slots: int) -> np.ndarray:
+    """First branch of each slot after the first, slots being alike in how often their branches occur in training texts.
+
+    A branch is the SHORT + 1 newest symbols of a context, the newest highest; ``counts`` are those of ``Short``.
     """
-    streams = [stream(t) for t in texts]
-    body = np.frombuffer(b"".join(streams), np.uint8)
-    size = np.fromiter(map(len, streams), np.int64, len(streams))
-    spaces = np.flatnonzero(body == 32)  # one closes each word
-    n = np.bincount(np.searchsorted(np.cumsum(size), spaces, side="right"), minlength=len(streams))
-    # a word begins after the last one, or after the line ends in front
-    starts = np.empty_like(spaces)
-    starts[1:] = spaces[:-1] + 1
-    first = np.cumsum(n) - n
-    starts[first[n > 0]] = (np.cumsum(size) - size)[n > 0] + DEPTH
-    with np.errstate(over="ignore"):
-        back = np.cumprod(np.append(np.uint64(1), np.full(len(body), np.uint64(pow(BASE, -1, 1 << 64)))))
-        sums = np.append(np.uint64(0), np.cumsum(BYTE[body] * back[:-1]))
-        forth = np.cumprod(np.append(np.uint64(1), np.full(len(body), np.uint64(BASE))))
-        codes = (sums[spaces] - sums[starts]) * forth[starts]
-        codes ^= codes >> np.uint64(32)
-        codes *= np.uint64(0xD6E8FEB86659FD93)
-    return codes.view(np.int64), n
-
-
-def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, in order, with the sums of their counts."""
-    order = np.argsort(keys)
-    keys, n = keys[order], n[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(n, first) if len(first) else n
-
-
-def bucket_keys(bucketed: DataFrame) -> DataFrame:
-    """(gram, key, bucket, n): the distinct words and grams of each bucket and how often training texts of the bucket have them."""
+    table = counts.reshape([CLASSES] * (SHORT + 1))  # newest to oldest context symbol, then the symbol after them
+    weight = np.moveaxis(table, -1, 0).reshape(-1) + 1e-9
+    reached = np.cumsum(weight)
+    return np.searchsorted(reached, reached[-1] * np.arange(1, slots) / slots)
+
+
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows)
+    types = [pa.bool_(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["gram", "slot", "bucket", "key", "low", "value"])
+
+
+def bucket_keys(bucketed: DataFrame, word_slots: int, edges: np.ndarray) -> DataFrame:
+    """The distinct words and grams of each bucket and how often training texts of the bucket have them, packed."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket = None
-        seen: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+        bucket, words, grams = None, [], []
+
+        def rows(gram: bool, slot_of: np.ndarray, keys: np.ndarray, low: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            cuts = np.append(np.flatnonzero(np.append(True, slot_of[1:] != slot_of[:-1])), len(slot_of))
+            ready = []
+            for x, y in zip(cuts, cuts[1:]):
+                ready.append((gram, int(slot_of[x]), int(bucket), keys[x:y].tobytes(), low[x:y].tobytes(), n[x:y].tobytes()))
+                if len(ready) == 64:
+                    yield _packed(ready)
+                    ready = []
+            if ready:
+                yield _packed(ready)
 
         def out() -> Iterator[pa.RecordBatch]:
-            for gram, parts in enumerate(seen):
-                if parts:
-                    keys, n = _merged(parts)
-                    columns = [pa.array(np.full(len(keys), bool(gram))), pa.array(keys), pa.array(np.full(len(keys), bucket, np.int64)), pa.array(n)]
-                    yield pa.RecordBatch.from_arrays(columns, ["gram", "key", "bucket", "n"])
+            if words:
+                high, low, n = _merged(words)
+                if len(n):
+                    yield from rows(False, (high >> np.uint64(32)) * np.uint64(word_slots) >> np.uint64(32), high, low, n)
+            if grams:
+                keys, n = _merged(grams)
+                branch = keys >> CLASS_BITS * (DEPTH - SHORT)
+                yield from rows(True, np.searchsorted(edges, branch, side="right"), keys, np.zeros(0, np.uint64), n)
 
         for batch in in_batches(batches, 4, 2):
             buckets = batch.column(0).to_numpy(zero_copy_only=False)
@@ -378,146 +258,153 @@ def bucket_keys(bucketed: DataFrame) -> DataFrame:
             for x, y in zip(cuts, cuts[1:]):
                 if buckets[x] != bucket:
                     yield from out()
-                    bucket, seen = buckets[x], [[], []]
+                    bucket, words, grams = buckets[x], [], []
                 texts, held = batch.column(2).slice(x, y - x), batch.column(1).slice(x, y - x)
                 for teaches, part in ((1, texts.filter(pc.invert(held))), (0, texts.filter(held))):
-                    if len(part):
-                        strings = part.to_pylist()
-                        for parts, keys in zip(seen, (_word_codes(strings)[0], _coded(strings, DEPTH)[0])):
-                            keys.sort()
-                            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-                            parts.append((keys[first], teaches * np.diff(np.append(first, len(keys)))))
-                            if sum(len(k) for k, _ in parts[1:]) > 2_500_000:
-                                parts[:] = [_merged(parts)]
+                    if not len(part):
+                        continue
+                    high, low, at, _ = words_of(part)
+                    n = np.bincount(at, minlength=len(high))
+                    there = n > 0
+                    words.append((high[there], low[there], teaches * n[there]))
+                    keys = _coded(part.to_pylist(), DEPTH)[0]
+                    grams.append(_merged([(keys, np.full(len(keys), teaches, np.int64))]))
+                for parts in (words, grams):
+                    if sum(len(p[0]) for p in parts[1:]) > 2_500_000:
+                        parts[:] = [_merged(parts)]
         yield from out()
 
-    return bucketed.select("bucket", "held_out", "text").mapInArrow(run, "gram boolean, key long, bucket long, n long")
-
-
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    return _summed(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))
+    return bucketed.select("bucket", "held_out", "text").mapInArrow(run, PACKED)
 
 
 def shared_counts(keys: DataFrame, short: Broadcast) -> DataFrame:
-    """(bucket, key, total, log) of words and grams: a word's count over all buckets, or a gram's log10 probability.
+    """The packed rows with other values: a word's count over all buckets, or a gram's log10 probability.
 
-    ``keys`` are (gram, key, bucket, n) sorted by key, words and grams in partitions of their own, and all grams of a
-    context of SHORT + 1 symbols in one. One row a task with bucket -1 has the number of distinct words that training
-    texts hold, and of all their words.
+    ``keys`` are sorted by slot, words and grams in partitions of their own, and all grams of a context of SHORT + 1 symbols
+    in one slot; a task holds one slot at a time. One row a task with bucket -1 has in its slot's place the number
+    of distinct words that training texts hold, and as value that of all their words.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct, every = 0, 0
 
-        def closed(rows: np.ndarray, gram: bool) -> pa.RecordBatch:
+        def closed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             nonlocal distinct, every
-            first = np.flatnonzero(np.append(True, rows[0, 1:] != rows[0, :-1]))
-            totals, times = np.add.reduceat(rows[2], first), np.diff(np.append(first, rows.shape[1]))
-            none = [None] * rows.shape[1]
+            gram = rows[0][0]
+            kind = np.int64 if gram else np.uint64
+            key = np.concatenate([np.frombuffer(r[3], kind) for r in rows])
+            n = np.concatenate([np.frombuffer(r[5], np.int64) for r in rows])
             if gram:
-                total, log = pa.array(none, pa.int64()), pa.array(np.repeat(gram_logs(rows[0, first], totals, short.value), times))
+                order = np.argsort(key, kind="stable")
+                new = np.append(True, key[order[1:]] != key[order[:-1]])
             else:
+                low = np.concatenate([np.frombuffer(r[4], kind) for r in rows])
+                order = _order(key, low)
+                new = np.append(True, (key[order[1:]] != key[order[:-1]]) | (low[order[1:]] != low[order[:-1]]))
+            first = np.flatnonzero(new)
+            totals, times = np.add.reduceat(n[order], first), np.diff(np.append(first, len(key)))
+            found = gram_logs(key[order][first], totals, *short.value[:3]) if gram else totals
+            if not gram:
                 distinct, every = distinct + int((totals > 0).sum()), every + int(totals.sum())
-                total, log = pa.array(np.repeat(totals, times)), pa.array(none, pa.float32())
-            return pa.RecordBatch.from_arrays([pa.array(rows[1]), pa.array(rows[0]), total, log], ["bucket", "key", "total", "log"])
+            value = np.empty(len(key), found.dtype)
+            value[order] = np.repeat(found, times)
+            at = np.concatenate([[0], np.cumsum([len(r[3]) // 8 for r in rows])])
+            for x in range(0, len(rows), 64):
+                yield _packed([(*r[:5], value[a:b].tobytes()) for r, a, b in zip(rows[x : x + 64], at[x:], at[x + 1 :])])
 
-        held, size, gram, last = [], 0, False, 0
+        held: list[tuple] = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            gram = batch.column(0)[0].as_py()
-            held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]))
-            size += batch.num_rows
-            if size < max(200_000, 2 * last):  # a large group is not gone through again for every batch
-                continue
-            rows = np.concatenate(held, axis=1)
-            group = rows[0] >> CLASS_BITS * (DEPTH - SHORT) if gram else rows[0]
-            cut = int(np.searchsorted(group, group[-1]))
-            if cut:
-                yield closed(rows[:, :cut], gram)
-            held, size = [rows[:, cut:]], rows.shape[1] - cut
-            last = size
-        if size:
-            yield closed(np.concatenate(held, axis=1), gram)
-        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([distinct]), pa.array([every]), pa.array([None], pa.float32())], ["bucket", "key", "total", "log"])
-
-    return keys.select("gram", "key", "bucket", "n").mapInArrow(run, "bucket long, key long, total long, log float")
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and row[1] != held[0][1]:
+                    yield from closed(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from closed(held)
+        yield _packed([(False, 0, -1, np.int64(distinct).tobytes(), b"", np.int64(every).tobytes())])
+
+    return keys.select("gram", "slot", "bucket", "key", "low", "value").mapInArrow(run, PACKED)
+
+
+def _found(high: np.ndarray, low: np.ndarray, table: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Counts of words from the sorted table, which has them all."""
+    at = np.searchsorted(table[0], high)
+    wrong = np.flatnonzero(table[1][at] != low)
+    while len(wrong):  # words that share the first half of their codes stand next to each other
+        at[wrong] += 1
+        wrong = wrong[table[1][at[wrong]] != low[wrong]]
+    return table[2][at]
 
 
 def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
-    Learns from rows that are not held out; a null text is empty: one end token. Words are told apart by 64-bit codes.
+    Learns from rows that are not held out; a null text is empty: one end token. Words are told apart by 128-bit codes.
     Without training rows nothing is known and the tree is uniform; equal rows count, and are scored, as often as given.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), whole(F.col("text").cast("string")).alias("text"))
     taught_rows = rows.filter(~F.col("held_out"))
-    short = docs.sparkSession.sparkContext.broadcast(short_contexts(taught_rows))
-    taught = short.value.texts
-    n = parallelism(docs.sparkSession)
-    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)))
-    keys = bucket_keys(bucketed.repartitionById(n, F.col("bucket").cast("int")).sortWithinPartitions("bucket"))
-    # words to the first n partitions, grams to the others, by the newest symbols of their contexts
-    branch = F.shiftright("key", CLASS_BITS * (DEPTH - SHORT))
-    part = F.when(F.col("gram"), n + F.pmod(F.xxhash64(branch), F.lit(n))).otherwise(F.pmod(F.xxhash64("key"), F.lit(n)))
-    met = keys.withColumn("part", part.cast("int")).repartitionById(2 * n, "part").sortWithinPartitions("key")
+    found = short_contexts(taught_rows)
+    taught, n = found.texts, parallelism(docs.sparkSession)
+    short = docs.sparkSession.sparkContext.broadcast((found.counts, found.totals, found.share, found.byte))
+    buckets = max(n, -(-found.bytes // BUCKET_BYTES))
+    word_slots, edges = 4 * n, slot_edges(found.counts, 16 * n)
+    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)))
+    keys = bucket_keys(bucketed.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket"), word_slots, edges)
+    # words to the first n partitions, grams to the others
+    part = F.pmod("slot", F.lit(n)) + F.when(F.col("gram"), n).otherwise(0)
+    met = keys.withColumn("part", part.cast("int")).repartitionById(2 * n, "part").sortWithinPartitions("slot")
     shared = written(shared_counts(met, short), "suffix-tree-shared")
-    found = shared.filter("bucket < 0").agg(F.sum("key").alias("distinct"), F.sum("total").alias("words")).first()
+    ends = [(np.frombuffer(r["key"], np.int64)[0], np.frombuffer(r["value"], np.int64)[0]) for r in shared.filter("bucket < 0").collect()]  # two numbers a task
+    known_words, all_words = (int(sum(e[i] for e in ends)) for i in (0, 1))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts, table = None, ([], []), None
-        for batch in in_batches(batches, 1, 5):
-            buckets = batch.column(0).to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])).tolist() + [len(buckets)]
+        for batch in in_batches(batches, 1, 6):
+            numbers = batch.column(0).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])).tolist() + [len(numbers)]
             for x, y in zip(cuts, cuts[1:]):
-                if buckets[x] != bucket:
-                    bucket, parts, table = buckets[x], ([], []), None
+                if numbers[x] != bucket:
+                    bucket, parts, table = numbers[x], ([], []), None
                 piece = batch.slice(x, y - x)
-                sent = piece.filter(pc.is_valid(piece.column(1)))  # they come first
-                for i, of in ((2, parts[0]), (3, parts[1])):
-                    own = sent.filter(pc.is_valid(sent.column(i)))
-                    if own.num_rows:
-                        of.append((own.column(1).to_numpy(zero_copy_only=False), own.column(i).to_numpy(zero_copy_only=False)))
+                sent = piece.filter(pc.is_valid(piece.column(1)))  # they come first, words before grams, in order of slots
+                for gram, key, low, value in zip(*(sent.column(i).to_pylist() for i in range(1, 5))):
+                    if gram:
+                        parts[1].append((np.frombuffer(key, np.int64), np.frombuffer(value, np.float32)))
+                    else:
+                        parts[0].append((np.frombuffer(key, np.uint64), np.frombuffer(low, np.uint64), np.frombuffer(value, np.int64)))
                 texts = piece.filter(pc.is_null(piece.column(1)))
                 if not texts.num_rows:
                     continue
                 if table is None:
-                    none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-                    words, totals = (np.concatenate([p[i] for p in [*parts[0], none]]) for i in (0, 1))
-                    order = np.argsort(words)
-                    table = words[order], totals[order]
-                    grams, logs_of = (np.concatenate([p[i] for p in parts[1]]) for i in (0, 1))
-                    place = pd.Index(grams)  # a hash table
+                    none = np.zeros(0, np.uint64)
+                    table = [np.concatenate(p) for p in zip(*parts[0], (none, none, none.astype(np.int64)))]
+                    grams, logs_of = (np.concatenate(p) for p in zip(*parts[1]))
                     parts = [], []
-                strings = texts.column(5).to_pylist()
-                codes, sizes = _word_codes(strings)
-                order = np.argsort(codes)
-                codes = codes[order]
-                begin = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, np.int64)
-                total = table[1][np.searchsorted(table[0], codes[begin])] if len(codes) else begin
-                times = np.diff(np.append(begin, len(codes)))
-                known, logs = np.repeat(total > 0, times), np.repeat(np.log10(total + 0.1), times)
-                doc = np.repeat(np.arange(len(strings)), sizes)[order]
-                coded, byte, counts = _coded(strings, DEPTH)
-                score = np.add.reduceat(logs_of[place.get_indexer(coded)] + short.value.byte[byte], np.cumsum(counts) - counts)
+                high, low, at, sizes = words_of(texts.column(6))
+                total = np.zeros(len(high), np.int64)
+                there = np.unique(at)
+                total[there] = _found(high[there], low[there], table)
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                coded, byte, counts = _coded(texts.column(6).to_pylist(), DEPTH)
+                score = np.add.reduceat(logs_of[np.searchsorted(grams, coded)] + short.value[3][byte], np.cumsum(counts) - counts)
                 columns = [
-                    texts.column(4), texts.column(6), pa.array(sizes + 1),
-                    pa.array(np.bincount(doc, weights=known, minlength=len(strings)).astype(np.int64)),
-                    pa.array(np.bincount(doc, weights=logs, minlength=len(strings))),
+                    texts.column(5), texts.column(7), pa.array(sizes + 1),
+                    pa.array(np.bincount(doc, weights=(total > 0)[at], minlength=len(sizes)).astype(np.int64)),
+                    pa.array(np.bincount(doc, weights=np.log10(total + 0.1)[at], minlength=len(sizes))),
                     pa.array(score),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known_words", "log_counts", "score"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, known_words long, log_counts double, score double"
-    none = F.lit(None)
-    back = shared.filter("bucket >= 0").select(
-        "bucket", "key", "total", "log", none.cast("long").alias("doc_id"), none.cast("string").alias("text"), none.cast("boolean").alias("held_out")
-    )
-    texts = bucketed.select("bucket", none.cast("long").alias("key"), none.cast("long").alias("total"), none.cast("float").alias("log"), "doc_id", "text", "held_out")
-    both = back.union(texts).repartitionById(n, F.col("bucket").cast("int")).sortWithinPartitions("bucket", F.isnull("key"))
-    scored = both.mapInArrow(run, schema)
-    distinct = (found["distinct"] or 0) + (1 if taught else 0)
-    total = (found["words"] or 0) + taught
+    packed = ["gram", "key", "low", "value"]
+    own = {"doc_id": "long", "text": "string", "held_out": "boolean"}
+    back = shared.filter("bucket >= 0").select("bucket", *packed, *[F.lit(None).cast(t).alias(c) for c, t in own.items()], "slot")
+    kinds = dict(shared.dtypes)
+    texts = bucketed.select("bucket", *[F.lit(None).cast(kinds[c]).alias(c) for c in packed], *own, F.lit(None).cast("int").alias("slot"))
+    both = back.union(texts).repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", F.isnull("slot"), "gram", "slot")
+    scored = both.drop("slot").mapInArrow(run, schema)
+    distinct, total = known_words + (1 if taught else 0), all_words + taught
     # an end token closes every text; it is known once a training text has closed
     norm = F.log10(F.lit(total + 0.1 * (distinct + 1)))
     base = F.col("log_counts") + F.log10(F.lit(taught + 0.1)) - F.col("n_tokens") * norm

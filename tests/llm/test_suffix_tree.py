@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import gathered_tree as G
 import reference as R
 from millrace.llm import suffix_tree as S
 from millrace.llm.toxicity import held_out
@@ -38,7 +39,7 @@ def test_counts_and_base_equal_brute_force(spark):
 
 def test_scores_are_probabilities_of_the_tree(spark):
     rows, table = docs(spark)
-    tree = S.grow_tree(table)
+    tree = G.grow_tree(table)
     assert tree.child.max() > 0  # some contexts stay
     assert np.allclose((10.0 ** tree.log).sum(1), 1, atol=1e-4)
     shares = np.bincount(S.CLASS, weights=10.0**tree.byte, minlength=S.CLASSES)
@@ -90,7 +91,7 @@ def test_empty_and_all_held_out(spark):
 def test_scores_equal_the_gathered_tree(spark):
     rows, table = docs(spark)
     held = held_out(F.col("doc_id"), 10)
-    tree = S.grow_tree(table.filter(~held))
+    tree = G.grow_tree(table.filter(~held))
     got = sorted((str(r["doc_id"]), round(r["score"], 4)) for r in S.score_texts(table, held).collect())
     want = sorted((str(i), round(float(s), 4)) for (i, _), s in zip(rows, tree.score([t for _, t in rows])))
     assert [i for i, _ in got] == [i for i, _ in want]
@@ -103,3 +104,42 @@ def test_rare_contexts_stay_however_large_the_corpus(spark):
     rows += [(i, "jqxvzk", 0.0) for i in (-1, -2, -3)] + [(0, "jqxvzk", 0.0)]  # three times in over two million symbols
     out = S.score_texts(spark.createDataFrame(rows, SCHEMA).repartition(4), F.col("doc_id") == 0).filter("doc_id = 0").first()
     assert out["score"] > -12
+
+
+def swapped(n):
+    """The Thue-Morse word of so many letters and its complement: sums of powers modulo 2^64 cannot tell them apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_long_repetitive_words_are_told_apart(spark):
+    one, two = swapped(1024)
+    rows = [(i, one, 0.0) for i in (1, 2, 3)] + [(0, two, 0.0)]
+    out = S.score_texts(spark.createDataFrame(rows, SCHEMA), F.col("doc_id") == 0).filter("doc_id = 0").first()
+    assert out["n_known"] == 1  # the end
+    assert out["base_score"] == pytest.approx(math.log10(0.1 / (6 + 0.1 * 3)) + math.log10(3.1 / (6 + 0.1 * 3)))
+
+
+def test_codes_that_share_a_half():
+    high, low = np.array([7, 3, 7, 7, 3], np.uint64), np.array([2, 9, 1, 2, 9], np.uint64)
+    table = S._merged([(high, low, np.ones(5, np.int64))])
+    assert [t.tolist() for t in table] == [[3, 7, 7], [9, 1, 2], [2, 1, 2]]
+    assert S._found(np.array([7, 3, 7], np.uint64), np.array([2, 9, 1], np.uint64), table).tolist() == [2, 2, 1]
+
+
+def test_slots_are_alike_in_weight_and_keep_branches_whole():
+    rnd = np.random.default_rng(0)
+    counts = rnd.integers(0, 50, S.CLASSES ** (S.SHORT + 1))
+    edges = S.slot_edges(counts, 8)
+    table = counts.reshape([S.CLASSES] * 3)
+    # branch (newest, middle, oldest) is the string oldest, middle, newest: newest follows the context (middle, oldest)
+    weight = np.array([table[m, o, s] for s in range(64) for m in range(64) for o in range(64)])
+    shares = np.bincount(np.searchsorted(edges, np.arange(len(weight)), side="right"), weights=weight, minlength=8) / weight.sum()
+    assert np.allclose(shares, 1 / 8, atol=0.01) and (np.diff(edges) > 0).all()
+
+
+def test_many_buckets_give_the_same_scores(spark, monkeypatch):
+    _, table = docs(spark, 200)
+    one = sorted((str(r["doc_id"]), round(r["score"], 6)) for r in S.score_texts(table, held_out(F.col("doc_id"), 10)).collect())
+    monkeypatch.setattr(S, "BUCKET_BYTES", 3000)
+    assert one == sorted((str(r["doc_id"]), round(r["score"], 6)) for r in S.score_texts(table, held_out(F.col("doc_id"), 10)).collect())
