@@ -19,6 +19,7 @@ import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -40,6 +41,8 @@ LEAST = 2
 GAIN = 0.5
 #: Text of a bucket, about: its distinct words and grams are held by one task.
 BUCKET_BYTES = 32_000_000
+#: Training text behind a slot's keys, about, and the bounds of the number of slots.
+SLOT_BYTES, LEAST_SLOTS, MOST_SLOTS = 4_000_000, 256, 1 << 14
 #: Weight of the shorter context in a longer one's distribution.
 SMOOTH = 4.0
 CLASS_BITS, CLASSES = 6, 64
@@ -186,7 +189,7 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 def _order(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     """By both halves of a code; the second one is looked at only where first halves meet."""
-    order = np.argsort(high, kind="stable")
+    order = np.argsort(high)
     same = high[order[1:]] == high[order[:-1]]
     if (low[order[1:]] != low[order[:-1]])[same].any():
         order = np.lexsort((low, high))
@@ -196,14 +199,29 @@ def _order(high: np.ndarray, low: np.ndarray) -> np.ndarray:
 def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """Distinct keys in order, with the sums of their counts, which come last. A key is one number or two."""
     *keys, n = (np.concatenate(p) for p in zip(*parts))
-    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else _order(*keys)
+    order = np.argsort(keys[0]) if len(keys) == 1 else _order(*keys)
     keys, n = [k[order] for k in keys], n[order]
     new = np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)) if len(n) else np.zeros(0, bool)
     first = np.flatnonzero(new)
     return *(k[first] for k in keys), np.add.reduceat(n, first) if len(first) else n
 
 
-# Keys travel packed: one row for a bucket and a slot, a stretch of keys, with all of the bucket's keys there in order.
+# Keys travel packed: one row for a bucket and a slot, a stretch of keys, with all of the bucket's keys there in order. What is
+# alike in neighbouring numbers, the high bytes of steps and counts, lies together and costs next to nothing.
+
+
+def planes(numbers: np.ndarray, steps: bool = False) -> bytes:
+    """All first bytes, then all second ones, and so on; of the steps from number to number if they are in order."""
+    if steps:
+        numbers = np.diff(numbers, prepend=numbers.dtype.type(0))
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
+
+
+def unplaned(body: bytes, kind: type, steps: bool = False) -> np.ndarray:
+    rows = np.frombuffer(body, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    numbers = np.ascontiguousarray(rows.T).reshape(-1).view(kind)
+    return np.cumsum(numbers, dtype=kind) if steps else numbers
+
 
 PACKED = "gram boolean, slot int, bucket long, key binary, low binary, value binary"
 
@@ -235,7 +253,7 @@ def bucket_keys(bucketed: DataFrame, word_slots: int, edges: np.ndarray) -> Data
             cuts = np.append(np.flatnonzero(np.append(True, slot_of[1:] != slot_of[:-1])), len(slot_of))
             ready = []
             for x, y in zip(cuts, cuts[1:]):
-                ready.append((gram, int(slot_of[x]), int(bucket), keys[x:y].tobytes(), low[x:y].tobytes(), n[x:y].tobytes()))
+                ready.append((gram, int(slot_of[x]), int(bucket), planes(keys[x:y], True), low[x:y].tobytes(), planes(n[x:y])))
                 if len(ready) == 64:
                     yield _packed(ready)
                     ready = []
@@ -268,7 +286,9 @@ def bucket_keys(bucketed: DataFrame, word_slots: int, edges: np.ndarray) -> Data
                     there = n > 0
                     words.append((high[there], low[there], teaches * n[there]))
                     keys = _coded(part.to_pylist(), DEPTH)[0]
-                    grams.append(_merged([(keys, np.full(len(keys), teaches, np.int64))]))
+                    keys.sort()
+                    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+                    grams.append((keys[first], teaches * np.diff(np.append(first, len(keys)))))
                 for parts in (words, grams):
                     if sum(len(p[0]) for p in parts[1:]) > 2_500_000:
                         parts[:] = [_merged(parts)]
@@ -292,10 +312,10 @@ def shared_counts(keys: DataFrame, short: Broadcast) -> DataFrame:
             nonlocal distinct, every
             gram = rows[0][0]
             kind = np.int64 if gram else np.uint64
-            key = np.concatenate([np.frombuffer(r[3], kind) for r in rows])
-            n = np.concatenate([np.frombuffer(r[5], np.int64) for r in rows])
+            key = np.concatenate([unplaned(r[3], kind, True) for r in rows])
+            n = np.concatenate([unplaned(r[5], np.int64) for r in rows])
             if gram:
-                order = np.argsort(key, kind="stable")
+                order = np.argsort(key)
                 new = np.append(True, key[order[1:]] != key[order[:-1]])
             else:
                 low = np.concatenate([np.frombuffer(r[4], kind) for r in rows])
@@ -310,7 +330,7 @@ def shared_counts(keys: DataFrame, short: Broadcast) -> DataFrame:
             value[order] = np.repeat(found, times)
             at = np.concatenate([[0], np.cumsum([len(r[3]) // 8 for r in rows])])
             for x in range(0, len(rows), 64):
-                yield _packed([(*r[:5], value[a:b].tobytes()) for r, a, b in zip(rows[x : x + 64], at[x:], at[x + 1 :])])
+                yield _packed([(*r[:5], planes(value[a:b])) for r, a, b in zip(rows[x : x + 64], at[x:], at[x + 1 :])])
 
         held: list[tuple] = []
         for batch in batches:
@@ -321,7 +341,7 @@ def shared_counts(keys: DataFrame, short: Broadcast) -> DataFrame:
                 held.append(row)
         if held:
             yield from closed(held)
-        yield _packed([(False, 0, -1, np.int64(distinct).tobytes(), b"", np.int64(every).tobytes())])
+        yield _packed([(False, 0, -1, int(distinct).to_bytes(8, "little"), b"", every.to_bytes(8, "little"))])
 
     return keys.select("gram", "slot", "bucket", "key", "low", "value").mapInArrow(run, PACKED)
 
@@ -348,19 +368,20 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     taught, n = found.texts, parallelism(docs.sparkSession)
     short = docs.sparkSession.sparkContext.broadcast((found.counts, found.totals, found.share, found.byte))
     buckets = max(n, -(-found.bytes // BUCKET_BYTES))
-    word_slots, edges = 4 * n, slot_edges(found.counts, 16 * n)
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, found.bytes // SLOT_BYTES))
+    word_slots, edges = slots // 4, slot_edges(found.counts, slots)
     bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)))
     keys = bucket_keys(bucketed.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket"), word_slots, edges)
     # words to the first n partitions, grams to the others
     part = F.pmod("slot", F.lit(n)) + F.when(F.col("gram"), n).otherwise(0)
     met = keys.withColumn("part", part.cast("int")).repartitionById(2 * n, "part").sortWithinPartitions("slot")
     shared = written(shared_counts(met, short), "suffix-tree-shared")
-    ends = [(np.frombuffer(r["key"], np.int64)[0], np.frombuffer(r["value"], np.int64)[0]) for r in shared.filter("bucket < 0").collect()]  # two numbers a task
-    known_words, all_words = (int(sum(e[i] for e in ends)) for i in (0, 1))
+    ends = shared.filter("bucket < 0").select("key", "value").collect()  # two numbers a task
+    known_words, all_words = (sum(int.from_bytes(r[i], "little") for r in ends) for i in (0, 1))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts, table = None, ([], []), None
-        for batch in in_batches(batches, 1, 6):
+        for batch in in_batches(batches, 4, 6):
             numbers = batch.column(0).to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])).tolist() + [len(numbers)]
             for x, y in zip(cuts, cuts[1:]):
@@ -370,9 +391,9 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
                 sent = piece.filter(pc.is_valid(piece.column(1)))  # they come first, words before grams, in order of slots
                 for gram, key, low, value in zip(*(sent.column(i).to_pylist() for i in range(1, 5))):
                     if gram:
-                        parts[1].append((np.frombuffer(key, np.int64), np.frombuffer(value, np.float32)))
+                        parts[1].append((unplaned(key, np.int64, True), unplaned(value, np.float32)))
                     else:
-                        parts[0].append((np.frombuffer(key, np.uint64), np.frombuffer(low, np.uint64), np.frombuffer(value, np.int64)))
+                        parts[0].append((unplaned(key, np.uint64, True), np.frombuffer(low, np.uint64), unplaned(value, np.int64)))
                 texts = piece.filter(pc.is_null(piece.column(1)))
                 if not texts.num_rows:
                     continue
@@ -380,14 +401,15 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
                     none = np.zeros(0, np.uint64)
                     table = [np.concatenate(p) for p in zip(*parts[0], (none, none, none.astype(np.int64)))]
                     grams, logs_of = (np.concatenate(p) for p in zip(*parts[1]))
+                    place = pd.Index(grams)  # a hash table
                     parts = [], []
                 high, low, at, sizes = words_of(texts.column(6))
                 total = np.zeros(len(high), np.int64)
-                there = np.unique(at)
+                there = np.flatnonzero(np.bincount(at, minlength=len(high)))
                 total[there] = _found(high[there], low[there], table)
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 coded, byte, counts = _coded(texts.column(6).to_pylist(), DEPTH)
-                score = np.add.reduceat(logs_of[np.searchsorted(grams, coded)] + short.value[3][byte], np.cumsum(counts) - counts)
+                score = np.add.reduceat(logs_of[place.get_indexer(coded)] + short.value[3][byte], np.cumsum(counts) - counts)
                 columns = [
                     texts.column(5), texts.column(7), pa.array(sizes + 1),
                     pa.array(np.bincount(doc, weights=(total > 0)[at], minlength=len(sizes)).astype(np.int64)),
