@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from millrace.functions.text import html_to_text
 from millrace.operators import corpus
 from millrace.operators.retrieve import answer_batch, centroids, embed_text, knn, knn_lsh
+from millrace.operators.vector_index import cell_hits, file_vectors, fit_cells, knn_cells
 from millrace.plans.bindings import load
 from millrace.plans.registry import query
+from millrace.session import scratch_path
 
 
 def html_sql(col: str) -> str:
@@ -208,6 +210,50 @@ def knn_lsh_recall(spark, sf):
     )
 
 
+def _cells(spark, sf, target=0.93):
+    """Every 50th vector as a query, all vectors, the fitted index and the vectors filed under it."""
+    vectors = load(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    index = fit_cells(vectors, 5, target=target)
+    path = scratch_path(spark, "cells")
+    file_vectors(vectors, index).write.parquet(path)
+    return vectors.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id"), vectors, index, spark.read.parquet(path)
+
+
+@query(
+    "knn_cells",
+    """WITH pairs AS (SELECT a.vec_id AS query_id, b.vec_id,
+         round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS score
+       FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+    SELECT query_id, vec_id, round(score, 6) AS score FROM top WHERE rank = 1""",
+)
+def knn_cells_query(spark, sf):
+    """The nearest other vector of every 50th one, through the cell index."""
+    queries, _, index, filed = _cells(spark, sf, target=0.999)
+    near = knn_cells(queries, filed, index, 5, exclude_self=True).filter("rank = 1")
+    return near.select("query_id", "vec_id", F.round("score", 6).alias("score"))
+
+
+@query(
+    "knn_cells_recall",
+    """SELECT count(*) FILTER (vec_id % 50 = 0) AS queries, count(*) FILTER (vec_id % 50 = 0) * count(*) AS pairs,
+              true AS found_nine_in_ten, true AS scored_under_a_tenth FROM embeddings""",
+)
+def knn_cells_recall(spark, sf):
+    """Every 50th vector against all: the share of the nearest five that the index finds, and of pairs scored exactly."""
+    queries, vectors, index, filed = _cells(spark, sf)
+    exact = knn(queries, vectors, 5, exclude_self=True)
+    near = knn_cells(queries, filed, index, 5, exclude_self=True).select("query_id", "vec_id", F.lit(1).alias("hit"))
+    found = exact.join(near, ["query_id", "vec_id"], "left").agg(F.countDistinct("query_id").alias("queries"), (F.count("hit") / F.count("*")).alias("recall"))
+    scored = cell_hits(queries, filed, index, 5, True).agg(F.sum("compared").alias("scored"))
+    every = found.unionByName(scored, allowMissingColumns=True).unionByName(vectors.agg(F.count("*").alias("n")), allowMissingColumns=True)
+    row = every.agg(*[F.max(c).alias(c) for c in ("queries", "recall", "scored", "n")])
+    return row.select(
+        "queries", (F.col("queries") * F.col("n")).alias("pairs"), (F.col("recall") >= 0.9).alias("found_nine_in_ten"),
+        (F.col("scored") < 0.1 * F.col("queries") * F.col("n")).alias("scored_under_a_tenth"),
+    )
+
+
 @query(
     "tfidf_vectors",
     """SELECT doc_id, 256 AS dim, CASE WHEN regexp_matches(text, '\\S') THEN 1.0 ELSE 0.0 END::DOUBLE AS norm FROM documents""",
