@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import split_tags, surrogate_id
+from millrace.functions.columns import seeded_uniform, split_tags, surrogate_id
 from millrace.operators import corpus
 from millrace.operators.model import register_sql, train
 from millrace.operators.profile import Monitor
@@ -15,23 +16,84 @@ from millrace.operators.split import hash_split
 from millrace.plans.bindings import SCORED, load, scored
 from millrace.plans.registry import query
 from millrace.session import scratch_path
-from millrace.sources.files import append_table, date_range, list_tables, read_csv, read_json, replace_table, wait_for_rows, write_files
+from millrace.sources.files import append_table, date_range, from_rows, list_tables, read_csv, read_json, replace_table, wait_for_rows, write_files
 from millrace.sources.monitors import MonitorStore
+from millrace.streaming.control import StreamGroup, drain_and_stop
+from millrace.streaming.ingest import read_folder
 
 
 @query(
     "calendar_counts",
     """SELECT CAST(d AS DATE)::VARCHAR AS day, count(event_id) AS n
-       FROM generate_series(DATE '2023-12-30', DATE '2024-02-07', INTERVAL 1 DAY) AS g(d)
+       FROM (SELECT unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS d FROM events)
        LEFT JOIN events ON CAST(ts AS DATE) = CAST(d AS DATE) GROUP BY ALL""",
 )
 def calendar_counts(spark, sf):
-    """Events of each calendar day, days without any included."""
+    """Events of each calendar day from the first to the last, days without any included."""
     events = load(spark, sf, "events").select(F.col("ts").cast("date").alias("date"), "event_id")
-    days = date_range(spark, "2023-12-30", 40).join(events, "date", "left")
+    span = events.agg(F.min("date").alias("first"), F.datediff(F.max("date"), F.min("date")).alias("days")).first()  # one row
+    days = date_range(spark, str(span["first"] or "1970-01-01"), span["days"] + 1 if span["first"] else 0).join(events, "date", "left")
     return days.groupBy(F.col("date").cast("string").alias("day")).agg(F.count("event_id").alias("n"))
 
 
+WEIGHTS = [("1-URGENT", 8), ("2-HIGH", 5), ("3-MEDIUM", 3), ("5-LOW", None)]
+
+
+@query(
+    "rows_in_memory",
+    """SELECT o_orderpriority, w.weight, count(*) AS n, CAST(sum(w.weight) AS BIGINT) AS total FROM orders
+       LEFT JOIN (VALUES ('1-URGENT', 8), ('2-HIGH', 5), ('3-MEDIUM', 3), ('5-LOW', NULL)) w(priority, weight) ON priority = o_orderpriority
+       GROUP BY ALL""",
+)
+def rows_in_memory(spark, sf):
+    """Orders weighed by a table typed in as rows; a priority that it lacks has no weight."""
+    weights = from_rows(spark, WEIGHTS, "o_orderpriority string, weight int")
+    orders = load(spark, sf, "orders").select("o_orderpriority").join(weights, "o_orderpriority", "left")
+    return orders.groupBy("o_orderpriority", "weight").agg(F.count("*").alias("n"), F.sum("weight").alias("total"))
+
+
+@query(
+    "seeded_columns",
+    """SELECT c_mktsegment, count(*) AS n, true AS spread, true AS again, true AS apart FROM customer GROUP BY ALL""",
+)
+def seeded_columns(spark, sf):
+    """Random columns by key and seed: evenly spread, the same on another layout, and different for another seed."""
+    rows = load(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    one, two = (seeded_uniform(F.col("c_custkey"), seed) for seed in (1, 2))
+    made = rows.withColumns({"one": one, "two": two})
+    other = rows.repartition(5, "c_mktsegment").select(F.col("c_custkey").alias("key"), one.alias("same"))
+    both = made.join(other, F.col("c_custkey") == F.col("key"))
+    n, mean = F.count("*"), F.avg("one")
+    return both.groupBy("c_mktsegment").agg(
+        n.alias("n"),
+        (F.abs(mean - 0.5) < 5 * 0.2887 / F.sqrt(n)).alias("spread"),  # five standard errors
+        F.bool_and(F.col("one") == F.col("same")).alias("again"),
+        (F.count(F.when(F.col("one") == F.col("two"), 1)) == 0).alias("apart"),
+    )
+
+
+@query("stream_control", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def stream_control(spark, sf):
+    """Two streams under one name: one drained and stopped, the other ended with its group; the drained one saw every row."""
+    events = load(spark, sf, "events").select("event_id", "event_type")
+    folder = scratch_path(spark, "landing")
+    write_files(events, folder, "json", 3)
+    shape = "event_id long, event_type string"
+    name = "millrace_" + folder[-12:]
+    paths = [scratch_path(spark, "controlled") for _ in range(2)]
+    started = []
+    for i, path in enumerate(paths):
+        writer = read_folder(spark, folder, "json", shape).writeStream.queryName(f"{name}_{i}").format("parquet")
+        started.append(writer.option("path", path).option("checkpointLocation", scratch_path(spark, "checkpoint")).start())
+    group = StreamGroup(spark, name)
+    if set(group.running()) != {f"{name}_0", f"{name}_1"}:
+        raise RuntimeError("the group does not hold its streams")
+    drain_and_stop(started[0])
+    if group.end(120) != 1 or group.running():
+        raise RuntimeError("a stream of the group still runs")
+    return spark.read.schema(shape).parquet(paths[0]).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
 @query(
     "file_sinks",
     """SELECT k AS kind, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total
@@ -83,32 +145,35 @@ def catalog_helpers(spark, sf):
 
 @query(
     "model_hooks",
-    """SELECT doc_id, CASE WHEN length(text) > 5000 THEN substr(text, 1, 20) || '...' ELSE text END AS by_series,
-              CASE WHEN length(text) > 5000 THEN 'short:' || substr(text, 1, 20) ELSE text END AS by_iterator,
-              substr(text, 1, 20) AS start, length(text) AS size FROM documents""",
+    """SELECT doc_id, CASE WHEN length(text) > 5000 THEN md5(text) ELSE text END AS by_series,
+              CASE WHEN length(text) > 5000 THEN 'short:' || md5(text) ELSE text END AS by_iterator,
+              md5(text) AS digest, length(text) AS size FROM documents""",
 )
 def model_hooks(spark, sf):
-    """Series, iterator and struct-returning functions in the place of a model."""
+    """Series, iterator and struct-returning functions over whole texts in the place of a model."""
+
+    def digest(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: hashlib.md5(t.encode()).hexdigest(), na_action="ignore")
 
     @F.pandas_udf("string")
     def by_series(texts: pd.Series) -> pd.Series:
-        return texts.str.slice(0, 20) + "..."
+        return digest(texts)
 
     @F.pandas_udf("string")
     def by_iterator(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = "short:"  # what a model would load once per task
         for texts in batches:
-            yield model + texts.str.slice(0, 20)
+            yield model + digest(texts)
 
-    @F.pandas_udf("start string, size long")
+    @F.pandas_udf("digest string, size long")
     def by_struct(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame({"start": texts.str.slice(0, 20), "size": texts.str.len()})
+            yield pd.DataFrame({"digest": digest(texts), "size": texts.str.len()})
 
     docs = load(spark, sf, "documents").select("doc_id", "text")
     out = corpus.shorten(docs, "text", hook=by_series, name="by_series")
     out = corpus.shorten(out, "text", hook=by_iterator, name="by_iterator").withColumn("found", by_struct("text"))
-    return out.select("doc_id", "by_series", "by_iterator", "found.start", "found.size")
+    return out.select("doc_id", "by_series", "by_iterator", "found.digest", "found.size")
 
 
 @query(

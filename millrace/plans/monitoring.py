@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from millrace.operators import aggregates
 from millrace.operators.drift import against_baseline, categorical_drift, consecutive, numeric_drift
+from millrace.operators.lattice import estimated, refreshed, states
 from millrace.operators.profile import (
     Metric,
     Monitor,
@@ -21,6 +22,7 @@ from millrace.operators.profile import (
 from millrace.operators.running import quantiles
 from millrace.plans.bindings import load, rounded
 from millrace.plans.registry import query
+from millrace.session import scratch_path
 
 
 @query("group_count", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
@@ -362,6 +364,37 @@ def profile_refresh(spark, sf):
     return _stats(_window_text(out), "granularity", "window_start")
 
 
+LATTICE_MONITOR = Monitor("events", EVENT_COLUMNS, "ts", tuple(GRANULARITIES), ("event_type", "value > 50"))
+LATTICE_SQL = f"""WITH w AS ({windows_sql(list(GRANULARITIES), WINDOW_COLUMNS)}),
+  s AS ({slices_sql("w", EVENT_SLICES, "granularity, window_start, " + WINDOW_COLUMNS)})
+  SELECT granularity, window_start, slice_key, slice_value, column_name, "count", num_nulls, min, max, avg, min_text, max_text,
+         CASE WHEN column_name = 'event_type' THEN distinct_count END AS kinds
+  FROM ({stats_sql(long_sql("s", {"value": "value", "user_id": "user_id"}, {"event_type": "event_type"}, "granularity, window_start, slice_key, slice_value,"), "granularity, window_start, slice_key, slice_value")})"""
+
+
+def _lattice(held):
+    types = {"value": "double", "user_id": "bigint", "event_type": "string"}
+    out = _window_text(estimated(held, LATTICE_MONITOR, types)).withColumn("avg", F.round(F.col("avg") + 1e-10, 8))
+    kinds = F.when(F.col("column_name") == "event_type", F.col("distinct_count")).alias("kinds")
+    return out.select("granularity", "window_start", "slice_key", "slice_value", "column_name", "count", "num_nulls", "min", "max", "avg", "min_text", "max_text", kinds)
+
+
+@query("profile_lattice", LATTICE_SQL)
+def profile_lattice(spark, sf):
+    """Six granularities and two slicings from one pass that repeats no row."""
+    return _lattice(states(load(spark, sf, "events"), LATTICE_MONITOR))
+
+
+@query("profile_merged_refresh", LATTICE_SQL)
+def profile_merged_refresh(spark, sf):
+    """States stored for the days before the 25th, refreshed with the other rows alone."""
+    rows = load(spark, sf, "events")
+    late = F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz")
+    path = scratch_path(spark, "states")
+    states(rows.filter(~late), LATTICE_MONITOR).write.parquet(path)
+    return _lattice(refreshed(spark.read.parquet(path), rows.filter(late), LATTICE_MONITOR))
+
+
 RMS = Metric("aggregate", "rms", ("value",), "sqrt(avg(`{{column_name}}` * `{{column_name}}`))")
 LEVEL = Metric("derived", "level", ("value",), "20 * log10(rms)")
 LEVEL_RISE = Metric("drift", "level_rise", ("value",), "{{current_df}}.level - {{base_df}}.level")
