@@ -12,7 +12,7 @@ from millrace.sources.feature_store import FeatureStore
 from millrace.sources.files import write_files
 from millrace.streaming.ingest import Refinement, append_stream, ingest_folder, read_folder, refine_table
 from millrace.streaming.profile import windowed_profile
-from millrace.streaming.upsert import UpsertTable, upsert_stream
+from millrace.streaming.upsert import newest, upsert_stream
 
 EVENT_FILE = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 DEADLINE = 900
@@ -140,13 +140,10 @@ def stream_upsert(spark, sf):
     """Availability rows as JSON files, merged by destination and date, and published from the stream."""
     rows = travel(spark, sf).select("destination_id", "booking_date", "ts", "id", "price")
     folder = _land(spark, rows, "json")
-    table = UpsertTable(scratch_path(spark, "upsert"), rows.schema, ("destination_id", "booking_date"), ("ts", "id"))
+    keys, order, published = ("destination_id", "booking_date"), ("ts", "id"), scratch_path(spark, "published")
     df = read_folder(spark, folder, "json", AVAILABILITY, max_files=2)
-    published = scratch_path(spark, "published")
-    _finish(upsert_stream(df, table, scratch_path(spark, "checkpoint"), publish=published))
-    table.compact(spark)
-    serving = UpsertTable(published, table.schema, table.keys, table.order)
-    out = serving.read(spark)
+    _finish(upsert_stream(df, scratch_path(spark, "upsert"), keys, order, scratch_path(spark, "checkpoint"), publish=(published, keys, order)))
+    out = newest(spark, published, rows.schema, keys, order)
     return out.select("destination_id", F.col("booking_date").cast("string").alias("booking_date"), "id", *rounded("price"))
 
 
@@ -172,14 +169,18 @@ def store_publish_stream(spark, sf):
               min(value) AS min, max(value) AS max FROM events GROUP BY ALL""",
 )
 def stream_profile(spark, sf):
-    """Daily profile per event type, updated by every micro-batch; the newest state of a window counts."""
-    folder = _land(spark, load(spark, sf, "events"), "json")
-    df = read_folder(spark, folder, "json", EVENT_FILE.replace("timestamp_ntz", "timestamp"), max_files=2)
-    # The files are not in time order, so the watermark has to allow for the whole span.
-    profiled = windowed_profile(df, "ts", "1 day", "400 days", "value", ["event_type"])
-    table = UpsertTable(scratch_path(spark, "profile"), profiled.schema, ("window_start", "event_type"), ("count",))
-    _finish(upsert_stream(profiled, table, scratch_path(spark, "checkpoint"), output_mode="update"))
-    return table.read(spark).select(
+    """Daily profile per event type, updated by every micro-batch; a window's state leaves a day after its end."""
+    folder, events = scratch_path(spark, "landing"), load(spark, sf, "events")
+    span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()  # one row
+    edges = [span["lo"] + (span["hi"] - span["lo"]) * i / 4 for i in range(1, 4)] if span["lo"] else []
+    part = sum((F.col("ts") >= F.lit(e).cast("timestamp_ntz")).cast("int") for e in edges) if edges else F.lit(0)
+    for i in range(len(edges) + 1):  # files land in the order of their rows' times
+        events.filter(F.coalesce(part, F.lit(0)) == i).coalesce(1).write.mode("append").json(folder)
+    df = read_folder(spark, folder, "json", EVENT_FILE.replace("timestamp_ntz", "timestamp"), max_files=1)
+    profiled = windowed_profile(df, "ts", "1 day", "1 day", "value", ["event_type"])
+    path, keys, order = scratch_path(spark, "profile"), ("window_start", "event_type"), ("count",)
+    _finish(upsert_stream(profiled, path, keys, order, scratch_path(spark, "checkpoint"), output_mode="update"))
+    return newest(spark, path, profiled.schema, keys, order).select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"),
         "event_type",
         "count",

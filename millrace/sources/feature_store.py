@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.changes import latest_per_key, merge_upsert, pk_violations, unique_rows
 from millrace.operators.lookup import FeatureLookup, TrainingSet
 from millrace.sources.register import Register
-from millrace.streaming.upsert import UpsertTable, upsert_stream
+from millrace.streaming.upsert import batches, newest, upsert_stream
 
 #: Models share the register of the tables under names of their own.
 MODELS = "model:"
@@ -96,7 +96,7 @@ class FeatureStore:
         base = self.spark.read.schema(table.shape).parquet(row["folder"])
         if not table.stream:
             return base
-        fed = self._stream_target(table).history(self.spark)
+        fed = batches(self.spark, table.stream, table.shape)
         every = fed.unionByName(base.withColumn("batch", F.lit(-1).cast("long")))
         return latest_per_key(every, table.row_keys, ["batch"]).drop("batch")
 
@@ -125,17 +125,13 @@ class FeatureStore:
         if not table.stream:
             table = replace(table, stream=self.register.new_folder(name))
             self.register.put(name, json.dumps(asdict(table)), row["folder"])
-        serving = UpsertTable(publish, table.shape, table.primary_keys, table.timestamp_keys) if publish else None
-        return upsert_stream(self._fit(table, df), self._stream_target(table), checkpoint, f"feed_{name}", trigger, publish=serving)
+        serving = (publish, table.primary_keys, table.timestamp_keys) if publish else None
+        return upsert_stream(self._fit(table, df), table.stream, table.row_keys, (), checkpoint, f"feed_{name}", trigger, publish=serving)
 
     def read_published(self, name: str, path: str) -> DataFrame:
         """The newest row of every primary key that a stream has published."""
         table = self.get_table(name)
-        return UpsertTable(path, table.shape, table.primary_keys, table.timestamp_keys).read(self.spark)
-
-    def compact(self, name: str) -> None:
-        """Fold what a stream has written so far."""
-        self._stream_target(self.get_table(name)).compact(self.spark)
+        return newest(self.spark, path, table.shape, table.primary_keys, table.timestamp_keys)
 
     def violations(self, name: str) -> DataFrame:
         return pk_violations(self.read_table(name), self.get_table(name).row_keys)
@@ -179,9 +175,6 @@ class FeatureStore:
         table = self.get_table(spec.table_name)
         return self.read_table(spec.table_name), list(table.primary_keys), next(iter(table.timestamp_keys), None)
 
-    def _stream_target(self, table: FeatureTable) -> UpsertTable:
-        return UpsertTable(table.stream, table.shape, tuple(table.row_keys), ())
-
     def _fit(self, table: FeatureTable, df: DataFrame) -> DataFrame:
         """The table's columns in its order and types; missing ones are an error."""
         absent = [f for f in table.shape.fieldNames() if f not in df.columns]

@@ -1,10 +1,8 @@
-"""Streaming upserts: each micro-batch is one folder, readers take the newest row per key."""
+"""Streaming upserts into plain Parquet: a folder for each micro-batch, the newest row per key by one aggregate."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,98 +11,57 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.changes import latest_per_key
 
-COMPACTED = "upto long, folder string"
 
+def write_batch(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], batch_id: int) -> None:
+    """One batch's rows below ``path``, of rows equal in key and order the largest; a batch that runs again replaces itself."""
+    named = [*keys, *order]
+    rest = [c for c in df.columns if c not in named]
+    rows = df.groupBy(*named).agg(F.max(F.struct(*rest)).alias("_rest")) if rest else df.select(*named).distinct()
+    rows = rows.select(*[F.col(f"_rest.{c}").alias(c) if c in rest else c for c in df.columns])
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-@dataclass(frozen=True)
-class UpsertTable:
-    """A keyed table that a stream keeps fresh without rewriting what is already there.
 
-    A batch costs a write of its own rows only. A batch that runs again after a failure replaces its
-    own folder. ``compact`` folds finished batches into one folder now and then.
-    """
-
-    path: str
-    schema: T.StructType
-    keys: tuple[str, ...]
-    order: tuple[str, ...]
-
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        named = [*self.keys, *self.order]
-        rest = [c for c in self.schema.fieldNames() if c not in named]
-        # of rows equal in key and order the largest, on every run
-        rows = df.groupBy(*named).agg(F.max(F.struct(*rest)).alias("_rest")) if rest else df.select(*named).distinct()
-        rows = rows.select(*[F.col(f"_rest.{c}").alias(c) if c in rest else c for c in self.schema.fieldNames()])
-        rows.write.mode("overwrite").parquet(f"{self.path}/log/batch={batch_id}")
-
-    def history(self, spark: SparkSession) -> DataFrame:
-        """Every row still kept, with the batch it came in."""
-        upto, base = self._base(spark)
-        shape = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
-        try:
-            log = spark.read.schema(shape).option("basePath", f"{self.path}/log").parquet(f"{self.path}/log")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            log = spark.createDataFrame([], shape)
-        log = log.filter(F.col("batch") > upto)
-        if base is None:
-            return log
-        return log.unionByName(spark.read.schema(shape).parquet(base))
+def batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Every row written so far, with the batch it came in; none before the first batch."""
+    shape = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    try:
+        return spark.read.schema(shape).option("basePath", path).parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], shape)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The newest row per key; a late row never replaces a newer one."""
-        return latest_per_key(self.history(spark), self.keys, [*self.order, "batch"]).drop("batch")
 
-    def compact(self, spark: SparkSession) -> None:
-        """Fold all batches written so far into one folder; readers switch over by one register row."""
-        rows = self.history(spark)
-        newest = rows.agg(F.max("batch").alias("b")).first()["b"]
-        if newest is None:
-            return
-        folder = f"{self.path}/base/upto-{newest}-{uuid.uuid4().hex[:8]}"
-        done = rows.filter(F.col("batch") <= newest)
-        latest_per_key(done, self.keys, [*self.order, "batch"]).write.parquet(folder)
-        spark.createDataFrame([(newest, folder)], COMPACTED).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/compacted"
-        )
-
-    def _base(self, spark: SparkSession) -> tuple[int, str | None]:
-        try:
-            rows = spark.read.schema(COMPACTED).parquet(f"{self.path}/compacted")
-            row = rows.agg(F.max_by(F.struct("upto", "folder"), "upto").alias("b")).first()["b"]
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            row = None
-        return (row["upto"], row["folder"]) if row else (-1, None)
+def newest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest row per key; a late row never replaces a newer one."""
+    return latest_per_key(batches(spark, path, schema), keys, [*order, "batch"]).drop("batch")
 
 
 def upsert_stream(
     df: DataFrame,
-    table: UpsertTable,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
     checkpoint: str,
     name: str | None = None,
     trigger: dict | None = None,
     output_mode: str = "append",
-    publish: str | UpsertTable | None = None,
+    publish: tuple[str, Sequence[str], Sequence[str]] | None = None,
 ) -> StreamingQuery:
-    """Keep a keyed table fresh from a stream, by default until it has caught up.
+    """Write a stream's batches below ``path``, by default until it has caught up; read them by ``newest``.
 
-    With ``publish`` the keys changed by a batch are also written, newest row each, below that
-    folder or to that table: the serving side takes the newest of those it has seen.
+    With ``publish``, a path with keys and order, each batch also writes its newest row of each key there.
     """
-    serving = UpsertTable(publish, table.schema, table.keys, table.order) if isinstance(publish, str) else publish
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if serving is None:
-            table.write_batch(batch, batch_id)
+        if publish is None:
+            write_batch(batch, path, keys, order, batch_id)
             return
-        batch.persist()  # two tables are written from it
+        batch.persist()  # it is written twice
         try:
-            table.write_batch(batch, batch_id)
-            newest = latest_per_key(batch, serving.keys, serving.order) if serving.order else batch
-            serving.write_batch(newest, batch_id)
+            write_batch(batch, path, keys, order, batch_id)
+            served, by, along = publish
+            write_batch(latest_per_key(batch, by, along) if along else batch, served, by, along, batch_id)
         finally:
             batch.unpersist()
 
@@ -112,7 +69,3 @@ def upsert_stream(
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
-
-
-def feature_table_from_stream(schema: T.StructType, path: str, keys: Sequence[str], order: Sequence[str]) -> UpsertTable:
-    return UpsertTable(path.rstrip("/"), schema, tuple(keys), tuple(order))

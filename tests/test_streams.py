@@ -10,7 +10,7 @@ from millrace.sources.feature_store import FeatureStore
 from millrace.streaming.control import StreamGroup, drain_and_stop
 from millrace.streaming.ingest import append_stream, hinted_schema, ingest_folder, read_folder, Refinement
 from millrace.streaming.profile import LateRows, windowed_profile
-from millrace.streaming.upsert import UpsertTable, feature_table_from_stream, upsert_stream
+from millrace.streaming.upsert import batches, newest, upsert_stream, write_batch
 
 SCHEMA = "k long, t long, v string"
 
@@ -39,30 +39,27 @@ def test_bronze_rescues_bad_lines_and_restarts(spark, scratch, tmp_path):
     assert rows(out.select("k", "t", "v", "_rescued_data")) == want
 
 
-def test_upsert_equals_batch_after_restart_replay_and_compaction(spark, scratch, tmp_path):
+def test_upsert_equals_batch_after_restart_and_replay(spark, scratch, tmp_path):
     landing, checkpoint = tmp_path / "in", scratch("cp")
     schema = spark.createDataFrame([], SCHEMA).schema
-    table = feature_table_from_stream(schema, scratch("upsert"), ["k"], ["t"])
-    assert table.read(spark).isEmpty()
-    table.compact(spark)
+    path, keys, order = scratch("upsert"), ["k"], ["t"]
+    assert newest(spark, path, schema, keys, order).isEmpty()
     put(landing, "a.json", [{"k": 1, "t": 5, "v": "new"}, {"k": 2, "t": 1, "v": "b"}, {"k": 2, "t": 1, "v": "b"}])
     put(landing, "b.json", [{"k": 1, "t": 3, "v": "late"}, {"k": 3, "t": 1, "v": "c"}])
     df = read_folder(spark, str(landing), "json", SCHEMA, max_files=1).drop("_rescued_data")
-    finish(upsert_stream(df, table, checkpoint, "ups"))
+    finish(upsert_stream(df, path, keys, order, checkpoint, "ups"))
     want = [(1, 5, "new"), (2, 1, "b"), (3, 1, "c")]
-    assert rows(table.read(spark)) == want
+    assert rows(newest(spark, path, schema, keys, order)) == want
     # The same batch once more, as after a failure, changes nothing.
-    table.write_batch(spark.createDataFrame([(1, 3, "late"), (3, 1, "c")], SCHEMA), 1)
-    assert rows(table.read(spark)) == want
-    table.compact(spark)
-    assert rows(table.read(spark)) == want and table.history(spark).count() == 3
+    write_batch(spark.createDataFrame([(1, 3, "late"), (3, 1, "c")], SCHEMA), path, keys, order, 1)
+    assert rows(newest(spark, path, schema, keys, order)) == want and batches(spark, path, schema).count() == 4
     put(landing, "c.json", [{"k": 2, "t": 9, "v": "B"}])
     df = read_folder(spark, str(landing), "json", SCHEMA).drop("_rescued_data")
     served = scratch("served")
-    finish(upsert_stream(df, table, checkpoint, "ups", publish=served))
+    finish(upsert_stream(df, path, keys, order, checkpoint, "ups", publish=(served, keys, order)))
     every = spark.read.schema(SCHEMA).json(str(landing))
-    assert rows(table.read(spark)) == rows(latest_per_key(every, ["k"], ["t"]))
-    assert rows(UpsertTable(served, schema, ("k",), ("t",)).read(spark)) == [(2, 9, "B")]
+    assert rows(newest(spark, path, schema, keys, order)) == rows(latest_per_key(every, ["k"], ["t"]))
+    assert rows(newest(spark, served, schema, keys, order)) == [(2, 9, "B")]
 
 
 def test_new_columns_come_in_on_restart(spark, scratch, tmp_path):
@@ -90,8 +87,6 @@ def test_feature_table_fed_by_stream(spark, scratch, tmp_path):
             put(landing, name, [record])
     want = [(1, 1, "second"), (1, 2, "x"), (9, 1, "base")]
     assert rows(store.read_table("f")) == want
-    store.compact("f")
-    assert rows(store.read_table("f")) == want
     assert rows(store.publish_table("f", scratch("snap"))) == [(1, 2, "x"), (9, 1, "base")]
     with pytest.raises(ValueError, match="stream"):
         store.write_table("f", spark.createDataFrame([], SCHEMA))
@@ -139,9 +134,9 @@ def test_refinement(spark):
 def test_equal_keys_in_a_batch_have_one_answer(spark, scratch):
     schema = spark.createDataFrame([], SCHEMA).schema
     for order in ([(1, 1, "a"), (1, 1, "b")], [(1, 1, "b"), (1, 1, "a")]):
-        table = UpsertTable(scratch("ties"), schema, ("k",), ("t",))
-        table.write_batch(spark.createDataFrame(order, SCHEMA), 0)
-        assert rows(table.read(spark)) == [(1, 1, "b")]
+        path = scratch("ties")
+        write_batch(spark.createDataFrame(order, SCHEMA), path, ["k"], ["t"], 0)
+        assert rows(newest(spark, path, schema, ["k"], ["t"])) == [(1, 1, "b")]
 
 
 def test_control(spark, scratch, tmp_path):
