@@ -17,6 +17,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Vectors of a tile. Tasks hold one query tile's scores against one shard tile at a time.
 QUERY_TILE, SHARD_TILE = 1024, 4096
+#: Queries whose lists one task keeps, about.
+KEPT = 65_536
 LONG = 2**63 - 1
 TILE_SCHEMA = "ids binary, parts binary, dim int, n int"
 
@@ -93,7 +95,7 @@ def _partial(pairs: DataFrame, k: int) -> DataFrame:
     """Per task and query the k best (query_id, tag, vec_id, score) over all tiles that the task sees."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists: dict[bytes, tuple] = {}
+        lists: dict[int, tuple] = {}  # by a tile's first query, as a query is in one tile
         for batch in batches:
             for row in batch.to_pylist():
                 q_ids, s_ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
@@ -105,7 +107,7 @@ def _partial(pairs: DataFrame, k: int) -> DataFrame:
                 score[own] = floor
                 found = best(score, s_ids, k)
                 found[0][found[0] == floor] = LEAST
-                key = row["q_ids"] + row["q_parts"]
+                key = int(q_ids[0])
                 if key in lists:
                     old = lists[key][1]
                     found = best(np.concatenate([old[0], found[0]], 1), np.concatenate([old[1], found[1]], 1), k)
@@ -129,11 +131,11 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 25
 
     Tiles of vectors meet tiles of queries on a grid of query blocks and shards, so that each side is copied along one
     edge of the grid only. ``share`` (queries to vectors, about) shapes the grid, not the result. Tasks keep k
-    a query; lists merge by groups of shards first, then as a whole.
+    a query and at most about ``KEPT`` queries, as blocks are as many as the counted queries ask for; lists merge by groups of shards first, then as a whole.
     """
     cells = max(1, parallelism(vectors.sparkSession))
-    blocks = max(1, round((cells * share) ** 0.5))
-    shards = -(-cells // blocks)
+    blocks = max(1, round((cells * share) ** 0.5), -(-vectors.filter(is_query).count() // KEPT))
+    shards = max(1, -(-cells // blocks))
     spread = max(2, round(shards**0.5))
     whole = integer_vectors(vectors, scale)
     asked = whole.filter(is_query).groupBy("id").agg(F.min("v").alias("v")).repartition(-(-blocks * 2 // 1), "id")

@@ -17,6 +17,7 @@ import string
 import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,6 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Labelled documents that the classifier is fitted on, about; chosen by hash of doc_id among all that may teach.
@@ -65,6 +65,10 @@ CHAINED = re.compile(rf"(?<!{_LETTER})[a-z]([{_MARK_LOOK}])\1*(?:[a-z]\1+)+[a-z]
 EDGE = "".join(c for c in string.punctuation if c not in LOOKS)
 
 
+#: Characters after which restored text is looked through for what is certain, and stretches up to which results are kept.
+SETTLE, LONG_STRETCH = 64, 128
+
+
 class CharModel:
     """Character trigrams with interpolation, in natural logarithms."""
 
@@ -96,21 +100,28 @@ def _readings(text: str, at: int, breaks: bool) -> list[tuple[str, float]]:
 def restore(text: str, model: CharModel, breaks: bool = False) -> str:
     """The likeliest word behind a stretch of lower-case text: Viterbi over its lattice. With ``breaks`` the likeliest words, as marks may end one."""
     table = model.table
-    paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    # by the last two symbols and whether there is a letter yet: value and word
+    paths: dict[tuple[int, int, bool], tuple[float, str]] = {(0, 0, False): (0.0, "")}
+    settled: list[str] = []
     for at in range(len(text)):
-        following: dict[tuple[int, int], tuple[float, str]] = {}
+        if not at % SETTLE and at:  # what all paths begin with is certain; they go on without it
+            certain = commonprefix([word for _, word in paths.values()])
+            if certain:
+                settled.append(certain)
+                paths = {key: (value, word[len(certain) :]) for key, (value, word) in paths.items()}
+        following: dict[tuple[int, int, bool], tuple[float, str]] = {}
         for c, cost in _readings(text, at, breaks):
             code = SYMBOLS.get(c, OTHER)
-            for (a, b), (value, word) in paths.items():
+            for (a, b, solid), (value, word) in paths.items():
                 if c == " ":
-                    key, step = (0, 0), table[a][b][0] if b else 0.0
+                    key, step = (0, 0, solid), table[a][b][0] if b else 0.0
                 else:
-                    key, step = ((b, code), table[a][b][code]) if c else ((a, b), 0.0)
+                    key, step = ((b, code, True), table[a][b][code]) if c else ((a, b, solid), 0.0)
                 new = value + cost + step
                 if key not in following or new > following[key][0]:
                     following[key] = (new, word + c)
         paths = following
-    return max((value if not b and word.strip() else value + table[a][b][0], word) for (a, b), (value, word) in paths.items())[1]
+    return "".join(settled) + max((value if not b and solid else value + table[a][b][0], word) for (a, b, solid), (value, word) in paths.items())[1]
 
 
 class Restorer:
@@ -120,14 +131,16 @@ class Restorer:
         self.model, self.known = model, {}
 
     def meant(self, stretch: str) -> list[str]:
-        if len(self.known) > 200_000:
-            self.known.clear()
-        if stretch not in self.known:
+        found = self.known.get(stretch)
+        if found is None:
             found = [restore(stretch, self.model)]
             if not stretch.isalnum():
                 found += restore(stretch, self.model, breaks=True).split()
-            self.known[stretch] = found
-        return self.known[stretch]
+            if len(self.known) > 200_000:
+                self.known.clear()
+            if len(stretch) <= LONG_STRETCH:
+                self.known[stretch] = found
+        return found
 
     def words(self, text: str | None) -> set[str]:
         """Distinct words of the restored text, with those of the plain text."""

@@ -51,6 +51,15 @@ def test_grid_does_not_change_the_result(spark):
     assert one == sorted(map(tuple, T.exact_topk(table.repartition(9), F.col("id") % 50 == 0, 5, share=1.0).collect()))
 
 
+def test_tasks_keep_no_vectors_and_blocks_follow_the_queries(spark, monkeypatch):
+    rows = vectors(200)
+    table = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(tuple, T.exact_topk(table, F.col("id") % 2 == 0, 3).collect()))
+    monkeypatch.setattr(T, "KEPT", 9)
+    monkeypatch.setattr(T, "QUERY_TILE", 4)
+    assert sorted(map(tuple, T.exact_topk(table, F.col("id") % 2 == 0, 3).collect())) == want
+
+
 def test_empty_and_alone(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert T.exact_topk(empty, F.col("id") % 50 == 0).count() == 0

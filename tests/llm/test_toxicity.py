@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import pytest
@@ -84,3 +85,52 @@ def test_restores_every_disguise(spark, model, text, word):
 @pytest.fixture(scope="module")
 def model(spark):
     return T.CharModel(T.character_counts(table(spark, 300)))
+
+
+def every_reading(text, model, breaks):
+    """Words and values of all paths through the lattice of a short stretch."""
+    out = [("", 0, 0, 0.0)]
+    for at in range(len(text)):
+        following = []
+        for c, cost in T._readings(text, at, breaks):
+            for word, a, b, value in out:
+                code = T.SYMBOLS.get(c, T.OTHER)
+                if c == " ":
+                    following.append((word + c, 0, 0, value + cost + (model.table[a][b][0] if b else 0.0)))
+                elif c:
+                    following.append((word + c, b, code, value + cost + model.table[a][b][code]))
+                else:
+                    following.append((word, a, b, value + cost))
+        out = following
+    return [(word, value if not b and word.strip() else value + model.table[a][b][0]) for word, a, b, value in out]
+
+
+@pytest.mark.parametrize("breaks", [False, True])
+def test_restored_words_are_the_likeliest_of_all(model, breaks):
+    rnd = random.Random(5)
+    for _ in range(150):
+        text = "".join(rnd.choice("vermin0137@$!.-aae") for _ in range(rnd.randint(1, 7)))
+        ways = every_reading(text, model, breaks)
+        best = max(value for _, value in ways)
+        assert T.restore(text, model, breaks) in {word for word, value in ways if value > best - 1e-9}
+
+
+def test_settling_changes_nothing(model, monkeypatch):
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choice("abcdefgh0137@$.-") for _ in range(rnd.randint(50, 400))) for _ in range(20)]
+    monkeypatch.setattr(T, "SETTLE", 10**9)
+    plain = [T.restore(t, model, b) for t in texts for b in (False, True)]
+    monkeypatch.setattr(T, "SETTLE", 3)
+    assert plain == [T.restore(t, model, b) for t in texts for b in (False, True)]
+
+
+def test_time_grows_with_the_length_of_a_run(model):
+    rnd = random.Random(7)
+    for letters in ("abcdefghijklmnopqrstuvwxyz0123456789", "1", "a1"):
+        took = []
+        for n in (20_000, 160_000):
+            run = "".join(rnd.choice(letters) for _ in range(n))
+            start = time.perf_counter()
+            T.Restorer(model).words(run)
+            took.append(time.perf_counter() - start)
+        assert took[1] < 8 * 3 * took[0] + 1, (letters, took)
