@@ -332,8 +332,19 @@ def decode_ids(encoded: DataFrame, path: str, chunk: int = 4096) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def encode_digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, SHA-256 of the ids as little-endian 32-bit numbers, and of the bytes decoded from them."""
+def encode_digest(docs: DataFrame, path: str, pattern: str, chunk: int = 4096) -> DataFrame:
+    """doc_id, n_tokens, SHA-256 of the ids as little-endian 32-bit numbers, and of the text decoded from them.
+
+    Ids are decoded ``chunk`` at a time; what leaves the UTF-8 machine is hashed. A null text is an empty one; every row,
+    with null or repeated doc_id too, gives a row; other columns are left out; an empty table gives none.
+    """
+
+    def decoded(decoder: Decoder, ids: np.ndarray) -> str:
+        stream, sha = Utf8Stream(), hashlib.sha256()
+        for at in range(0, len(ids), chunk):
+            sha.update(stream.feed(decoder.decode(ids[at : at + chunk])).encode())
+        sha.update(stream.end().encode())
+        return sha.hexdigest()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _encoder(path, pattern), _decoder(path)
@@ -342,7 +353,7 @@ def encode_digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = ids.astype("<u4")
             spans = list(zip(at.tolist(), at[1:].tolist()))
             coded = [hashlib.sha256(ids[a:b].tobytes()).hexdigest() for a, b in spans]
-            plain = [hashlib.sha256(decoder.decode(ids[a:b])).hexdigest() for a, b in spans]
+            plain = [decoded(decoder, ids[a:b]) for a, b in spans]
             columns = [batch.column(0), pa.array(np.diff(at), pa.int64()), pa.array(coded, pa.string()), pa.array(plain, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

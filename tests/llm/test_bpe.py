@@ -84,3 +84,12 @@ def test_documents(spark, exact):
     back = B.decode_ids(B.encode_documents(docs, RANKS, P.PATTERN), RANKS, chunk=3).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in back), key=str) == sorted(((i, t or "") for i, t, _ in rows), key=str)
     assert B.encode_digest(docs.limit(0), RANKS, P.PATTERN).count() == 0
+
+
+def test_digest_is_the_same_however_short_the_chunks(spark):
+    rows = [(1, "añ漢🙂 " * 50), (2, "🙂"), (3, None), (None, "é"), (2, "🙂")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((str(i), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows)
+    for chunk in (1, 3, 4096):
+        out = B.encode_digest(docs, RANKS, P.PATTERN, chunk).collect()
+        assert sorted((str(r["doc_id"]), r["decoded_sha256"]) for r in out) == want
