@@ -11,7 +11,7 @@ sys.path.insert(0, {str(ROOT)!r})
 from pyspark.sql import SparkSession
 import __spark_entry__ as entry
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
-for name in ("knn_topk", "knn_self", "knn_lsh", "anomaly_mahalanobis"):
+for name in ("knn_topk", "knn_self", "knn_lsh", "knn_cells", "anomaly_mahalanobis", "model_hooks"):
     assert entry.queries()[name](spark, {SF!r}).count() > 0, name
 print("all ran")
 """
