@@ -295,24 +295,46 @@ def _decoder(path: str) -> Decoder:
     return kept_in_process(("bpe-decode", path), lambda: Decoder(read_ranks(path)))
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, decode: bool = False) -> DataFrame:
-    """doc_id, ids and, with ``decode``, the bytes decoded from the ids, for every row; null texts are empty.
+def _streamed(decoder: Decoder, ids: np.ndarray, chunk: int) -> Iterator[str]:
+    """The text of the ids, ``chunk`` tokens at a time, as it leaves the UTF-8 machine."""
+    stream = Utf8Stream()
+    for at in range(0, len(ids), chunk):
+        yield stream.feed(decoder.decode(ids[at : at + chunk]))
+    yield stream.end()
 
-    The rank file must be readable by workers at ``path``. Texts are encoded whole, without special tokens.
+
+def _text_sha(decoder: Decoder, ids: np.ndarray, chunk: int) -> str:
+    sha = hashlib.sha256()
+    for part in _streamed(decoder, ids, chunk):
+        sha.update(part.encode())
+    return sha.hexdigest()
+
+
+def encode_documents(docs: DataFrame, path: str, pattern: str, decode: bool = False, chunk: int = 4096) -> DataFrame:
+    """doc_id and ids of every row and, with ``decode``, decoded_sha256: of the text that the ids stream back into.
+
+    The rank file must be readable by workers at ``path``. Texts are encoded whole, without special tokens. With ``decode``
+    ids that do not give their text back stop the job. Null texts are empty and give no ids; every row, with null or
+    repeated doc_id too, gives a row; other columns are left out; an empty table gives none.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _encoder(path, pattern), _decoder(path)
         for batch in in_batches(batches, 1, 1):
-            ids, at = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            ids, at = encoder.encode(texts)
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
             columns, names = [batch.column(0), lists], ["doc_id", "ids"]
             if decode:
-                columns.append(pa.array([decoder.decode(ids[a:b]) for a, b in zip(at, at[1:])], pa.binary()))
-                names.append("decoded")
+                back = [_text_sha(decoder, ids[a:b], chunk) for a, b in zip(at, at[1:])]
+                wrong = [i for i, (text, sha) in enumerate(zip(texts, back)) if hashlib.sha256(text.encode()).hexdigest() != sha]
+                if wrong:
+                    raise ValueError(f"ids do not decode to the text of doc_id {batch.column(0)[wrong[0]].as_py()}")
+                columns.append(pa.array(back, pa.string()))
+                names.append("decoded_sha256")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, ids array<int>" + ", decoded binary" * decode
+    schema = "doc_id long, ids array<int>" + ", decoded_sha256 string" * decode
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
@@ -322,11 +344,8 @@ def decode_ids(encoded: DataFrame, path: str, chunk: int = 4096) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _decoder(path)
         for batch in batches:
-            texts = []
-            for ids in batch.column(1):
-                ids, stream = np.array(ids.as_py() or [], np.int64), Utf8Stream()
-                parts = [stream.feed(decoder.decode(ids[a : a + chunk])) for a in range(0, len(ids), chunk)]
-                texts.append("".join([*parts, stream.end()]))
+            lists = [np.array(ids.as_py() or [], np.int64) for ids in batch.column(1)]
+            texts = ["".join(_streamed(decoder, ids, chunk)) for ids in lists]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, text string")
@@ -339,13 +358,6 @@ def encode_digest(docs: DataFrame, path: str, pattern: str, chunk: int = 4096) -
     with null or repeated doc_id too, gives a row; other columns are left out; an empty table gives none.
     """
 
-    def decoded(decoder: Decoder, ids: np.ndarray) -> str:
-        stream, sha = Utf8Stream(), hashlib.sha256()
-        for at in range(0, len(ids), chunk):
-            sha.update(stream.feed(decoder.decode(ids[at : at + chunk])).encode())
-        sha.update(stream.end().encode())
-        return sha.hexdigest()
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _encoder(path, pattern), _decoder(path)
         for batch in in_batches(batches, 1, 1):
@@ -353,7 +365,7 @@ def encode_digest(docs: DataFrame, path: str, pattern: str, chunk: int = 4096) -
             ids = ids.astype("<u4")
             spans = list(zip(at.tolist(), at[1:].tolist()))
             coded = [hashlib.sha256(ids[a:b].tobytes()).hexdigest() for a, b in spans]
-            plain = [decoded(decoder, ids[a:b]) for a, b in spans]
+            plain = [_text_sha(decoder, ids[a:b], chunk) for a, b in spans]
             columns = [batch.column(0), pa.array(np.diff(at), pa.int64()), pa.array(coded, pa.string()), pa.array(plain, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -93,3 +93,21 @@ def test_digest_is_the_same_however_short_the_chunks(spark):
     for chunk in (1, 3, 4096):
         out = B.encode_digest(docs, RANKS, P.PATTERN, chunk).collect()
         assert sorted((str(r["doc_id"]), r["decoded_sha256"]) for r in out) == want
+
+
+def test_encoded_rows_are_decoded_and_checked(spark, monkeypatch):
+    """Null and empty texts give no ids, repeated and null doc_ids stay, clashing columns leave; wrong ids stop the job."""
+    made = [(1, "café \U0001f600 " * 9, 5), (1, "café", 6), (None, "", 7), (3, None, 8)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, decoded_sha256 int")
+    got = B.encode_documents(docs, RANKS, P.PATTERN, decode=True, chunk=2).collect()
+    want = [(i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t, _ in made]
+    assert sorted(((r["doc_id"], r["decoded_sha256"]) for r in got), key=str) == sorted(want, key=str)
+    assert [len(r["ids"]) for r in got if r["doc_id"] in (None, 3)] == [0, 0]
+
+    class Forgetful(B.Decoder):
+        def decode(self, ids):
+            return super().decode(ids)[:-1]
+
+    monkeypatch.setattr(B, "_decoder", lambda path: Forgetful(B.read_ranks(path)))
+    with pytest.raises(Exception, match="ids do not decode to the text of doc_id"):
+        B.encode_documents(docs, RANKS, P.PATTERN, decode=True).collect()

@@ -74,7 +74,10 @@ def test_mix(stages):
 def test_tokens(stages, exact):
     _, before, after = stages[4]
     want = sorted((i, exact(t)) for i, t in texts(before))
-    assert sorted((r["doc_id"], list(r["ids"])) for r in after.collect()) == want
+    got = after.collect()
+    assert sorted((r["doc_id"], list(r["ids"])) for r in got) == want
+    back = sorted((r["doc_id"], r["decoded_sha256"]) for r in got)
+    assert back == sorted((i, hashlib.sha256(t.encode()).hexdigest()) for i, t in texts(before))
 
 
 def test_run_is_the_stages_in_turn(spark, stages):
@@ -96,7 +99,7 @@ def test_digest_queries_equal_brute_force(spark, exact):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_empty_documents(spark, tmp_path):
