@@ -40,9 +40,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids and n_tokens of every document of the mix."""
+    """doc_id, ids, n_tokens and the digest of the text decoded from the ids, for every document of the mix.
+
+    The ids stream back through the UTF-8 machine at once; ids that do not give their text stop the job.
+    """
     text_session(spark)
-    return encode_documents(docs, RANKS, public_tokenizers.PATTERN).withColumn("n_tokens", F.size("ids").cast("long"))
+    return encode_documents(docs, RANKS, public_tokenizers.PATTERN, decode=True).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [
