@@ -126,6 +126,7 @@ def point_in_time(
     names: Sequence[str],
     width: int | None = None,
     edges: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Give each label row the newest feature row of its key that is not later than the label.
 
@@ -133,9 +134,12 @@ def point_in_time(
     a null feature stays null instead of showing an older value. Label rows without key, time or
     earlier feature keep nulls. ``edges`` (see ``tile_edges``), or one ``width`` for all, cut the history of a key
     into time tiles; each tile that holds labels then starts with the newest feature row before it. Two feature rows
-    of one key and time stop the job.
+    of one key and time stop the job. ``buckets`` says that ``features`` lie in so many buckets by their keys, of the label
+    keys' types: only label rows move then. It goes with neither ``edges`` nor ``width``.
     """
     _no_clash(labels, names)
+    if buckets and (width or edges is not None):
+        raise ValueError("tiles of time do not follow buckets")
     key_names = [f"_k{i}" for i in range(len(keys))]
     payload = F.struct(*[F.col(n).alias(n) for n in names])
     left = labels.select(
@@ -161,6 +165,10 @@ def point_in_time(
     tile_or_spread = F.when(known, tile).otherwise(F.pmod(F.xxhash64("_row"), F.lit(4096)))
     left = left.withColumn("_tile", tile_or_spread)
     right = right.withColumn("_tile", tile)
+    alone = None
+    if buckets:
+        alone = left.filter(~known)  # these stay where they are
+        left = left.filter(known).repartition(buckets, *key_names)
     seen = right
     if width or edges is not None:
         seen = right.select(*key_names, "_tile", "_t", "_found").unionByName(_carried(left.filter(known), right, key_names))
@@ -182,6 +190,8 @@ def point_in_time(
         F.when(known, F.last("_found", ignorenulls=True).over(history)).alias("_found"),
         F.when(twice, message).alias("_error"),
     ).filter(F.when(F.col("_error").isNotNull(), F.raise_error(F.col("_error")).cast("boolean")).otherwise(F.col("_side") == 1))
+    if alone is not None:
+        matched = matched.select("_row", "_found").unionByName(alone.select("_row"), allowMissingColumns=True)
     return matched.select("_row.*", *[F.col("_found").getField(n).alias(n) for n in names])
 
 

@@ -177,24 +177,36 @@ SELECT user_id, strftime(hour, '%Y-%m-%d %H') AS hour, arg_max(lookups, purchase
 FROM hourly GROUP BY user_id, hour"""
 
 
-@query("feature_upsert", UPSERTED_SQL)
-def feature_upsert(spark, sf):
-    """A feature table of look-ups per user and hour; hours with purchases are merged over it."""
-    rows = travel(spark, sf)
+def _hourly(df):
+    return df.groupBy("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
+        F.count("*").alias("lookups"), F.max("price").alias("top_price")
+    )
 
-    def hourly(df):
-        return df.groupBy("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
-            F.count("*").alias("lookups"), F.max("price").alias("top_price")
-        )
 
-    store = FeatureStore(spark, scratch_path(spark, "features"))
-    store.create_table("user_hours", "user_id", "hour", df=hourly(rows.filter("not purchased")))
-    store.write_table("user_hours", hourly(rows.filter("purchased")), mode="merge")
+def _by_hour(store):
     return store.read_table("user_hours").select(
         "user_id", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "lookups", *rounded("top_price")
     )
 
 
+@query("feature_upsert", UPSERTED_SQL)
+def feature_upsert(spark, sf):
+    """A feature table of look-ups per user and hour; hours with purchases are merged over it."""
+    rows, store = travel(spark, sf), FeatureStore(spark, scratch_path(spark, "features"))
+    store.create_table("user_hours", "user_id", "hour", df=_hourly(rows.filter("not purchased")))
+    store.write_table("user_hours", _hourly(rows.filter("purchased")), mode="merge")
+    return _by_hour(store)
+
+
+@query("feature_merge_parts", UPSERTED_SQL)
+def feature_merge_parts(spark, sf):
+    """The same table in 64 parts by row key: the merge reads and rewrites the parts that its rows fall into."""
+    rows, store = travel(spark, sf), FeatureStore(spark, scratch_path(spark, "features"))
+    store.create_table("user_hours", "user_id", "hour", df=_hourly(rows.filter("not purchased")), parts=64)
+    store.write_table("user_hours", _hourly(rows.filter("purchased")), mode="merge")
+    return _by_hour(store)
+
+
 STORE_LABELS = """
 labels AS (SELECT event_id AS id, user_id, ts, event_type = 'purchase' AS bought FROM events WHERE event_id % 5 = 0),
 features AS (SELECT user_id, CAST(ts AS DATE)::TIMESTAMP AS day, count(*) AS visits, max(value) AS top FROM events GROUP BY ALL),

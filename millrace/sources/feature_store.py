@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.changes import latest_per_key, merge_upsert, pk_violations, unique_rows
 from millrace.operators.lookup import FeatureLookup, TrainingSet
+from millrace.sources.parted import PartedTable
 from millrace.sources.register import Register
 from millrace.streaming.upsert import batches, newest, upsert_stream
 
@@ -35,6 +36,7 @@ class FeatureTable:
     tags: Mapping[str, str] = field(default_factory=dict)
     schema: str = ""
     stream: str = ""
+    parts: int = 0
 
     @property
     def row_keys(self) -> list[str]:
@@ -67,21 +69,25 @@ class FeatureStore:
         schema: T.StructType | None = None,
         description: str = "",
         tags: Mapping[str, str] | None = None,
+        parts: int = 0,
     ) -> FeatureTable:
-        """Register a table from rows or from a schema alone; rows are written at once."""
+        """Register a table from rows or from a schema alone; rows are written at once.
+
+        With ``parts`` rows lie in so many folders by row key, and a merge rewrites only the folders it touches, in place.
+        """
         if df is None and schema is None:
             raise ValueError("give df or schema")
         if self.register.find(name) is not None:
             raise ValueError(f"feature table {name!r} exists")
         shape = schema or df.schema
         table = FeatureTable(
-            name, _names(primary_keys), _names(timestamp_keys), description, dict(tags or {}), shape.json()
+            name, _names(primary_keys), _names(timestamp_keys), description, dict(tags or {}), shape.json(), parts=parts
         )
         missing = [k for k in table.row_keys if k not in shape.fieldNames()]
         if missing:
             raise ValueError(f"key columns missing: {missing}")
         rows = df if df is not None else self.spark.createDataFrame([], shape)
-        self._publish(table, unique_rows(rows, table.row_keys))
+        self._publish(table, rows if table.parts else unique_rows(rows, table.row_keys))
         return table
 
     def get_table(self, name: str) -> FeatureTable:
@@ -93,7 +99,10 @@ class FeatureStore:
     def read_table(self, name: str) -> DataFrame:
         """All rows; where a stream feeds the table, its newest version of each row."""
         row, table = self.register.require(name), self.get_table(name)
-        base = self.spark.read.schema(table.shape).parquet(row["folder"])
+        if table.parts:
+            base = self._parted(table, row["folder"]).read()
+        else:
+            base = self.spark.read.schema(table.shape).parquet(row["folder"])
         if not table.stream:
             return base
         fed = batches(self.spark, table.stream, table.shape)
@@ -106,10 +115,13 @@ class FeatureStore:
         if table.stream:
             raise ValueError(f"{name!r} is fed by a stream")
         rows = self._fit(table, df)
+        if mode == "merge" and table.parts:
+            self._parted(table, self.register.require(name)["folder"]).merge(rows)
+            return
         if mode == "merge":
             rows = merge_upsert(self.read_table(name), rows, table.row_keys)
         elif mode == "overwrite":
-            rows = unique_rows(rows, table.row_keys)
+            rows = rows if table.parts else unique_rows(rows, table.row_keys)
         else:
             raise ValueError(f"unknown mode {mode!r}")
         self._publish(table, rows)
@@ -182,9 +194,15 @@ class FeatureStore:
             raise ValueError(f"columns missing for {table.name!r}: {absent}")
         return df.select(*[F.col(f.name).cast(f.dataType) for f in table.shape.fields])
 
+    def _parted(self, table: FeatureTable, folder: str) -> PartedTable:
+        return PartedTable(self.spark, folder, table.shape, table.row_keys, table.parts)
+
     def _publish(self, table: FeatureTable, rows: DataFrame) -> None:
         folder = self.register.new_folder(table.name)
-        rows.write.parquet(folder)
+        if table.parts:
+            self._parted(table, folder).create(rows)
+        else:
+            rows.write.parquet(folder)
         self.register.put(table.name, json.dumps(asdict(table)), folder)
 
 
