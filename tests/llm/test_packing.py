@@ -123,5 +123,35 @@ def test_groups_fill_no_worse():
     assert made <= least * 1.01 and places[:, 2].sum() == sum(counts.values())
 
 
+def placed_singly(counts, size):
+    packer = P.Packer(size)
+    for length in sorted(counts, reverse=True):
+        for rank in range(counts[length]):
+            packer.add(length, rank, 1)
+    return packer
+
+
+@pytest.mark.parametrize("seed, most, size", [(1, 9, 40), (2, 60, 40), (3, 7000, 40), (4, 300, 97)])
+def test_any_number_of_documents_is_placed_like_single_ones(seed, most, size):
+    rnd = random.Random(seed)
+    counts = {length: rnd.randint(1, most) for length in rnd.sample(range(1, size + 1), size // 2)}
+    packer = P.Packer(size)
+    for length in sorted(counts, reverse=True):
+        packer.add(length, 0, counts[length])
+    single = placed_singly(counts, size)
+    assert packer.made == single.made and packer.count.tolist() == single.count.tolist()
+    places, made = P.pack_counts(counts, size)
+    assert made == single.made and P.pack_counts(counts, size, 3)[0].tolist() == places.tolist()
+    spans = collections.defaultdict(list)  # each sequence gapless from 0, each rank once
+    for length, rank, many, first, offset in places.tolist():
+        for i in range(many):
+            spans[first + i].append((offset, length))
+    for parts in spans.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= size
+    ranks = sorted((length, rank + i) for length, rank, many, _, _ in places.tolist() for i in range(many))
+    assert ranks == [(length, i) for length in sorted(counts) for i in range(counts[length])]
+
+
 def test_empty(spark):
     assert P.packed(spark.createDataFrame([], SCHEMA), PATH).count() == 0
