@@ -22,8 +22,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rows that the index is fitted on at most, vectors of a packed row, vectors of a part of a cell, queries of a packed row.
 SAMPLE, PACK, PART, ASKED = 20_000, 2048, 65_536, 512
-#: Sketch bits for each dimension.
-BITS = 12
+#: Sketch bits for each dimension, components of the pairs that are scored at once.
+BITS, AT_ONCE = 12, 2_000_000
 
 
 @dataclass(frozen=True)
@@ -101,7 +101,17 @@ FILED = "cell int, part int, ids binary, body binary, sketch binary, n int"
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64)
+    """Vectors of one length as rows, null components as NaN."""
+    length = np.diff(column.offsets.to_numpy())
+    if len(length) and (length != length[0]).any():
+        raise ValueError("vectors differ in length")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), length[0] if len(length) else 0)
+
+
+def _products(q: np.ndarray, x: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """Products of the paired vectors, of which a bounded number is copied at a time."""
+    step = max(1, AT_ONCE // max(1, q.shape[1]))
+    return np.concatenate([np.zeros(0), *(np.einsum("nd,nd->n", q[row[at : at + step]], x[col[at : at + step]]) for at in range(0, len(row), step))])
 
 
 def file_vectors(corpus: DataFrame, index: Cells) -> DataFrame:
@@ -163,7 +173,8 @@ def cell_hits(queries: DataFrame, filed: DataFrame, index: Cells, k: int, exclud
 
     def rank(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for q_ids, q, ids, body, sketch in zip(*(c.to_pylist() for c in batch.columns)):
+            for r in range(batch.num_rows):
+                q_ids, q, ids, body, sketch = (c[r].as_buffer() for c in batch.columns)
                 q_ids, ids = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64)
                 q = np.frombuffer(q).reshape(len(q_ids), -1)
                 x = np.frombuffer(body, np.float32).reshape(len(ids), -1).astype(np.float64)
@@ -171,7 +182,7 @@ def cell_hits(queries: DataFrame, filed: DataFrame, index: Cells, k: int, exclud
                 if exclude_self:
                     near &= q_ids[:, None] != ids[None, :]
                 row, col = np.nonzero(near)
-                score = np.round(np.einsum("nd,nd->n", q[row], x[col]), 9)
+                score = np.round(_products(q, x, row, col), 9)
                 order = np.lexsort((ids[col], -score, row))
                 row, col, score = row[order], col[order], score[order]
                 place = np.arange(len(row)) - np.searchsorted(row, row)

@@ -69,3 +69,17 @@ def test_small_and_empty(spark):
     empty = corpus.limit(0)
     index = V.fit_cells(empty, 5)
     assert V.knn_cells(corpus.withColumnRenamed("vec_id", "query_id"), V.file_vectors(empty, index), index, 5).count() == 0
+
+
+def test_products_copy_few_vectors_at_a_time():
+    import tracemalloc
+
+    rnd = np.random.default_rng(2)
+    q, x = rnd.normal(size=(300, 64)), rnd.normal(size=(1000, 64))
+    row, col = (a.reshape(-1) for a in np.indices((300, 1000)))
+    tracemalloc.start()
+    got = V._products(q, x, row, col)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000 and np.allclose(got, (q @ x.T).reshape(-1))  # all copies at once have 307 MB
+    assert len(V._products(q, x, row[:0], col[:0])) == 0
