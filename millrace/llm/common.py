@@ -23,9 +23,8 @@ SPACES = " \t\n\x0b\x0c\r"
 
 
 def text_session(spark: SparkSession) -> SparkSession:
-    """The session with what these operators need: long texts go to workers in batches of a few MB, not of 64."""
-    prepare(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
-    return spark
+    """The session with what these operators need: long texts go to workers in batches of a few MB."""
+    return prepare(spark)
 
 
 def whole(column: str | Column) -> Column:

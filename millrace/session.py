@@ -10,10 +10,11 @@ from pyspark.sql import SparkSession
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin what results depend on, for as long as the session lives: frames run after this returns. Partition counts stay
-    with the cluster's own settings."""
+    with the cluster's own settings. Rows go to Python workers in batches of a few MB, not of 64."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     return spark
 
 
