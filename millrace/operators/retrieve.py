@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from millrace.operators.corpus import build_prompts
+from millrace.session import parallelism
 
 # Executors get the functions below with the task, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -22,58 +24,78 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 QUERY_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 50_000
 HITS = "query_id long, vec_id long, score double"
-HIT_TYPES = {"query_id": "int64", "vec_id": "int64", "score": "float64"}
-QUERY_SLICE = 512
 HIT_BYTES = 64
+#: Vectors of a packed row of queries and of the corpus at most, queries whose lists one task keeps, about.
+QUERY_TILE, CORPUS_TILE, KEPT = 512, 1024, 65_536
+#: Stands for a null id inside tasks; sorts last.
+NO_ID = 2**63 - 1
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Vectors of one length as rows, null components as NaN."""
+    length = np.diff(column.offsets.to_numpy())
+    if len(length) and (length != length[0]).any():
+        raise ValueError("vectors differ in length")
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), length[0] if len(length) else 0)
+
+
+class Best:
+    """The ``k`` best corpus rows so far of each of some queries, ties by smaller id; infinite and undefined scores never."""
+
+    def __init__(self, q_ids: np.ndarray, q: np.ndarray, k: int, exclude_self: bool):
+        self.q_ids, self.q, self.k, self.exclude_self = q_ids, q.astype(np.float64, copy=False), k, exclude_self
+        self.row, self.ids, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.floor, self.last = np.full(len(q), -np.inf), np.full(len(q), NO_ID)  # a full list's worst score and that one's id
+
+    def add(self, ids: np.ndarray, x: np.ndarray) -> None:
+        for at in range(0, len(ids), 2 * CORPUS_TILE):
+            self._add(ids[at : at + 2 * CORPUS_TILE], x[at : at + 2 * CORPUS_TILE].astype(np.float64, copy=False))
+
+    def _add(self, ids: np.ndarray, x: np.ndarray) -> None:
+        n, k = len(ids), self.k
+        raw = self.q @ x.T
+        # scores count rounded, so somewhat smaller ones may be as good
+        under = lambda floor: (floor - 1e-8 - 1e-12 * np.abs(floor))[:, None]
+        wanted = np.isfinite(raw) & (raw >= under(self.floor))
+        if self.exclude_self:
+            wanted &= self.q_ids[:, None] != ids[None, :]
+        if n > k and np.count_nonzero(wanted) > 4 * k * len(raw):
+            wanted &= raw >= under(np.partition(np.where(wanted, raw, -np.inf), n - k, axis=1)[:, n - k])
+        row, col = np.nonzero(wanted)
+        score, ids = np.round(raw[row, col], 9), ids[col]
+        better = np.isfinite(score) & ((score > self.floor[row]) | ((score == self.floor[row]) & (ids < self.last[row])))
+        if not better.any():
+            return
+        row, ids, score = (np.concatenate([old, new[better]]) for old, new in ((self.row, row), (self.ids, ids), (self.score, score)))
+        order = np.lexsort((ids, -score, row))
+        row, ids, score = row[order], ids[order], score[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        self.row, self.ids, self.score = (c[place < k] for c in (row, ids, score))
+        full = place == k - 1
+        self.floor[row[full]], self.last[row[full]] = score[full], ids[full]
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
-
-
-def _hits(q_ids, q, ids, x, k, exclude_self) -> pd.DataFrame:
-    """Best corpus rows of one batch for every query, ties by smaller id, queries taken a few hundred at a time."""
-    found = []
-    for at in range(0, len(q_ids), QUERY_SLICE):
-        part = slice(at, at + QUERY_SLICE)
-        scores = np.round(q[part] @ x.T, 9)
-        allowed = np.isfinite(scores)
-        if exclude_self:
-            allowed &= q_ids[part, None] != ids[None, :]
-        if len(ids) > k:
-            floor = np.partition(np.where(allowed, scores, -np.inf), len(ids) - k, axis=1)[:, len(ids) - k]
-            allowed &= scores >= floor[:, None]
-        row, col = np.nonzero(allowed)
-        order = np.lexsort((ids[col], -scores[row, col], row))
-        row, col = row[order], col[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        row, col = row[place < k], col[place < k]
-        found.append((q_ids[part][row], ids[col], scores[row, col]))
-    parts = [np.concatenate([f[i] for f in found]) if found else np.array([]) for i in range(3)]
-    return pd.DataFrame(dict(zip(HIT_TYPES, parts, strict=True))).astype(HIT_TYPES)
+def _found(lists: Iterable[Best]) -> Iterator[pa.RecordBatch]:
+    parts = [(best.q_ids[best.row], best.ids, best.score) for best in lists]
+    if parts:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], ["query_id", "vec_id", "score"])
 
 
-def _merge_best(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
-    """The k best of several result sets per query."""
-    every = pd.concat(parts, ignore_index=True)
-    every = every.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True], kind="stable")
-    return every.groupby("query_id", sort=False).head(k)
+def _top(hits: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    known = [F.nullif(F.col(c), F.lit(NO_ID)).alias(c) for c in ("query_id", "vec_id")]
+    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(*known, "score", "rank")
 
 
-def _scan(batches, one_batch, k) -> Iterator[pd.DataFrame]:
-    """Run a task's batches and hand on its k best per query, once."""
-    best = None
-    for pdf in batches:
-        if len(pdf):
-            hits = one_batch(pdf)
-            best = hits if best is None else _merge_best([best, hits], k)
-    if best is not None:
-        yield best
+def _number(df: DataFrame) -> str:
+    return "float" if isinstance(df.schema["vector"].dataType.elementType, FloatType) else "double"
 
 
-def _top(hits: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+def _taking_part(df: DataFrame, key: str, exclude_self: bool) -> DataFrame:
+    """(key, vector) of known vectors, in floats or doubles. A null id is neither equal to another nor different from it."""
+    # columns of its own, as both sides may come from one table
+    rows = df.filter(F.col("vector").isNotNull()).select(F.col(key).cast("long").alias(key), F.col("vector").cast(f"array<{_number(df)}>").alias("vector"))
+    return rows.filter(F.col(key).isNotNull()) if exclude_self else rows
 
 
 def query_bytes(queries: DataFrame) -> int:
@@ -94,9 +116,9 @@ def knn(
     ``queries`` has (query_id, vector), ``corpus`` (vec_id, vector). Every pair is looked at, but
     none is written: a task keeps its k best per query. Queries go to all tasks while they are
     smaller than ``QUERY_BYTES``; beyond that both sides are cut into blocks that meet pairwise. Null vectors take no
-    part.
+    part, nor do null ids with ``exclude_self``.
     """
-    queries, corpus = queries.filter(F.col("vector").isNotNull()), corpus.filter(F.col("vector").isNotNull())
+    queries, corpus = _taking_part(queries, "query_id", exclude_self), _taking_part(corpus, "vec_id", exclude_self)
     if strategy == "auto":
         strategy = "broadcast" if query_bytes(queries) <= QUERY_BYTES else "blocks"
     if strategy == "broadcast":
@@ -106,11 +128,12 @@ def knn(
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def _collected(queries: DataFrame):
-    rows = queries.select("query_id", "vector").orderBy("query_id").toPandas()  # size checked by the caller
+def _collected(queries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    rows = queries.select("query_id", "vector").orderBy("query_id").toArrow().combine_chunks()  # size checked by the caller
     if len(rows) == 0:
         return np.array([], dtype=np.int64), np.zeros((0, 0))
-    return rows["query_id"].to_numpy(), _matrix(rows["vector"])
+    ids, vectors = (rows.column(i).chunk(0) for i in range(2))
+    return ids.fill_null(NO_ID).to_numpy(), _matrix(vectors)
 
 
 @dataclass(frozen=True)
@@ -126,51 +149,99 @@ class Buckets:
         return sides @ (1 << np.arange(self.bits))
 
 
-def _kernel(k: int, exclude_self: bool):
-    """Best corpus rows of one batch for given queries, as a function of both."""
-
-    def run(q_ids: np.ndarray, q: np.ndarray, pdf: pd.DataFrame) -> pd.DataFrame:
-        return _hits(q_ids, q, pdf["vec_id"].to_numpy(), _matrix(pdf["vector"]), k, exclude_self)
-
-    return run
-
-
 def _knn_broadcast(queries, corpus, k, exclude_self):
-    q_ids, q = _collected(queries)
-    shared = queries.sparkSession.sparkContext.broadcast((q_ids, q))
-    run = _kernel(k, exclude_self)
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_q, mat = shared.value
-        if len(ids_q):
-            yield from _scan(batches, lambda pdf: run(ids_q, mat, pdf), k)
-
-    return corpus.select("vec_id", "vector").mapInPandas(scan, HITS)
+    shared = queries.sparkSession.sparkContext.broadcast(_collected(queries))
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q_ids, q = shared.value
+        lists = [Best(q_ids[at : at + QUERY_TILE], q[at : at + QUERY_TILE], k, exclude_self) for at in range(0, len(q_ids), QUERY_TILE)]
+        for batch in batches:
+            if lists and batch.num_rows:
+                ids, x = batch.column(0).fill_null(NO_ID).to_numpy(), _matrix(batch.column(1))
+                for best in lists:
+                    best.add(ids, x)
+        yield from _found(lists)
+
+    return corpus.select("vec_id", "vector").mapInArrow(scan, HITS)
+
+
+def _tiles(df: DataFrame, key: str, rows: int, buckets: Buckets | None = None) -> DataFrame:
+    """(band, sig, ids, body): vectors packed, so many a row at most; with ``buckets`` each vector once a band, with those of its bucket."""
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, x = batch.column(0).fill_null(NO_ID).to_numpy(), _matrix(batch.column(1))
+            sigs = buckets.signatures(x) if buckets else np.zeros((len(ids), 1), np.int64)
+            for band in range(sigs.shape[1]):
+                order = np.argsort(sigs[:, band], kind="stable")
+                sig = sigs[order, band]
+                cuts = [*np.flatnonzero(np.append(True, sig[1:] != sig[:-1])).tolist(), len(sig)]
+                spans = [(at, min(to, at + rows)) for start, to in zip(cuts, cuts[1:]) for at in range(start, to, rows)]
+                packed = [(band, int(sig[at]), ids[order[at:to]].tobytes(), x[order[at:to]].tobytes()) for at, to in spans]
+                types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*packed), types)], ["band", "sig", "ids", "body"])
+
+    return df.select(key, "vector").mapInArrow(pack, "band int, sig long, ids binary, body binary")
+
+
+def _meeting(left: DataFrame, right: DataFrame, by: list[str], types: tuple[str, str], k: int, exclude_self: bool) -> DataFrame:
+    """Best corpus rows of every query and group, from packed rows of queries and of the corpus that share the group ``by``.
+
+    A task keeps k rows for each of about ``KEPT`` queries and scores a packed row of queries against a bounded number of vectors at a time.
+    """
+    asked = left.select(*by, F.col("ids").alias("q_ids"), F.col("body").alias("q"))
+    pairs = asked.join(right.select(*by, "ids", "body"), by)
+    q_type, x_type = ({"float": np.float32, "double": np.float64}[t] for t in types)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists: dict[tuple, Best] = {}  # by group and query ids: rows with equal ids are one query in the end
+        held, at, waiting = 0, None, []
+
+        def score() -> None:
+            if waiting:
+                lists[at].add(*(np.concatenate(parts) for parts in zip(*waiting)))
+                waiting.clear()
+
+        for batch in batches:
+            for r, key in enumerate(zip(*(batch.column(i).to_pylist() for i in range(len(by) + 1)))):
+                if key != at or sum(len(ids) for ids, _ in waiting) >= CORPUS_TILE:
+                    score()
+                at = key
+                q, ids, body = (batch.column(len(by) + i)[r].as_buffer() for i in (1, 2, 3))
+                if key not in lists:
+                    q_ids = np.frombuffer(key[-1], np.int64)
+                    if held + len(q_ids) > KEPT:
+                        yield from _found(lists.values())
+                        lists.clear()
+                        held = 0
+                    lists[key] = Best(q_ids, np.frombuffer(q, q_type).reshape(len(q_ids), -1).astype(np.float64), k, exclude_self)
+                    held += len(q_ids)
+                ids = np.frombuffer(ids, np.int64)
+                waiting.append((ids, np.frombuffer(body, x_type).reshape(len(ids), -1)))
+            score()  # before the batch goes
+        yield from _found(lists.values())
+
+    return pairs.select(*by, "q_ids", "q", "ids", "body").mapInArrow(run, HITS)
 
 
 def _knn_blocks(queries, corpus, k, exclude_self, block_rows: int | None = None):
+    """Packed rows dealt over a grid of query and corpus blocks: about ``block_rows`` vectors a block, and at least as many cells as partitions."""
     block_rows = block_rows or BLOCK_ROWS
-    n_q = max(1, -(-queries.count() // block_rows))
-    n_c = max(1, -(-corpus.count() // block_rows))
-    left = queries.withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(n_q))).withColumn(
-        "_cb", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1)).cast("array<bigint>"))
-    )
-    right = corpus.withColumn("_cb", F.pmod(F.xxhash64("vec_id"), F.lit(n_c))).withColumn(
-        "_qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)).cast("array<bigint>"))
-    )
-    return left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(_meeting(k, exclude_self), HITS)
-
+    cells = parallelism(queries.sparkSession)
+    many_q, many_c = max(1, queries.count()), max(1, corpus.count())
+    n_q = max(1, -(-many_q // block_rows), min(cells, round((cells * many_q / many_c) ** 0.5)))
+    n_c = max(-(-many_c // block_rows), -(-cells // n_q))
+    parts = max(cells, min(n_q * n_c, 4 * cells))
 
-def _meeting(k: int, exclude_self: bool):
-    """Best corpus rows for the queries of a group, as a function of both sides."""
-    run = _kernel(k, exclude_self)
+    def dealt(side: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)).cast("array<bigint>"))
+        return side.withColumn(own, F.pmod(F.xxhash64("ids", "body"), F.lit(n_own))).withColumn(other, every).repartition(parts, "qb", "cb")
 
-    def meet(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        if len(qs) == 0 or len(cs) == 0:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(HIT_TYPES)
-        return run(qs["query_id"].to_numpy(), _matrix(qs["vector"]), cs)
-
-    return meet
+    left = dealt(_tiles(queries, "query_id", min(QUERY_TILE, block_rows)), "qb", n_q, "cb", n_c)
+    right = dealt(_tiles(corpus, "vec_id", min(CORPUS_TILE, block_rows)), "cb", n_c, "qb", n_q)
+    return _meeting(left, right, ["qb", "cb"], (_number(queries), _number(corpus)), k, exclude_self)
 
 
 def knn_lsh(
@@ -186,34 +257,24 @@ def knn_lsh(
 ) -> DataFrame:
     """Approximate variant: ranks only vectors that share a bucket with the query in some band.
 
-    Both sides are joined by band and signature, so no pair outside a bucket is formed. A bucket with more than
+    Both sides are packed by band and signature and joined on them, so no pair outside a bucket is formed. A bucket with more than
     ``block_rows`` rows on a side is split, the parts of each side meeting those of the other; nothing is capped.
     What is approximate is the choice of buckets.
     """
     buckets = Buckets(np.random.default_rng(seed).standard_normal((dim, bands * bits)), bands, bits)
-
-    @F.pandas_udf("array<long>")
-    def signatures(vectors: pd.Series) -> pd.Series:
-        return pd.Series(list(buckets.signatures(_matrix(vectors)))) if len(vectors) else pd.Series([], dtype=object)
-
-    def dealt(df: DataFrame, key: str) -> DataFrame:
-        known = df.filter(F.col("vector").isNotNull()).withColumn("_sigs", signatures("vector"))
-        # columns of its own, as both sides may come from one table
-        return known.select(F.col(key).alias(key), F.col("vector").alias("vector"), F.posexplode("_sigs").alias("_band", "_sig"))
-
-    at = ["_band", "_sig"]
-    left, right = dealt(queries, "query_id"), dealt(corpus, "vec_id")
-    parts = lambda side, name: side.groupBy(*at).agg(F.ceil(F.count("*") / F.lit(block_rows)).alias(name))
-    sizes = parts(left, "_nq").join(parts(right, "_nc"), at)
-
-    def split(side: DataFrame, key: str, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
+    queries, corpus = _taking_part(queries, "query_id", exclude_self), _taking_part(corpus, "vec_id", exclude_self)
+    left = _tiles(queries, "query_id", min(QUERY_TILE, block_rows), buckets)
+    right = _tiles(corpus, "vec_id", min(CORPUS_TILE, block_rows), buckets)
+    at = ["band", "sig"]
+    parts = lambda side, name: side.groupBy(*at).agg(F.ceil(F.sum(F.length("ids") / 8) / F.lit(block_rows)).alias(name))
+    sizes = parts(left, "nq").join(parts(right, "nc"), at)
+
+    def split(side: DataFrame, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(n_other) - 1))
-        return side.join(sizes, at).withColumn(own, F.pmod(F.xxhash64(key), F.col(n_own))).withColumn(other, every).drop("_nq", "_nc")
+        return side.join(sizes, at).withColumn(own, F.pmod(F.xxhash64("ids", "body"), F.col(n_own))).withColumn(other, every).drop("nq", "nc")
 
-    left = split(left, "query_id", "_qb", "_nq", "_cb", "_nc")
-    right = split(right, "vec_id", "_cb", "_nc", "_qb", "_nq")
-    group = [*at, "_qb", "_cb"]
-    hits = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(_meeting(k, exclude_self), HITS)
+    left, right = split(left, "qb", "nq", "cb", "nc"), split(right, "cb", "nc", "qb", "nq")
+    hits = _meeting(left, right, [*at, "qb", "cb"], (_number(queries), _number(corpus)), k, exclude_self)
     return _top(hits.dropDuplicates(["query_id", "vec_id"]), k)
 
 

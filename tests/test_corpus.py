@@ -240,3 +240,79 @@ def test_lsh_defaults_find_nine_in_ten(spark):
         for found in (knn(queries, vectors, 5, exclude_self=True), knn_lsh(queries, vectors, 5, 64, exclude_self=True))
     )
     assert len(near & exact) >= 0.9 * len(exact)
+
+
+def test_a_task_holds_a_bounded_number_of_scores():
+    import tracemalloc
+
+    from millrace.operators.retrieve import Best
+
+    rnd = np.random.default_rng(5)
+    q, x = rnd.normal(size=(512, 8)), rnd.normal(size=(50_000, 8)).astype(np.float32)
+    best = Best(np.arange(512), q, 3, True)
+    tracemalloc.start()
+    for at in range(0, len(x), 10_000):
+        best.add(np.arange(at, at + 10_000), x[at : at + 10_000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000  # one product with all vectors has 205 MB
+    scores = np.round(q @ x.T.astype(float), 9)
+    scores[np.arange(512), np.arange(512)] = -np.inf
+    assert best.ids.reshape(512, 3).tolist() == np.argsort(-scores, axis=1, kind="stable")[:, :3].tolist()
+
+
+def test_ties_and_undefined_scores():
+    from millrace.operators.retrieve import Best
+
+    best = Best(np.array([1, 2]), np.array([[1.0, 0.0], [0.0, 1.0]]), 2, False)
+    best.add(np.array([9, 4, 7]), np.array([[1.0, np.nan], [1.0, 0.0], [np.inf, 0.0]]))
+    best.add(np.array([8, 3, 5]), np.array([[1.0, 2.0], [1.0 + 1e-12, 0.0], [0.5, 0.0]]))
+    assert list(zip(best.q_ids[best.row].tolist(), best.ids.tolist(), best.score.tolist())) == [(1, 3, 1.0), (1, 4, 1.0), (2, 8, 2.0), (2, 3, 0.0)]
+
+
+def test_small_tables_are_spread_over_the_tasks(spark, monkeypatch):
+    from millrace.operators import retrieve
+    from millrace.operators.retrieve import _knn_blocks
+
+    monkeypatch.setattr(retrieve, "parallelism", lambda session: 16)
+    _, df = vectors(spark, 400)
+    hits = _knn_blocks(df.withColumnRenamed("vec_id", "query_id").repartition(6), df.repartition(6), 2, True)
+    assert hits.select(F.spark_partition_id()).distinct().count() > 1
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "blocks"])
+def test_null_ids(spark, strategy):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (None, [2.0, 0.0]), (3, [0.5, 0.0])], "vec_id long, vector array<double>")
+    queries = df.withColumnRenamed("vec_id", "query_id")
+    assert rows(knn(queries, df, 1, True, strategy).select("query_id", "vec_id")) == [(1, 3), (3, 1)]
+    found = knn(queries, df, 1, False, strategy).select("query_id", "vec_id")
+    assert {tuple(r) for r in found.collect()} == {(1, None), (None, None), (3, None)}
+
+
+def test_buckets_travel_packed(spark):
+    from millrace.operators.retrieve import Buckets, _tiles
+
+    x, df = vectors(spark, 300)
+    buckets = Buckets(np.random.default_rng(1).standard_normal((8, 6)), 3, 2)
+    tiles = _tiles(df, "vec_id", 20, buckets).collect()
+    sigs = buckets.signatures(x)
+    got = [(r["band"], r["sig"], i) for r in tiles for i in np.frombuffer(r["ids"], np.int64).tolist()]
+    assert sorted(got) == sorted((b, sigs[i, b], i) for i in range(300) for b in range(3))
+    assert all(len(r["ids"]) <= 160 and (np.frombuffer(r["body"]).reshape(-1, 8) == x[np.frombuffer(r["ids"], np.int64)]).all() for r in tiles)
+
+
+def test_long_texts_reach_python_in_small_batches(spark):
+    import pandas as pd
+
+    from conftest import SF
+    from millrace.plans import QUERIES
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    QUERIES["model_hooks"](spark, SF)
+
+    @F.pandas_udf("long")
+    def together(texts: pd.Series) -> pd.Series:
+        return pd.Series([int(texts.str.len().sum())] * len(texts))
+
+    texts = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1_000_000).alias("text"), "id")
+    assert texts.select(together("text").alias("n")).agg(F.max("n")).first()[0] <= 10_000_000
