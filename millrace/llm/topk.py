@@ -20,6 +20,8 @@ QUERY_TILE, SHARD_TILE = 1024, 4096
 #: Queries whose lists one task keeps, about.
 KEPT = 65_536
 LONG = 2**63 - 1
+#: Tiles travel as the first of these that holds their whole numbers.
+KINDS = (np.int16, np.int32, np.float64)
 TILE_SCHEMA = "ids binary, parts binary, dim int, n int"
 
 
@@ -32,8 +34,18 @@ def integer_vectors(vectors: DataFrame, scale: int) -> DataFrame:
     return vectors.filter(good).select(F.col("id").cast("long").alias("id"), whole.alias("v"))
 
 
+def _body(matrix: np.ndarray) -> bytes:
+    most = np.abs(matrix).max(initial=0)
+    return matrix.astype(next(x for x in KINDS if x is np.float64 or most <= np.iinfo(x).max)).tobytes()
+
+
+def _matrix(body: bytes, n: int, dim: int) -> np.ndarray:
+    kind = {np.dtype(x).itemsize: x for x in KINDS}.get(len(body) // max(1, n * dim), np.float64)
+    return np.frombuffer(body, kind).reshape(n, dim).astype(np.float64)
+
+
 def _tiles(vectors: DataFrame, size: int) -> DataFrame:
-    """Vectors packed, so many a row: ids and a matrix of doubles, shorter vectors filled up with zeros."""
+    """Vectors packed, so many a row: ids and a matrix of whole numbers, shorter vectors filled up with zeros."""
 
     def pack(ids: np.ndarray, lists: pa.ListArray) -> tuple:
         at = lists.offsets.to_numpy()
@@ -43,7 +55,7 @@ def _tiles(vectors: DataFrame, size: int) -> DataFrame:
         out = np.zeros((len(ids), dim))
         fill = np.arange(dim)[None, :] < length[:, None]
         out[fill] = values[at[0] : at[-1]]
-        return ids.tobytes(), out.tobytes(), dim, len(ids)
+        return ids.tobytes(), _body(out), dim, len(ids)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,8 +111,7 @@ def _partial(pairs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 q_ids, s_ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
-                q = np.frombuffer(row["q_parts"]).reshape(row["q_n"], row["q_dim"])
-                s = np.frombuffer(row["parts"]).reshape(row["n"], row["dim"])
+                q, s = _matrix(row["q_parts"], row["q_n"], row["q_dim"]), _matrix(row["parts"], row["n"], row["dim"])
                 score = np.maximum(scores(q, s), LEAST + 1)
                 own = q_ids[:, None] == s_ids[None, :]
                 floor = score.min(initial=0) - 1
@@ -130,7 +141,8 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 25
     id with several rows is one query, with the first of its vectors in their order.
 
     Tiles of vectors meet tiles of queries on a grid of query blocks and shards, so that each side is copied along one
-    edge of the grid only. ``share`` (queries to vectors, about) shapes the grid, not the result. Tasks keep k
+    edge of the grid only. The copies meet by a shuffle: before they are made a side may look small enough to be sent
+    whole through the driver, with all its copies. ``share`` (queries to vectors, about) shapes the grid, not the result. Tasks keep k
     a query and at most about ``KEPT`` queries, as blocks are as many as the counted queries ask for; lists merge by groups of shards first, then as a whole.
     """
     cells = max(1, parallelism(vectors.sparkSession))
@@ -144,7 +156,8 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 25
     q = q.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("shard", F.col("shard").cast("long"))
     s = _tiles(whole, SHARD_TILE).withColumn("shard", F.pmod(F.xxhash64("ids"), F.lit(shards)))
     s = s.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("block", F.col("block").cast("long"))
-    part = _partial(q.join(s, ["block", "shard"]), k).withColumn("group", F.pmod(F.spark_partition_id(), F.lit(spread)))
+    # the queries of a block stand on the right, where rows of a key are held; the shard's tiles stream by
+    part = _partial(s.join(q.hint("merge"), ["block", "shard"]), k).withColumn("group", F.pmod(F.spark_partition_id(), F.lit(spread)))
 
     def merged(rows: DataFrame, *by: str) -> DataFrame:
         order = Window.partitionBy(*by).orderBy(F.desc("score"), "vec_id")

@@ -60,6 +60,24 @@ def test_tasks_keep_no_vectors_and_blocks_follow_the_queries(spark, monkeypatch)
     assert sorted(map(tuple, T.exact_topk(table, F.col("id") % 2 == 0, 3).collect())) == want
 
 
+def test_copies_of_a_side_are_not_broadcast(spark):
+    table = spark.createDataFrame(vectors(), SCHEMA)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    found = T.exact_topk(table, F.col("id") % 50 == 0, 5)
+    assert found.count() == len(brute(vectors(), 5, lambda i: i % 50 == 0))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("most, size", [(2**15 - 1, 2), (2**15, 4), (2**31 - 1, 4), (2**31, 8), (2.0**60, 8), (0, 2)])
+def test_tiles_travel_in_the_narrowest_kind(most, size):
+    matrix = np.array([[most, -most, 0.0], [-1.0, 1.0, most]])
+    body = T._body(matrix)
+    assert len(body) == 6 * size and (T._matrix(body, 2, 3) == matrix).all()
+    assert T._matrix(T._body(np.zeros((2, 0))), 2, 0).shape == (2, 0)
+
+
 def test_empty_and_alone(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert T.exact_topk(empty, F.col("id") % 50 == 0).count() == 0
