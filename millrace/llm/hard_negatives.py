@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import written
-from millrace.llm.topk import scores
+from millrace.llm.topk import from_bytes, scores, to_bytes
 from millrace.session import parallelism
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -40,18 +40,13 @@ def usable(vectors: DataFrame, scale: int) -> DataFrame:
 # Tiles
 
 
-def _matrix(lists: list[np.ndarray]) -> tuple[bytes, int, bool]:
-    """Vectors under one another, shorter ones filled up with zeros; floats of 32 bits where they hold the numbers."""
+def _matrix(lists: list[np.ndarray]) -> tuple[bytes, int]:
+    """Vectors under one another, shorter ones filled up with zeros, in the narrowest numbers that hold them."""
     dim = max(map(len, lists))
     out = np.zeros((len(lists), dim))
     for row, v in zip(out, lists):
         row[: len(v)] = v
-    small = bool(np.abs(out).max(initial=0) < 2**24)
-    return out.astype(np.float32 if small else np.float64).tobytes(), dim, small
-
-
-def _read(body: bytes, dim: int, small: bool, n: int) -> np.ndarray:
-    return np.frombuffer(body, np.float32 if small else np.float64).reshape(n, dim).astype(np.float64)
+    return to_bytes(out), dim
 
 
 def spanning_tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,8 +69,8 @@ def spanning_tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return order, parent, length
 
 
-CANDIDATES = "ids binary, labels binary, body binary, dim int, small boolean, n int"
-ANCHORS = "tile long, block long, a_ids binary, a_labels binary, a_body binary, a_dim int, a_small boolean, a_n int, windows binary"
+CANDIDATES = "ids binary, labels binary, body binary, dim int, n int"
+ANCHORS = "tile long, block long, a_ids binary, a_labels binary, a_body binary, a_dim int, a_n int, windows binary"
 
 
 def candidate_tiles(rows: DataFrame) -> DataFrame:
@@ -86,12 +81,12 @@ def candidate_tiles(rows: DataFrame) -> DataFrame:
             while start < len(ids):
                 size = max(1, TILE_BYTES // (8 * max(1, len(at[start]))))
                 part = [np.asarray(v, np.float64) for v in at[start : start + size]]
-                body, dim, small = _matrix(part)
+                body, dim = _matrix(part)
                 n = len(part)
                 yield pa.RecordBatch.from_pylist([{
                     "ids": ids[start : start + n].astype(np.int64).tobytes(), "labels": labels[start : start + n].astype(np.int64).tobytes(),
-                    "body": body, "dim": dim, "small": small, "n": n,
-                }], pa.schema([("ids", pa.binary()), ("labels", pa.binary()), ("body", pa.binary()), ("dim", pa.int32()), ("small", pa.bool_()), ("n", pa.int32())]))
+                    "body": body, "dim": dim, "n": n,
+                }], pa.schema([("ids", pa.binary()), ("labels", pa.binary()), ("body", pa.binary()), ("dim", pa.int32()), ("n", pa.int32())]))
                 start += n
 
     return rows.select("id", "label", "v").mapInArrow(run, CANDIDATES)
@@ -106,16 +101,16 @@ def anchor_tiles(rows: DataFrame) -> DataFrame:
 
         def tile() -> pa.RecordBatch:
             nonlocal made
-            body, dim, small = _matrix([np.asarray(r["v"], np.float64) for r in held])
+            body, dim = _matrix([np.asarray(r["v"], np.float64) for r in held])
             windows = np.array([r["windows"] for r in held], np.int64)
             made += 1
             return pa.RecordBatch.from_pylist([{
                 "tile": (TaskContext.get().partitionId() << 32) + made, "block": held[0]["block"],
                 "a_ids": np.array([r["id"] for r in held], np.int64).tobytes(), "a_labels": np.array([r["label"] for r in held], np.int64).tobytes(),
-                "a_body": body, "a_dim": dim, "a_small": small, "a_n": len(held), "windows": windows.tobytes(),
+                "a_body": body, "a_dim": dim, "a_n": len(held), "windows": windows.tobytes(),
             }], pa.schema([
                 ("tile", pa.int64()), ("block", pa.int64()), ("a_ids", pa.binary()), ("a_labels", pa.binary()), ("a_body", pa.binary()),
-                ("a_dim", pa.int32()), ("a_small", pa.bool_()), ("a_n", pa.int32()), ("windows", pa.binary()),
+                ("a_dim", pa.int32()), ("a_n", pa.int32()), ("windows", pa.binary()),
             ]))
 
         for batch in batches:
@@ -168,7 +163,8 @@ def tree_scores(
             if not children[parent[a]]:
                 del bounds[int(parent[a])]
         places = np.flatnonzero(wanted(a, low, high))
-        found = close[places] @ near[a]
+        # a product of all rows costs less than a copy of more than half of them
+        found = (close @ near[a])[places] if 2 * len(places) > len(close) else close[places] @ near[a]
         if children[a]:
             low, high = low.copy(), high.copy()
             low[places] = high[places] = found
@@ -200,8 +196,8 @@ def _lists(pairs: DataFrame, k: int, positives: bool) -> DataFrame:
             for row in batch.to_pylist():
                 a_ids, a_labels = np.frombuffer(row["a_ids"], np.int64), np.frombuffer(row["a_labels"], np.int64)
                 ids, labels = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["labels"], np.int64)
-                anchors = _read(row["a_body"], row["a_dim"], row["a_small"], row["a_n"])
-                candidates = _read(row["body"], row["dim"], row["small"], row["n"])
+                anchors = from_bytes(row["a_body"], row["a_n"], row["a_dim"])
+                candidates = from_bytes(row["body"], row["n"], row["dim"])
                 windows = np.frombuffer(row["windows"], np.int64).reshape(len(a_ids), -1, 3)
                 kept = lists.setdefault(row["tile"], {})
                 if row["tile"] not in trees:
@@ -221,13 +217,19 @@ def _lists(pairs: DataFrame, k: int, positives: bool) -> DataFrame:
                     return out & (labels != a_labels[a])
 
                 for a, places, found in tree_scores(anchors, trees[row["tile"]], candidates, wanted):
+                    found_ids = ids[places]
                     for place, least, most in [(0, None, None)] if positives else windows[a]:
                         if place < 0:
                             continue
-                        inside = slice(None) if positives else (found >= least) & (found <= most)
-                        new, new_ids = found[inside], ids[places][inside]
+                        old = kept.get((a, int(place)))
+                        if positives:
+                            new, new_ids = found, found_ids
+                        else:
+                            if old is not None and len(old[0]) == k:
+                                least = max(least, old[0][-1])
+                            inside = np.flatnonzero((found >= least) & (found <= most))
+                            new, new_ids = found[inside], found_ids[inside]
                         if len(new):
-                            old = kept.get((a, int(place)))
                             if old is not None:
                                 new, new_ids = np.concatenate([old[0], new]), np.concatenate([old[1], new_ids])
                             kept[a, int(place)] = first(new, new_ids, k)
@@ -249,11 +251,15 @@ def _lists(pairs: DataFrame, k: int, positives: bool) -> DataFrame:
 
 
 def _met(tiles: DataFrame, anchors: DataFrame, blocks: int, shards: int) -> DataFrame:
-    """Every tile of anchors beside every tile of candidates, on a grid of blocks and shards."""
+    """Every tile of anchors beside every tile of candidates, on a grid of blocks and shards.
+
+    They meet by a shuffle: a broadcast is chosen by the size of the anchors' tiles, but sends a copy for every shard
+    through the driver. Anchors stand on the right, where rows of a key are held; candidates stream by.
+    """
     q = anchors.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     s = tiles.withColumn("shard", F.pmod(F.xxhash64("ids"), F.lit(shards)).cast("long"))
     s = s.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    return q.join(s, ["block", "shard"]).drop("block", "shard")
+    return s.join(q.hint("merge"), ["block", "shard"]).drop("block", "shard")
 
 
 def _ranked(rows: DataFrame, by: list[str], k: int) -> DataFrame:
@@ -281,7 +287,7 @@ def hard_negatives(
     chosen = rows.filter(is_anchor).groupBy("id").agg(F.min(F.struct("label", "v")).alias("a")).select("id", "a.*")
     chosen = written(chosen, "negatives-anchors")
     blocks = max(1, -(-chosen.count() // KEPT))
-    shards = max(1, parallelism(spark))
+    shards = max(1, min(parallelism(spark), tiles.count()))  # anchors are copied for no shard that is surely empty
     chosen = chosen.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long"))
     none = F.array([F.lit(0).cast("long")] * 3)
     asked = written(anchor_tiles(chosen.withColumn("windows", none)), "negatives-asked")

@@ -34,12 +34,13 @@ def integer_vectors(vectors: DataFrame, scale: int) -> DataFrame:
     return vectors.filter(good).select(F.col("id").cast("long").alias("id"), whole.alias("v"))
 
 
-def _body(matrix: np.ndarray) -> bytes:
+def to_bytes(matrix: np.ndarray) -> bytes:
+    """Whole numbers in the first of ``KINDS`` that holds them all."""
     most = np.abs(matrix).max(initial=0)
     return matrix.astype(next(x for x in KINDS if x is np.float64 or most <= np.iinfo(x).max)).tobytes()
 
 
-def _matrix(body: bytes, n: int, dim: int) -> np.ndarray:
+def from_bytes(body: bytes, n: int, dim: int) -> np.ndarray:
     kind = {np.dtype(x).itemsize: x for x in KINDS}.get(len(body) // max(1, n * dim), np.float64)
     return np.frombuffer(body, kind).reshape(n, dim).astype(np.float64)
 
@@ -55,7 +56,7 @@ def _tiles(vectors: DataFrame, size: int) -> DataFrame:
         out = np.zeros((len(ids), dim))
         fill = np.arange(dim)[None, :] < length[:, None]
         out[fill] = values[at[0] : at[-1]]
-        return ids.tobytes(), _body(out), dim, len(ids)
+        return ids.tobytes(), to_bytes(out), dim, len(ids)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,7 +112,7 @@ def _partial(pairs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 q_ids, s_ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
-                q, s = _matrix(row["q_parts"], row["q_n"], row["q_dim"]), _matrix(row["parts"], row["n"], row["dim"])
+                q, s = from_bytes(row["q_parts"], row["q_n"], row["q_dim"]), from_bytes(row["parts"], row["n"], row["dim"])
                 score = np.maximum(scores(q, s), LEAST + 1)
                 own = q_ids[:, None] == s_ids[None, :]
                 floor = score.min(initial=0) - 1

@@ -82,3 +82,28 @@ def test_empty_and_alone(spark):
     assert found(spark, []) == []
     assert found(spark, [(10, 1, [1.0], "", 0)]) == []
     assert found(spark, [(10, 1, [1.0], "", 0), (11, 1, [1.0], "", 0), (12, 2, [0.5], "", 0)]) == [(10, 11, 1, 12, 65536, 32768, 1)]
+
+
+def test_copies_of_a_side_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(N, "TILE_BYTES", 700)  # many tiles, so many shards
+    met, plans = N._met, []
+
+    def watched(*args):
+        out = met(*args)
+        assert out.count() > 0
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(N, "_met", watched)
+    rows = vectors()
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    assert found(spark, rows) == brute(rows, lambda i: i % 10 == 0)
+    assert len(plans) == 2 and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
+
+
+def test_no_more_shards_than_tiles(spark, monkeypatch):
+    met, seen = N._met, []
+    monkeypatch.setattr(N, "_met", lambda tiles, anchors, blocks, shards: seen.append((tiles.count(), shards)) or met(tiles, anchors, blocks, shards))
+    rows = vectors()
+    assert found(spark, rows, parts=2) == brute(rows, lambda i: i % 10 == 0)
+    assert len(seen) == 2 and all(1 <= shards <= n for n, shards in seen)

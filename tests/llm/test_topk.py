@@ -73,9 +73,9 @@ def test_copies_of_a_side_are_not_broadcast(spark):
 @pytest.mark.parametrize("most, size", [(2**15 - 1, 2), (2**15, 4), (2**31 - 1, 4), (2**31, 8), (2.0**60, 8), (0, 2)])
 def test_tiles_travel_in_the_narrowest_kind(most, size):
     matrix = np.array([[most, -most, 0.0], [-1.0, 1.0, most]])
-    body = T._body(matrix)
-    assert len(body) == 6 * size and (T._matrix(body, 2, 3) == matrix).all()
-    assert T._matrix(T._body(np.zeros((2, 0))), 2, 0).shape == (2, 0)
+    body = T.to_bytes(matrix)
+    assert len(body) == 6 * size and (T.from_bytes(body, 2, 3) == matrix).all()
+    assert T.from_bytes(T.to_bytes(np.zeros((2, 0))), 2, 0).shape == (2, 0)
 
 
 def test_empty_and_alone(spark):
