@@ -72,18 +72,23 @@ def _tiles(vectors: DataFrame, size: int) -> DataFrame:
     return vectors.select("id", "v").mapInArrow(run, TILE_SCHEMA)
 
 
-def scores(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    """Exact inner products as longs; those beyond a long end at its bounds."""
+def products(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """Exact inner products: in doubles where these hold all sums, else as longs, those beyond a long at its bounds."""
     dim = min(queries.shape[1], shard.shape[1])
     queries, shard = queries[:, :dim], shard[:, :dim]
     bound = np.abs(queries).max(initial=0) * np.abs(shard).max(initial=0) * max(dim, 1)
     if bound < 2**53:  # every partial sum is exact in doubles
-        return (queries @ shard.T).astype(np.int64)
+        return queries @ shard.T
     whole = np.vectorize(int, otypes=[object])
     exact = whole(queries).dot(whole(shard).T) if dim else np.zeros((len(queries), len(shard)), object)
     return np.clip(exact, -LONG, LONG).astype(np.int64)
 
 
+def scores(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """Exact inner products as longs; those beyond a long end at its bounds."""
+    return products(queries, shard).astype(np.int64)
+
+
 def best(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k highest of each row with their ids, ties to the smaller id. ``ids`` are those of the columns, or of each entry."""
     if ids.ndim == 1:
@@ -104,6 +109,31 @@ def best(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
 LEAST = -LONG  # marks a place that is not taken
 
 
+def leading(score: np.ndarray, ids: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``best`` among the scores of a row from its ``least`` up, k places wide. Scores of LEAST or minus infinity are none."""
+    n, width = score.shape
+    many = 8 * k * n
+    cut = np.maximum(least, LEAST + 1).astype(score.dtype)
+    near = score >= cut[:, None]
+    if np.count_nonzero(near) > many:
+        cut = np.maximum(cut, np.partition(score, width - k, axis=1)[:, width - k])
+        near = score >= cut[:, None]
+    if np.count_nonzero(near) > many:  # equal scores
+        floor = int(score[near].min()) - 1
+        found = best(np.where(near, score, floor).astype(np.int64), ids, k)
+        found[0][found[0] == floor] = LEAST
+        return found
+    row, place = np.nonzero(near)
+    value, found_ids = score[row, place].astype(np.int64), ids[place]
+    order = np.lexsort((found_ids, -value, row))
+    row, value, found_ids = row[order], value[order], found_ids[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, np.arange(n))[row]
+    out, out_ids = np.full((n, k), LEAST), np.zeros((n, k), np.int64)
+    first = rank < k
+    out[row[first], rank[first]], out_ids[row[first], rank[first]] = value[first], found_ids[first]
+    return out, out_ids
+
+
 def _partial(pairs: DataFrame, k: int) -> DataFrame:
     """Per task and query the k best (query_id, tag, vec_id, score) over all tiles that the task sees."""
 
@@ -113,15 +143,16 @@ def _partial(pairs: DataFrame, k: int) -> DataFrame:
             for row in batch.to_pylist():
                 q_ids, s_ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
                 q, s = from_bytes(row["q_parts"], row["q_n"], row["q_dim"]), from_bytes(row["parts"], row["n"], row["dim"])
-                score = np.maximum(scores(q, s), LEAST + 1)
-                own = q_ids[:, None] == s_ids[None, :]
-                floor = score.min(initial=0) - 1
-                score[own] = floor
-                found = best(score, s_ids, k)
-                found[0][found[0] == floor] = LEAST
+                score = products(q, s)
+                if score.dtype == np.int64:
+                    score = np.maximum(score, LEAST + 1)
+                own = np.flatnonzero(np.isin(s_ids, q_ids))
+                of, at = np.nonzero(q_ids[:, None] == s_ids[own])
+                score[of, own[at]] = -np.inf if score.dtype == np.float64 else LEAST
                 key = int(q_ids[0])
-                if key in lists:
-                    old = lists[key][1]
+                old = lists[key][1] if key in lists else None
+                found = leading(score, s_ids, k, np.full(len(q_ids), LEAST) if old is None else old[0][:, -1])
+                if old is not None:
                     found = best(np.concatenate([old[0], found[0]], 1), np.concatenate([old[1], found[1]], 1), k)
                 lists[key] = (q_ids, found)
         for q_ids, (score, ids) in lists.values():

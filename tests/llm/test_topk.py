@@ -78,6 +78,25 @@ def test_tiles_travel_in_the_narrowest_kind(most, size):
     assert T.from_bytes(T.to_bytes(np.zeros((2, 0))), 2, 0).shape == (2, 0)
 
 
+@pytest.mark.parametrize("kind", [np.float64, np.int64])
+@pytest.mark.parametrize("high, width, k", [(10**6, 500, 3), (3, 500, 3), (1, 400, 2), (50, 7, 9), (50, 4, 4)])
+def test_leading_equals_a_full_sort(kind, high, width, k):
+    rnd = np.random.default_rng(high)
+    ids = rnd.permutation(width * 2)[:width] - width
+    none = -np.inf if kind is np.float64 else T.LEAST
+    score = rnd.integers(-high, high + 1, (20, width)).astype(kind)
+    score[rnd.random(score.shape) < 0.05] = none
+    score[0], score[1, 1:] = none, none
+    for least in (np.full(20, T.LEAST), rnd.integers(-high, high + 1, 20)):
+        got = T.leading(score, ids, k, least)
+        assert got[0].shape == got[1].shape == (20, k)
+        for i in range(20):
+            want = sorted((-int(s), int(x)) for s, x in zip(score[i], ids) if s != none)[:k]
+            have = [(-int(s), int(x)) for s, x in zip(got[0][i], got[1][i]) if s != T.LEAST]
+            # below ``least`` nothing need be there
+            assert have == want[: len(have)] and all(-s < least[i] for s, _ in want[len(have) :])
+
+
 def test_empty_and_alone(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert T.exact_topk(empty, F.col("id") % 50 == 0).count() == 0
